@@ -1,0 +1,323 @@
+"""Adapter: the driver's parquet tables as a game-event feed.
+
+The tables (``events``, ``orders``, ``lineitem`` plus the small ``region``,
+``nation``, ``supplier``, ``part``) are re-expressed in the feed's vocabulary
+so the real ingest path runs on them: raw JSON lines -> prefilter -> typed
+parse -> dimension joins -> event plans.  Everything is derived by Spark from
+the tables in one scan per table, so the work grows with them.
+
+Mapping (fixed values of the adapter):
+
+* events: player = user_id, cluster = user_id % 5, network_id = props.k,
+  event_ts = epoch ms of ts, session = yyyyMMdd of ts.  Event types fan out:
+  view -> CONNECT, USER_PROFILE, USER_GAME_PROFILE; click -> LOGIN, SET_LEVEL,
+  PROGRESS_START; error -> DISCONNECT; purchase -> DEPOSIT_TRIGGER,
+  PROGRESS_FINISH; signup -> REGISTRATION.
+* orders: SEND_TRANSACTION and TRANSACTION_RESULT per order (player =
+  o_custkey, transaction = o_orderkey, amount = o_totalprice, currency by
+  priority, status by order status and priority).
+* lineitem: PRODUCT_MOVEMENTS and BATTLE per line (player = l_suppkey,
+  time = l_shipdate, event_order = l_linenumber, battle = l_orderkey).
+* dimensions: pipe-delimited lines built from region / nation / supplier /
+  part, laid out so each dimension's (key, name) positions apply.
+* currency rates: one snapshot per order day, ``{"rates": {...}}``.
+
+Envelope: topic = source table, partition = fan-out slot, offset = row id.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import catalog, schema
+from .dims import dimension_from_lines
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _ms(ts: Column) -> Column:
+    return F.unix_millis(ts.cast("timestamp"))
+
+
+def _s(c: Column) -> Column:
+    return c.cast("string")
+
+
+# Event type -> emitted event names (fan-out slot = position).
+EVENT_FANOUT = {
+    "view": ("CONNECT", "USER_PROFILE", "USER_GAME_PROFILE"),
+    "click": ("LOGIN", "SET_LEVEL", "PROGRESS_START"),
+    "error": ("DISCONNECT",),
+    "purchase": ("DEPOSIT_TRIGGER", "PROGRESS_FINISH"),
+    "signup": ("REGISTRATION",),
+}
+
+# Order priority -> currency ("XTS" has no rate).
+PRIORITY_CURRENCY = {
+    "1-URGENT": "EUR",
+    "2-HIGH": "GBP",
+    "3-MEDIUM": "USD",
+    "4-NOT SPECIFIED": "JPY",
+    "5-LOW": "XTS",
+}
+
+
+def _json(name: str, values: dict[str, Column]) -> Column:
+    """JSON object with the event's declared fields, in declared order; nulls omitted."""
+    kinds = dict(_EVENT_FIELDS[name])
+    parts = []
+    for field, _ in _EVENT_FIELDS[name]:
+        if field == "event_name":
+            parts.append(F.lit(name).alias(field))
+        elif field in values:
+            parts.append(values[field].cast(schema.spark_type(kinds[field])).alias(field))
+    return F.to_json(F.struct(*parts))
+
+
+_EVENT_FIELDS = {
+    "CONNECT": schema.CONNECT,
+    "LOGIN": schema.LOGIN,
+    "DISCONNECT": schema.union_fields(schema.BASE, schema.RESOURCES),
+    "USER_PROFILE": schema.USER_PROFILE,
+    "USER_GAME_PROFILE": schema.GAME_PROFILE,
+    "SET_LEVEL": schema.SET_LEVEL,
+    "REGISTRATION": schema.REGISTRATION,
+    "DEPOSIT_TRIGGER": schema.TRIGGER,
+    "PROGRESS_START": schema.PROGRESS_OPEN,
+    "PROGRESS_FINISH": schema.PROGRESS_FINISH,
+    "SEND_TRANSACTION": schema.union_fields(schema.DEPOSIT, schema.SEND_DEPOSIT_EXTRA),
+    "TRANSACTION_RESULT": schema.DEPOSIT,
+    "PRODUCT_MOVEMENTS": schema.PRODUCT_MOVEMENTS,
+    "BATTLE": schema.BATTLE,
+}
+
+
+def _events_values(name: str) -> dict[str, Column]:
+    u = F.col("user_id")
+    k = F.col("k")
+    ms = F.col("ms")
+    v = {
+        "cluster_id": _s(u % 5), "player_id": _s(u), "event_ts": ms,
+        "session_id": F.date_format("ts", "yyyyMMdd"), "network_id": k,
+    }
+    if name == "CONNECT":
+        v["login_country_id"] = _s(k % 30)
+    elif name == "LOGIN":
+        v.update(device_desc=_s(k * 20), device_id=F.concat(F.lit("dev"), _s(u % 7)),
+                 os_version=F.concat(F.lit("os"), _s(k % 4)),
+                 linked_player_id=F.when(k % 2 == 1, _s(u + 1)), timezone=F.lit("UTC"),
+                 game_version=F.concat(F.lit("1."), _s(k % 10)))
+    elif name == "DISCONNECT":
+        for n in range(1, 11):
+            v[f"resource{n}_id"] = _s((k + n) % 10)
+        for n in range(1, 9):
+            v[f"resource_amount_{n}"] = (k * n + u) % 100
+        v["resource_amount_9"] = F.col("value")
+        v["resource_amount_10"] = F.col("value") * 2
+    elif name == "USER_PROFILE":
+        v.update(social_id=F.concat(F.lit("s"), _s(u)), attribute1=F.concat(F.lit("a"), _s(k % 3)),
+                 attribute2=F.when(k % 4 == 0, F.concat(F.lit("b"), _s(k))),
+                 birthday=ms - F.lit(631152000000), email=F.concat(F.lit("u"), _s(u), F.lit("@example.org")),
+                 first_name=F.concat(F.lit("F"), _s(u)), last_name=F.concat(F.lit("L"), _s(k % 10)),
+                 gender=F.when(k % 2 == 0, F.lit("f")).otherwise(F.lit("m")), ingame_friends=k % 17,
+                 language=F.lit("en"), num_friends=k)
+    elif name == "USER_GAME_PROFILE":
+        v.update(base_name=F.concat(F.lit("base"), _s(k)), game_language_id=_s(k % 3),
+                 game_world_id=k % 11, is_test_player=F.lit(0), is_vip=k % 2,
+                 location_x=F.when(k % 2 == 1, k), location_y=F.when(k % 2 == 1, k * 2),
+                 user_name=F.concat(F.lit("user"), _s(u)))
+    elif name == "SET_LEVEL":
+        v.update(level_type_id=k % 3, new_level_ind=F.lit(1), level_id=k)
+    elif name == "REGISTRATION":
+        v.update(registration_date=ms - k.cast("long") * 86400000, login_source_id=_s(k % 4),
+                 login_source_type_id=_s(k % 2))
+    elif name == "DEPOSIT_TRIGGER":
+        v.update(internal_transaction_id=_s(F.col("event_id")), item_id=_s(k * 20),
+                 item_name=F.concat(F.lit("item"), _s(k)), action_id=k % 25,
+                 trigger_group_type=F.concat(F.lit("g"), _s(k % 3)), trigger_group_type_id=_s(k % 3),
+                 trigger_id=_s(k), trigger_type=F.lit("offer"))
+    elif name in ("PROGRESS_START", "PROGRESS_FINISH"):
+        ptype = _s(k % 3 + 1)
+        v.update(keyid=_s(k * 20), progress_type=ptype)
+        if name == "PROGRESS_START":
+            v.update(category_type=F.concat(F.lit("cat"), _s(k % 4)), category_id=_s(k % 4),
+                     sub_category_id=_s(k % 7), sub_category_type=F.lit("sub"),
+                     keyname=F.concat(F.lit("quest"), _s(k)),
+                     start_rate=F.when(ptype == "2", F.concat(_s(k), F.lit("%"))))
+        else:
+            v.update(state=k % 5, finish_rate=F.concat(_s(k), F.lit("%")))
+    return v
+
+
+def _orders_values(name: str) -> dict[str, Column]:
+    c = F.col("o_custkey")
+    o = F.col("o_orderkey")
+    prio = F.col("o_orderpriority")
+    status = F.col("o_orderstatus")
+    send_ms = _ms(F.col("o_orderdate")) + (o % 86400) * 1000
+    currency = F.lit(None).cast("string")
+    for p, cur in PRIORITY_CURRENCY.items():
+        currency = F.when(prio == p, F.lit(cur)).otherwise(currency)
+    v = {
+        "cluster_id": _s(c % 5), "player_id": _s(c), "session_id": F.date_format("o_orderdate", "yyyyMMdd"),
+        "network_id": c % 100, "internal_transaction_id": _s(o), "offer_id": prio,
+        "deposit_amount": F.col("o_totalprice"), "deposit_currency": currency,
+        "transaction_source_id": c % 5, "external_transaction_id": F.concat(F.lit("ext"), _s(o)),
+        "bonus_amount_1": c % 100, "bonus_amount_2": o % 7, "receive_amount_1": c % 13,
+    }
+    if name == "SEND_TRANSACTION":
+        v.update(event_ts=send_ms, original_offer_amount=F.col("o_totalprice"), payment_method_id=o % 5)
+    else:
+        v["event_ts"] = send_ms + (o % 48 + 1) * 3600000
+        v["transaction_status_id"] = (
+            F.when((status == "O") & (prio == "5-LOW"), F.lit(None))
+            .when(status == "O", 1)
+            .when((status == "F") & (prio == "4-NOT SPECIFIED"), 3)
+            .when(status == "F", 2)
+            .when(prio == "1-URGENT", 5)
+            .when(prio == "2-HIGH", 9)
+            .otherwise(4))
+    return v
+
+
+def _lineitem_values(name: str) -> dict[str, Column]:
+    s = F.col("l_suppkey")
+    p = F.col("l_partkey")
+    o = F.col("l_orderkey")
+    n = F.col("l_linenumber")
+    q = F.col("l_quantity").cast("int")
+    v = {"cluster_id": _s(s % 5), "player_id": _s(s), "network_id": p % 100, "event_ts": _ms(F.col("l_shipdate"))}
+    if name == "PRODUCT_MOVEMENTS":
+        v.update(event_order=n, product_action_id=n % 5, product_id=_s(p),
+                 product_name=F.concat(F.lit("part"), _s(p)), product_count=q, bonus_amount=n * 10,
+                 bonus_product_id=p % 50, movement_source_id=_s(s % 25), movement_source_type_id=_s(n % 3),
+                 package_id=_s(o), player_target_id=_s(o % 1000), payment_product_id_1=_s(p),
+                 payment_product_name_1=F.concat(F.lit("flag"), F.col("l_returnflag")), payment_amount_1=q,
+                 payment_product_id_2=_s(s),
+                 payment_product_name_2=F.concat(F.lit("status"), F.col("l_linestatus")), payment_amount_2=n)
+    else:
+        v.update(session_id=F.date_format("l_shipdate", "yyyyMMdd"), attacker_ind=n % 2, battle_id=_s(o),
+                 battle_source_id=F.col("l_returnflag"), battle_type_id=n % 5, base_id=_s(p), base_level=n,
+                 base_status_id=n % 3, base_type_id=n % 4,
+                 battle_win_ind=F.when(F.col("l_linestatus") == "F", 1).otherwise(0),
+                 actual_travel_time=q, main_attacker_ind=n % 2, main_defender_ind=1 - n % 2,
+                 opponent_id=_s(p % 100), player_base_ind=F.lit(1), player_defence_power=q * 10,
+                 player_health_power=n * 100, player_offence_power=q * 5, is_offline_action=F.lit(0))
+    return v
+
+
+def _fanout(df: DataFrame, topic: str, slots: list[tuple[Column, str, int]], values_of) -> DataFrame:
+    """One scan: each row becomes the JSON lines of the slots whose predicate holds."""
+    cands = [F.when(pred, F.struct(_json(name, values_of(name)).alias("value"), F.lit(slot).alias("partition")))
+             for pred, name, slot in slots]
+    return (df.select(F.explode(F.array_compact(F.array(*cands))).alias("l"), F.col("__off"))
+            .select(F.col("l.value").alias("value"), F.lit(topic).alias("topic"),
+                    F.col("l.partition").cast("int").alias("partition"), F.col("__off").cast("long").alias("offset")))
+
+
+def game_event_lines(spark: SparkSession, sf_dir: str, pipelines: Iterable[str] | None = None) -> DataFrame:
+    """Raw event envelope (value, topic, partition, offset) for the given pipelines."""
+    wanted = set(catalog.events_for(pipelines or list(catalog.PIPELINE_EVENTS)))
+    parts = []
+
+    ev_slots = [(F.col("event_type") == t, name, i)
+                for t, names in EVENT_FANOUT.items() for i, name in enumerate(names) if name in wanted]
+    if ev_slots:
+        ev = (_read(spark, sf_dir, "events")
+              .select("event_id", "ts", "user_id", "event_type", "value",
+                      F.get_json_object("props", "$.k").cast("int").alias("k"),
+                      _ms(F.col("ts")).alias("ms"), F.col("event_id").alias("__off")))
+        parts.append(_fanout(ev, "events", ev_slots, _events_values))
+
+    ord_slots = [(F.lit(True), name, i) for i, name in enumerate(("SEND_TRANSACTION", "TRANSACTION_RESULT"))
+                 if name in wanted]
+    if ord_slots:
+        orders = _read(spark, sf_dir, "orders").withColumn("__off", F.col("o_orderkey"))
+        parts.append(_fanout(orders, "orders", ord_slots, _orders_values))
+
+    li_slots = [(F.lit(True), name, i) for i, name in enumerate(("PRODUCT_MOVEMENTS", "BATTLE")) if name in wanted]
+    if li_slots:
+        li = _read(spark, sf_dir, "lineitem").withColumn("__off", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+        parts.append(_fanout(li, "lineitem", li_slots, _lineitem_values))
+
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Dimension lines
+# ---------------------------------------------------------------------------
+
+def _lines(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]).alias("value"))
+
+
+def dimension_lines(spark: SparkSession, sf_dir: str, dim: str) -> DataFrame:
+    """Pipe-delimited source lines of a dimension, built from the small tables."""
+    region = lambda: _read(spark, sf_dir, "region")
+    nation = lambda: _read(spark, sf_dir, "nation")
+    part = lambda: _read(spark, sf_dir, "part")
+    if dim in ("cluster", "progress_type", "progress_status", "battle_type", "product_action",
+               "transaction_source", "payment_method"):
+        return _lines(region(), "r_regionkey", "r_name")
+    if dim == "network":
+        # nation lines plus supplier lines keyed by nation: duplicate keys resolve to min(name)
+        return _lines(nation(), "n_nationkey", "n_name", "n_regionkey").unionByName(
+            _lines(_read(spark, sf_dir, "supplier"), "s_nationkey", "s_name"))
+    if dim in ("country", "player_action", "movement_source_type"):
+        return _lines(nation(), "n_nationkey", "n_name")
+    if dim == "device":
+        return _lines(part(), "p_brand", "p_partkey", "p_type", "p_size", "p_retailprice", "p_name")
+    if dim == "quest":
+        return _lines(part(), "p_size", "p_partkey", "p_brand", "p_type")
+    if dim == "product":
+        return _lines(part(), "p_brand", "p_partkey", "p_name")
+    raise KeyError(dim)
+
+
+def dimensions(spark: SparkSession, sf_dir: str, dims: Iterable[str]) -> dict[str, DataFrame]:
+    out = {}
+    for d in dims:
+        key_idx, name_idx = catalog.DIM_POSITIONS[d]
+        out[d] = dimension_from_lines(dimension_lines(spark, sf_dir, d), d, key_idx, name_idx)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Currency rate snapshots
+# ---------------------------------------------------------------------------
+
+def rate_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(as_of long, json string)``: one ``{"rates": {...}}`` snapshot per order day.
+
+    Rate of a currency on a day = (orders of its priority that day % 4) / 4;
+    USD is 1.  The unmapped priority's currency never gets a rate.  A day's map
+    has at most one entry per currency.
+    """
+    o = _read(spark, sf_dir, "orders")
+    currency = F.lit(None).cast("string")
+    for p, cur in PRIORITY_CURRENCY.items():
+        if cur != "XTS":
+            currency = F.when(F.col("o_orderpriority") == p, F.lit(cur)).otherwise(currency)
+    per_cur = (o.select(_ms(F.col("o_orderdate")).alias("as_of"), currency.alias("curr"))
+               .where(F.col("curr").isNotNull())
+               .groupBy("as_of", "curr").agg(F.count(F.lit(1)).alias("n")))
+    rate = F.when(F.col("curr") == "USD", F.lit(1.0)).otherwise((F.col("n") % 4) / F.lit(4.0))
+    return (per_cur.groupBy("as_of")
+            .agg(F.map_from_entries(F.collect_list(F.struct("curr", rate.alias("r")))).alias("m"))
+            .select("as_of", F.to_json(F.struct(F.col("m").alias("rates"))).alias("json")))
+
+
+def daily_rate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipe-delimited daily rate lines ``yyyyMMdd|curr|source|rate`` from the snapshots."""
+    from .rates import currency_rates
+    snap = currency_rates(rate_snapshots(spark, sf_dir))
+    day = F.date_format(F.timestamp_millis("as_of"), "yyyyMMdd")
+    return snap.select(F.concat_ws("|", day, F.col("curr"), F.lit("orders"), F.col("us_val").cast("string")).alias("value"))
