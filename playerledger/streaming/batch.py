@@ -33,6 +33,8 @@ def prepare_batch(raw: DataFrame, pipelines: Sequence[str], dims: Mapping[str, D
     """
     names = catalog.events_for(pipelines)
     fields = schema.union_fields(*(PLANS[p].fields for p in pipelines))
+    # a source without positions (files, archives) orders ties by the line's hash
+    raw = raw.withColumn("offset", F.coalesce(F.col("offset"), F.xxhash64("value")))
     kept = prefilter_event_names(raw, names)
     parsed = parse_events(kept, fields, keep_corrupt=False)
     needed = {d: dims[d] for d in catalog.dims_for(pipelines)}
