@@ -86,9 +86,17 @@ class EventPlan:
     def kinds(self) -> list[DocKind]:
         raise NotImplementedError
 
-    def changes(self, df: DataFrame, ctx: PlanContext | None = None) -> DataFrame:
-        ctx = ctx or PlanContext()
-        pre = self.prepare(df, ctx)
+    def projection(self) -> tuple[Column, list[Column]]:
+        """(row filter, output columns) of the single-pass projection.
+
+        Unresolved column expressions do not depend on the input frame, so they
+        are built once per plan and reused for every batch.
+        """
+        from pyspark import SparkContext
+        gw = id(SparkContext._gateway)
+        cached = getattr(self, "_projection_cache", None)
+        if cached is not None and cached[0] == gw:
+            return cached[1]
         kinds = self.kinds()
         any_kind = kinds[0].when
         for k in kinds[1:]:
@@ -118,6 +126,13 @@ class EventPlan:
                 expr = F.when(k.when, e) if expr is None else expr.when(k.when, e)
             out.append(expr.alias(name))
         out.append(F.col("__src"))
+        self._projection_cache = (gw, (any_kind, out))
+        return any_kind, out
+
+    def changes(self, df: DataFrame, ctx: PlanContext | None = None) -> DataFrame:
+        ctx = ctx or PlanContext()
+        pre = self.prepare(df, ctx)
+        any_kind, out = self.projection()
         return pre.where(any_kind).select(*out)
 
 

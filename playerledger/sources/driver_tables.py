@@ -36,16 +36,35 @@ from .. import catalog, schema
 from .dims import dimension_from_lines
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_SPLITS: dict = {}
 
 
-def _ms(ts: Column) -> Column:
-    return F.unix_millis(ts.cast("timestamp"))
+def _read(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """Scan a table; spread it by ``key`` when the scan has fewer splits than cores.
+
+    The driver files are single row groups (one split each), so without this one
+    task would do all JSON work.  A large input already has enough splits and is
+    left alone (no shuffle).  Hash partitioning on a key is deterministic, so a
+    retried task sees the same rows.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if key is not None:
+        target = spark.sparkContext.defaultParallelism
+        splits = _SPLITS.get((path, target))
+        if splits is None:
+            try:
+                splits = df.rdd.getNumPartitions()
+            except Exception:  # no RDD access (e.g. a remote session): keep the scan as is
+                splits = target
+            _SPLITS[(path, target)] = splits
+        if splits < target:
+            df = df.repartition(target, key)
+    return df
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _ms(ts: Column) -> Column:
+    return F.unix_millis(ts.cast("timestamp"))
 
 
 # Event type -> emitted event names (fan-out slot = position).
@@ -67,17 +86,7 @@ PRIORITY_CURRENCY = {
 }
 
 
-def _json(name: str, values: dict[str, Column]) -> Column:
-    """JSON object with the event's declared fields, in declared order; nulls omitted."""
-    kinds = dict(_EVENT_FIELDS[name])
-    parts = []
-    for field, _ in _EVENT_FIELDS[name]:
-        if field == "event_name":
-            parts.append(F.lit(name).alias(field))
-        elif field in values:
-            parts.append(values[field].cast(schema.spark_type(kinds[field])).alias(field))
-    return F.to_json(F.struct(*parts))
-
+SPARK_TYPE = {"S": "STRING", "L": "BIGINT", "I": "INT", "D": "DOUBLE"}
 
 _EVENT_FIELDS = {
     "CONNECT": schema.CONNECT,
@@ -97,127 +106,135 @@ _EVENT_FIELDS = {
 }
 
 
-def _events_values(name: str) -> dict[str, Column]:
-    u = F.col("user_id")
-    k = F.col("k")
-    ms = F.col("ms")
-    v = {
-        "cluster_id": _s(u % 5), "player_id": _s(u), "event_ts": ms,
-        "session_id": F.date_format("ts", "yyyyMMdd"), "network_id": k,
-    }
+def _s(x: str) -> str:
+    return f"CAST({x} AS STRING)"
+
+
+def _json(name: str, values: dict[str, str]) -> str:
+    """SQL: JSON object with the event's declared fields, in declared order; nulls omitted."""
+    parts = []
+    for field, kind in _EVENT_FIELDS[name]:
+        if field == "event_name":
+            parts.append(f"'{field}', '{name}'")
+        elif field in values:
+            parts.append(f"'{field}', CAST({values[field]} AS {SPARK_TYPE[kind]})")
+    return f"to_json(named_struct({', '.join(parts)}))"
+
+
+# Event field values as Spark SQL expressions over the source row.  They are
+# kept as SQL text so a whole projection is parsed once by the JVM.
+
+def _events_values(name: str) -> dict[str, str]:
+    v = {"cluster_id": _s("user_id % 5"), "player_id": _s("user_id"), "event_ts": "ms",
+         "session_id": "date_format(ts, 'yyyyMMdd')", "network_id": "k"}
     if name == "CONNECT":
-        v["login_country_id"] = _s(k % 30)
+        v["login_country_id"] = _s("k % 30")
     elif name == "LOGIN":
-        v.update(device_desc=_s(k * 20), device_id=F.concat(F.lit("dev"), _s(u % 7)),
-                 os_version=F.concat(F.lit("os"), _s(k % 4)),
-                 linked_player_id=F.when(k % 2 == 1, _s(u + 1)), timezone=F.lit("UTC"),
-                 game_version=F.concat(F.lit("1."), _s(k % 10)))
+        v.update(device_desc=_s("k * 20"), device_id="concat('dev', " + _s("user_id % 7") + ")",
+                 os_version="concat('os', " + _s("k % 4") + ")",
+                 linked_player_id=f"CASE WHEN k % 2 = 1 THEN {_s('user_id + 1')} END", timezone="'UTC'",
+                 game_version="concat('1.', " + _s("k % 10") + ")")
     elif name == "DISCONNECT":
         for n in range(1, 11):
-            v[f"resource{n}_id"] = _s((k + n) % 10)
+            v[f"resource{n}_id"] = _s(f"(k + {n}) % 10")
         for n in range(1, 9):
-            v[f"resource_amount_{n}"] = (k * n + u) % 100
-        v["resource_amount_9"] = F.col("value")
-        v["resource_amount_10"] = F.col("value") * 2
+            v[f"resource_amount_{n}"] = f"(k * {n} + user_id) % 100"
+        v["resource_amount_9"] = "value"
+        v["resource_amount_10"] = "value * 2"
     elif name == "USER_PROFILE":
-        v.update(social_id=F.concat(F.lit("s"), _s(u)), attribute1=F.concat(F.lit("a"), _s(k % 3)),
-                 attribute2=F.when(k % 4 == 0, F.concat(F.lit("b"), _s(k))),
-                 birthday=ms - F.lit(631152000000), email=F.concat(F.lit("u"), _s(u), F.lit("@example.org")),
-                 first_name=F.concat(F.lit("F"), _s(u)), last_name=F.concat(F.lit("L"), _s(k % 10)),
-                 gender=F.when(k % 2 == 0, F.lit("f")).otherwise(F.lit("m")), ingame_friends=k % 17,
-                 language=F.lit("en"), num_friends=k)
+        v.update(social_id="concat('s', " + _s("user_id") + ")", attribute1="concat('a', " + _s("k % 3") + ")",
+                 attribute2=f"CASE WHEN k % 4 = 0 THEN concat('b', {_s('k')}) END",
+                 birthday="ms - 631152000000", email="concat('u', " + _s("user_id") + ", '@example.org')",
+                 first_name="concat('F', " + _s("user_id") + ")", last_name="concat('L', " + _s("k % 10") + ")",
+                 gender="CASE WHEN k % 2 = 0 THEN 'f' ELSE 'm' END", ingame_friends="k % 17",
+                 language="'en'", num_friends="k")
     elif name == "USER_GAME_PROFILE":
-        v.update(base_name=F.concat(F.lit("base"), _s(k)), game_language_id=_s(k % 3),
-                 game_world_id=k % 11, is_test_player=F.lit(0), is_vip=k % 2,
-                 location_x=F.when(k % 2 == 1, k), location_y=F.when(k % 2 == 1, k * 2),
-                 user_name=F.concat(F.lit("user"), _s(u)))
+        v.update(base_name="concat('base', " + _s("k") + ")", game_language_id=_s("k % 3"),
+                 game_world_id="k % 11", is_test_player="0", is_vip="k % 2",
+                 location_x="CASE WHEN k % 2 = 1 THEN k END", location_y="CASE WHEN k % 2 = 1 THEN k * 2 END",
+                 user_name="concat('user', " + _s("user_id") + ")")
     elif name == "SET_LEVEL":
-        v.update(level_type_id=k % 3, new_level_ind=F.lit(1), level_id=k)
+        v.update(level_type_id="k % 3", new_level_ind="1", level_id="k")
     elif name == "REGISTRATION":
-        v.update(registration_date=ms - k.cast("long") * 86400000, login_source_id=_s(k % 4),
-                 login_source_type_id=_s(k % 2))
+        v.update(registration_date="ms - CAST(k AS BIGINT) * 86400000", login_source_id=_s("k % 4"),
+                 login_source_type_id=_s("k % 2"))
     elif name == "DEPOSIT_TRIGGER":
-        v.update(internal_transaction_id=_s(F.col("event_id")), item_id=_s(k * 20),
-                 item_name=F.concat(F.lit("item"), _s(k)), action_id=k % 25,
-                 trigger_group_type=F.concat(F.lit("g"), _s(k % 3)), trigger_group_type_id=_s(k % 3),
-                 trigger_id=_s(k), trigger_type=F.lit("offer"))
+        v.update(internal_transaction_id=_s("event_id"), item_id=_s("k * 20"),
+                 item_name="concat('item', " + _s("k") + ")", action_id="k % 25",
+                 trigger_group_type="concat('g', " + _s("k % 3") + ")", trigger_group_type_id=_s("k % 3"),
+                 trigger_id=_s("k"), trigger_type="'offer'")
     elif name in ("PROGRESS_START", "PROGRESS_FINISH"):
-        ptype = _s(k % 3 + 1)
-        v.update(keyid=_s(k * 20), progress_type=ptype)
+        ptype = _s("k % 3 + 1")
+        v.update(keyid=_s("k * 20"), progress_type=ptype)
         if name == "PROGRESS_START":
-            v.update(category_type=F.concat(F.lit("cat"), _s(k % 4)), category_id=_s(k % 4),
-                     sub_category_id=_s(k % 7), sub_category_type=F.lit("sub"),
-                     keyname=F.concat(F.lit("quest"), _s(k)),
-                     start_rate=F.when(ptype == "2", F.concat(_s(k), F.lit("%"))))
+            v.update(category_type="concat('cat', " + _s("k % 4") + ")", category_id=_s("k % 4"),
+                     sub_category_id=_s("k % 7"), sub_category_type="'sub'",
+                     keyname="concat('quest', " + _s("k") + ")",
+                     start_rate=f"CASE WHEN {ptype} = '2' THEN concat({_s('k')}, '%') END")
         else:
-            v.update(state=k % 5, finish_rate=F.concat(_s(k), F.lit("%")))
+            v.update(state="k % 5", finish_rate=f"concat({_s('k')}, '%')")
     return v
 
 
-def _orders_values(name: str) -> dict[str, Column]:
-    c = F.col("o_custkey")
-    o = F.col("o_orderkey")
-    prio = F.col("o_orderpriority")
-    status = F.col("o_orderstatus")
-    send_ms = _ms(F.col("o_orderdate")) + (o % 86400) * 1000
-    currency = F.lit(None).cast("string")
-    for p, cur in PRIORITY_CURRENCY.items():
-        currency = F.when(prio == p, F.lit(cur)).otherwise(currency)
-    v = {
-        "cluster_id": _s(c % 5), "player_id": _s(c), "session_id": F.date_format("o_orderdate", "yyyyMMdd"),
-        "network_id": c % 100, "internal_transaction_id": _s(o), "offer_id": prio,
-        "deposit_amount": F.col("o_totalprice"), "deposit_currency": currency,
-        "transaction_source_id": c % 5, "external_transaction_id": F.concat(F.lit("ext"), _s(o)),
-        "bonus_amount_1": c % 100, "bonus_amount_2": o % 7, "receive_amount_1": c % 13,
-    }
+def _currency_sql(col: str, skip=()) -> str:
+    whens = " ".join(f"WHEN '{p}' THEN '{c}'" for p, c in PRIORITY_CURRENCY.items() if c not in skip)
+    return f"CASE {col} {whens} END"
+
+
+def _orders_values(name: str) -> dict[str, str]:
+    v = {"cluster_id": _s("o_custkey % 5"), "player_id": _s("o_custkey"),
+         "session_id": "date_format(o_orderdate, 'yyyyMMdd')", "network_id": "o_custkey % 100",
+         "internal_transaction_id": _s("o_orderkey"), "offer_id": "o_orderpriority",
+         "deposit_amount": "o_totalprice", "deposit_currency": _currency_sql("o_orderpriority"),
+         "transaction_source_id": "o_custkey % 5", "external_transaction_id": "concat('ext', " + _s("o_orderkey") + ")",
+         "bonus_amount_1": "o_custkey % 100", "bonus_amount_2": "o_orderkey % 7",
+         "receive_amount_1": "o_custkey % 13"}
     if name == "SEND_TRANSACTION":
-        v.update(event_ts=send_ms, original_offer_amount=F.col("o_totalprice"), payment_method_id=o % 5)
+        v.update(event_ts="send_ms", original_offer_amount="o_totalprice", payment_method_id="o_orderkey % 5")
     else:
-        v["event_ts"] = send_ms + (o % 48 + 1) * 3600000
+        v["event_ts"] = "send_ms + (o_orderkey % 48 + 1) * 3600000"
         v["transaction_status_id"] = (
-            F.when((status == "O") & (prio == "5-LOW"), F.lit(None))
-            .when(status == "O", 1)
-            .when((status == "F") & (prio == "4-NOT SPECIFIED"), 3)
-            .when(status == "F", 2)
-            .when(prio == "1-URGENT", 5)
-            .when(prio == "2-HIGH", 9)
-            .otherwise(4))
+            "CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN NULL "
+            "WHEN o_orderstatus = 'O' THEN 1 "
+            "WHEN o_orderstatus = 'F' AND o_orderpriority = '4-NOT SPECIFIED' THEN 3 "
+            "WHEN o_orderstatus = 'F' THEN 2 "
+            "WHEN o_orderpriority = '1-URGENT' THEN 5 "
+            "WHEN o_orderpriority = '2-HIGH' THEN 9 ELSE 4 END")
     return v
 
 
-def _lineitem_values(name: str) -> dict[str, Column]:
-    s = F.col("l_suppkey")
-    p = F.col("l_partkey")
-    o = F.col("l_orderkey")
-    n = F.col("l_linenumber")
-    q = F.col("l_quantity").cast("int")
-    v = {"cluster_id": _s(s % 5), "player_id": _s(s), "network_id": p % 100, "event_ts": _ms(F.col("l_shipdate"))}
+def _lineitem_values(name: str) -> dict[str, str]:
+    v = {"cluster_id": _s("l_suppkey % 5"), "player_id": _s("l_suppkey"), "network_id": "l_partkey % 100",
+         "event_ts": "ms"}
     if name == "PRODUCT_MOVEMENTS":
-        v.update(event_order=n, product_action_id=n % 5, product_id=_s(p),
-                 product_name=F.concat(F.lit("part"), _s(p)), product_count=q, bonus_amount=n * 10,
-                 bonus_product_id=p % 50, movement_source_id=_s(s % 25), movement_source_type_id=_s(n % 3),
-                 package_id=_s(o), player_target_id=_s(o % 1000), payment_product_id_1=_s(p),
-                 payment_product_name_1=F.concat(F.lit("flag"), F.col("l_returnflag")), payment_amount_1=q,
-                 payment_product_id_2=_s(s),
-                 payment_product_name_2=F.concat(F.lit("status"), F.col("l_linestatus")), payment_amount_2=n)
+        v.update(event_order="l_linenumber", product_action_id="l_linenumber % 5", product_id=_s("l_partkey"),
+                 product_name="concat('part', " + _s("l_partkey") + ")", product_count="q",
+                 bonus_amount="l_linenumber * 10", bonus_product_id="l_partkey % 50",
+                 movement_source_id=_s("l_suppkey % 25"), movement_source_type_id=_s("l_linenumber % 3"),
+                 package_id=_s("l_orderkey"), player_target_id=_s("l_orderkey % 1000"),
+                 payment_product_id_1=_s("l_partkey"), payment_product_name_1="concat('flag', l_returnflag)",
+                 payment_amount_1="q", payment_product_id_2=_s("l_suppkey"),
+                 payment_product_name_2="concat('status', l_linestatus)", payment_amount_2="l_linenumber")
     else:
-        v.update(session_id=F.date_format("l_shipdate", "yyyyMMdd"), attacker_ind=n % 2, battle_id=_s(o),
-                 battle_source_id=F.col("l_returnflag"), battle_type_id=n % 5, base_id=_s(p), base_level=n,
-                 base_status_id=n % 3, base_type_id=n % 4,
-                 battle_win_ind=F.when(F.col("l_linestatus") == "F", 1).otherwise(0),
-                 actual_travel_time=q, main_attacker_ind=n % 2, main_defender_ind=1 - n % 2,
-                 opponent_id=_s(p % 100), player_base_ind=F.lit(1), player_defence_power=q * 10,
-                 player_health_power=n * 100, player_offence_power=q * 5, is_offline_action=F.lit(0))
+        v.update(session_id="date_format(l_shipdate, 'yyyyMMdd')", attacker_ind="l_linenumber % 2",
+                 battle_id=_s("l_orderkey"), battle_source_id="l_returnflag", battle_type_id="l_linenumber % 5",
+                 base_id=_s("l_partkey"), base_level="l_linenumber", base_status_id="l_linenumber % 3",
+                 base_type_id="l_linenumber % 4",
+                 battle_win_ind="CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END", actual_travel_time="q",
+                 main_attacker_ind="l_linenumber % 2", main_defender_ind="1 - l_linenumber % 2",
+                 opponent_id=_s("l_partkey % 100"), player_base_ind="1", player_defence_power="q * 10",
+                 player_health_power="l_linenumber * 100", player_offence_power="q * 5", is_offline_action="0")
     return v
 
 
-def _fanout(df: DataFrame, topic: str, slots: list[tuple[Column, str, int]], values_of) -> DataFrame:
+def _fanout(df: DataFrame, topic: str, slots: list[tuple[str, str, int]], values_of) -> DataFrame:
     """One scan: each row becomes the JSON lines of the slots whose predicate holds."""
-    cands = [F.when(pred, F.struct(_json(name, values_of(name)).alias("value"), F.lit(slot).alias("partition")))
-             for pred, name, slot in slots]
-    return (df.select(F.explode(F.array_compact(F.array(*cands))).alias("l"), F.col("__off"))
-            .select(F.col("l.value").alias("value"), F.lit(topic).alias("topic"),
-                    F.col("l.partition").cast("int").alias("partition"), F.col("__off").cast("long").alias("offset")))
+    cands = ", ".join(
+        f"CASE WHEN {pred} THEN named_struct('value', {_json(name, values_of(name))}, 'partition', {slot}) END"
+        for pred, name, slot in slots)
+    return df.selectExpr(f"explode(array_compact(array({cands}))) AS l", "__off").selectExpr(
+        "l.value AS value", f"'{topic}' AS topic", "CAST(l.partition AS INT) AS partition",
+        "CAST(__off AS BIGINT) AS offset")
 
 
 def game_event_lines(spark: SparkSession, sf_dir: str, pipelines: Iterable[str] | None = None) -> DataFrame:
@@ -225,24 +242,28 @@ def game_event_lines(spark: SparkSession, sf_dir: str, pipelines: Iterable[str]
     wanted = set(catalog.events_for(pipelines or list(catalog.PIPELINE_EVENTS)))
     parts = []
 
-    ev_slots = [(F.col("event_type") == t, name, i)
+    ev_slots = [(f"event_type = '{t}'", name, i)
                 for t, names in EVENT_FANOUT.items() for i, name in enumerate(names) if name in wanted]
     if ev_slots:
-        ev = (_read(spark, sf_dir, "events")
-              .select("event_id", "ts", "user_id", "event_type", "value",
-                      F.get_json_object("props", "$.k").cast("int").alias("k"),
-                      _ms(F.col("ts")).alias("ms"), F.col("event_id").alias("__off")))
+        ev = _read(spark, sf_dir, "events", "event_id").selectExpr(
+            "event_id", "ts", "user_id", "event_type", "value",
+            "CAST(get_json_object(props, '$.k') AS INT) AS k",
+            "unix_millis(CAST(ts AS TIMESTAMP)) AS ms", "event_id AS __off")
         parts.append(_fanout(ev, "events", ev_slots, _events_values))
 
-    ord_slots = [(F.lit(True), name, i) for i, name in enumerate(("SEND_TRANSACTION", "TRANSACTION_RESULT"))
+    ord_slots = [("TRUE", name, i) for i, name in enumerate(("SEND_TRANSACTION", "TRANSACTION_RESULT"))
                  if name in wanted]
     if ord_slots:
-        orders = _read(spark, sf_dir, "orders").withColumn("__off", F.col("o_orderkey"))
+        orders = _read(spark, sf_dir, "orders", "o_orderkey").selectExpr(
+            "*", "unix_millis(CAST(o_orderdate AS TIMESTAMP)) + (o_orderkey % 86400) * 1000 AS send_ms",
+            "o_orderkey AS __off")
         parts.append(_fanout(orders, "orders", ord_slots, _orders_values))
 
-    li_slots = [(F.lit(True), name, i) for i, name in enumerate(("PRODUCT_MOVEMENTS", "BATTLE")) if name in wanted]
+    li_slots = [("TRUE", name, i) for i, name in enumerate(("PRODUCT_MOVEMENTS", "BATTLE")) if name in wanted]
     if li_slots:
-        li = _read(spark, sf_dir, "lineitem").withColumn("__off", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+        li = _read(spark, sf_dir, "lineitem", "l_orderkey").selectExpr(
+            "*", "unix_millis(CAST(l_shipdate AS TIMESTAMP)) AS ms", "CAST(l_quantity AS INT) AS q",
+            "l_orderkey * 8 + l_linenumber AS __off")
         parts.append(_fanout(li, "lineitem", li_slots, _lineitem_values))
 
     out = parts[0]

@@ -95,7 +95,4 @@ def parse_events(df: DataFrame, fields: Iterable[tuple[str, str]], keep_corrupt:
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     parsed = F.from_json(F.col("value"), st, opts).alias("e")
     envelope = [c for c in ("topic", "partition", "offset") if c in df.columns]
-    out = df.select(parsed, *envelope)
-    return out.select(*[F.col("e." + n).alias(n) for n, _ in fields],
-                      *([F.col("e." + CORRUPT_COLUMN).alias(CORRUPT_COLUMN)] if keep_corrupt else []),
-                      *envelope)
+    return df.select(parsed, *envelope).select("e.*", *envelope)
