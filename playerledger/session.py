@@ -19,16 +19,15 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    When the session has none (local runs and tests), one is created and set,
-    so ``DataFrame.checkpoint()`` and the work folders agree.
+    When the session has none (local runs and tests), a folder is created and
+    registered with ``setCheckpointDir`` so ``DataFrame.checkpoint()`` and the
+    work folders agree.  A cluster always sets its own shared folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="playerledger-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="playerledger-ckpt-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
