@@ -198,7 +198,9 @@ def p4_day(spark, sf):
 
 def p5_doc_id(spark, sf):
     """The seven id shapes over the parsed rows of all pipelines."""
-    rows = enriched(spark, sf, ALL)
+    ensure_utc(spark)
+    fields = schema.union_fields(*(PLANS[p].fields for p in ALL))
+    rows = parse_events(dt.game_event_lines(spark, sf, ALL), fields, keep_corrupt=False)
     return rows.select("topic", "partition", "offset",
                        *[doc_id(*parts).alias(f"id_{name}") for name, parts in KEY_SHAPES.items()])
 
