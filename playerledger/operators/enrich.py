@@ -26,6 +26,12 @@ def enrich_with_dims(df: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
         if fact_key not in out.columns:
             out = out.withColumn(f"{name}_name", F.lit(None).cast("string"))
             continue
+        name_col = f"{name}_name"
+        if name_col in out.columns:
+            # an event field of the same name exists (product_name of product
+            # movements): keep the lookup under a hidden name; the pipeline that
+            # asked for this dimension maps it back (EventPlan.prepare)
+            dim = dim.withColumnRenamed(name_col, "__dim_" + name_col)
         out = (out.join(dim, out[fact_key].cast("string") == dim[ref], "left")
                .drop(ref))
     return out

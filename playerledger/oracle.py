@@ -454,6 +454,40 @@ def merged_query(p: str, where: str = "TRUE") -> str:
     return with_ctes(ctes, f"SELECT * FROM m WHERE {where}")
 
 
+def _local_changes(p: str) -> tuple[list[str], str]:
+    """Pipeline-local CTEs and body, renamed so several pipelines share one WITH."""
+    pc, body = changes_sql(p)
+    sfx = "_" + p.lower()
+    out = []
+    for c in pc[len(base_ctes()):]:
+        for other in ("parsed", "enr", "b"):
+            c = _rename(c, other, other + sfx)
+        for d in catalog.dims_for([p]):
+            c = _rename(c, f"dim_{d}", f"dim_{d}{sfx}")
+        for r in ("snapcount", "rates_all", "rates"):
+            c = _rename(c, r, r + sfx)
+        out.append(c)
+    for other in ("parsed", "enr", "b", "rates"):
+        body = _rename(body, other, other + sfx)
+    return out, body
+
+
+def shared_batch_query() -> str:
+    ctes = base_ctes()
+    parts = []
+    for p in ALL:
+        local, body = _local_changes(p)
+        sfx = "_" + p.lower()
+        ctes += local
+        ctes.append(f"ch{sfx} AS (\n{body})")
+        table, split = catalog.PIPELINE_TABLE[p]
+        dp = "date_part" if split else f"'{catalog.NO_DATE_PART}'"
+        parts.append(f"SELECT '{table}' AS doc_table, {dp} AS date_part, id FROM ch{sfx}")
+    ctes.append("keys AS (" + "\nUNION ALL\n".join(parts) + ")")
+    return with_ctes(ctes, "SELECT doc_table, count(*) AS documents FROM (SELECT DISTINCT doc_table, date_part, id "
+                           "FROM keys WHERE id IS NOT NULL AND date_part IS NOT NULL) GROUP BY doc_table")
+
+
 def player360_query() -> str:
     from .operators.merge import GAME_PROFILE_KEYS
     ctes = base_ctes()
@@ -607,4 +641,7 @@ def _oracle_queries() -> dict[str, str]:
     q["k4_player360"] = player360_query()
     q["t1_stream_equals_batch"] = merged_query("sessions")
     q["t4_backfill"] = merged_query("progress")
+    q["t3_shared_batch"] = shared_batch_query()
+    q["t5_late_replay"] = merged_query("deposits")
+    q["a2_batch_count"] = with_ctes(base_ctes() + [parsed_cte(ALL)], "SELECT count(*) AS rows FROM parsed")
     return q

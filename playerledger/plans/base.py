@@ -81,7 +81,12 @@ class EventPlan:
         return PIPELINE_TABLE[self.name]
 
     def prepare(self, df: DataFrame, ctx: PlanContext) -> DataFrame:
-        return df.where(F.col("event_name").isin(list(self.events)))
+        rows = df.where(F.col("event_name").isin(list(self.events)))
+        for d in self.dims:
+            hidden = f"__dim_{d}_name"
+            if hidden in rows.columns:
+                rows = rows.withColumn(f"{d}_name", F.col(hidden))
+        return rows
 
     def kinds(self) -> list[DocKind]:
         raise NotImplementedError

@@ -21,6 +21,7 @@ from ..operators.broadcast import checked_broadcast
 from ..operators.enrich import add_event_columns, enrich_with_dims
 from ..operators.metrics import observed_count
 from ..plans import PLANS, PlanContext
+from ..session import ensure_utc
 from ..sinks.doc_table import DocumentStore
 from ..sources.events import parse_events, prefilter_event_names
 
@@ -74,6 +75,7 @@ class Job:
 
 def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int | None = None) -> None:
     """Write the documents of one batch (idempotent per ``batch_id``)."""
+    ensure_utc(raw.sparkSession)
     if job.skip_empty and raw.isEmpty():
         return
     enriched = prepare_batch(raw, job.pipelines, job.dims)
