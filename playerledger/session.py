@@ -36,7 +36,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     registered with ``setCheckpointDir`` so ``DataFrame.checkpoint()`` and the
     work folders agree.  A cluster always sets its own shared folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext handle
+        sc = None
+    if sc is None:
+        root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="playerledger-ckpt-")
+        return root.rstrip("/")
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="playerledger-ckpt-"))

@@ -50,7 +50,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -
     path = f"{sf_dir}/{name}.parquet"
     df = spark.read.parquet(path)
     if key is not None:
-        target = spark.sparkContext.defaultParallelism
+        try:
+            target = spark.sparkContext.defaultParallelism
+        except Exception:  # sessions without a SparkContext handle
+            target = 8
         splits = _SPLITS.get((path, target))
         if splits is None:
             try:
