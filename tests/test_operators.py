@@ -98,3 +98,28 @@ def test_merge_independent_of_batch_split(spark, tmp_dir):
         many.write_changes(_event_changes(spark, [r]), i, "s")
     many.compact(1)
     assert sorted(tuple(r) for r in one.documents().collect()) == sorted(tuple(r) for r in many.documents().collect())
+
+
+def test_hot_key_merge_and_latest(spark):
+    """One key holds a third of all rows: results stay whole and exact."""
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string")))
+        .alias("id"),
+        F.lit("w").alias("date_part"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("a"),
+        F.struct(F.col("id").alias("t"), F.lit(1).alias("rank"), F.lit(0).alias("partition"),
+                 F.col("id").alias("offset")).alias("seq"))
+    merged = {r.id: r.a for r in merge_documents(df).collect()}
+    assert len(merged) == 1 + 997
+    hot_max = max(i for i in range(n) if i % 3 == 0 and i % 7 != 0)
+    assert merged["hot"] == str(hot_max)
+    plan = merge_documents(df)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan  # reduced per map task before the exchange
+
+    rows = df.select(F.col("id").alias("player_id"), F.lit("c").alias("cluster_id"),
+                     F.col("seq.t").alias("event_ts"))
+    latest = {r.player_id: r.event_ts for r in latest_per_key(rows, ["player_id", "cluster_id"]).collect()}
+    assert latest["hot"] == max(i for i in range(n) if i % 3 == 0)
+    plan = latest_per_key(rows, ["player_id", "cluster_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
