@@ -22,7 +22,7 @@ from ..operators.enrich import add_event_columns, enrich_with_dims
 from ..plans import PLANS, PlanContext
 from ..session import ensure_utc
 from ..sinks.doc_table import DocumentStore
-from ..sources.events import parse_events, prefilter_event_names
+from ..sources.events import parse_events, prefilter_event_names, to_envelope
 
 
 def prepare_batch(raw: DataFrame, pipelines: Sequence[str], dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -34,6 +34,7 @@ def prepare_batch(raw: DataFrame, pipelines: Sequence[str], dims: Mapping[str, D
     names = catalog.events_for(pipelines)
     fields = schema.union_fields(*(PLANS[p].fields for p in pipelines))
     # a source without positions (files, archives) orders ties by the line's hash
+    raw = to_envelope(raw)
     raw = raw.withColumn("offset", F.coalesce(F.col("offset"), F.xxhash64("value")))
     kept = prefilter_event_names(raw, names)
     parsed = parse_events(kept, fields, keep_corrupt=False)
@@ -69,20 +70,26 @@ class Job:
     store: DocumentStore
     rates: Callable[[int], DataFrame] | None = None  # batch time (ms) -> (curr, us_val)
     skip_empty: bool = True
+    keep_dead_letters: bool = True  # unroutable lines (not JSON / no event name) kept per batch
     metrics: list = field(default_factory=list)
 
 
-def route_batch(raw: DataFrame, pipelines: Sequence[str]) -> DataFrame:
+def route_batch(raw: DataFrame, pipelines: Sequence[str], keep_unroutable: bool = False) -> DataFrame:
     """F1 once for the whole batch: raw envelope + ``__event`` routing key.
 
-    Lines whose event is not wanted by any pipeline (or that are not JSON) are
-    dropped here; each pipeline then parses only its own rows.
+    Lines whose event no pipeline wants are dropped here; each pipeline then
+    parses only its own rows.  With ``keep_unroutable`` the lines that have no
+    event name (not JSON, or no ``event_name``) are kept too, with a null key,
+    so dead letters come from the same pass.
     """
     names = catalog.events_for(pipelines)
+    raw = to_envelope(raw)
     raw = raw.withColumn("offset", F.coalesce(F.col("offset"), F.xxhash64("value")))
     ev = F.get_json_object(F.col("value"), "$.event_name")
-    return raw.select("value", "topic", "partition", "offset", ev.alias("__event")).where(
-        F.col("__event").isin(names))
+    wanted = F.col("__event").isin(names)
+    if keep_unroutable:
+        wanted = wanted | F.col("__event").isNull()
+    return raw.select("value", "topic", "partition", "offset", ev.alias("__event")).where(wanted)
 
 
 def pipeline_rows(routed: DataFrame, pipeline: str, dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -103,7 +110,9 @@ def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int |
     ensure_utc(raw.sparkSession)
     if job.skip_empty and raw.isEmpty():
         return
-    routed = route_batch(raw, job.pipelines).persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = route_batch(raw, job.pipelines, keep_unroutable=job.keep_dead_letters)
+    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    routed = tagged.where(F.col("__event").isNotNull())
     try:
         # fills the cache in one pass (every pipeline then reads it) and gives
         # the batch's routed row count (A2)
@@ -119,6 +128,9 @@ def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int |
                 table.write_changes(changes, batch_id, p)
             else:
                 table.append_documents(changes, batch_id, p)
+        if job.keep_dead_letters:
+            (tagged.where(F.col("__event").isNull()).drop("__event").hint("rebalance")
+             .write.mode("overwrite").parquet(f"{job.store.root}/_dead_letters/batch_id={batch_id}"))
         job.metrics.append({"batch_id": batch_id, "rows": rows})
     finally:
-        routed.unpersist()
+        tagged.unpersist()

@@ -40,3 +40,25 @@ def test_stream_equals_backfill(spark, tmp_dir):
         a = sorted(map(tuple, batch_store.table(table).documents().collect()))
         b = sorted(map(tuple, stream_store.table(table).documents().collect()))
         assert a == b and len(a) > 0
+
+
+def test_dead_letters_and_rejects(spark, tmp_dir):
+    pipelines = ["regs"]
+    d = dims(spark, pipelines)
+    events = [{"event_name": "REGISTRATION", "event_ts": 5, "cluster_id": "c", "player_id": None,
+               "login_source_id": "x"},
+              {"event_name": "REGISTRATION", "event_ts": 6, "cluster_id": "c", "player_id": "p",
+               "login_source_id": "y"}]
+    # a numeric event name reads as the unknown name "7": filtered like any unwanted event
+    lines = [json.dumps(e) for e in events] + ["{broken", '{"x": 1}', '{"event_name": 7}']
+    raw = spark.createDataFrame([(v,) for v in lines], "value string")
+    store = DocumentStore(spark, tmp_dir + "/s")
+    job = Job(pipelines, d, store)
+    from playerledger.streaming import process_batch
+    process_batch(job, raw, 0)
+    assert job.metrics == [{"batch_id": 0, "rows": 2}]
+    dead = spark.read.parquet(tmp_dir + "/s/_dead_letters").collect()
+    assert sorted(r.value for r in dead) == sorted(["{broken", '{"x": 1}'])
+    t = store.table("player_profile")
+    assert [r.login_source_id for r in t.rejects().collect()] == ["x"]
+    assert [(r.id, r.login_source_id) for r in t.documents().collect()] == [("p_c", "y")]
