@@ -129,7 +129,7 @@ def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int |
             else:
                 table.append_documents(changes, batch_id, p)
         if job.keep_dead_letters:
-            (tagged.where(F.col("__event").isNull()).drop("__event").hint("rebalance")
+            (tagged.where(F.col("__event").isNull()).drop("__event")
              .write.mode("overwrite").parquet(f"{job.store.root}/_dead_letters/batch_id={batch_id}"))
         job.metrics.append({"batch_id": batch_id, "rows": rows})
     finally:
