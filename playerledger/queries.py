@@ -351,9 +351,12 @@ def t3_shared_batch(spark, sf):
     ensure_utc(spark)
     store = _store(spark, "all")
     dims = _dims(spark, sf, catalog.dims_for(ALL))
-    rates = newest_rates(spark, sf)
+    rates = newest_rates(spark, sf).persist()
     job = Job(pipelines=ALL, dims=dims, store=store, rates=lambda _t: rates)
-    process_batch(job, dt.game_event_lines(spark, sf, ALL), 0)
+    try:
+        process_batch(job, dt.game_event_lines(spark, sf, ALL), 0)
+    finally:
+        rates.unpersist()
     tables = sorted({catalog.PIPELINE_TABLE[p][0] for p in ALL})
     out = None
     for t in tables:
@@ -371,16 +374,22 @@ def t5_late_replay(spark, sf):
     ensure_utc(spark)
     store = _store(spark, "late")
     dims = _dims(spark, sf, catalog.dims_for(["deposits"]))
-    rates = newest_rates(spark, sf)
+    rates = newest_rates(spark, sf).persist()
     job = Job(pipelines=["deposits"], dims=dims, store=store, rates=lambda _t: rates)
-    lines = dt.game_event_lines(spark, sf, ["deposits"])
+    # the simulated source holds the feed once, as a broker would; each batch reads its slice
     year = F.year(F.timestamp_millis(F.get_json_object("value", "$.event_ts").cast("long")))
-    buckets = [year >= 1999, year < 1997, (year >= 1997) & (year < 1999)]
-    for batch_id, cond in enumerate(buckets):
-        process_batch(job, lines.where(cond), batch_id)
-        if batch_id == 1:
-            store.table("deposits").compact(1)
-    process_batch(job, lines.where(buckets[0]), 0)  # replay of the first batch
+    lines = dt.game_event_lines(spark, sf, ["deposits"]).withColumn("__year", year).persist()
+    buckets = [F.col("__year") >= 1999, F.col("__year") < 1997,
+               (F.col("__year") >= 1997) & (F.col("__year") < 1999)]
+    try:
+        for batch_id, cond in enumerate(buckets):
+            process_batch(job, lines.where(cond).drop("__year"), batch_id)
+            if batch_id == 1:
+                store.table("deposits").compact(1)
+        process_batch(job, lines.where(buckets[0]).drop("__year"), 0)  # replay of the first batch
+    finally:
+        lines.unpersist()
+        rates.unpersist()
     return store.table("deposits").documents()
 
 
