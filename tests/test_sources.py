@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from playerledger import schema
 from playerledger.sources import (archive_range_scan, currency_rates, daily_currency_rates, dead_letters,
