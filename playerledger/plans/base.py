@@ -28,8 +28,13 @@ Spec = "str | tuple[str, Column]"
 
 @dataclass
 class PlanContext:
-    """Per-batch inputs besides the events (currency rates for deposits)."""
+    """Per-batch inputs besides the events (currency rates for deposits).
+
+    ``with_present`` adds ``present``: the columns the row's document kind
+    writes, for document tables merged with ``null_policy="present_wins"``.
+    """
     rates: DataFrame | None = None
+    with_present: bool = False
 
 
 @dataclass
@@ -91,8 +96,8 @@ class EventPlan:
     def kinds(self) -> list[DocKind]:
         raise NotImplementedError
 
-    def projection(self) -> tuple[Column, list[Column]]:
-        """(row filter, output columns) of the single-pass projection.
+    def projection(self) -> tuple[Column, list[Column], Column]:
+        """(row filter, output columns, written-column list) of the single-pass projection.
 
         Unresolved column expressions do not depend on the input frame, so they
         are built once per plan and reused for every batch.
@@ -130,15 +135,19 @@ class EventPlan:
             for k, e in having:
                 expr = F.when(k.when, e) if expr is None else expr.when(k.when, e)
             out.append(expr.alias(name))
+        present = None
+        for k, e in zip(kinds, per_kind):
+            names = F.array(*[F.lit(n) for n in e])
+            present = F.when(k.when, names) if present is None else present.when(k.when, names)
         out.append(F.col("__src"))
-        self._projection_cache = (gw, (any_kind, out))
-        return any_kind, out
+        self._projection_cache = (gw, (any_kind, out, present.alias("present")))
+        return any_kind, out, present.alias("present")
 
     def changes(self, df: DataFrame, ctx: PlanContext | None = None) -> DataFrame:
         ctx = ctx or PlanContext()
         pre = self.prepare(df, ctx)
-        any_kind, out = self.projection()
-        return pre.where(any_kind).select(*out)
+        any_kind, out, present = self.projection()
+        return pre.where(any_kind).select(*out, *([present] if ctx.with_present else []))
 
 
 BASE_SELECT = schema.BASE_SELECT

@@ -71,6 +71,7 @@ class Job:
     rates: Callable[[int], DataFrame] | None = None  # batch time (ms) -> (curr, us_val)
     skip_empty: bool = True
     keep_dead_letters: bool = True  # unroutable lines (not JSON / no event name) kept per batch
+    with_present: bool = False  # emit each change's written columns (for null_policy="present_wins")
     metrics: list = field(default_factory=list)
 
 
@@ -117,7 +118,7 @@ def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int |
         # fills the cache in one pass (every pipeline then reads it) and gives
         # the batch's routed row count (A2)
         rows = routed.count()
-        ctx = PlanContext()
+        ctx = PlanContext(with_present=job.with_present)
         if job.rates is not None and "deposits" in job.pipelines:
             ctx.rates = checked_broadcast(job.rates(batch_time_ms))
         for p in job.pipelines:

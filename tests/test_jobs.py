@@ -62,3 +62,22 @@ def test_dead_letters_and_rejects(spark, tmp_dir):
     t = store.table("player_profile")
     assert [r.login_source_id for r in t.rejects().collect()] == ["x"]
     assert [(r.id, r.login_source_id) for r in t.documents().collect()] == [("p_c", "y")]
+
+
+def test_present_wins_policy(spark, tmp_dir):
+    """A later CONNECT whose country is unknown blanks the name only under present_wins."""
+    from playerledger.streaming import process_batch
+    pipelines = ["sessions"]
+    d = dims(spark, pipelines, {"country": ["7|Neverland"]})
+    base = {"cluster_id": "c", "player_id": "p", "session_id": "s", "network_id": 1, "event_name": "CONNECT"}
+    first = spark.createDataFrame([(json.dumps({**base, "event_ts": 1000, "login_country_id": "7"}),)], "value string")
+    later = spark.createDataFrame([(json.dumps({**base, "event_ts": 2000, "login_country_id": "8"}),)], "value string")
+    got = {}
+    for policy in ("skip_nulls", "present_wins"):
+        store = DocumentStore(spark, f"{tmp_dir}/{policy}", null_policy=policy)
+        job = Job(pipelines, d, store, with_present=True)
+        process_batch(job, first, 0)
+        process_batch(job, later, 1)
+        doc = store.table("sessions").documents().first()
+        got[policy] = (doc.login_country_id, doc.country_name)
+    assert got == {"skip_nulls": ("8", "Neverland"), "present_wins": ("8", None)}
