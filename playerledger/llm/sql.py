@@ -9,7 +9,7 @@ ORACLE_SQL: dict[str, str] = {}
 JUDGED = r"""
 judged AS (
   SELECT doc_id, t, w, lines, len(w) AS n,
-         list_filter(lines, l -> NOT (
+         list_filter(lines, lambda l: NOT (
            len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) > 0 AND (
              (length(l) - length(regexp_replace(l, '[|»›•]', '', 'g')) >= 2
               AND len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))
@@ -34,17 +34,17 @@ judged AS (
 ), measured AS (
   SELECT j.*, coalesce(r.n_repeat_words, 0)::BIGINT AS n_repeat_words,
          n < 50 OR 100 * coalesce(r.n_repeat_words, 0) > 50 * n AS base_failed,
-         list_sum(list_transform(lines, l -> length(l))) AS chars,
-         coalesce(list_sum(list_transform(good, l -> length(l))), 0) AS left_chars
+         list_sum(list_transform(lines, lambda l: length(l))) AS chars,
+         coalesce(list_sum(list_transform(good, lambda l: length(l))), 0) AS left_chars
   FROM judged j LEFT JOIN repeated r USING (doc_id)
 )"""
 
 ORACLE_SQL["op2_quality_rules"] = "WITH " + JUDGED + r"""
 SELECT doc_id, n::BIGINT AS n_words,
-       coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+       coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
        (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-       (len(list_filter(lines, l -> regexp_matches(l, '[^\x20\x09-\x0D]')))
-        - len(list_distinct(list_filter(lines, l -> regexp_matches(l, '[^\x20\x09-\x0D]')))))::BIGINT AS n_dup_lines,
+       (len(list_filter(lines, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))
+        - len(list_distinct(list_filter(lines, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))))::BIGINT AS n_dup_lines,
        n_repeat_words, base_failed, len(lines)::BIGINT AS n_lines, (len(lines) - len(good))::BIGINT AS n_failed_lines,
        NOT base_failed AND (chars - left_chars) * 1000 <= chars * 400 AS kept
 FROM measured"""
