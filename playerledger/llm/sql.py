@@ -48,3 +48,43 @@ SELECT doc_id, n::BIGINT AS n_words,
        n_repeat_words, base_failed, len(lines)::BIGINT AS n_lines, (len(lines) - len(good))::BIGINT AS n_failed_lines,
        NOT base_failed AND (chars - left_chars) * 1000 <= chars * 400 AS kept
 FROM measured"""
+
+ORACLE_SQL["op6_line_dedup"] = r"""
+WITH pages AS (
+  SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents
+), lines AS (
+  SELECT DISTINCT r, source, trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k
+  FROM (SELECT r, source, unnest(lines) AS l FROM pages WHERE source IS NOT NULL)
+), drops AS (
+  SELECT source, list(k) AS keys
+  FROM (SELECT source, k, count(*) AS n FROM lines WHERE k <> '' GROUP BY ALL)
+  JOIN (SELECT source, count(*) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source) USING (source)
+  WHERE n >= 3 AND n > 0.1 * pages GROUP BY source
+), cleaned AS (
+  SELECT doc_id, source, lines, list_filter(lines, lambda l: NOT coalesce(list_contains(
+           keys, trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), false)) AS good
+  FROM pages LEFT JOIN drops USING (source)
+)
+SELECT doc_id, source, coalesce(len(lines), 0)::BIGINT AS n_lines,
+       coalesce(len(lines) - len(good), 0)::BIGINT AS n_dropped, md5(array_to_string(good, chr(10))) AS clean_md5
+FROM cleaned"""
+
+# Exact Jaccard links over all pairs that share a shingle, then reachability.
+ORACLE_SQL["op10_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, md5(s) AS s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y
+                    ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), groups AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM groups LEFT JOIN sizes USING (doc_id)"""
