@@ -30,8 +30,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Array of words (runs of anything but space and tab..carriage return); null text: empty."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), SPACE[1:], " " * (len(SPACE) - 1))
-    return F.filter(F.split(spaced, " ", -1), lambda w: w != "")
+    inner = F.trim(F.coalesce(text, F.lit("")), F.lit(SPACE))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+", -1))
 
 
 def let(value: Column, body) -> Column:

@@ -24,12 +24,12 @@ from playerledger.llm.common import SPACE, let, with_new, words
 SYMBOLS = "#*$%&|<>"
 #: Separators of menus and link rows.
 SEPARATORS = "|»›•"
-HAS_WORD = r"[^\x20\x09-\x0D]"
-#: A line of prose ends with one of these, spaces after it ignored.
-ENDS_WELL = r"""[.!?:;,"')\]»”’…。！？][\x20\x09-\x0D]*\z"""
-#: Page furniture, not prose.
+#: A line of prose ends with one of these, spaces after it ignored.
+ENDS_WELL = ".!?:;,\"')]»”’…。！？"
+#: Page furniture, not prose, when it stands on a line of its own.
 BOILERPLATE = (r"(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie (policy|settings)"
                r"|accept (all )?cookies|enable javascript|lorem ipsum|click here|skip to content|back to top)")
+BOILERPLATE_CHARS = 200
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: A longer line without end punctuation fails; shorter ones are taken as headings.
@@ -41,7 +41,7 @@ MAX_LOST = 0.4
 
 
 def count_chars(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    return F.regexp_count(text, F.lit("[" + chars + "]"))
 
 
 def repeat_words(w: Column) -> Column:
@@ -55,10 +55,6 @@ def repeat_words(w: Column) -> Column:
     # places fit into so many low bits
     bits = F.ceil(F.log2(n + F.lit(1))).cast("int")
 
-    def hashed(w: Column) -> Column:
-        pairs = F.zip_with(w, F.slice(w, 2, n), lambda a, b: F.xxhash64(a, b))
-        return F.slice(F.zip_with(pairs, F.slice(w, 3, n), lambda h, c: F.xxhash64(h, c)), 1, n - 2)
-
     def top(key: Column) -> Column:
         return F.call_function("shiftright", key, bits)
 
@@ -78,7 +74,8 @@ def repeat_words(w: Column) -> Column:
         found = let(texts, lambda s: beside(s, lambda a, b: a["g"] == b["g"]))
         return covered(F.sort_array(F.transform(found, lambda x: x["p"])))
 
-    keys = F.transform(hashed(w), lambda h, i: F.call_function("shiftleft", h, bits).bitwiseOR(i.cast("long")))
+    keys = F.transform(F.slice(w, 1, n - 2), lambda a, i: F.call_function(
+        "shiftleft", F.xxhash64(a, F.get(w, i + 1), F.get(w, i + 2)), bits).bitwiseOR(i.cast("long")))
     places = let(F.sort_array(keys), lambda s: F.transform(
         beside(s, lambda a, b: top(a) == top(b)),
         lambda k: (k - F.call_function("shiftleft", top(k), bits)).cast("int")))
@@ -86,14 +83,16 @@ def repeat_words(w: Column) -> Column:
 
 
 def line_ok(line: Column) -> Column:
-    """The verdict of the line rules; blank lines pass."""
-    n = F.size(words(line))
-    seps = count_chars(line, SEPARATORS)
+    """The verdict of the line rules; blank lines pass.  Words are counted on suspect lines only."""
+    n, seps = F.size(words(line)), count_chars(line, SEPARATORS)
+    body = F.rtrim(line, F.lit(SPACE))
     menu = (seps >= MENU_SEPARATORS) & (n <= MENU_WORDS * (seps + 1))
     # punctuation: prose ends its lines, and does not hold more symbols than words
-    unended = (n > HEADING_WORDS) & ~line.rlike(ENDS_WELL)
-    noisy = count_chars(line, SYMBOLS) > n
-    return (n == 0) | ~(menu | unended | noisy | line.rlike(BOILERPLATE))
+    unended = ~F.substring(body, -1, 1).isin(*ENDS_WELL) & (n > HEADING_WORDS)
+    symbols = count_chars(line, SYMBOLS)
+    noisy = (symbols > 0) & (symbols > n)
+    furniture = (F.length(line) <= BOILERPLATE_CHARS) & line.rlike(BOILERPLATE)
+    return (F.trim(line, F.lit(SPACE)) == "") | ~(menu | unended | noisy | furniture)
 
 
 def judge(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
@@ -101,15 +100,16 @@ def judge(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> Da
     ``lost`` (share of the characters on failed lines), ``clean_text`` and ``kept``.
     """
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    measured = let(words(t), lambda w: F.struct(F.size(w).alias("n_words"), repeat_words(w).alias("n_repeat")))
+    measured = let(words(t), lambda w: F.struct(
+        F.size(w).alias("n_words"), F.length(F.array_join(w, "")).alias("chars"), repeat_words(w).alias("n_repeat")))
     cleaned = let(F.split(t, "\n", -1), lambda lines: let(
         F.filter(lines, line_ok), lambda good: F.struct(
             F.array_join(good, "\n").alias("text"),
             F.length(F.array_join(good, "")).alias("left"),
             F.length(F.array_join(lines, "")).alias("chars"),
-            F.size(lines).alias("n"), (F.size(lines) - F.size(good)).alias("bad"))))
-    repeats = let(F.filter(F.split(t, "\n", -1), lambda x: x.rlike(HAS_WORD)),
-                  lambda x: F.size(x) - F.size(F.array_distinct(x)))
+            F.size(lines).alias("n"), (F.size(lines) - F.size(good)).alias("bad"),
+            let(F.filter(lines, lambda x: F.trim(x, F.lit(SPACE)) != ""),
+                lambda x: F.size(x) - F.size(F.array_distinct(x))).alias("repeats"))))
     out = with_new(docs, __words=measured, __lines=cleaned)
     n_words, n_repeat = F.col("__words.n_words"), F.col("__words.n_repeat")
     failed = (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)
@@ -118,9 +118,9 @@ def judge(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> Da
     too_much = (F.col("__lines.chars") - F.col("__lines.left")) * 1000 > F.col("__lines.chars") * int(round(max_lost * 1000))
     out = with_new(
         out, n_words=n_words.cast("long"),
-        word_chars=F.length(F.translate(t, SPACE, "")).cast("long"),
+        word_chars=F.col("__words.chars").cast("long"),
         n_symbols=count_chars(t, SYMBOLS).cast("long"),
-        n_dup_lines=repeats.cast("long"), n_repeat_words=n_repeat.cast("long"),
+        n_dup_lines=F.col("__lines.repeats").cast("long"), n_repeat_words=n_repeat.cast("long"),
         base_failed=failed, n_lines=F.col("__lines.n").cast("long"), n_failed_lines=F.col("__lines.bad").cast("long"),
         lost=lost, clean_text=F.col("__lines.text"), kept=~failed & ~too_much)
     return out.drop("__words", "__lines")

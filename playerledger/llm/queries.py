@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playerledger.llm import line_dedup, minhash_dedup, quality_rules
+from playerledger.llm import line_dedup, minhash_dedup, mixing, quality_rules
 from playerledger.llm.common import documents
 
 
@@ -15,6 +15,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "n_lines", "n_failed_lines", "kept")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.draw(documents(spark, sf_dir))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"),
+                      F.size("draws").alias("copies"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_boilerplate(documents(spark, sf_dir), host="source")
     return out.select("doc_id", "source", "n_lines", "n_dropped", F.md5("clean_text").alias("clean_md5"))
@@ -26,4 +32,4 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("id") == F.col("component_id")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op6_line_dedup, op10_minhash_dedup)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_mixing, op6_line_dedup, op10_minhash_dedup)}

@@ -18,7 +18,7 @@ judged AS (
                  AND NOT regexp_matches(l, '[.!?:;,"'')\]»”’…。！？][\x20\x09-\x0D]*\z'))
              OR length(l) - length(regexp_replace(l, '[#*$%&|<>]', '', 'g'))
                 > len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))
-             OR regexp_matches(l, '(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie (policy|settings)|accept (all )?cookies|enable javascript|lorem ipsum|click here|skip to content|back to top)')
+             OR (length(l) <= 200 AND regexp_matches(l, '(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie (policy|settings)|accept (all )?cookies|enable javascript|lorem ipsum|click here|skip to content|back to top)'))
            ))) AS good
   FROM (SELECT doc_id, coalesce(text, '') AS t,
                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
