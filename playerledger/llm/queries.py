@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playerledger.llm import line_dedup, minhash_dedup, mixing, quality_rules
+from playerledger.llm import line_dedup, minhash_dedup, mixing, packing, quality_rules
 from playerledger.llm.common import documents
 
 
@@ -15,6 +15,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "n_lines", "n_failed_lines", "kept")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.draw(documents(spark, sf_dir))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"),
@@ -32,4 +41,4 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("id") == F.col("component_id")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_mixing, op6_line_dedup, op10_minhash_dedup)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_best_fit_packing, op4_mixing, op6_line_dedup, op10_minhash_dedup)}
