@@ -7,8 +7,9 @@
 2. Documents with equal sets are one class; only its smallest id goes on.
 3. Band buckets with two or more classes give candidate pairs: every member with
    the bucket's smallest id first, then, while a bucket still holds several
-   components, up to 16 more pivots against the members of other components.
-   The rounds end when every member of such a bucket has been a pivot, so no link
+   components, more pivots against the members of other components (in a large
+   bucket: those that share a second bucket with the pivot).  The rounds end when
+   all members outside a bucket's largest component have been pivots, so no link
    between components is lost, while a bucket of thousands of copies costs one
    pair each.
 4. Candidates are confirmed on full shingle sets, links grouped by connected
@@ -40,8 +41,12 @@ SLOTS = 128
 BANDS = 32
 #: Texts are taken in slices of so many bytes.
 SLICE = 1 << 20
-#: Pivots a bucket gets each round.
-PIVOTS = 16
+#: In a larger bucket a pair has to share a second band (at the threshold it fails to
+#: with a chance of 8e-5).
+SMALL_BUCKET = 32
+#: Members of a bucket that are compared with all others in one round, and the most rounds.
+PIVOTS = 256
+MOST_ROUNDS = 8
 #: Parsed shingle sets kept at hand while pairs are confirmed.
 SETS_AT_HAND = 64
 
@@ -165,22 +170,42 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(joined.mapInArrow(_confirm, "a long, b long, linked boolean"), "confirmed")
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, pivoted: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Pairs across components to test next, and the (bucket, id) pivots they use up."""
-    labelled = (members.join(labels, members["id"] == labels["node"], "left")
-                .select("bucket", "id", F.coalesce("component", "id").alias("c")))
-    state = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-    split = stored(labelled.join(state.filter("lo < hi").select("bucket", "n"), "bucket"), "open")
-    chosen = split if pivoted is None else split.join(pivoted, ["bucket", "id"], "left_anti")
-    # for each bucket the smallest id of each of a fixed number of id classes
-    best = chosen.groupBy("bucket").agg(*[
-        F.min(F.when(F.pmod(F.xxhash64("id"), F.lit(PIVOTS)) == k, F.struct("id", "c"))).alias(f"p{k}")
-        for k in range(PIVOTS)])
-    pivots = stored(best.select("bucket", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("p"))
-                    .filter("p is not null").select("bucket", "p.id", "p.c"), "pivots")
-    pairs = (split.alias("m").join(pivots.toDF("bucket", "pivot", "pc").alias("p"), "bucket")
-             .filter("c <> pc").select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b")))
-    return pairs.distinct(), pivots.select("bucket", "id")
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return (members.join(labels, members["id"] == labels["node"], "left")
+            .select(*members.columns, F.coalesce("component", "id").alias("c")))
+
+
+def _narrowed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, id, turn): what buckets with several components leave to test.
+
+    Members of a bucket larger than ``SMALL_BUCKET`` must share a second bucket to
+    meet again: each pair of its buckets is a bucket of its own.  ``turn`` is the
+    round in which the member is compared with all others of its bucket; members
+    of the bucket's largest component have none, the others meet them.
+    """
+    now = _labelled(members, labels)
+    state = (now.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+             .filter("lo < hi").select("bucket", "n"))
+    split = stored(now.join(state, "bucket"), "split")
+    other = members.select("id", F.col("bucket").alias("other"))
+    twice = (split.filter(F.col("n") > SMALL_BUCKET).select("id", "bucket", "c").join(other, "id").filter("bucket <> other")
+             .select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "id", "c")
+             .distinct())
+    rest = stored(split.filter(F.col("n") <= SMALL_BUCKET).select("bucket", "id", "c").union(twice), "rest")
+    sizes = rest.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("k"))
+    largest = (sizes.groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("n"), F.count(F.lit(1)).alias("parts"))
+               .filter("parts > 1").select("bucket", F.col("top.c").alias("top"), "n"))
+    turns = F.least(F.ceil(F.col("n") / PIVOTS), F.lit(MOST_ROUNDS))
+    return stored(rest.join(largest, "bucket").select(
+        "bucket", "id", F.when(F.col("c") != F.col("top"), F.pmod(F.xxhash64("id"), turns)).alias("turn")), "narrowed")
+
+
+def _open_pairs(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) across components of the members whose turn it is with the others of their bucket."""
+    now = _labelled(members, labels)
+    pivots = now.filter(F.col("turn") == turn).select("bucket", F.col("id").alias("pivot"), F.col("c").alias("pc"))
+    return (now.join(pivots, "bucket").filter("c <> pc")
+            .select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b")).distinct())
 
 
 def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,13 +228,10 @@ def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     several = classed.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
     tied = classed.join(several, "id").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
     links = lambda: tested.filter("linked").select("a", "b").union(tied)
-    labels, pivoted = components(links()), None
-    while True:
-        pairs, used = _open_pairs(members, labels, pivoted)
-        if used.isEmpty():
-            break
-        pivoted = used if pivoted is None else pivoted.union(used)
-        new = confirm(pairs.join(tested, ["a", "b"], "left_anti"), texts)
+    labels = components(links())
+    members = _narrowed(members, labels)
+    for turn in range((members.agg(F.max("turn")).first()[0] or 0) + 1):
+        new = confirm(_open_pairs(members, labels, turn).join(tested, ["a", "b"], "left_anti"), texts)
         tested = tested.union(new)
         if not new.filter("linked").isEmpty():
             labels = components(links())
