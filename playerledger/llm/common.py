@@ -16,6 +16,12 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where this machine (the same on every executor) has a public vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared work folder and read it back.
 

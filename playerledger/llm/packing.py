@@ -42,7 +42,7 @@ NEARLY = 4
 RUN = 1_000_000
 GROUP = 200_000
 #: Text bytes tokenised at once.
-SLICE = 1 << 20
+SLICE = 1 << 23
 #: A round that joins less than this share of its bins is the last.
 LEAST_JOINED = 0.02
 
@@ -81,20 +81,20 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
 def _cut(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(path)
-        closing = np.uint32(CLOSING_ID).tobytes()
+        closing = np.uint32(CLOSING_ID)
         for batch in batches:
-            _, offsets = buffer_of(batch.column(1))
+            column = batch.column(1).fill_null("")
+            _, offsets = buffer_of(column)
             for lo, hi in slices(offsets, SLICE):
-                texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
                 which, piece, start, length, crc = [], [], [], [], []
-                for k, ids in enumerate(encoder.of_texts(texts)):
-                    ids += closing
-                    for n, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at:at + 4 * capacity]
+                for k, ids in enumerate(encoder.of_texts(column.slice(lo, hi - lo))):
+                    ids = np.append(ids, closing)
+                    for n, at in enumerate(range(0, len(ids), capacity)):
+                        part = ids[at:at + capacity]
                         which.append(lo + k)
                         piece.append(n)
-                        start.append(at // 4)
-                        length.append(len(part) // 4)
+                        start.append(at)
+                        length.append(len(part))
                         crc.append(zlib.crc32(part))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(which, pa.int64())), pa.array(piece, pa.int32()),

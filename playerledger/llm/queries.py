@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playerledger.llm import line_dedup, minhash_dedup, mixing, packing, quality_rules
-from playerledger.llm.common import documents
+from playerledger.llm import line_dedup, minhash_dedup, mixing, packing, quality_rules, token_counts
+from playerledger.llm.common import documents, tokenizer_file
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,11 +15,6 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "n_lines", "n_failed_lines", "kept")
 
 
-def tokenizer_file(name: str) -> str:
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
@@ -30,6 +25,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("draws").alias("copies"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_boilerplate(documents(spark, sf_dir), host="source")
     return out.select("doc_id", "source", "n_lines", "n_dropped", F.md5("clean_text").alias("clean_md5"))
@@ -41,4 +40,4 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("id") == F.col("component_id")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_best_fit_packing, op4_mixing, op6_line_dedup, op10_minhash_dedup)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_best_fit_packing, op4_mixing, op5_token_counts, op6_line_dedup, op10_minhash_dedup)}
