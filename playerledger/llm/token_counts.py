@@ -9,7 +9,8 @@ prefix and nothing is encoded again to answer a truncation or budget question.
 
 Texts are cut before every space that is followed by something else; the
 vocabulary always cuts there too, so a text's counts are the chunks' counts
-added up, and each distinct chunk's table is built once and remembered.
+added up, and each distinct chunk's table is built once and remembered.  Texts
+with a special string in them are counted by the library itself.
 
 Defined results: null text is empty and has no tokens; texts are counted whole
 whatever their length; repeated rows are counted one by one; an empty table gives
@@ -26,34 +27,31 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playerledger.llm.token_ids import MISSES, tokenizer
+from playerledger.llm.token_ids import Memory, dictionary, tokenizer
 from playerledger.llm.words_np import buffer_of, slices
 
 LIMIT = 512
-SLICE = 1 << 21
+SLICE = 1 << 23
 #: Chunks and pre-tokens remembered at most.
-MOST_CHUNKS = 300_000
-#: Longer chunks are not remembered; texts with a special string are counted by the library.
-LONG_CHUNK = 256
+MOST_CHUNKS = 400_000
+MOST_PIECES = 500_000
 #: Pairs of tokens remembered at most.
 MOST_PAIRS = 500_000
 #: A border of every byte-level vocabulary: before a space that something else follows.
 CUT = re.compile(r" (?=\S)")
-#: Texts in which cutting at each space would not do: white space in a row, or
-#: characters that only Python takes for white space.
-IN_A_ROW = re.compile("[ ][\\s]|[\x1c-\x1f]| \\Z")
+#: Texts in which cutting at each space would not do: a space beside white space or at an
+#: end, or characters that not every library takes for white space.
+IN_A_ROW = r"[ ][\s\p{Z}\x{85}]|^[ ]|[ ]$|[\x1c-\x1f]"
 
 
 def chunks(text: str) -> list[str]:
     """``text`` cut at borders of its pre-tokens."""
-    if not IN_A_ROW.search(text):
-        first, *rest = text.split(" ")
-        return [first, *[" " + c for c in rest]] if first else [" " + c for c in rest]
     at = [0, *[m.start() for m in CUT.finditer(text) if m.start()], len(text)]
-    return [text[a:b] for a, b in zip(at, at[1:])]
+    return [text[a:b] for a, b in zip(at, at[1:]) if a < b]
 
 
 @lru_cache(maxsize=2)
@@ -86,9 +84,7 @@ class PrefixCounts:
         self.longest = max(map(len, self.texts))
         self.follows: dict[int, bool] = {}
         self.own = {i for i, t in enumerate(self.texts) if t and self._merged(t) == [i]}
-        self.chunks: dict[str, int] = {}
-        self.stale = False
-        self.pieces: dict[str, int] = {}
+        self.chunks, self.pieces = Memory(MOST_CHUNKS), Memory(MOST_PIECES)
 
     def _merged(self, data: bytes) -> list[int]:
         """The encoding of a pre-token by its merges."""
@@ -146,14 +142,12 @@ class PrefixCounts:
         return [span for _, span in tokenizer(self.path).pre_tokenizer.pre_tokenize_str(text)]
 
     def of_pieces(self, found: set[str]) -> dict[str, int]:
-        known = self.pieces
-        new = {p.encode(): p for p in found.difference(known)}
-        more = {new[b]: count[-1] for b, count in self.tables(new)}
-        out = {p: known[p] if p in known else more[p] for p in found}
-        if len(known) + len(more) > MOST_CHUNKS:
-            known.clear()
-        known.update(x for x in more.items() if len(x[0]) <= LONG_CHUNK)
-        return out
+        def make(new: list[str]) -> list[int]:
+            n = {piece: count[-1] for piece, count in self.tables(p.encode() for p in new)}
+            return [n[p.encode()] for p in new]
+
+        asked = list(found)
+        return dict(zip(asked, self.pieces.look_up(asked, make)))
 
     def of_chunks(self, found: list[str]) -> list[int]:
         """Token counts of chunks.  A space, letters and a mark are cut here, the rest by
@@ -180,23 +174,27 @@ class PrefixCounts:
         n = self.of_pieces({p for pieces in cut for p in pieces})
         return [sum([n[p] for p in pieces]) for pieces in cut]
 
-    def counts(self, texts: list[str]) -> list[int]:
-        """Tokens of whole texts, as the library counts them."""
-        known = self.chunks
-        if self.stale:
-            known.clear()
-        special = [any(s in t for s in self.special) for t in texts]
-        cut = [[] if odd else chunks(t) for t, odd in zip(texts, special)]
-        found = [list(map(known.get, c)) for c in cut]
-        holes = [[i for i, n in enumerate(ns) if n is None] if None in ns else () for ns in found]
-        new = list({c[i] for c, at in zip(cut, holes) for i in at})
-        more = dict(zip(new, self.of_chunks(new)))
-        room = MOST_CHUNKS - len(known)
-        self.stale = room <= 0 and sum(map(len, holes)) > MISSES * sum(map(len, cut))
-        known.update([x for x in more.items() if len(x[0]) <= LONG_CHUNK][:max(0, room)])
-        return [len(tokenizer(self.path).encode(t, add_special_tokens=False).ids) if odd
-                else sum([more[c[i]] for i in at]) + sum(n for n in ns if n is not None)
-                for t, odd, c, ns, at in zip(texts, special, cut, found, holes)]
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of whole texts (a string array without nulls), as the library counts them."""
+        odd = pc.match_substring_regex(texts, "|".join([IN_A_ROW, *map(re.escape, self.special)]))
+        plain = pc.if_else(odd, "", texts)
+        codes, offsets, distinct = dictionary(pc.split_pattern(plain, " "))
+        spaced = np.array(self.chunks.look_up([" " + w if w else "" for w in distinct], self.of_chunks), np.int64)
+        n = spaced[codes]
+        # the first word of a text has no space in front
+        first = offsets[:-1]
+        alone, where = np.unique(codes[first], return_inverse=True)
+        n[first] = np.array(self.chunks.look_up([distinct[i] for i in alone.tolist()], self.of_chunks), np.int64)[where]
+        out = np.add.reduceat(n, first) if len(n) else np.zeros(len(texts), np.int64)
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+            out[i] = self.count(texts[int(i)].as_py())
+        return out
+
+    def count(self, text: str) -> int:
+        """Tokens of one text, whatever white space or special strings it has."""
+        if any(s in text for s in self.special):
+            return len(tokenizer(self.path).encode(text, add_special_tokens=False).ids)
+        return sum(self.chunks.look_up(chunks(text), self.of_chunks))
 
     def prefixes(self, text: str) -> list[int]:
         """count[i]: tokens of ``text[:i]``, for every character i; no special strings inside."""
@@ -223,10 +221,10 @@ def _count(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = prefix_counts(path)
         for batch in batches:
-            column = batch.column(1)
+            column = batch.column(1).fill_null("")
             _, offsets = buffer_of(column)
             for lo, hi in slices(offsets, SLICE):
-                n = counter.counts([t or "" for t in column.slice(lo, hi - lo).to_pylist()])
+                n = counter.counts(column.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets[lo:hi + 1])), pa.array(n, pa.int64())],
                     ["id", "n_bytes", "n_tokens"])
