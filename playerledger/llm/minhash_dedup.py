@@ -5,13 +5,14 @@
    of 128 slots cut into 32 bands of 4.  At the threshold of 0.75 a pair shares
    no band with a chance of 5e-6.
 2. Documents with equal sets are one class; only its smallest id goes on.
-3. Band buckets with two or more classes give candidate pairs: every member with
-   the bucket's smallest id first, then, while a bucket still holds several
-   components, more pivots against the members of other components (in a large
-   bucket: those that share a second bucket with the pivot).  The rounds end when
-   all members outside a bucket's largest component have been pivots, so no link
-   between components is lost, while a bucket of thousands of copies costs one
-   pair each.
+3. Band buckets with two or more classes give candidates.  Within a bucket
+   signatures are compared in blocks, and in rounds each member names its best
+   partner, then its best few, then all partners whose signatures agree nearly as
+   much as the threshold asks.  Only pairs across components found so far are
+   named, and members of a bucket's largest component name none: a group of
+   thousands of near copies costs a few pairs a member, and the last round leaves
+   no agreeing pair across components untested.  Buckets above a bound are split
+   by the bands their members share besides.
 4. Candidates are confirmed on full shingle sets, links grouped by connected
    components.
 
@@ -41,12 +42,14 @@ SLOTS = 128
 BANDS = 32
 #: Texts are taken in slices of so many bytes.
 SLICE = 1 << 20
-#: In a larger bucket a pair has to share a second band (at the threshold it fails to
-#: with a chance of 8e-5).
-SMALL_BUCKET = 32
-#: Members of a bucket that are compared with all others in one round, and the most rounds.
-PIVOTS = 256
-MOST_ROUNDS = 8
+#: Slots in which two signatures must agree to be tested (at the threshold 96 do, with a
+#: deviation of 5: four deviations less).
+LEAST_SLOTS = 76
+#: Partners each member names in the rounds: the best, a few, all that agree enough.
+ROUNDS = (1, 4, None)
+#: Larger buckets are split, at most so often.
+LARGE_BUCKET = 2048
+SPLITS = 3
 #: Parsed shingle sets kept at hand while pairs are confirmed.
 SETS_AT_HAND = 64
 
@@ -66,7 +69,7 @@ def superminhash(row: np.ndarray, values: np.ndarray, rows: int, slots: int = SL
     for j in range(slots):
         if not len(active):
             break
-        rnd = words_np.mix(values[active] + U(j + 1) * words_np.BASE)
+        rnd = words_np.mix(values[active] + U((j + 1) * int(words_np.BASE) % (1 << 64)))
         fraction = (rnd >> U(32)).astype(np.float64) / 4294967296.0
         k = j + (((rnd & U(0xFFFFFFFF)) * U(slots - j)) >> U(32)).astype(np.int64)
         if j == 0:
@@ -126,17 +129,20 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prints = np.zeros((2, n), np.uint64)
             np.add.at(prints[0], row, value)
             np.add.at(prints[1], row, words_np.mix(value))
-            bands = band_hashes(superminhash(row, value, n))
+            signature = superminhash(row, value, n)
+            bands = band_hashes(signature)
+            short = words_np.mix(signature.view(np.uint64)).astype(np.uint16)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), _signed(bands.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, n), pa.array(sizes.astype(np.int64)),
-                 _signed(prints[0]), _signed(prints[1]), flat],
-                ["id", "n_shingles", "print_a", "print_b", "bands"])
+                 _signed(prints[0]), _signed(prints[1]), flat,
+                 pa.array([x.tobytes() for x in short], pa.binary())],
+                ["id", "n_shingles", "print_a", "print_b", "bands", "prints"])
 
 
 def signatures(docs: DataFrame, id: str, text: str) -> DataFrame:
     cols = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    return cols.mapInArrow(_sign, "id long, n_shingles long, print_a long, print_b long, bands array<long>")
+    return cols.mapInArrow(_sign, "id long, n_shingles long, print_a long, print_b long, bands array<long>, prints binary")
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,71 +176,135 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(joined.mapInArrow(_confirm, "a long, b long, linked boolean"), "confirmed")
 
 
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return (members.join(labels, members["id"] == labels["node"], "left")
-            .select(*members.columns, F.coalesce("component", "id").alias("c")))
+def _agreeing(prints: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Slots in which each of the members ``lo`` to ``hi`` agrees with each member."""
+    out = np.zeros((hi - lo, len(prints)), np.int16)
+    if len(prints) <= 64:
+        out += (prints[lo:hi, None, :] == prints[None, :, :]).sum(axis=2, dtype=np.int16)
+    else:
+        for s in range(prints.shape[1]):
+            out += prints[lo:hi, s, None] == prints[None, :, s]
+    return out
 
 
-def _narrowed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, id, turn): what buckets with several components leave to test.
+def bucket_pairs(ids: np.ndarray, c: np.ndarray, prints: np.ndarray, top: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one bucket across components whose signatures agree in ``LEAST_SLOTS`` or more.
 
-    Members of a bucket larger than ``SMALL_BUCKET`` must share a second bucket to
-    meet again: each pair of its buckets is a bucket of its own.  ``turn`` is the
-    round in which the member is compared with all others of its bucket; members
-    of the bucket's largest component have none, the others meet them.
+    Members outside the largest component give their ``top`` best partners, or all.
     """
-    now = _labelled(members, labels)
-    state = (now.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-             .filter("lo < hi").select("bucket", "n"))
-    split = stored(now.join(state, "bucket"), "split")
-    other = members.select("id", F.col("bucket").alias("other"))
-    twice = (split.filter(F.col("n") > SMALL_BUCKET).select("id", "bucket", "c").join(other, "id").filter("bucket <> other")
-             .select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "id", "c")
-             .distinct())
-    rest = stored(split.filter(F.col("n") <= SMALL_BUCKET).select("bucket", "id", "c").union(twice), "rest")
-    sizes = rest.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("k"))
-    largest = (sizes.groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("n"), F.count(F.lit(1)).alias("parts"))
-               .filter("parts > 1").select("bucket", F.col("top.c").alias("top"), "n"))
-    turns = F.least(F.ceil(F.col("n") / PIVOTS), F.lit(MOST_ROUNDS))
-    return stored(rest.join(largest, "bucket").select(
-        "bucket", "id", F.when(F.col("c") != F.col("top"), F.pmod(F.xxhash64("id"), turns)).alias("turn")), "narrowed")
-
-
-def _open_pairs(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) across components of the members whose turn it is with the others of their bucket."""
-    now = _labelled(members, labels)
-    pivots = now.filter(F.col("turn") == turn).select("bucket", F.col("id").alias("pivot"), F.col("c").alias("pc"))
-    return (now.join(pivots, "bucket").filter("c <> pc")
-            .select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b")).distinct())
+    names, sizes = np.unique(c, return_counts=True)
+    if len(names) < 2:
+        return
+    ask = np.flatnonzero(c != names[np.argmax(sizes)]) if top is None or sizes.max() > 1 else np.arange(len(ids))
+    order = np.concatenate((ask, np.setdiff1d(np.arange(len(ids)), ask)))
+    ids, c, prints = ids[order], c[order], prints[order]
+    for lo in range(0, len(ask), 256):
+        hi = min(lo + 256, len(ask))
+        slots = _agreeing(prints, lo, hi)
+        slots[c[lo:hi, None] == c[None, :]] = 0
+        if top is not None and top < len(ids):
+            best = np.argpartition(-slots, top - 1, axis=1)[:, :top]
+            i, j = np.repeat(np.arange(hi - lo), top), best.reshape(-1)
+            on = slots[i, j] >= LEAST_SLOTS
+            i, j = i[on], j[on]
+        else:
+            i, j = np.nonzero(slots >= LEAST_SLOTS)
+        x, y = ids[i + lo], ids[j]
+        yield np.minimum(x, y), np.maximum(x, y)
+
+
+def _candidates(top: int | None):
+    """Streams rows ordered by bucket; a bucket is held until the next begins."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            bucket, ids, c = (table.column(k).to_numpy() for k in range(3))
+            prints = np.frombuffer(b"".join(table.column(3).to_pylist()), np.uint16).reshape(len(ids), SLOTS)
+            cut = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(ids)]))
+            found = [x for a, b in zip(cut, cut[1:]) for x in bucket_pairs(ids[a:b], c[a:b], prints[a:b], top)]
+            if found:
+                both = np.unique(np.stack((np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            bucket = batch.column(0).to_numpy()
+            at = int(np.searchsorted(bucket, bucket[-1]))
+            if at or (held and held[-1].column(0)[0].as_py() != bucket[0]):
+                yield from pairs(pa.Table.from_batches([*held, batch.slice(0, at)]))
+                held = []
+            held.append(batch.slice(at))
+        if held:
+            yield from pairs(pa.Table.from_batches(held))
+    return run
+
+
+def candidates(members: DataFrame, labels: DataFrame | None, top: int | None) -> DataFrame:
+    """(a, b): pairs to test next, from members (bucket, id, prints) and the components so far."""
+    now = members.withColumn("c", F.col("id")) if labels is None else (
+        members.join(labels, members["id"] == labels["node"], "left").withColumn("c", F.coalesce("component", "id")))
+    dealt = now.select("bucket", "id", "c", "prints").repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(_candidates(top), "a long, b long").distinct()
+
+
+def bounded(members: DataFrame) -> DataFrame:
+    """(bucket, id, n) without a bucket above ``LARGE_BUCKET``.
+
+    Members of a larger one must share another bucket to meet again: each pair of
+    its buckets becomes a bucket, and so on.  Members that agree in so many bands
+    are near copies of each other; what is still large after ``SPLITS`` rounds is
+    cut by id, each part with the whole bucket's smallest id in it.
+    """
+    plain, done = members.select("bucket", "id"), None
+    for k in range(SPLITS + 1):
+        sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lead")).filter("n > 1")
+        sized = stored(members.join(sizes, "bucket"), "members")
+        small = sized.filter(F.col("n") <= LARGE_BUCKET)
+        done = small if done is None else done.union(small)
+        large = sized.filter(F.col("n") > LARGE_BUCKET)
+        if large.isEmpty():
+            return done
+        members = (large.select("id", "bucket").join(plain.withColumnRenamed("bucket", "other"), "id")
+                   .filter("bucket <> other")
+                   .select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other"), F.lit(k)).alias("bucket"), "id")
+                   .distinct())
+    part = F.pmod(F.xxhash64("id", "bucket"), F.ceil(F.col("n") / LARGE_BUCKET * 2)).alias("part")
+    large = large.select("bucket", "id", "lead", part)
+    parts = large.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"), F.min("lead").alias("lead"))
+    cut = large.select("bucket", "part", "id").union(parts.select("bucket", "part", F.col("lead").alias("id"))).distinct()
+    cut = cut.join(parts, ["bucket", "part"]).select(F.xxhash64("bucket", "part").alias("bucket"), "id", F.col("n") + 1, "lead")
+    return done.union(cut)
 
 
 def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``; ``id`` as long."""
     signed = stored(signatures(docs, id, text), "signed")
     sets = signed.filter("n_shingles > 0 and id is not null")
-    classes = sets.groupBy("print_a", "print_b").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
-    members = classes.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket")).distinct()
-    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lead")).filter("n > 1")
-    members = stored(members.join(buckets, "bucket"), "members")
+    classes = sets.groupBy("print_a", "print_b").agg(
+        F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("prints").alias("prints"))
+    members = bounded(classes.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket")).distinct())
     texts = stored(docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
                    .join(members.select("id").distinct(), "id", "left_semi"), "texts")
-    pairs = members.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    tested = confirm(pairs, texts)
-    # a bucket of two is settled by its one pair
-    members = members.filter("n > 2").select("bucket", "id")
     # copies belong to their class; an id with several texts ties their classes together
     classed = stored(sets.join(classes.select("print_a", "print_b", "rep"), ["print_a", "print_b"])
                      .select("id", "rep").distinct(), "classed")
     several = classed.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
     tied = classed.join(several, "id").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
-    links = lambda: tested.filter("linked").select("a", "b").union(tied)
-    labels = components(links())
-    members = _narrowed(members, labels)
-    for turn in range((members.agg(F.max("turn")).first()[0] or 0) + 1):
-        new = confirm(_open_pairs(members, labels, turn).join(tested, ["a", "b"], "left_anti"), texts)
-        tested = tested.union(new)
-        if not new.filter("linked").isEmpty():
-            labels = components(links())
+    # a bucket of two is settled by its one pair
+    two = members.filter("n = 2 and id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))
+    more = members.filter("n > 2").select("bucket", "id").join(
+        classes.groupBy("rep").agg(F.first("prints").alias("prints")), F.col("id") == F.col("rep"))
+    more = stored(more.select("bucket", "id", "prints"), "more")
+    tested, labels = None, None
+    for top in ROUNDS:
+        pairs = candidates(more, labels, top)
+        pairs = two.union(pairs).distinct() if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        new = confirm(pairs, texts)
+        tested = new if tested is None else tested.union(new)
+        if labels is None or not new.filter("linked").isEmpty():
+            labels = components(tested.filter("linked").select("a", "b").union(tied))
     of_rep = labels.select(F.col("node").alias("rep"), "component")
     groups = (classed.join(of_rep, "rep", "left").groupBy("id")
               .agg(F.min(F.coalesce("component", "rep")).alias("component_id")))
