@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playerledger.llm import license_scan, line_dedup, minhash_dedup, mixing, packing, quality_rules, token_counts
+from playerledger.llm import license_scan, line_dedup, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, token_counts
 from playerledger.llm.common import documents, tokenizer_file
 
 
@@ -44,6 +44,11 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licenses(documents(spark, sf_dir))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.without_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op2_quality_rules, op3_best_fit_packing, op4_mixing, op5_token_counts, op6_line_dedup, op8_license_scan,
-    op10_minhash_dedup)}
+    op9_suffix_dedup, op10_minhash_dedup)}
