@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playerledger.llm import license_scan, line_dedup, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, token_counts
+from playerledger.llm import embedding_dedup, license_scan, line_dedup, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, token_counts
 from playerledger.llm.common import documents, tokenizer_file
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embedding_dedup.label_components(documents(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -50,5 +55,5 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_rules, op3_best_fit_packing, op4_mixing, op5_token_counts, op6_line_dedup, op8_license_scan,
+    op1_embedding_dedup, op2_quality_rules, op3_best_fit_packing, op4_mixing, op5_token_counts, op6_line_dedup, op8_license_scan,
     op9_suffix_dedup, op10_minhash_dedup)}
