@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playerledger.llm import embedding_dedup, license_scan, line_dedup, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, token_counts
+from playerledger.llm import embedding_dedup, license_scan, line_dedup, lm_score, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, token_counts
 from playerledger.llm.common import documents, tokenizer_file
 
 
@@ -45,6 +45,11 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("id") == F.col("component_id")).alias("kept"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return lm_score.score(docs, *lm_score.train(docs))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licenses(documents(spark, sf_dir))
 
@@ -55,5 +60,5 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_embedding_dedup, op2_quality_rules, op3_best_fit_packing, op4_mixing, op5_token_counts, op6_line_dedup, op8_license_scan,
+    op1_embedding_dedup, op2_quality_rules, op3_best_fit_packing, op4_mixing, op5_token_counts, op6_line_dedup, op7_lm_score, op8_license_scan,
     op9_suffix_dedup, op10_minhash_dedup)}

@@ -62,9 +62,9 @@ def bounds(data: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndar
     return edge[0::2], edge[1::2]
 
 
-def hashes(data: np.ndarray, byte: np.ndarray = BYTE_LOWER, separator: np.ndarray = SEPARATOR) -> np.ndarray:
-    """The hash of every word in ``data``, in order."""
-    found, at = [], 0
+def pieces(data: np.ndarray, separator: np.ndarray) -> Iterator[np.ndarray]:
+    """``data`` in pieces of about ``PIECE`` bytes, cut after separators."""
+    at = 0
     while at < len(data):
         end = min(at + PIECE, len(data))
         if end < len(data):
@@ -74,14 +74,24 @@ def hashes(data: np.ndarray, byte: np.ndarray = BYTE_LOWER, separator: np.ndarra
                 stops = np.flatnonzero(separator[data[at:end]])
             if len(stops):
                 end = at + int(stops[-1]) + 1
-        piece = data[at:end]
+        yield data[at:end]
+        at = end
+
+
+def hash_words(piece: np.ndarray, starts: np.ndarray, ends: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    up, down = (UP, DOWN) if len(piece) < len(UP) else (
+        _powers(int(BASE), len(piece) + 1), _powers(pow(int(BASE), -1, 1 << 64), len(piece) + 1))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(byte[piece] * up[:len(piece)], dtype=np.uint64)))
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def hashes(data: np.ndarray, byte: np.ndarray = BYTE_LOWER, separator: np.ndarray = SEPARATOR) -> np.ndarray:
+    """The hash of every word in ``data``, in order."""
+    found = []
+    for piece in pieces(data, separator):
         starts, ends = bounds(piece, separator)
         if len(starts):
-            up, down = (UP, DOWN) if len(piece) < len(UP) else (
-                _powers(int(BASE), len(piece) + 1), _powers(pow(int(BASE), -1, 1 << 64), len(piece) + 1))
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(byte[piece] * up[:len(piece)], dtype=np.uint64)))
-            found.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
-        at = end
+            found.append(hash_words(piece, starts, ends, byte))
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
