@@ -187,10 +187,17 @@ def _agreeing(prints: np.ndarray, lo: int, hi: int) -> np.ndarray:
     return out
 
 
-def bucket_pairs(ids: np.ndarray, c: np.ndarray, prints: np.ndarray, top: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _first_band(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return (x == y).reshape(len(x), BANDS, -1).all(axis=2).argmax(axis=1)
+
+
+def bucket_pairs(ids: np.ndarray, c: np.ndarray, prints: np.ndarray, top: int | None, band: int = -1
+                 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one bucket across components whose signatures agree in ``LEAST_SLOTS`` or more.
 
-    Members outside the largest component give their ``top`` best partners, or all.
+    Members outside the largest component give their ``top`` best partners, or all;
+    of all partners only those with whom ``band`` is the first band they share, as
+    each other band they share has a bucket of its own.
     """
     names, sizes = np.unique(c, return_counts=True)
     if len(names) < 2:
@@ -209,6 +216,10 @@ def bucket_pairs(ids: np.ndarray, c: np.ndarray, prints: np.ndarray, top: int |
             i, j = i[on], j[on]
         else:
             i, j = np.nonzero(slots >= LEAST_SLOTS)
+            if band >= 0 and len(i):
+                first = [_first_band(prints[i[at:at + 4096] + lo], prints[j[at:at + 4096]]) for at in range(0, len(i), 4096)]
+                here = np.concatenate(first) == band
+                i, j = i[here], j[here]
         x, y = ids[i + lo], ids[j]
         yield np.minimum(x, y), np.maximum(x, y)
 
@@ -219,10 +230,10 @@ def _candidates(top: int | None):
         held: list[pa.RecordBatch] = []
 
         def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            bucket, ids, c = (table.column(k).to_numpy() for k in range(3))
-            prints = np.frombuffer(b"".join(table.column(3).to_pylist()), np.uint16).reshape(len(ids), SLOTS)
+            bucket, band, ids, c = (table.column(k).to_numpy() for k in range(4))
+            prints = np.frombuffer(b"".join(table.column(4).to_pylist()), np.uint16).reshape(len(ids), SLOTS)
             cut = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(ids)]))
-            found = [x for a, b in zip(cut, cut[1:]) for x in bucket_pairs(ids[a:b], c[a:b], prints[a:b], top)]
+            found = [x for a, b in zip(cut, cut[1:]) for x in bucket_pairs(ids[a:b], c[a:b], prints[a:b], top, int(band[a]))]
             if found:
                 both = np.unique(np.stack((np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
@@ -242,15 +253,15 @@ def _candidates(top: int | None):
 
 
 def candidates(members: DataFrame, labels: DataFrame | None, top: int | None) -> DataFrame:
-    """(a, b): pairs to test next, from members (bucket, id, prints) and the components so far."""
+    """(a, b): pairs to test next, from members (bucket, band, id, prints) and the components so far."""
     now = members.withColumn("c", F.col("id")) if labels is None else (
         members.join(labels, members["id"] == labels["node"], "left").withColumn("c", F.coalesce("component", "id")))
-    dealt = now.select("bucket", "id", "c", "prints").repartition("bucket").sortWithinPartitions("bucket")
+    dealt = now.select("bucket", "band", "id", "c", "prints").repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(_candidates(top), "a long, b long").distinct()
 
 
 def bounded(members: DataFrame) -> DataFrame:
-    """(bucket, id, n) without a bucket above ``LARGE_BUCKET``.
+    """(bucket, band, id, n, lead) without a bucket above ``LARGE_BUCKET``.
 
     Members of a larger one must share another bucket to meet again: each pair of
     its buckets becomes a bucket, and so on.  Members that agree in so many bands
@@ -260,7 +271,7 @@ def bounded(members: DataFrame) -> DataFrame:
     plain, done = members.select("bucket", "id"), None
     for k in range(SPLITS + 1):
         sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lead")).filter("n > 1")
-        sized = stored(members.join(sizes, "bucket"), "members")
+        sized = stored(members.join(sizes, "bucket").select("bucket", "band", "id", "n", "lead"), "members")
         small = sized.filter(F.col("n") <= LARGE_BUCKET)
         done = small if done is None else done.union(small)
         large = sized.filter(F.col("n") > LARGE_BUCKET)
@@ -268,13 +279,14 @@ def bounded(members: DataFrame) -> DataFrame:
             return done
         members = (large.select("id", "bucket").join(plain.withColumnRenamed("bucket", "other"), "id")
                    .filter("bucket <> other")
-                   .select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other"), F.lit(k)).alias("bucket"), "id")
+                   .select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other"), F.lit(k)).alias("bucket"), F.lit(-1).alias("band"), "id")
                    .distinct())
     part = F.pmod(F.xxhash64("id", "bucket"), F.ceil(F.col("n") / LARGE_BUCKET * 2)).alias("part")
     large = large.select("bucket", "id", "lead", part)
     parts = large.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"), F.min("lead").alias("lead"))
     cut = large.select("bucket", "part", "id").union(parts.select("bucket", "part", F.col("lead").alias("id"))).distinct()
-    cut = cut.join(parts, ["bucket", "part"]).select(F.xxhash64("bucket", "part").alias("bucket"), "id", F.col("n") + 1, "lead")
+    cut = cut.join(parts, ["bucket", "part"]).select(
+        F.xxhash64("bucket", "part").alias("bucket"), F.lit(-1).alias("band"), "id", F.col("n") + 1, "lead")
     return done.union(cut)
 
 
@@ -284,7 +296,8 @@ def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     sets = signed.filter("n_shingles > 0 and id is not null")
     classes = sets.groupBy("print_a", "print_b").agg(
         F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("prints").alias("prints"))
-    members = bounded(classes.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket")).distinct())
+    members = bounded(classes.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "bucket"))
+                      .groupBy("bucket", "id").agg(F.min("band").alias("band")))
     texts = stored(docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
                    .join(members.select("id").distinct(), "id", "left_semi"), "texts")
     # copies belong to their class; an id with several texts ties their classes together
@@ -294,9 +307,9 @@ def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     tied = classed.join(several, "id").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
     # a bucket of two is settled by its one pair
     two = members.filter("n = 2 and id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    more = members.filter("n > 2").select("bucket", "id").join(
+    more = members.filter("n > 2").select("bucket", "band", "id").join(
         classes.groupBy("rep").agg(F.first("prints").alias("prints")), F.col("id") == F.col("rep"))
-    more = stored(more.select("bucket", "id", "prints"), "more")
+    more = stored(more.select("bucket", "band", "id", "prints"), "more")
     tested, labels = None, None
     for top in ROUNDS:
         pairs = candidates(more, labels, top)

@@ -137,26 +137,28 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
 PIECE = 1 << 22
 
 
-def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = buffer_of(batch.column(2))
-        for lo, hi in slices(offsets, SLICE):
-            for at in range(int(offsets[lo]), max(int(offsets[lo]) + 1, int(offsets[hi]) - SPAN + 1), PIECE):
-                end = int(offsets[hi]) if hi - lo > 1 else min(at + PIECE + SPAN - 1, int(offsets[hi]))
-                border = offsets[lo:hi + 1] - at if hi - lo > 1 else np.array([0, end - at])
-                row, place, first, last, gram, sums = winnow.anchors(data[at:end], border, SPAN)
-                if len(row):
-                    whole = winnow.range_hash(sums, first, last + SPAN)
-                    seg = mix(whole + (place - first).astype(np.uint64) * U(0x9FB21C651E98DF25))
-                    which = pa.array(row + lo)
-                    start = at - offsets[lo + row]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(gram.view(np.int64)), pa.array(seg.view(np.int64)),
-                         batch.column(0).take(which), batch.column(1).take(which),
-                         pa.array((first + start).astype(np.int32)), pa.array((last - first + 1).astype(np.int32))],
-                        ["h", "seg", "ta", "tb", "first", "n"])
-                if hi - lo > 1:
-                    break
+def _found(piece: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffer_of(batch.column(2))
+            for lo, hi in slices(offsets, SLICE):
+                for at in range(int(offsets[lo]), max(int(offsets[lo]) + 1, int(offsets[hi]) - SPAN + 1), piece):
+                    end = int(offsets[hi]) if hi - lo > 1 else min(at + piece + SPAN - 1, int(offsets[hi]))
+                    border = offsets[lo:hi + 1] - at if hi - lo > 1 else np.array([0, end - at])
+                    row, place, first, last, gram, sums = winnow.anchors(data[at:end], border, SPAN)
+                    if len(row):
+                        whole = winnow.range_hash(sums, first, last + SPAN)
+                        seg = mix(whole + (place - first).astype(np.uint64) * U(0x9FB21C651E98DF25))
+                        which = pa.array(row + lo)
+                        start = at - offsets[lo + row]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(gram.view(np.int64)), pa.array(seg.view(np.int64)),
+                             batch.column(0).take(which), batch.column(1).take(which),
+                             pa.array((first + start).astype(np.int32)), pa.array((last - first + 1).astype(np.int32))],
+                            ["h", "seg", "ta", "tb", "first", "n"])
+                    if hi - lo > 1:
+                        break
+    return run
 
 
 def _unit(text: Column) -> list[Column]:
@@ -164,14 +166,14 @@ def _unit(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("ta"), F.hash(text).alias("tb")]
 
 
-def segments(texts: DataFrame) -> DataFrame:
+def segments(texts: DataFrame, piece: int = PIECE) -> DataFrame:
     """(h, seg, ta, tb, first, n, occ) of every segment whose anchor occurs more than once.
 
     ``h`` is the anchor, ``seg`` the segment's content, ``first`` the first of the
     ``n`` string starts it owns in the text (ta, tb), ``occ`` how many rows have it there.
     """
     all = stored(texts.filter(F.octet_length("text") >= SPAN).select(*_unit(F.col("text")), "text").mapInArrow(
-        _found, "h long, seg long, ta long, tb int, first int, n int"), "anchors")
+        _found(piece), "h long, seg long, ta long, tb int, first int, n int"), "anchors")
     shared = all.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
     return stored(all.join(shared, "h").groupBy("h", "seg", "ta", "tb", "first", "n").agg(F.count(F.lit(1)).alias("occ")),
                   "segments")
@@ -332,9 +334,9 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # the whole -------------------------------------------------------------------
 
-def repeated_starts(texts: DataFrame, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
+def repeated_starts(texts: DataFrame, shard_segments: int = SHARD_SEGMENTS, piece: int = PIECE) -> DataFrame:
     """(ta, tb, runs): for each text the stretches of places where a repeated string starts."""
-    held = segments(texts)
+    held = segments(texts, piece)
     segs = stored(held.groupBy("h", "seg").agg(
         F.sum("occ").alias("occ"), *[F.first(c).alias(c) for c in ("ta", "tb", "first", "n")]), "distinct")
     several = segs.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
@@ -392,11 +394,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
 
-def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
+def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", shard_segments: int = SHARD_SEGMENTS,
+                    piece: int = PIECE) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept) for every row of ``docs``;
     ``kept`` holds the remaining bytes, ``spans`` what was removed."""
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    runs = repeated_starts(rows.select("text"), shard_segments)
+    runs = repeated_starts(rows.select("text"), shard_segments, piece)
     joined = rows.select("id", "text", *_unit(F.col("text"))).join(runs, ["ta", "tb"], "left").select("id", "text", "runs")
     return joined.mapInArrow(_cut, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, "
                                    "kept_sha256 string, spans array<struct<lo:int,hi:int>>, kept binary"
