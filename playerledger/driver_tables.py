@@ -32,8 +32,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import catalog, schema
-from .dims import dimension_from_lines
+from . import catalog, schema
+from .sources.dims import dimension_from_lines
 
 
 _SPLITS: dict = {}
@@ -89,8 +89,6 @@ PRIORITY_CURRENCY = {
 }
 
 
-SPARK_TYPE = {"S": "STRING", "L": "BIGINT", "I": "INT", "D": "DOUBLE"}
-
 _EVENT_FIELDS = {
     "CONNECT": schema.CONNECT,
     "LOGIN": schema.LOGIN,
@@ -120,7 +118,7 @@ def _json(name: str, values: dict[str, str]) -> str:
         if field == "event_name":
             parts.append(f"'{field}', '{name}'")
         elif field in values:
-            parts.append(f"'{field}', CAST({values[field]} AS {SPARK_TYPE[kind]})")
+            parts.append(f"'{field}', CAST({values[field]} AS {kind.upper() if kind != "long" else "BIGINT"})")
     return f"to_json(named_struct({', '.join(parts)}))"
 
 
@@ -341,7 +339,7 @@ def rate_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_rate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pipe-delimited daily rate lines ``yyyyMMdd|curr|source|rate`` from the snapshots."""
-    from .rates import currency_rates
+    from .sources.rates import currency_rates
     snap = currency_rates(rate_snapshots(spark, sf_dir))
     day = F.date_format(F.timestamp_millis("as_of"), "yyyyMMdd")
     return snap.select(F.concat_ws("|", day, F.col("curr"), F.lit("orders"), F.col("us_val").cast("string")).alias("value"))

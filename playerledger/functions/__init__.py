@@ -2,11 +2,11 @@
 
 from .time import day_key, epoch_ms_to_datetime, event_time, month_part, week_part
 from .keys import doc_id, KEY_SHAPES, key_for
-from .columns import fill_status, select_fields, status_copy, usd_amount
+from .columns import fill_status, usd_amount
 from .sparse import sparse_string_map
 
 __all__ = [
     "day_key", "epoch_ms_to_datetime", "event_time", "month_part", "week_part",
-    "doc_id", "KEY_SHAPES", "key_for", "fill_status", "select_fields", "status_copy",
-    "usd_amount", "sparse_string_map",
+    "doc_id", "KEY_SHAPES", "key_for", "fill_status", "usd_amount",
+    "sparse_string_map",
 ]

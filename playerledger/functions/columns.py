@@ -1,17 +1,10 @@
-"""Projection helpers."""
+"""Projection helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import schema
-
-
-def select_fields(df: DataFrame, *lists) -> DataFrame:
-    """Select the de-duplicated union of field lists / names."""
-    return df.select(*schema.names(*lists))
-
 
 def fill_status(df: DataFrame, column: str = "transaction_status_id", value: int = -1) -> DataFrame:
     """A missing status means the approved path (-1)."""
@@ -23,8 +16,3 @@ def usd_amount(amount, rate) -> Column:
     a = F.col(amount) if isinstance(amount, str) else amount
     r = F.col(rate) if isinstance(rate, str) else rate
     return F.try_divide(a, r)
-
-
-def status_copy(df: DataFrame, target: str, source: str = "event_datetime") -> DataFrame:
-    """Copy a column under a status-specific name."""
-    return df.withColumn(target, F.col(source))

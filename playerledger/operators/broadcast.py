@@ -1,9 +1,9 @@
 """Broadcast only behind a size check.
 
-A lookup side is broadcast when its row count is known to be within a bound;
-above it the join is left to the planner (shuffle join, which AQE may still
-turn into a broadcast at run time from measured sizes).  Counting is cheap
-because lookup frames are cached once per process by their owners.
+A lookup side is broadcast when its measured size is within a bound; above it
+the join is left to the planner (shuffle join, which AQE may still turn into a
+broadcast at run time).  Lookups are cached once per process by their owners, so
+their size in bytes is known after one count.
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookups are id -> short name pairs; 2M rows stay well under 100 MB.
-MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def checked_broadcast(df: DataFrame, rows: int | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
+def checked_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if the cached frame ``df`` takes at most ``max_bytes``, else ``df`` unchanged."""
+    df.count()  # fills the cache: the plan's size is measured, not estimated
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= max_bytes else df

@@ -11,9 +11,9 @@ lists come from the shared field constants.
 from __future__ import annotations
 
 from . import catalog, schema
-from .sources.driver_tables import EVENT_FANOUT, PRIORITY_CURRENCY
+from .driver_tables import EVENT_FANOUT, PRIORITY_CURRENCY
 
-SQL_TYPE = {"S": "VARCHAR", "L": "BIGINT", "I": "INTEGER", "D": "DOUBLE"}
+SQL_TYPE = {"string": "VARCHAR", "long": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
 ALL = list(catalog.PIPELINE_EVENTS)
 
 
@@ -348,8 +348,7 @@ def changes_sql(p: str) -> tuple[list[str], str]:
         body = _sel(1, cols + [f"{MONTH()} AS date_part", f"{KEY('player_cluster_session_txn')} AS id"],
                     "enr", "event_name = 'DEPOSIT_TRIGGER'")
     elif p == "userGameProfile":
-        from .plans.game_profile import REQUIRED, SKIPPED
-        optional = [n for n, _ in schema.GAME_PROFILE if n not in SKIPPED]
+        from .plans.game_profile import OPTIONAL as optional, REQUIRED
         entries = {k: (f"{KEY('player_cluster')}" if k == "id" else k) for k in REQUIRED}
         entries.update({k: k for k in optional})
         parts = []
@@ -472,58 +471,61 @@ def _local_changes(p: str) -> tuple[list[str], str]:
     return out, body
 
 
-def shared_batch_query() -> str:
-    ctes = base_ctes()
-    parts = []
-    for p in ALL:
+# The string fields a game profile adds to the player's document.
+GAME_PROFILE_FIELDS = ("player_id", "cluster_id", "event_name", "event_datetime", "base_name", "game_language_id",
+                       "game_world_id", "is_test_player", "is_vip", "location_x", "location_y", "user_name")
+
+
+def _table_changes(pipelines) -> tuple[list[str], str, list[str]]:
+    """(ctes, union of the change rows, document fields) of pipelines that share a table."""
+    ctes, parts, fields = [], [], {}
+    for p in pipelines:
         local, body = _local_changes(p)
-        sfx = "_" + p.lower()
-        ctes += local
-        ctes.append(f"ch{sfx} AS (\n{body})")
-        table, split = catalog.PIPELINE_TABLE[p]
-        dp = "date_part" if split else f"'{catalog.NO_DATE_PART}'"
-        parts.append(f"SELECT '{table}' AS doc_table, {dp} AS date_part, id FROM ch{sfx}")
-    ctes.append("keys AS (" + "\nUNION ALL\n".join(parts) + ")")
-    return with_ctes(ctes, "SELECT doc_table, count(*) AS documents FROM (SELECT DISTINCT doc_table, date_part, id "
-                           "FROM keys WHERE id IS NOT NULL AND date_part IS NOT NULL) GROUP BY doc_table")
-
-
-def player360_query() -> str:
-    from .operators.merge import GAME_PROFILE_KEYS
-    ctes = base_ctes()
-    parts = []
-    fields: dict[str, None] = {}
-    for p in ("userGameProfile", "profile", "regs", "set_level"):
-        pc, body = changes_sql(p)
-        # rename pipeline-local CTEs so the four pipelines can share one WITH
-        sfx = "_" + p.lower()
-        local = pc[len(base_ctes()):]
-        for c in local:
-            nm = c.split(" AS ", 1)[0]
-            ctes_text = c
-            for other in ("parsed", "enr", "b"):
-                ctes_text = _rename(ctes_text, other, other + sfx)
-            for d in catalog.dims_for([p]):
-                ctes_text = _rename(ctes_text, f"dim_{d}", f"dim_{d}{sfx}")
-            ctes.append(ctes_text)
-        b = body
-        for other in ("parsed", "enr", "b"):
-            b = _rename(b, other, other + sfx)
-        ctes.append(f"ch{sfx} AS (\n{b})")
+        ctes += local + [f"ch_{p.lower()} AS (\n{body})"]
         if p == "userGameProfile":
-            spread = ", ".join(f"json_extract_string(doc_json, '$.{k}') AS {k}"
-                               for k in ("player_id", "cluster_id", "event_name", "event_datetime")
-                               + GAME_PROFILE_KEYS)
-            parts.append(f"SELECT id, write_rank, {spread}, {HIDDEN} FROM ch{sfx}")
-            for k in ("player_id", "cluster_id", "event_name", "event_datetime") + GAME_PROFILE_KEYS:
-                fields.setdefault(k, None)
+            spread = ", ".join(f"json_extract_string(doc_json, '$.{k}') AS {k}" for k in GAME_PROFILE_FIELDS)
+            parts.append(f"SELECT id, write_rank, {spread}, {HIDDEN} FROM ch_{p.lower()}")
+            fields.update(dict.fromkeys(GAME_PROFILE_FIELDS))
         else:
-            parts.append(f"SELECT * FROM ch{sfx}")
-            for f in _change_fields(p):
-                fields.setdefault(f, None)
-    ctes.append("ch0 AS (" + "\nUNION ALL BY NAME\n".join(parts) + ")")
-    ctes.append(f"ch AS (SELECT *, '{catalog.NO_DATE_PART}' AS date_part FROM ch0)")
-    return with_ctes(ctes, merge_body(list(fields)))
+            parts.append(f"SELECT * FROM ch_{p.lower()}")
+            fields.update(dict.fromkeys(_change_fields(p)))
+    union = "\nUNION ALL BY NAME\n".join(parts)
+    if catalog.PIPELINE_TABLE[pipelines[0]][1] is None:
+        union = f"SELECT *, '{catalog.NO_DATE_PART}' AS date_part FROM ({union})"
+    return ctes, union, list(fields)
+
+
+def shared_batch_query() -> str:
+    """For every document table and field: values set, least and largest as text."""
+    ctes, parts = base_ctes(), []
+    for table in sorted({t for t, _ in catalog.PIPELINE_TABLE.values()}):
+        local, union, fields = _table_changes([p for p in ALL if catalog.PIPELINE_TABLE[p][0] == table])
+        ctes += local + [f"u_{table} AS (\n{union})", f"m_{table} AS ({merge_body(fields, f'u_{table}')})"]
+        for f in [*fields, "id"]:
+            text = f"CAST(CAST(round({f} * 100) AS BIGINT) AS VARCHAR)" if _is_double(f) else f"CAST({f} AS VARCHAR)"
+            parts.append(f"SELECT '{table}' AS doc_table, '{f}' AS field, count({f}) AS n, min({text}) AS least, "
+                         f"max({text}) AS largest FROM m_{table}")
+    return with_ctes(ctes, "\nUNION ALL\n".join(parts))
+
+
+def _is_double(field: str) -> bool:
+    return field == "usd_deposit" or schema.FIELD_KIND.get(field) == "double"
+
+
+def player360_query(pipelines=("userGameProfile", "profile", "regs", "set_level")) -> str:
+    local, union, fields = _table_changes(list(pipelines))
+    return with_ctes(base_ctes() + local + [f"ch AS (\n{union})"], merge_body(fields))
+
+
+def dead_letters_query() -> str:
+    """Lines lost by the damage that the offset decides, and the documents of the rest."""
+    ctes, body = changes_sql("regs")
+    ctes.append(f"ch AS (\n{body})")
+    kinds = {0: "unroutable", 1: "wrong type", 2: "no id"}
+    lost = "\nUNION ALL\n".join(f"SELECT '{k}' AS kind, partition, offset FROM parsed WHERE offset % 7 = {n}"
+                                 for n, k in kinds.items())
+    return with_ctes(ctes, f"{lost}\nUNION ALL\nSELECT 'documents', NULL, count(DISTINCT id) FROM ch "
+                           "WHERE __o % 7 > 2 AND id IS NOT NULL")
 
 
 def _rename(sql: str, old: str, new: str) -> str:
@@ -549,6 +551,7 @@ def enriched_query(pipelines, cols: str, where: str = "TRUE", extra_ctes=()) ->
 
 
 S6_AT_MS = 902062800000
+S6_TIMES = (600000000000, 902016000000, 902016000000 + 43200000, S6_AT_MS, 1000000000000)
 
 
 def _quote_envelope(sql: str) -> str:
@@ -586,6 +589,21 @@ def _oracle_queries() -> dict[str, str]:
         RATES_CTES[:2],
         f"SELECT curr, us_val, as_of, ({S6_AT_MS} - as_of) > {catalog.RATE_TTL_MS} AS stale FROM rates_all "
         f"WHERE as_of = (SELECT max(as_of) FROM rates_all WHERE as_of <= {S6_AT_MS})")
+    times = ", ".join(f"({t})" for t in S6_TIMES)
+    q["s6_rates_refresh"] = with_ctes(
+        RATES_CTES[:2] + [f"times(at_ms) AS (VALUES {times})",
+                          "newest AS (SELECT at_ms, max(as_of) AS as_of FROM times JOIN rates_all ON as_of <= at_ms GROUP BY at_ms)"],
+        f"SELECT CAST(at_ms AS BIGINT) AS at_ms, curr, us_val, as_of, (at_ms - as_of) > {catalog.RATE_TTL_MS} AS stale "
+        "FROM newest JOIN rates_all USING (as_of)")
+    sessions = ", ".join(f"'{n}'" for n in catalog.events_for(["sessions"]))
+    q["s9_batch_metrics"] = with_ctes(
+        base_ctes() + [parsed_cte(ALL)],
+        "SELECT topic, partition, min(offset) AS from_offset, max(offset) + 1 AS until_offset, count(*) AS messages, "
+        f"count(*) FILTER (WHERE event_name IN ({sessions})) AS routed, "
+        "CAST(sum(count(*)) OVER () AS BIGINT) AS total, "
+        f"CAST(sum(count(*) FILTER (WHERE event_name IN ({sessions}))) OVER () AS BIGINT) AS rows "
+        "FROM parsed GROUP BY topic, partition")
+    q["s7_dead_letters"] = dead_letters_query()
     q["s2_archive_range"] = lines_query(
         ["sessions"], f"day({T('event_ts')}) BETWEEN 10 AND 40",
         f"topic, partition, offset, CAST(day({T('event_ts')}) AS INTEGER) AS archive_no")
@@ -636,12 +654,13 @@ def _oracle_queries() -> dict[str, str]:
     for p, key in names.items():
         q[key] = changes_query(p)
     q["k1_merge"] = merged_query("deposits")
-    q["k2_append"] = changes_query("battle")
+    q["k2_append"] = f"SELECT * EXCLUDE (write_rank) FROM ({changes_query('battle')})"
     q["k3_partitioned"] = merged_query("deposits", "date_part >= '1998-01'")
     q["k4_player360"] = player360_query()
-    q["t1_stream_equals_batch"] = merged_query("sessions")
+    q["t1_stream_equals_batch"] = shared_batch_query()
     q["t4_backfill"] = merged_query("progress")
     q["t3_shared_batch"] = shared_batch_query()
     q["t5_late_replay"] = merged_query("deposits")
+    q["t5_two_jobs"] = player360_query(("profile", "regs", "set_level"))
     q["a2_batch_count"] = with_ctes(base_ctes() + [parsed_cte(ALL)], "SELECT count(*) AS rows FROM parsed")
     return q

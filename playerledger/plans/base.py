@@ -149,5 +149,9 @@ class EventPlan:
         any_kind, out, present = self.projection()
         return pre.where(any_kind).select(*out, *([present] if ctx.with_present else []))
 
+    def documents(self, changes: DataFrame) -> DataFrame:
+        """The changes in the columns of the document table."""
+        return changes
+
 
 BASE_SELECT = schema.BASE_SELECT

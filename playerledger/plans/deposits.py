@@ -15,17 +15,18 @@ from ..operators.enrich import join_rates
 from ..sources.rates import RATES_SCHEMA
 from .base import BASE_SELECT, DocKind, EventPlan, cols, month_of
 
-# Fields the approved-status document leaves out (so it cannot blank them).
+# Fields the approved-status document leaves out (so it cannot blank them).
 APPROVED_DROPS = ("original_offer_amount", "payment_method_id", "bonus_amount_1", "bonus_amount_2",
                   "receive_amount_1")
 
-# (status id, time field, write rank) of the other result documents.
+# Fixed values: (status id, time field, write rank) of the other result documents.
 STATUS_DOCS = ((2, "refused_status_time", 3), (3, "canceled_status_time", 4),
                (4, "pending_status_time", 5), (5, "error_status_time", 6))
 
-STATUS_COLUMNS = ("player_id", "id", "date_part", None, "event_datetime", "event_name",
-                  "transaction_status_id", "session_id", "network_name", "internal_transaction_id",
-                  "network_id", "cluster_id", "cluster_name")
+# What every status document has: the common fields without the raw time, the names
+# of the base lookups, the transaction and its status.
+STATUS_COLUMNS = [c for c in schema.names(schema.BASE, BASE_SELECT, ["event_datetime", "internal_transaction_id",
+                                                                     "transaction_status_id"]) if c != "event_ts"]
 
 
 class Deposits(EventPlan):
@@ -52,15 +53,7 @@ class Deposits(EventPlan):
             DocKind("approved", 2, result & status.isin(1, -1), approved),
         ]
         for sid, time_col, rank in STATUS_DOCS:
-            spec = []
-            for c in STATUS_COLUMNS:
-                if c is None:
-                    spec.append((time_col, F.col("event_datetime")))
-                elif c == "id":
-                    spec.append(("id", key_for("player_txn")))
-                elif c == "date_part":
-                    spec.append(("date_part", month_of()))
-                else:
-                    spec.append(c)
+            spec = [*STATUS_COLUMNS, ("id", key_for("player_txn")), ("date_part", month_of()),
+                    (time_col, F.col("event_datetime"))]
             out.append(DocKind(time_col.split("_")[0], rank, result & (status == sid), spec))
         return out

@@ -1,8 +1,8 @@
 """Registered queries: one per operator / pipeline, over the driver tables.
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame.  All of them
-read the parquet tables (through ``sources.driver_tables``) and run the
-library's own code path, so their work grows with the tables.
+read the parquet tables (through ``driver_tables``) and run the library's own
+code path, the one jobs run, so their work grows with the tables.
 """
 
 from __future__ import annotations
@@ -13,22 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import catalog, schema
+from . import driver_tables as dt
 from .functions import day_key, doc_id, epoch_ms_to_datetime, event_time, month_part, week_part
 from .functions.columns import fill_status, usd_amount
 from .functions.keys import KEY_SHAPES
-from .operators.broadcast import checked_broadcast
+from .operators.enrich import join_rates
 from .operators.latest import latest_per_key, max_per_key
-from .operators.merge import merge_documents, player_360_changes, seq_column
+from .operators.merge import merge_documents, seq_column
 from .plans import PLANS, PlanContext
 from .session import ensure_utc, work_folder
 from .sinks.doc_table import DocumentStore
-from .sources import driver_tables as dt
 from .sources.archive import archive_range_scan
 from .sources.audit import offset_audit
 from .sources.dims import dimension_from_lines
 from .sources.events import parse_events, prefilter_event_names, prefilter_product_action
-from .sources.rates import currency_rates, daily_currency_rates, latest_rates
-from .streaming.batch import Job, load_dimensions, prepare_batch, process_batch
+from .sources.rates import currency_rates, daily_currency_rates, latest_rates, rates_with_refresh
+from .streaming.backfill import run_backfill
+from .streaming.batch import (
+    Job, dead_letters, load_dimensions, pipeline_changes, pipeline_rows, process_batch, route_batch)
 from .streaming.stream import run_stream
 
 ALL = list(catalog.PIPELINE_EVENTS)
@@ -54,19 +56,34 @@ def _dims(spark: SparkSession, sf: str, names) -> dict[str, DataFrame]:
     return load_dimensions(loader, list(names), cache)
 
 
-def enriched(spark: SparkSession, sf: str, pipelines) -> DataFrame:
-    ensure_utc(spark)
-    lines = dt.game_event_lines(spark, sf, pipelines)
-    return prepare_batch(lines, list(pipelines), _dims(spark, sf, catalog.dims_for(pipelines)))
+def release_dimensions() -> None:
+    """Drop the lookups kept for this process; the next query loads them anew."""
+    for cache in _DIM_CACHE.values():
+        for dim in cache.values():
+            dim.unpersist()
+    _DIM_CACHE.clear()
+
+
+def enriched(spark: SparkSession, sf: str, pipeline: str) -> DataFrame:
+    """One pipeline's rows, as a batch parses and enriches them."""
+    lines = dt.game_event_lines(spark, sf, [pipeline])
+    return pipeline_rows(route_batch(lines, [pipeline]), pipeline, _dims(spark, sf, PLANS[pipeline].dims))
+
+
+def parsed(spark: SparkSession, sf: str, pipelines, fields) -> DataFrame:
+    """Routed lines of ``pipelines`` with only ``fields`` parsed."""
+    lines = route_batch(dt.game_event_lines(spark, sf, pipelines), pipelines).where(F.col("__event") != "")
+    return parse_events(lines, [(n, k) for n, k in schema.ALL_FIELDS if n in fields], keep_corrupt=False)
 
 
 def newest_rates(spark: SparkSession, sf: str) -> DataFrame:
-    return latest_rates(currency_rates(dt.rate_snapshots(spark, sf))).select("curr", "us_val")
+    """The currencies of one snapshot: small enough to broadcast uncounted."""
+    return F.broadcast(latest_rates(dt.rate_snapshots(spark, sf)).select("curr", "us_val"))
 
 
 def changes(spark: SparkSession, sf: str, pipeline: str) -> DataFrame:
-    ctx = PlanContext(rates=checked_broadcast(newest_rates(spark, sf)) if pipeline == "deposits" else None)
-    return PLANS[pipeline].changes(enriched(spark, sf, [pipeline]), ctx)
+    ctx = PlanContext(rates=newest_rates(spark, sf) if pipeline == "deposits" else None)
+    return pipeline_changes(dt.game_event_lines(spark, sf, [pipeline]), pipeline, _dims(spark, sf, PLANS[pipeline].dims), ctx)
 
 
 def _public(df: DataFrame) -> DataFrame:
@@ -154,7 +171,22 @@ S6_AT_MS = 902062800000
 
 def s6_latest_rates(spark, sf):
     ensure_utc(spark)
-    return latest_rates(currency_rates(dt.rate_snapshots(spark, sf)), at_ms=S6_AT_MS)
+    return latest_rates(dt.rate_snapshots(spark, sf), at_ms=S6_AT_MS)
+
+
+# Batch times: before all snapshots, at one, within its refresh age, and long after the last.
+S6_TIMES = (600000000000, 902016000000, 902016000000 + catalog.RATE_TTL_MS, S6_AT_MS, 1000000000000)
+
+
+def s6_rates_refresh(spark, sf):
+    """A job's rate provider asked at several batch times."""
+    snapshots = dt.rate_snapshots(spark, sf)
+    provider = rates_with_refresh(lambda: snapshots)
+    out = None
+    for t in S6_TIMES:
+        rates = provider(t).select(F.lit(t).cast("long").alias("at_ms"), "curr", "us_val", "as_of", "stale")
+        out = rates if out is None else out.unionByName(rates)
+    return out
 
 
 def s2_archive_range(spark, sf):
@@ -205,34 +237,29 @@ def p4_day(spark, sf):
 
 def p5_doc_id(spark, sf):
     """The seven id shapes over the parsed rows of all pipelines."""
-    ensure_utc(spark)
-    fields = schema.union_fields(*(PLANS[p].fields for p in ALL))
-    rows = parse_events(dt.game_event_lines(spark, sf, ALL), fields, keep_corrupt=False)
+    rows = parsed(spark, sf, ALL, {n for parts in KEY_SHAPES.values() for n in parts})
     return rows.select("topic", "partition", "offset",
                        *[doc_id(*parts).alias(f"id_{name}") for name, parts in KEY_SHAPES.items()])
 
 
 def p9_fill(spark, sf):
-    rows = enriched(spark, sf, ["deposits"]).where(F.col("event_name") == "TRANSACTION_RESULT")
-    return fill_status(rows).select("offset", "transaction_status_id")
+    rows = parsed(spark, sf, ["deposits"], {"event_name", "transaction_status_id"})
+    return fill_status(rows.where(F.col("event_name") == "TRANSACTION_RESULT")).select("offset", "transaction_status_id")
 
 
 def p10_usd(spark, sf):
-    rows = enriched(spark, sf, ["deposits"])
-    rates = checked_broadcast(newest_rates(spark, sf))
-    j = rows.join(rates, rows["deposit_currency"] == rates["curr"], "left")
+    rows = parsed(spark, sf, ["deposits"], {"deposit_currency", "deposit_amount"})
+    j = join_rates(rows, newest_rates(spark, sf))
     return j.select("partition", "offset", "deposit_currency", usd_amount("deposit_amount", "us_val").alias("usd_deposit"))
 
 
 def j2_rates(spark, sf):
-    rows = enriched(spark, sf, ["deposits"])
-    rates = checked_broadcast(newest_rates(spark, sf))
-    j = rows.join(rates, rows["deposit_currency"] == rates["curr"], "left")
-    return j.select("partition", "offset", "deposit_currency", "us_val")
+    rows = parsed(spark, sf, ["deposits"], {"deposit_currency"})
+    return join_rates(rows, newest_rates(spark, sf)).select("partition", "offset", "deposit_currency", "us_val")
 
 
 def f3_predicates(spark, sf):
-    rows = enriched(spark, sf, ["set_level"])
+    rows = parsed(spark, sf, ["set_level"], {"event_name", "player_id", "level_type_id", "level_id"})
     keep = (F.col("event_name") == "SET_LEVEL") & ((F.col("level_type_id") == 1) | (F.col("level_type_id") == 2))
     return rows.where(keep).select("offset", "player_id", "level_type_id", "level_id")
 
@@ -242,20 +269,24 @@ def p12_sparse_map(spark, sf):
 
 
 def j1_dims(spark, sf):
-    rows = enriched(spark, sf, ["sessions", "progress"])
+    """Lookup names of two pipelines' rows; a lookup the other pipeline joins is null."""
+    rows = enriched(spark, sf, "sessions").unionByName(enriched(spark, sf, "progress"), allowMissingColumns=True)
     return rows.select("topic", "partition", "offset", "event_name", "cluster_name", "network_name",
                        "country_name", "device_name", "progress_type_name", "progress_status_name", "quest_name")
 
 
+def _profile_rows(spark, sf):
+    rows = parsed(spark, sf, ["profile"], {"event_name", "player_id", "cluster_id", "event_ts"})
+    return rows.where(F.col("event_name") == "USER_PROFILE")
+
+
 def a1_max(spark, sf):
-    rows = enriched(spark, sf, ["profile"]).where(F.col("event_name") == "USER_PROFILE")
-    return max_per_key(rows, ["player_id", "cluster_id"], "event_ts", "max_ts")
+    return max_per_key(_profile_rows(spark, sf), ["player_id", "cluster_id"], "event_ts", "max_ts")
 
 
 def _daily_profile_rows(spark, sf):
-    rows = enriched(spark, sf, ["profile"]).where(F.col("event_name") == "USER_PROFILE")
     # order by day so that several events of one day tie
-    return rows.withColumn("day_ms", F.unix_millis(F.date_trunc("day", event_time("event_ts"))))
+    return _profile_rows(spark, sf).withColumn("day_ms", F.unix_millis(F.date_trunc("day", event_time("event_ts"))))
 
 
 def l1_latest_ties(spark, sf):
@@ -279,91 +310,100 @@ def k1_merge(spark, sf):
     return merge_documents(_change_rows(changes(spark, sf, "deposits")))
 
 
-def k4_player360(spark, sf):
-    parts = [changes(spark, sf, p) for p in ("userGameProfile", "profile", "regs", "set_level")]
-    return merge_documents(_change_rows(player_360_changes(parts)))
+def _job(spark, sf, pipelines, folder, **more) -> Job:
+    ensure_utc(spark)
+    return Job(pipelines=pipelines, dims=_dims(spark, sf, catalog.dims_for(pipelines)),
+               store=DocumentStore(spark, work_folder(spark, folder)), **more)
 
 
-def _store(spark, name):
-    return DocumentStore(spark, work_folder(spark, name))
+def _cut(lines: DataFrame, parts: int) -> list[DataFrame]:
+    """The feed in parts that keep a player together."""
+    part = F.pmod(F.xxhash64(F.get_json_object("value", "$.player_id")), F.lit(parts))
+    return [lines.where(part == k) for k in range(parts)]
+
+
+def k4_player360(spark, sf):
+    """Player profiles from a job of four pipelines: two batches, compacted between."""
+    pipelines = ["userGameProfile", "profile", "regs", "set_level"]
+    job = _job(spark, sf, pipelines, "player360")
+    for batch_id, some in enumerate((pipelines[:2], pipelines[2:])):
+        process_batch(job, dt.game_event_lines(spark, sf, some), batch_id)
+        if batch_id == 0:
+            job.compact()
+    return job.table("profile").documents()
 
 
 def k2_append(spark, sf):
-    """Battle documents in append mode: stored as they come, read back."""
-    store = _store(spark, "append")
-    table = store.table("battle")
-    table.append_documents(changes(spark, sf, "battle"), 0, "battle")
-    return spark.read.parquet(f"{table.path}/append").drop("batch_id", "source")
+    """Battle documents by a job in append mode: stored as they come, read back."""
+    job = _job(spark, sf, ["battle"], "append", mode="append", game="arena", max_records_per_file=100_000)
+    process_batch(job, dt.game_event_lines(spark, sf, ["battle"]), 0)
+    return job.table("battle").appended()
 
 
 def k3_partitioned(spark, sf):
     """Deposit documents compacted into a date-split snapshot; a month range read back."""
-    store = _store(spark, "dated")
-    table = store.table("deposits")
-    table.write_changes(changes(spark, sf, "deposits"), 0, "deposits")
-    table.compact(0)
-    docs = table.documents()
-    return docs.where(F.col("date_part") >= "1998-01")
+    job = _job(spark, sf, ["deposits"], "dated")
+    table = job.table("deposits")
+    table.write_changes(changes(spark, sf, "deposits"), "once", 0, "deposits")
+    table.compact()
+    return table.documents().where(F.col("date_part") >= "1998-01")
 
 
-def _sessions_store_docs(spark, sf, streaming: bool):
-    ensure_utc(spark)
-    store = _store(spark, "stream" if streaming else "backfill")
-    dims = _dims(spark, sf, catalog.dims_for(["sessions"]))
-    job = Job(pipelines=["sessions"], dims=dims, store=store)
-    return store, job
+def _contents(docs: DataFrame, table: str) -> DataFrame:
+    """For each field of a document table: values set, and the least and largest as text."""
+    fields = [f for f in docs.schema if f.name not in ("date_part", "id")]
+
+    def text(f):
+        # whole cents, so that engines print the same text
+        return F.round(F.col(f.name) * 100).cast("long").cast("string") if f.dataType.simpleString() == "double" else (
+            F.col(f.name).cast("string"))
+    stats = [F.struct(F.lit(f.name).alias("field"), F.count(f.name).alias("n"), F.min(text(f)).alias("least"),
+                      F.max(text(f)).alias("largest")) for f in fields]
+    stats.append(F.struct(F.lit("id").alias("field"), F.count("id").alias("n"), F.min("id").alias("least"),
+                          F.max("id").alias("largest")))
+    return docs.agg(F.array(*stats).alias("s")).select(F.lit(table).alias("doc_table"), F.inline("s"))
+
+
+def _all_contents(job: Job) -> DataFrame:
+    out = None
+    for t in sorted({catalog.PIPELINE_TABLE[p][0] for p in job.pipelines}):
+        c = _contents(job.store.table(t).documents(), t)
+        out = c if out is None else out.unionByName(c)
+    return out
 
 
 def t1_stream_equals_batch(spark, sf):
-    """Session documents from a file stream (availableNow) into the document store."""
-    store, job = _sessions_store_docs(spark, sf, True)
+    """All eleven pipelines from a file stream in several micro-batches, compacted on the way."""
+    job = _job(spark, sf, ALL, "stream", rates=rates_with_refresh(dt.rate_snapshots(spark, sf).persist()), compact_every=1)
     src = work_folder(spark, "stream-src")
-    dt.game_event_lines(spark, sf, ["sessions"]).repartition(4).write.mode("overwrite").parquet(src)
-    q = run_stream(spark, job, {"format": "parquet", "path": src}, name="sessions",
-                   available_now=True, checkpoint=f"{store.root}/_checkpoint", max_per_trigger=2)
+    # files keep a player together, so latest-per-player rows do not depend on the cut
+    player = F.get_json_object("value", "$.player_id")
+    dt.game_event_lines(spark, sf, ALL).repartition(player).write.mode("overwrite").parquet(src)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    q = run_stream(spark, job, {"format": "parquet", "path": src}, name="all", available_now=True,
+                   checkpoint=f"{job.store.root}/_checkpoint", max_per_trigger=max(1, files // 2))
     q.awaitTermination()
-    return store.table("sessions").documents()
+    return _all_contents(job)
 
 
 def t4_backfill(spark, sf):
-    """Progress documents backfilled from the day-numbered archive, in two batches.
-
-    The first batch is compacted before the second one is merged on read.
-    """
-    ensure_utc(spark)
-    store = _store(spark, "progress")
-    dims = _dims(spark, sf, catalog.dims_for(["progress"]))
-    job = Job(pipelines=["progress"], dims=dims, store=store)
+    """Progress documents backfilled from the numbered archive (one folder a day), a week a batch."""
+    job = _job(spark, sf, ["progress"], "progress", compact_every=2)
     root = work_folder(spark, "progress-archive")
     lines = dt.game_event_lines(spark, sf, ["progress"])
     ts = F.timestamp_millis(F.get_json_object("value", "$.event_ts").cast("long"))
     (lines.select("value", F.dayofmonth(ts).alias("archive_no"))
      .hint("rebalance", "archive_no").write.mode("overwrite").partitionBy("archive_no").text(root))
-    for batch_id, (lo, hi) in enumerate(((1, 15), (16, 40))):
-        process_batch(job, archive_range_scan(spark, root, lo, hi), batch_id)
-        if batch_id == 0:
-            store.table("progress").compact(0)
-    return store.table("progress").documents()
+    run_backfill(spark, job, f"{root}/archive_no=", 1, 40, layout="numbered", slice_size=7)
+    return job.table("progress").documents()
 
 
 def t3_shared_batch(spark, sf):
-    """All eleven pipelines in one batch on one shared parse; documents per table."""
-    ensure_utc(spark)
-    store = _store(spark, "all")
-    dims = _dims(spark, sf, catalog.dims_for(ALL))
-    rates = newest_rates(spark, sf).persist()
-    job = Job(pipelines=ALL, dims=dims, store=store, rates=lambda _t: rates)
-    try:
-        process_batch(job, dt.game_event_lines(spark, sf, ALL), 0)
-    finally:
-        rates.unpersist()
-    tables = sorted({catalog.PIPELINE_TABLE[p][0] for p in ALL})
-    out = None
-    for t in tables:
-        docs = store.table(t).documents()
-        c = docs.agg(F.count(F.lit(1)).alias("documents")).select(F.lit(t).alias("doc_table"), "documents")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """All eleven pipelines in one batch on one routed feed; what every table holds, field by field."""
+    rates = newest_rates(spark, sf)
+    job = _job(spark, sf, ALL, "all", rates=lambda _t: rates)
+    process_batch(job, dt.game_event_lines(spark, sf, ALL), 0)
+    return _all_contents(job)
 
 
 def t5_late_replay(spark, sf):
@@ -371,11 +411,8 @@ def t5_late_replay(spark, sf):
 
     Documents must equal merging all changes at once (event-time order).
     """
-    ensure_utc(spark)
-    store = _store(spark, "late")
-    dims = _dims(spark, sf, catalog.dims_for(["deposits"]))
-    rates = newest_rates(spark, sf).persist()
-    job = Job(pipelines=["deposits"], dims=dims, store=store, rates=lambda _t: rates)
+    rates = newest_rates(spark, sf)
+    job = _job(spark, sf, ["deposits"], "late", rates=lambda _t: rates)
     # the simulated source holds the feed once, as a broker would; each batch reads its slice
     year = F.year(F.timestamp_millis(F.get_json_object("value", "$.event_ts").cast("long")))
     lines = dt.game_event_lines(spark, sf, ["deposits"]).withColumn("__year", year).persist()
@@ -385,22 +422,75 @@ def t5_late_replay(spark, sf):
         for batch_id, cond in enumerate(buckets):
             process_batch(job, lines.where(cond).drop("__year"), batch_id)
             if batch_id == 1:
-                store.table("deposits").compact(1)
+                job.compact()
         process_batch(job, lines.where(buckets[0]).drop("__year"), 0)  # replay of the first batch
     finally:
         lines.unpersist()
-        rates.unpersist()
-    return store.table("deposits").documents()
+    return job.table("deposits").documents()
+
+
+def t5_two_jobs(spark, sf):
+    """Two jobs and a backfill on the player profiles, with batch ids of their own.
+
+    Job one writes batches 0 to 3 and is compacted; then job two starts at 0, a
+    backfill writes its 0, job two its 1, and job one's batch 2 is replayed.  The
+    documents must equal merging everything at once.
+    """
+    one = _job(spark, sf, ["profile"], "two-jobs", name="one")
+    two = _job(spark, sf, ["regs"], "two-jobs", name="two")
+    levels = _job(spark, sf, ["set_level"], "two-jobs", name="levels")
+    two.store = levels.store = one.store
+    profiles = _cut(dt.game_event_lines(spark, sf, ["profile"]), 4)
+    regs = _cut(dt.game_event_lines(spark, sf, ["regs"]), 2)
+    for k, lines in enumerate(profiles):
+        process_batch(one, lines, k)
+    one.compact()
+    process_batch(two, regs[0], 0)
+    process_batch(levels, dt.game_event_lines(spark, sf, ["set_level"]), 0, run="levels-backfill")
+    two.compact()
+    process_batch(two, regs[1], 1)
+    process_batch(one, profiles[2], 2)
+    return one.table("profile").documents()
+
+
+def s7_dead_letters(spark, sf):
+    """What a job keeps of damaged lines: a derived share of the feed is no JSON, has a
+    wrongly typed time, or lacks its player."""
+    job = _job(spark, sf, ["regs"], "damaged")
+    kind = F.col("offset") % 7
+    damaged = (F.when(kind == 0, F.concat(F.lit("x"), F.col("value")))
+               .when(kind == 1, F.regexp_replace("value", r'"event_ts":(\d+)', '"event_ts":"late $1"'))
+               .when(kind == 2, F.regexp_replace("value", r'"player_id":"[^"]*",', ""))
+               .otherwise(F.col("value")))
+    process_batch(job, dt.game_event_lines(spark, sf, ["regs"]).withColumn("value", damaged), 0)
+    lost = dead_letters(job.store).select(F.when(F.col("pipeline").isNull(), "unroutable").otherwise("wrong type").alias("kind"),
+                                          "partition", "offset")
+    rejects = job.table("regs").rejects().select(F.lit("no id").alias("kind"), "seq.partition", "seq.offset")
+    good = job.table("regs").documents().agg(F.count("id").alias("n")).select(
+        F.lit("documents").alias("kind"), F.lit(None).cast("int").alias("partition"), F.col("n").alias("offset"))
+    return lost.unionByName(rejects).unionByName(good)
+
+
+def s9_batch_metrics(spark, sf):
+    """A batch's offset ranges, messages and routed lines, as the job records them."""
+    job = _job(spark, sf, ["sessions"], "metrics")
+    process_batch(job, dt.game_event_lines(spark, sf, ALL), 0)
+    m = job.metrics[-1]
+    rows = [(m["messages"], m["rows"], *[r[k] for k in ("topic", "partition", "from_offset", "until_offset", "messages", "routed")])
+            for r in m["ranges"]]
+    return spark.createDataFrame(rows, "total long, rows long, topic string, partition int, from_offset long, "
+                                       "until_offset long, messages long, routed long")
 
 
 def a2_batch_count(spark, sf):
     """A2: the routed batch's row count, observed while the batch is scanned."""
     from .operators.metrics import observed_count
-    from .streaming.batch import route_batch
-    rows, obs = observed_count(route_batch(dt.game_event_lines(spark, sf, ALL), ALL), "a2")
+    routed = route_batch(dt.game_event_lines(spark, sf, ALL), ALL).where(F.col("__event") != "")
+    rows, obs = observed_count(routed, "a2")
     rows.write.format("noop").mode("overwrite").save()
     return spark.createDataFrame([(int(obs.get["rows"]),)], "rows long")
 
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "f1_prefilter": f1_prefilter,
     "f3_predicates": f3_predicates,
@@ -423,8 +513,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s4_rates_explode": s4_rates_explode,
     "s5_daily_rates": s5_daily_rates,
     "s6_latest_rates": s6_latest_rates,
+    "s6_rates_refresh": s6_rates_refresh,
     "s7_parse": s7_parse,
+    "s7_dead_letters": s7_dead_letters,
     "s9_offset_audit": s9_offset_audit,
+    "s9_batch_metrics": s9_batch_metrics,
     "e1_sessions": _pipeline_query("sessions"),
     "e2_deposits": _pipeline_query("deposits"),
     "e3_trigger": _pipeline_query("trigger"),
@@ -444,6 +537,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "t4_backfill": t4_backfill,
     "t3_shared_batch": t3_shared_batch,
     "t5_late_replay": t5_late_replay,
+    "t5_two_jobs": t5_two_jobs,
     "a2_batch_count": a2_batch_count,
 }
 

@@ -12,100 +12,256 @@ from collections.abc import Iterable
 from pyspark.sql import types as T
 
 _TYPES = {
-    "S": T.StringType(),
-    "L": T.LongType(),
-    "I": T.IntegerType(),
-    "D": T.DoubleType(),
+    "string": T.StringType(),
+    "long": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
 }
 
 
-def _fields(spec: str) -> tuple[tuple[str, str], ...]:
-    out = []
-    for token in spec.split():
-        name, kind = token.split(":")
-        out.append((name, kind))
-    return tuple(out)
-
-
 # ---------------------------------------------------------------------------
-# Event field lists (name:type, S=string L=long I=int D=double).
+# Event field lists (name, type).
 # They must equal the producer's event layout, so they are stated verbatim.
 # ---------------------------------------------------------------------------
-BASE = _fields("cluster_id:S player_id:S event_ts:L session_id:S event_name:S network_id:I")
-
-CONNECT = BASE + _fields("login_country_id:S")
-
-LOGIN = BASE + _fields(
-    "device_desc:S device_id:S os_version:S linked_player_id:S timezone:S game_version:S")
-
-DEPOSIT = BASE + _fields(
-    "internal_transaction_id:S offer_id:S deposit_amount:D deposit_currency:S "
-    "transaction_source_id:I external_transaction_id:S transaction_status_id:I "
-    "bonus_amount_1:I bonus_amount_2:I receive_amount_1:I")
-
-SEND_DEPOSIT_EXTRA = _fields("original_offer_amount:D payment_method_id:I")
-
-TRIGGER = BASE + _fields(
-    "internal_transaction_id:S item_id:S item_name:S action_id:I trigger_group_type:S "
-    "trigger_group_type_id:S trigger_id:S trigger_type:S")
-
-PROGRESS_OPEN = BASE + _fields(
-    "keyid:S category_type:S category_id:S sub_category_id:S sub_category_type:S "
-    "keyname:S progress_type:S start_rate:S")
-
-PROGRESS_START = BASE + _fields(
-    "progress_type:S keyid:S category_type:S category_id:S sub_category_id:S "
-    "sub_category_type:S keyname:S")
-
-PROGRESS_FINISH = _fields(
-    "cluster_id:S player_id:S event_ts:L session_id:S event_name:S "
-    "keyid:S state:I finish_rate:S progress_type:S")
-
-USER_PROFILE = _fields(
-    "event_name:S event_ts:L cluster_id:S network_id:I player_id:S social_id:S "
-    "attribute1:S attribute2:S attribute3:S birthday:L email:S first_name:S last_name:S "
-    "gender:S ingame_friends:I language:S num_friends:I url_picture:S")
-
-GAME_PROFILE = _fields(
-    "event_name:S event_ts:L cluster_id:S player_id:S base_name:S game_language_id:S "
-    "game_world_id:I is_test_player:I is_vip:I location_x:I location_y:I user_name:S")
-
-SET_LEVEL = _fields(
-    "event_name:S network_id:I event_ts:L cluster_id:S player_id:S "
-    "level_type_id:I new_level_ind:I level_id:I")
-
-REGISTRATION = _fields(
-    "event_name:S network_id:I event_ts:L registration_date:L cluster_id:S player_id:S "
-    "login_source_id:S login_source_type_id:S")
-
-RESOURCES = _fields(
-    "event_name:S event_ts:L cluster_id:S network_id:I player_id:S "
-    "resource1_id:S resource10_id:S resource2_id:S resource3_id:S resource4_id:S "
-    "resource5_id:S resource6_id:S resource7_id:S resource8_id:S resource9_id:S "
-    "resource_amount_1:I resource_amount_10:D resource_amount_2:I resource_amount_3:I "
-    "resource_amount_4:I resource_amount_5:I resource_amount_6:I resource_amount_7:I "
-    "resource_amount_8:I resource_amount_9:D")
-
-PRODUCT_MOVEMENTS = _fields(
-    "event_name:S event_ts:L event_order:I cluster_id:S network_id:I player_id:S "
-    "product_action_id:I product_id:S product_name:S product_count:I bonus_amount:I "
-    "bonus_product_id:I movement_source_id:S movement_source_type_id:S package_id:S "
-    "player_target_id:S "
-    "payment_product_id_1:S payment_product_id_2:S payment_product_id_3:S "
-    "payment_product_id_4:S payment_product_id_5:S payment_product_id_6:S "
-    "payment_product_id_7:S payment_product_id_8:S "
-    "payment_product_name_1:S payment_product_name_2:S payment_product_name_3:S "
-    "payment_product_name_4:S payment_product_name_5:S payment_product_name_6:S "
-    "payment_product_name_7:S payment_product_name_8:S "
-    "payment_amount_1:I payment_amount_2:I payment_amount_3:I payment_amount_4:I "
-    "payment_amount_5:I payment_amount_6:I payment_amount_7:I payment_amount_8:I")
-
-BATTLE = _fields(
-    "event_name:S event_ts:L cluster_id:S network_id:I player_id:S session_id:S "
-    "attacker_ind:I battle_id:S battle_source_id:S battle_type_id:I base_id:S base_level:I "
-    "base_status_id:I base_type_id:I battle_win_ind:I actual_travel_time:I "
-    "main_attacker_ind:I main_defender_ind:I opponent_id:S player_base_ind:I "
-    "player_defence_power:I player_health_power:I player_offence_power:I is_offline_action:I")
+BASE = (
+    ("cluster_id", "string"),
+    ("player_id", "string"),
+    ("event_ts", "long"),
+    ("session_id", "string"),
+    ("event_name", "string"),
+    ("network_id", "int"),
+)
+
+CONNECT = BASE + (
+    ("login_country_id", "string"),
+)
+
+LOGIN = BASE + (
+    ("device_desc", "string"),
+    ("device_id", "string"),
+    ("os_version", "string"),
+    ("linked_player_id", "string"),
+    ("timezone", "string"),
+    ("game_version", "string"),
+)
+
+DEPOSIT = BASE + (
+    ("internal_transaction_id", "string"),
+    ("offer_id", "string"),
+    ("deposit_amount", "double"),
+    ("deposit_currency", "string"),
+    ("transaction_source_id", "int"),
+    ("external_transaction_id", "string"),
+    ("transaction_status_id", "int"),
+    ("bonus_amount_1", "int"),
+    ("bonus_amount_2", "int"),
+    ("receive_amount_1", "int"),
+)
+
+SEND_DEPOSIT_EXTRA = (
+    ("original_offer_amount", "double"),
+    ("payment_method_id", "int"),
+)
+
+TRIGGER = BASE + (
+    ("internal_transaction_id", "string"),
+    ("item_id", "string"),
+    ("item_name", "string"),
+    ("action_id", "int"),
+    ("trigger_group_type", "string"),
+    ("trigger_group_type_id", "string"),
+    ("trigger_id", "string"),
+    ("trigger_type", "string"),
+)
+
+PROGRESS_OPEN = BASE + (
+    ("keyid", "string"),
+    ("category_type", "string"),
+    ("category_id", "string"),
+    ("sub_category_id", "string"),
+    ("sub_category_type", "string"),
+    ("keyname", "string"),
+    ("progress_type", "string"),
+    ("start_rate", "string"),
+)
+
+PROGRESS_START = BASE + (
+    ("progress_type", "string"),
+    ("keyid", "string"),
+    ("category_type", "string"),
+    ("category_id", "string"),
+    ("sub_category_id", "string"),
+    ("sub_category_type", "string"),
+    ("keyname", "string"),
+)
+
+PROGRESS_FINISH = (
+    ("cluster_id", "string"),
+    ("player_id", "string"),
+    ("event_ts", "long"),
+    ("session_id", "string"),
+    ("event_name", "string"),
+    ("keyid", "string"),
+    ("state", "int"),
+    ("finish_rate", "string"),
+    ("progress_type", "string"),
+)
+
+USER_PROFILE = (
+    ("event_name", "string"),
+    ("event_ts", "long"),
+    ("cluster_id", "string"),
+    ("network_id", "int"),
+    ("player_id", "string"),
+    ("social_id", "string"),
+    ("attribute1", "string"),
+    ("attribute2", "string"),
+    ("attribute3", "string"),
+    ("birthday", "long"),
+    ("email", "string"),
+    ("first_name", "string"),
+    ("last_name", "string"),
+    ("gender", "string"),
+    ("ingame_friends", "int"),
+    ("language", "string"),
+    ("num_friends", "int"),
+    ("url_picture", "string"),
+)
+
+GAME_PROFILE = (
+    ("event_name", "string"),
+    ("event_ts", "long"),
+    ("cluster_id", "string"),
+    ("player_id", "string"),
+    ("base_name", "string"),
+    ("game_language_id", "string"),
+    ("game_world_id", "int"),
+    ("is_test_player", "int"),
+    ("is_vip", "int"),
+    ("location_x", "int"),
+    ("location_y", "int"),
+    ("user_name", "string"),
+)
+
+SET_LEVEL = (
+    ("event_name", "string"),
+    ("network_id", "int"),
+    ("event_ts", "long"),
+    ("cluster_id", "string"),
+    ("player_id", "string"),
+    ("level_type_id", "int"),
+    ("new_level_ind", "int"),
+    ("level_id", "int"),
+)
+
+REGISTRATION = (
+    ("event_name", "string"),
+    ("network_id", "int"),
+    ("event_ts", "long"),
+    ("registration_date", "long"),
+    ("cluster_id", "string"),
+    ("player_id", "string"),
+    ("login_source_id", "string"),
+    ("login_source_type_id", "string"),
+)
+
+RESOURCES = (
+    ("event_name", "string"),
+    ("event_ts", "long"),
+    ("cluster_id", "string"),
+    ("network_id", "int"),
+    ("player_id", "string"),
+    ("resource1_id", "string"),
+    ("resource10_id", "string"),
+    ("resource2_id", "string"),
+    ("resource3_id", "string"),
+    ("resource4_id", "string"),
+    ("resource5_id", "string"),
+    ("resource6_id", "string"),
+    ("resource7_id", "string"),
+    ("resource8_id", "string"),
+    ("resource9_id", "string"),
+    ("resource_amount_1", "int"),
+    ("resource_amount_10", "double"),
+    ("resource_amount_2", "int"),
+    ("resource_amount_3", "int"),
+    ("resource_amount_4", "int"),
+    ("resource_amount_5", "int"),
+    ("resource_amount_6", "int"),
+    ("resource_amount_7", "int"),
+    ("resource_amount_8", "int"),
+    ("resource_amount_9", "double"),
+)
+
+PRODUCT_MOVEMENTS = (
+    ("event_name", "string"),
+    ("event_ts", "long"),
+    ("event_order", "int"),
+    ("cluster_id", "string"),
+    ("network_id", "int"),
+    ("player_id", "string"),
+    ("product_action_id", "int"),
+    ("product_id", "string"),
+    ("product_name", "string"),
+    ("product_count", "int"),
+    ("bonus_amount", "int"),
+    ("bonus_product_id", "int"),
+    ("movement_source_id", "string"),
+    ("movement_source_type_id", "string"),
+    ("package_id", "string"),
+    ("player_target_id", "string"),
+    ("payment_product_id_1", "string"),
+    ("payment_product_id_2", "string"),
+    ("payment_product_id_3", "string"),
+    ("payment_product_id_4", "string"),
+    ("payment_product_id_5", "string"),
+    ("payment_product_id_6", "string"),
+    ("payment_product_id_7", "string"),
+    ("payment_product_id_8", "string"),
+    ("payment_product_name_1", "string"),
+    ("payment_product_name_2", "string"),
+    ("payment_product_name_3", "string"),
+    ("payment_product_name_4", "string"),
+    ("payment_product_name_5", "string"),
+    ("payment_product_name_6", "string"),
+    ("payment_product_name_7", "string"),
+    ("payment_product_name_8", "string"),
+    ("payment_amount_1", "int"),
+    ("payment_amount_2", "int"),
+    ("payment_amount_3", "int"),
+    ("payment_amount_4", "int"),
+    ("payment_amount_5", "int"),
+    ("payment_amount_6", "int"),
+    ("payment_amount_7", "int"),
+    ("payment_amount_8", "int"),
+)
+
+BATTLE = (
+    ("event_name", "string"),
+    ("event_ts", "long"),
+    ("cluster_id", "string"),
+    ("network_id", "int"),
+    ("player_id", "string"),
+    ("session_id", "string"),
+    ("attacker_ind", "int"),
+    ("battle_id", "string"),
+    ("battle_source_id", "string"),
+    ("battle_type_id", "int"),
+    ("base_id", "string"),
+    ("base_level", "int"),
+    ("base_status_id", "int"),
+    ("base_type_id", "int"),
+    ("battle_win_ind", "int"),
+    ("actual_travel_time", "int"),
+    ("main_attacker_ind", "int"),
+    ("main_defender_ind", "int"),
+    ("opponent_id", "string"),
+    ("player_base_ind", "int"),
+    ("player_defence_power", "int"),
+    ("player_health_power", "int"),
+    ("player_offence_power", "int"),
+    ("is_offline_action", "int"),
+)
 
 # Columns every enriched row carries next to the parsed fields.
 BASE_SELECT = ("network_name", "cluster_name", "event_datetime")
@@ -137,10 +293,6 @@ def struct_type(fields: Iterable[tuple[str, str]]) -> T.StructType:
     return T.StructType([T.StructField(n, _TYPES[k], True) for n, k in fields])
 
 
-def spark_type(kind: str) -> T.DataType:
-    return _TYPES[kind]
-
-
 ALL_FIELDS = union_fields(
     BASE, CONNECT, LOGIN, DEPOSIT, SEND_DEPOSIT_EXTRA, TRIGGER, PROGRESS_OPEN,
     PROGRESS_START, PROGRESS_FINISH, USER_PROFILE, GAME_PROFILE, SET_LEVEL,

@@ -29,22 +29,34 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, in whatever store ``path`` names."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(jsc.hadoopConfiguration()).exists(p)
+
+
+def list_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the folders and files that match a glob, in whatever store it names."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(jsc.hadoopConfiguration()).globStatus(p)
+    return [x.getPath().getName() for x in found or []]
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    When the session has none (local runs and tests), a folder is created and
-    registered with ``setCheckpointDir`` so ``DataFrame.checkpoint()`` and the
-    work folders agree.  A cluster always sets its own shared folder.
+    Only a local session may leave it unset (tests, the benchmark): a folder is then
+    created and registered, so ``DataFrame.checkpoint()`` and the work folders agree.
+    On a cluster a folder of one machine would be lost to the others, so that is an
+    error.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # sessions without a SparkContext handle
-        sc = None
-    if sc is None:
-        root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="playerledger-ckpt-")
-        return root.rstrip("/")
+    sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="playerledger-ckpt-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")

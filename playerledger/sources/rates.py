@@ -1,10 +1,12 @@
-"""Currency rates: snapshot JSON (S4), daily text file (S5), latest snapshot.
+"""Currency rates: snapshot JSON (S4), daily text file (S5), refreshed rates.
 
 Rates are USD values per currency: ``usd = amount / us_val``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,17 +37,33 @@ def daily_currency_rates(lines: DataFrame) -> DataFrame:
                      & F.col("curr").isNotNull() & (F.col("curr") != ""))
 
 
-def latest_rates(rates: DataFrame, at_ms=None, ttl_ms: int = RATE_TTL_MS) -> DataFrame:
-    """The rates of the newest snapshot taken at or before ``at_ms``.
+def newest_snapshot(snapshots: DataFrame, at_ms=None) -> DataFrame:
+    """The one snapshot row taken last, at or before ``at_ms`` when that is given."""
+    eligible = snapshots if at_ms is None else snapshots.where(F.col("as_of") <= F.lit(at_ms))
+    return eligible.orderBy(F.desc("as_of"), F.desc("json")).limit(1)
+
 
-    ``rates`` has ``as_of`` (epoch ms), ``curr`` and ``us_val``.  The newest
-    snapshot is used even when older than the refresh age (last known rates);
-    ``stale`` tells whether it is.  With ``at_ms=None`` the newest snapshot
-    overall is used and ``stale`` is false.  The result has one row per
-    currency of one snapshot, so it is small and safe to broadcast.
+def latest_rates(snapshots: DataFrame, at_ms=None, ttl_ms: int = RATE_TTL_MS) -> DataFrame:
+    """``(curr, us_val, as_of, stale)`` of the newest snapshot at or before ``at_ms``.
+
+    The snapshot row is picked first and only that one is exploded.  A snapshot
+    older than the refresh age is used all the same (last known rates), with
+    ``stale`` set; without any snapshot the result is empty.  The rows are the
+    currencies of one snapshot, so they may be broadcast without a count.
     """
-    eligible = rates if at_ms is None else rates.where(F.col("as_of") <= F.lit(at_ms))
-    newest = eligible.agg(F.max("as_of").alias("as_of"))
-    picked = eligible.join(F.broadcast(newest), "as_of")  # one-row side
+    rates = currency_rates(newest_snapshot(snapshots, at_ms))
     ref = F.col("as_of") if at_ms is None else F.lit(at_ms)
-    return picked.select("curr", "us_val", "as_of", ((ref - F.col("as_of")) > ttl_ms).alias("stale"))
+    return rates.select("curr", "us_val", "as_of", ((ref - F.col("as_of")) > ttl_ms).alias("stale"))
+
+
+def rates_with_refresh(snapshots: Callable[[], DataFrame] | DataFrame, ttl_ms: int = RATE_TTL_MS
+                       ) -> Callable[[int | None], DataFrame]:
+    """A job's rate provider, batch time (ms) -> ``(curr, us_val, as_of, stale)``.
+
+    ``snapshots`` may be a function that reads them anew for each batch.  Rates
+    depend on the batch time alone: a batch run again later, with newer snapshots
+    there, gets the same rates.
+    """
+    def at(batch_time_ms: int | None) -> DataFrame:
+        return latest_rates(snapshots() if callable(snapshots) else snapshots, batch_time_ms, ttl_ms)
+    return at

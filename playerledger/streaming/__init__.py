@@ -1,7 +1,8 @@
-"""Jobs: one batch function shared by the stream (T1) and the backfill (T4)."""
+"""Batch function, stream and backfill."""
 
-from .batch import Job, prepare_batch, process_batch, pipeline_changes
-from .stream import run_stream
 from .backfill import run_backfill
+from .batch import Job, dead_letters, load_dimensions, pipeline_changes, pipeline_rows, process_batch, route_batch
+from .stream import run_stream
 
-__all__ = ["Job", "prepare_batch", "process_batch", "pipeline_changes", "run_stream", "run_backfill"]
+__all__ = ["Job", "dead_letters", "load_dimensions", "pipeline_changes", "pipeline_rows", "process_batch", "route_batch",
+           "run_stream", "run_backfill"]

@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..sources.archive import archive_range_scan
+from ..sources.archive import archive_numbers, archive_range_scan
 from .batch import Job, process_batch
 
 
-def run_backfill(spark: SparkSession, job: Job, root: str, first: int, last: int, batch_id: int,
-                 layout: str = "partitioned", partitions: int | None = None, batch_time_ms: int | None = None):
-    raw = archive_range_scan(spark, root, first, last, layout, partitions)
-    process_batch(job, raw, batch_id, batch_time_ms)
+def run_backfill(spark: SparkSession, job: Job, root: str, first: int, last: int, layout: str = "partitioned",
+                 slice_size: int = 1, partitions: int | None = None, run: str | None = None) -> None:
+    """Process the archive numbers from ``first`` to ``last``, ``slice_size`` numbers a batch.
+
+    A batch is named by its first number, so running a range again rewrites the
+    same batches; only one slice is held at a time.
+    """
+    run = run or f"{job.name}-backfill"
+    done = 0
+    for lo in range(first, last + 1, slice_size):
+        hi = min(lo + slice_size - 1, last)
+        if not any(lo <= n <= hi for n in archive_numbers(spark, root, layout)):
+            continue
+        process_batch(job, archive_range_scan(spark, root, lo, hi, layout, partitions), lo, run=run)
+        done += 1
+        if job.compact_every and done % job.compact_every == 0:
+            job.compact()

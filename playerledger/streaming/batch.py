@@ -1,49 +1,32 @@
 """One batch of raw events through all selected pipelines.
 
-    raw lines -> F1 prefilter -> S7 typed parse (union schema) -> J1 dims
-              -> event_datetime -> persist -> each plan -> document tables
+    raw lines -> F1 route (event name)  -> persist once, audit (S9, A2, A3)
+              -> for each pipeline: own lines -> S7 typed parse (own fields)
+                 -> J1 own lookups -> plan -> its document table
 
-The enriched batch is persisted once and shared by the plans, then released.
-The same function serves micro-batches of the stream and the archive backfill.
+The stream's micro-batches, the archive backfill and the registered queries all
+run these functions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .. import catalog, schema
+from .. import catalog
 from ..operators.broadcast import checked_broadcast
 from ..operators.enrich import add_event_columns, enrich_with_dims
 from ..plans import PLANS, PlanContext
 from ..session import ensure_utc
-from ..sinks.doc_table import DocumentStore
-from ..sources.events import parse_events, prefilter_event_names, to_envelope
-
-
-def prepare_batch(raw: DataFrame, pipelines: Sequence[str], dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Raw envelope -> enriched typed rows for ``pipelines``.
-
-    ``dims`` maps dimension name -> lookup frame; each should already be
-    size-checked for broadcast (see ``load_dimensions``).
-    """
-    names = catalog.events_for(pipelines)
-    fields = schema.union_fields(*(PLANS[p].fields for p in pipelines))
-    # a source without positions (files, archives) orders ties by the line's hash
-    raw = to_envelope(raw)
-    raw = raw.withColumn("offset", F.coalesce(F.col("offset"), F.xxhash64("value")))
-    kept = prefilter_event_names(raw, names)
-    parsed = parse_events(kept, fields, keep_corrupt=False)
-    needed = {d: dims[d] for d in catalog.dims_for(pipelines)}
-    return add_event_columns(enrich_with_dims(parsed, needed))
-
-
-def pipeline_changes(enriched: DataFrame, pipeline: str, ctx: PlanContext | None = None) -> DataFrame:
-    return PLANS[pipeline].changes(enriched, ctx)
+from ..sinks.doc_table import DocumentStore, DocumentTable
+from ..sources.audit import offset_audit, total_messages
+from ..sources.events import CORRUPT_COLUMN, parse_events, to_envelope
 
 
 def load_dimensions(loader: Callable[[str], DataFrame], names: Sequence[str],
@@ -64,74 +47,144 @@ def load_dimensions(loader: Callable[[str], DataFrame], names: Sequence[str],
 
 @dataclass
 class Job:
-    """A set of pipelines writing to one document store."""
+    """A set of pipelines writing to one document store.
+
+    ``name`` tells the job's batches from those of other jobs on the same tables.
+    ``mode`` is "update" (K1) or "append" (K2), for all pipelines or by pipeline;
+    ``game`` is put before the table names; with ``compact_every`` a stream
+    compacts its tables after so many batches.
+    """
     pipelines: Sequence[str]
     dims: Mapping[str, DataFrame]
     store: DocumentStore
-    rates: Callable[[int], DataFrame] | None = None  # batch time (ms) -> (curr, us_val)
-    skip_empty: bool = True
-    keep_dead_letters: bool = True  # unroutable lines (not JSON / no event name) kept per batch
+    name: str = "job"
+    rates: Callable[[int | None], DataFrame] | None = None  # batch time (ms) -> (curr, us_val)
+    mode: str | Mapping[str, str] = "update"
+    game: str | None = None
+    max_records_per_file: int | None = None
+    compact_every: int | None = None
+    parallel_writes: int = 4
+    keep_dead_letters: bool = True
     with_present: bool = False  # emit each change's written columns (for null_policy="present_wins")
     metrics: list = field(default_factory=list)
 
+    def table(self, pipeline: str) -> DocumentTable:
+        return self.store.table(catalog.PIPELINE_TABLE[pipeline][0], self.game)
+
+    def mode_of(self, pipeline: str) -> str:
+        return self.mode if isinstance(self.mode, str) else self.mode.get(pipeline, catalog.PIPELINE_MODE[pipeline])
+
+    def compact(self) -> None:
+        for name in sorted({catalog.PIPELINE_TABLE[p][0] for p in self.pipelines if self.mode_of(p) == "update"}):
+            self.store.table(name, self.game).compact()
 
-def route_batch(raw: DataFrame, pipelines: Sequence[str], keep_unroutable: bool = False) -> DataFrame:
-    """F1 once for the whole batch: raw envelope + ``__event`` routing key.
 
-    Lines whose event no pipeline wants are dropped here; each pipeline then
-    parses only its own rows.  With ``keep_unroutable`` the lines that have no
-    event name (not JSON, or no ``event_name``) are kept too, with a null key,
-    so dead letters come from the same pass.
+def route_batch(raw: DataFrame, pipelines: Sequence[str]) -> DataFrame:
+    """F1 once for the whole batch: raw envelope + ``__event``, the routing key.
+
+    ``__event`` is null for lines that can't be routed (not JSON, no event name)
+    and empty for events no pipeline wants; the latter keep their position for
+    the audit but not their text.
     """
-    names = catalog.events_for(pipelines)
     raw = to_envelope(raw)
+    # a source without positions (files, archives) orders ties by the line's hash
     raw = raw.withColumn("offset", F.coalesce(F.col("offset"), F.xxhash64("value")))
-    ev = F.get_json_object(F.col("value"), "$.event_name")
-    wanted = F.col("__event").isin(names)
-    if keep_unroutable:
-        wanted = wanted | F.col("__event").isNull()
-    return raw.select("value", "topic", "partition", "offset", ev.alias("__event")).where(wanted)
+    name = F.get_json_object(F.col("value"), "$.event_name")
+    event = F.when(name.isNull() | name.isin(catalog.events_for(pipelines)), name).otherwise("")
+    routed = raw.select("value", "topic", "partition", "offset", event.alias("__event"))
+    return routed.withColumn("value", F.when(F.coalesce("__event", F.lit("-")) != "", F.col("value")))
 
 
-def pipeline_rows(routed: DataFrame, pipeline: str, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """One pipeline's enriched rows from the routed batch: narrow parse, own lookups."""
+def parsed_rows(routed: DataFrame, pipeline: str, fields=None) -> DataFrame:
+    """One pipeline's own lines, parsed with its own fields and the corrupt column."""
     plan = PLANS[pipeline]
     mine = routed.where(F.col("__event").isin(list(plan.events))).drop("__event")
-    parsed = parse_events(mine, plan.fields, keep_corrupt=False)
-    return add_event_columns(enrich_with_dims(parsed, {d: dims[d] for d in plan.dims}))
+    return parse_events(mine, fields or plan.fields, keep_corrupt=True)
+
+
+def pipeline_rows(routed: DataFrame, pipeline: str, dims: Mapping[str, DataFrame],
+                  seen: Observation | None = None) -> DataFrame:
+    """One pipeline's enriched rows: narrow parse, own lookups.
+
+    Lines with a wrongly typed field make no document; ``seen`` counts them.
+    """
+    parsed = parsed_rows(routed, pipeline)
+    if seen is not None:
+        parsed = parsed.observe(seen, F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("bad"))
+    parsed = parsed.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+    return add_event_columns(enrich_with_dims(parsed, {d: dims[d] for d in PLANS[pipeline].dims}))
 
 
-def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int | None = None) -> None:
-    """Write the documents of one batch (idempotent per ``batch_id``).
+def pipeline_changes(raw: DataFrame, pipeline: str, dims: Mapping[str, DataFrame],
+                     ctx: PlanContext | None = None) -> DataFrame:
+    """The change rows of one pipeline from raw lines, as a batch writes them."""
+    return PLANS[pipeline].changes(pipeline_rows(route_batch(raw, [pipeline]), pipeline, dims), ctx)
 
-    The routed raw batch (lines + event name) is persisted once and shared by
-    the pipelines (T3); each pipeline parses its own rows with its own field
-    list, joins its own lookups, and writes its document table.
+
+def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int | None = None,
+                  run: str | None = None) -> None:
+    """Write the documents of one batch (idempotent per ``run`` and ``batch_id``).
+
+    ``run`` tells runs with batch ids of their own apart (a stream's checkpoint, a
+    backfill); default: the job's name.  The routed batch is persisted and shared
+    by the pipelines, whose tables are written side by side.  Without
+    ``batch_time_ms`` the batch's time is that of its newest event, so a replay
+    gets the same rates.
     """
-    ensure_utc(raw.sparkSession)
-    if job.skip_empty and raw.isEmpty():
-        return
-    tagged = route_batch(raw, job.pipelines, keep_unroutable=job.keep_dead_letters)
-    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-    routed = tagged.where(F.col("__event").isNotNull())
+    spark = ensure_utc(raw.sparkSession)
+    run = run or job.name
+    routed = route_batch(raw, job.pipelines).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # fills the cache in one pass (every pipeline then reads it) and gives
-        # the batch's routed row count (A2)
-        rows = routed.count()
+        # fills the cache in one pass: offset ranges, total, routed and unroutable lines, newest event
+        wanted = F.col("__event") != ""
+        newest = F.max(F.when(wanted, F.get_json_object("value", "$.event_ts").try_cast("long")))
+        events = {f"n_{e}": F.count_if(F.col("__event") == e) for e in catalog.events_for(job.pipelines)}
+        ranges = offset_audit(routed, routed=F.count_if(wanted), unroutable=F.count_if(F.col("__event").isNull()),
+                              newest=newest, **events).collect()  # one row a topic and partition
+        rows = sum(r["routed"] for r in ranges)
+        if batch_time_ms is None:
+            batch_time_ms = max((r["newest"] for r in ranges if r["newest"] is not None), default=None)
+        metric = {"run": run, "batch_id": batch_id, "rows": rows, "messages": total_messages(ranges),
+                  "ranges": [r.asDict() for r in ranges], "dead_letters": sum(r["unroutable"] for r in ranges)}
         ctx = PlanContext(with_present=job.with_present)
         if job.rates is not None and "deposits" in job.pipelines:
-            ctx.rates = checked_broadcast(job.rates(batch_time_ms))
-        for p in job.pipelines:
-            changes = PLANS[p].changes(pipeline_rows(routed, p, job.dims), ctx)
-            table_name, _ = catalog.PIPELINE_TABLE[p]
-            table = job.store.table(table_name)
-            if catalog.PIPELINE_MODE[p] == "update":
-                table.write_changes(changes, batch_id, p)
-            else:
-                table.append_documents(changes, batch_id, p)
+            # the currencies of one snapshot
+            ctx.rates = F.broadcast(job.rates(batch_time_ms))
+
+        def write(p: str) -> int:
+            seen = Observation(f"bad-{p}-{batch_id}")
+            changes = PLANS[p].documents(PLANS[p].changes(pipeline_rows(routed, p, job.dims, seen), ctx))
+            table = job.table(p)
+            put = table.write_changes if job.mode_of(p) == "update" else table.append_documents
+            put(changes, run, batch_id, p, job.max_records_per_file)
+            try:
+                return seen.get["bad"]
+            except Py4JJavaError:  # no metric: the plan was cut short, none of its rows were written
+                return parsed_rows(routed, p).where(F.col(CORRUPT_COLUMN).isNotNull()).count()
+
+        with_rows = [p for p in job.pipelines if any(r[f"n_{e}"] for e in PLANS[p].events for r in ranges)]
+        with ThreadPoolExecutor(max(1, min(job.parallel_writes, len(with_rows)))) as pool:
+            bad = dict(zip(with_rows, pool.map(inheritable_thread_target(spark)(write), with_rows)))
+        damaged = [p for p, n in bad.items() if n]
+        metric["dead_letters"] += sum(bad.values())
         if job.keep_dead_letters:
-            (tagged.where(F.col("__event").isNull()).drop("__event")
-             .write.mode("overwrite").parquet(f"{job.store.root}/_dead_letters/batch_id={batch_id}"))
-        job.metrics.append({"batch_id": batch_id, "rows": rows})
+            _write_dead_letters(job, routed, damaged, f"job={run}/batch_id={batch_id}")
+        job.metrics.append(metric)
     finally:
-        tagged.unpersist()
+        routed.unpersist()
+
+
+def _write_dead_letters(job: Job, routed: DataFrame, damaged: Sequence[str], folder: str) -> None:
+    """Lines that can't be routed, and those a pipeline found wrongly typed fields in."""
+    lost = routed.where(F.col("__event").isNull()).select("value", "topic", "partition", "offset",
+                                                          F.lit(None).cast("string").alias("pipeline"))
+    for p in damaged:
+        bad = parsed_rows(routed, p).where(F.col(CORRUPT_COLUMN).isNotNull())
+        lost = lost.union(bad.select(F.col(CORRUPT_COLUMN).alias("value"), "topic", "partition", "offset", F.lit(p)))
+    lost.write.mode("overwrite").parquet(f"{job.store.root}/_dead_letters/{folder}")
+
+
+def dead_letters(store: DocumentStore) -> DataFrame:
+    """``(value, topic, partition, offset, pipeline)`` of all batches; pipeline is null for unroutable lines."""
+    base = f"{store.root}/_dead_letters"
+    return store.spark.read.parquet(base).select("value", "topic", "partition", "offset", "pipeline")

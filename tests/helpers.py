@@ -1,9 +1,9 @@
 import json
 
 from playerledger import catalog
-from playerledger.plans import PLANS, PlanContext
+from playerledger.plans import PlanContext
 from playerledger.sources.dims import dimension_from_lines
-from playerledger.streaming.batch import prepare_batch
+from playerledger.streaming.batch import pipeline_changes
 
 
 def raw(spark, events, topic="t", partition=0):
@@ -23,5 +23,4 @@ def dims(spark, pipelines, lines=None):
 
 
 def changes(spark, pipeline, events, dim_lines=None, rates=None):
-    enr = prepare_batch(raw(spark, events), [pipeline], dims(spark, [pipeline], dim_lines))
-    return PLANS[pipeline].changes(enr, PlanContext(rates=rates))
+    return pipeline_changes(raw(spark, events), pipeline, dims(spark, [pipeline], dim_lines), PlanContext(rates=rates))

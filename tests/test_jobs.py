@@ -3,7 +3,7 @@
 import json
 
 from playerledger.sinks import DocumentStore
-from playerledger.streaming import Job, run_backfill, run_stream
+from playerledger.streaming import Job, dead_letters, process_batch, run_backfill, run_stream
 
 from .helpers import dims
 
@@ -29,13 +29,15 @@ def test_stream_equals_backfill(spark, tmp_dir):
             f"{tmp_dir}/stream/part{n}")
 
     batch_store = DocumentStore(spark, tmp_dir + "/batch")
-    run_backfill(spark, Job(pipelines, d, batch_store), tmp_dir + "/arch", 1, 4, batch_id=0)
+    run_backfill(spark, Job(pipelines, d, batch_store), tmp_dir + "/arch", 1, 4, slice_size=4)
 
     stream_store = DocumentStore(spark, tmp_dir + "/streamed")
     q = run_stream(spark, Job(pipelines, d, stream_store), {"format": "text", "path": tmp_dir + "/stream/*"},
                    name="t", available_now=True, checkpoint=tmp_dir + "/ckpt", max_per_trigger=1)
     q.awaitTermination()
 
+    # the same slice again, and a second backfill of one number, change nothing but what they bring
+    run_backfill(spark, Job(pipelines, d, batch_store), tmp_dir + "/arch", 1, 4, slice_size=4)
     for table in ("sessions", "resources", "player_profile"):
         a = sorted(map(tuple, batch_store.table(table).documents().collect()))
         b = sorted(map(tuple, stream_store.table(table).documents().collect()))
@@ -54,11 +56,10 @@ def test_dead_letters_and_rejects(spark, tmp_dir):
     raw = spark.createDataFrame([(v,) for v in lines], "value string")
     store = DocumentStore(spark, tmp_dir + "/s")
     job = Job(pipelines, d, store)
-    from playerledger.streaming import process_batch
     process_batch(job, raw, 0)
-    assert job.metrics == [{"batch_id": 0, "rows": 2}]
-    dead = spark.read.parquet(tmp_dir + "/s/_dead_letters").collect()
-    assert sorted(r.value for r in dead) == sorted(["{broken", '{"x": 1}'])
+    (m,) = job.metrics
+    assert (m["batch_id"], m["rows"], m["messages"], m["dead_letters"]) == (0, 2, 5, 2)
+    assert sorted(r.value for r in dead_letters(store).collect()) == sorted(["{broken", '{"x": 1}'])
     t = store.table("player_profile")
     assert [r.login_source_id for r in t.rejects().collect()] == ["x"]
     assert [(r.id, r.login_source_id) for r in t.documents().collect()] == [("p_c", "y")]
@@ -66,7 +67,6 @@ def test_dead_letters_and_rejects(spark, tmp_dir):
 
 def test_present_wins_policy(spark, tmp_dir):
     """A later CONNECT whose country is unknown blanks the name only under present_wins."""
-    from playerledger.streaming import process_batch
     pipelines = ["sessions"]
     d = dims(spark, pipelines, {"country": ["7|Neverland"]})
     base = {"cluster_id": "c", "player_id": "p", "session_id": "s", "network_id": 1, "event_name": "CONNECT"}
@@ -81,3 +81,70 @@ def test_present_wins_policy(spark, tmp_dir):
         doc = store.table("sessions").documents().first()
         got[policy] = (doc.login_country_id, doc.country_name)
     assert got == {"skip_nulls": ("8", "Neverland"), "present_wins": ("8", None)}
+
+
+def _raw(spark, events):
+    return spark.createDataFrame([(e if isinstance(e, str) else json.dumps(e),) for e in events], "value string")
+
+
+def test_wrongly_typed_lines_are_dead_letters(spark, tmp_dir):
+    store = DocumentStore(spark, tmp_dir)
+    job = Job(["regs", "sessions"], dims(spark, ["regs", "sessions"]), store)
+    reg = {"event_name": "REGISTRATION", "cluster_id": "c", "player_id": "p", "event_ts": 5}
+    con = {"event_name": "CONNECT", "cluster_id": "c", "player_id": "p", "session_id": "s", "event_ts": 1_700_000_000_000}
+    bad = [{**reg, "network_id": "seven"}, {**con, "event_ts": "now"}, "{broken"]
+    process_batch(job, _raw(spark, [reg, con, *bad, {**con, "event_ts": None}]), 0)
+    got = {(r.pipeline, r.value) for r in dead_letters(store).collect()}
+    assert got == {("regs", json.dumps(bad[0])), ("sessions", json.dumps(bad[1])), (None, "{broken")}
+    assert job.metrics[0]["dead_letters"] == 3
+    assert [r.player_id for r in store.table("sessions").documents().collect()] == ["p"]
+    # an event without a time has no week: rejected, not filed under a catch-all
+    assert store.table("sessions").rejects().count() == 1
+    assert [r.date_part for r in store.table("sessions").documents().collect()] == ["2023_46"]
+
+
+def test_sparse_profile_fields_merge_one_by_one(spark, tmp_dir):
+    store = DocumentStore(spark, tmp_dir)
+    job = Job(["userGameProfile"], {}, store)
+    base = {"event_name": "USER_GAME_PROFILE", "cluster_id": "c", "player_id": "p"}
+    process_batch(job, _raw(spark, [{**base, "event_ts": 1, "base_name": "b", "is_vip": 1}]), 0)
+    process_batch(job, _raw(spark, [{**base, "event_ts": 2, "user_name": "u"}]), 1)
+    for _ in range(2):
+        doc = store.table("player_profile").documents().first()
+        assert (doc.base_name, doc.is_vip, doc.user_name, doc.player_id) == ("b", "1", "u", "p")
+        job.compact()
+
+
+def test_append_mode_game_name_and_file_size(spark, tmp_dir):
+    store = DocumentStore(spark, tmp_dir)
+    job = Job(["battle"], dims(spark, ["battle"]), store, mode={"battle": "append"}, game="arena", max_records_per_file=2)
+    base = {"event_name": "BATTLE", "cluster_id": "c", "player_id": "p", "session_id": "s", "event_ts": 1_700_000_000_000}
+    process_batch(job, _raw(spark, [{**base, "battle_id": str(i % 3)} for i in range(5)]), 0)
+    docs = job.table("battle").appended()
+    assert docs.count() == 5 and "write_rank" not in docs.columns and len(docs.inputFiles()) >= 3
+    assert all("/arena_battle/append/" in f for f in docs.inputFiles())
+    assert job.table("battle").documents() is None
+
+
+def test_streams_with_new_checkpoints_do_not_overwrite(spark, tmp_dir):
+    store = DocumentStore(spark, tmp_dir + "/store")
+    job = Job(["regs"], dims(spark, ["regs"]), store, compact_every=1)
+    for k in range(2):
+        reg = {"event_name": "REGISTRATION", "cluster_id": "c", "player_id": f"p{k}", "event_ts": 5 + k}
+        _raw(spark, [reg]).coalesce(1).write.text(f"{tmp_dir}/in{k}")
+        q = run_stream(spark, job, {"format": "text", "path": f"{tmp_dir}/in{k}"}, name=f"s{k}", available_now=True,
+                       checkpoint=f"{tmp_dir}/ckpt{k}")
+        q.awaitTermination()
+    assert [m["batch_id"] for m in job.metrics] == [0, 0]
+    assert sorted(r.player_id for r in store.table("player_profile").documents().collect()) == ["p0", "p1"]
+
+
+def test_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from playerledger.session import checkpoint_root
+    sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError):
+        checkpoint_root(SimpleNamespace(sparkContext=sc))

@@ -59,47 +59,95 @@ def _event_changes(spark, rows):
 
 def test_compaction_keeps_per_field_order(spark, tmp_dir):
     """(ts 10, a='x'), (ts 20, a=null), compact, late (ts 15, a='y') -> a = 'y'."""
-    t = DocumentTable(spark, tmp_dir, "docs")
-    t.write_changes(_event_changes(spark, [("d", "x", 10, 1, 0)]), 0, "s")
-    t.write_changes(_event_changes(spark, [("d", None, 20, 1, 1)]), 1, "s")
-    t.compact(1)
-    t.write_changes(_event_changes(spark, [("d", "y", 15, 1, 2)]), 2, "s")
+    t = DocumentTable(spark, tmp_dir, "docs", ["s"])
+    t.write_changes(_event_changes(spark, [("d", "x", 10, 1, 0)]), "j", 0, "s")
+    t.write_changes(_event_changes(spark, [("d", None, 20, 1, 1)]), "j", 1, "s")
+    t.compact()
+    t.write_changes(_event_changes(spark, [("d", "y", 15, 1, 2)]), "j", 2, "s")
     assert [(r.id, r.a) for r in t.documents().collect()] == [("d", "y")]
 
 
 def test_replayed_batch_is_idempotent(spark, tmp_dir):
-    t = DocumentTable(spark, tmp_dir, "docs")
+    t = DocumentTable(spark, tmp_dir, "docs", ["s"])
     b0 = _event_changes(spark, [("d", "x", 10, 1, 0), ("e", "u", 11, 1, 1)])
-    t.write_changes(b0, 0, "s")
-    t.write_changes(_event_changes(spark, [("d", "z", 30, 1, 2)]), 1, "s")
+    t.write_changes(b0, "j", 0, "s")
+    t.write_changes(_event_changes(spark, [("d", "z", 30, 1, 2)]), "j", 1, "s")
     before = sorted(tuple(r) for r in t.documents().collect())
-    t.write_changes(b0, 0, "s")  # replay
+    t.write_changes(b0, "j", 0, "s")  # replay
     assert sorted(tuple(r) for r in t.documents().collect()) == before == [("w", "d", "z"), ("w", "e", "u")]
 
 
 def test_late_batch_does_not_overwrite_newer(spark, tmp_dir):
-    t = DocumentTable(spark, tmp_dir, "docs")
-    t.write_changes(_event_changes(spark, [("d", "new", 20, 1, 0)]), 0, "s")
-    t.write_changes(_event_changes(spark, [("d", "old", 10, 1, 1)]), 1, "s")
+    t = DocumentTable(spark, tmp_dir, "docs", ["s"])
+    t.write_changes(_event_changes(spark, [("d", "new", 20, 1, 0)]), "j", 0, "s")
+    t.write_changes(_event_changes(spark, [("d", "old", 10, 1, 1)]), "j", 1, "s")
     assert t.documents().first().a == "new"
     # parity mode: the order is fixed when a change is written; the last batch wins
-    arrival = DocumentTable(spark, tmp_dir + "/arrival", "docs", order="arrival")
-    arrival.write_changes(_event_changes(spark, [("d", "new", 20, 1, 0)]), 0, "s")
-    arrival.write_changes(_event_changes(spark, [("d", "old", 10, 1, 1)]), 1, "s")
+    arrival = DocumentTable(spark, tmp_dir + "/arrival", "docs", ["s"], order="arrival")
+    arrival.write_changes(_event_changes(spark, [("d", "new", 20, 1, 0)]), "j", 0, "s")
+    arrival.write_changes(_event_changes(spark, [("d", "old", 10, 1, 1)]), "j", 1, "s")
     assert arrival.documents().first().a == "old"
 
 
 def test_merge_independent_of_batch_split(spark, tmp_dir):
     rows = [("d", "a", 10, 1, 0), ("d", None, 12, 1, 1), ("d", "b", 11, 1, 2), ("e", "c", 5, 1, 3)]
-    one = DocumentTable(spark, tmp_dir + "/one", "docs")
-    one.write_changes(_event_changes(spark, rows), 0, "s")
-    many = DocumentTable(spark, tmp_dir + "/many", "docs")
+    one = DocumentTable(spark, tmp_dir + "/one", "docs", ["s"])
+    one.write_changes(_event_changes(spark, rows), "j", 0, "s")
+    many = DocumentTable(spark, tmp_dir + "/many", "docs", ["s"])
     for i, r in enumerate(reversed(rows)):
-        many.write_changes(_event_changes(spark, [r]), i, "s")
-    many.compact(1)
+        many.write_changes(_event_changes(spark, [r]), "j", i, "s")
+        if i == 1:
+            many.compact()
     assert sorted(tuple(r) for r in one.documents().collect()) == sorted(tuple(r) for r in many.documents().collect())
 
 
+def test_jobs_do_not_hide_each_others_changes(spark, tmp_dir):
+    """Job one is compacted at its batch 3; job two's batches 0 and 1 still count."""
+    t = DocumentTable(spark, tmp_dir, "docs", ["p", "r"])
+    for n in range(4):
+        t.write_changes(_event_changes(spark, [("d", f"one{n}", n, 1, n)]), "one", n, "p")
+    t.write_changes(_event_changes(spark, [("e", "two0", 0, 1, 0)]), "two", 0, "r")
+    t.compact()
+    t.write_changes(_event_changes(spark, [("e", "two1", 1, 1, 1), ("f", "new", 1, 1, 2)]), "two", 1, "r")
+    # the same batch id by another run of the same pipeline
+    t.write_changes(_event_changes(spark, [("g", "backfill", 0, 1, 0)]), "one-backfill", 0, "p")
+    want = [("d", "one3"), ("e", "two1"), ("f", "new"), ("g", "backfill")]
+    assert sorted((r.id, r.a) for r in t.documents().collect()) == want
+    t.compact()
+    assert sorted((r.id, r.a) for r in t.documents().collect()) == want
+    assert t.change_rows(t._manifest()[2]).count() == 0
+
+
+def test_compaction_rewrites_touched_parts_only(spark, tmp_dir):
+    t = DocumentTable(spark, tmp_dir, "docs", ["s"])
+    parts = F.when(F.col("id") == "d", "2024-01").otherwise("2024-02")
+    rows = _event_changes(spark, [("d", "x", 10, 1, 0), ("e", "y", 11, 1, 1)]).withColumn("date_part", parts)
+    t.write_changes(rows, "j", 0, "s")
+    t.compact()
+    late = _event_changes(spark, [("e", "z", 12, 1, 2)]).withColumn("date_part", parts)
+    t.write_changes(late, "j", 1, "s")
+    month = t.documents().where("date_part = '2024-01'")
+    assert [(r.id, r.a) for r in month.collect()] == [("d", "x")]
+    plan = t.change_rows().where("date_part = '2024-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024-01" in plan
+    t.compact()
+    assert t._manifest()[1] == {"2024-01": 0, "2024-02": 1}
+    assert sorted((r.id, r.a) for r in t.documents().collect()) == [("d", "x"), ("e", "z")]
+    t.compact()  # nothing new
+    assert t._manifest()[0] == 1
+
+
+def test_rows_without_date_part_are_rejects(spark, tmp_dir):
+    t = DocumentTable(spark, tmp_dir, "docs", ["s"])
+    rows = _event_changes(spark, [("d", "x", 10, 1, 0), ("e", "y", 11, 1, 1), (None, "z", 12, 1, 2)])
+    rows = rows.withColumn("date_part", F.when(F.col("a") != "y", F.lit("2024-01")))
+    t.write_changes(rows, "j", 0, "s")
+    for _ in range(2):
+        assert [(r.id, r.a) for r in t.documents().collect()] == [("d", "x")]
+        assert sorted(r.a for r in t.rejects().collect()) == ["y", "z"]
+        t.compact()
+
+
 def test_hot_key_merge_and_latest(spark):
     """One key holds a third of all rows: results stay whole and exact."""
     n = 30000

@@ -2,10 +2,11 @@
 
 import json
 
+import pytest
 
 from playerledger import schema
 from playerledger.sources import (archive_range_scan, currency_rates, daily_currency_rates, dead_letters,
-                                  dimension_from_lines, dimension_rejects, latest_rates, offset_audit,
+                                  dimension_from_lines, dimension_rejects, latest_rates, offset_audit, rates_with_refresh,
                                   parse_events, prefilter_event_names, prefilter_product_action)
 
 
@@ -55,11 +56,23 @@ def test_currency_rates_and_latest(spark):
         "as_of long, json string")
     rates = currency_rates(snaps)
     assert rates.count() == 3
-    at = latest_rates(rates, at_ms=4000).collect()
+    at = latest_rates(snaps, at_ms=4000).collect()
     assert [(r.curr, r.us_val) for r in at] in ([("EUR", 0.9), ("JPY", 0.0)], [("JPY", 0.0), ("EUR", 0.9)])
-    stale = latest_rates(rates, at_ms=5000 + 43_200_001).first()
+    stale = latest_rates(snaps, at_ms=5000 + 43_200_001).first()
     assert stale.curr == "EUR" and stale.stale is True
-    assert latest_rates(rates, at_ms=10).count() == 0
+    assert latest_rates(snaps, at_ms=10).count() == 0
+
+
+def test_rates_with_refresh_depend_on_the_batch_time_only(spark):
+    row = lambda t, v: (t, json.dumps({"rates": {"EUR": v}}))
+    taken = [row(1000, 0.9), row(5000, 0.8)]
+    at = rates_with_refresh(lambda: spark.createDataFrame(taken, "as_of long, json string"), ttl_ms=100)
+    first = at(5050).collect()
+    assert [(r.us_val, r.stale) for r in first] == [(0.8, False)]
+    taken.append(row(9000, 0.7))  # a replay later, with newer snapshots there
+    assert at(5050).collect() == first
+    assert [(r.us_val, r.stale) for r in at(9500).collect()] == [(0.7, True)]
+    assert at(10).count() == 0 and at(None).first().us_val == 0.7
 
 
 def test_daily_rates_drop_malformed(spark):
@@ -82,7 +95,14 @@ def test_archive_numbered_range_skips_missing(spark, tmp_dir):
         spark.createDataFrame([(f'{{"n":{n}}}',)], "value string").write.text(f"{tmp_dir}/arch{n}")
     got = archive_range_scan(spark, f"{tmp_dir}/arch", 1, 6, layout="numbered").collect()
     assert sorted(r.archive_no for r in got) == [3, 5]
-    assert archive_range_scan(spark, f"{tmp_dir}/nothing", 1, 3, layout="numbered").count() == 0
+    assert archive_range_scan(spark, f"{tmp_dir}/arch", 6, 9, layout="numbered").count() == 0
+
+
+def test_archive_that_is_not_there_is_an_error(spark, tmp_dir):
+    spark.range(3).selectExpr("cast(id as string) as value").write.text(f"{tmp_dir}/plain")
+    for root, layout in ((f"{tmp_dir}/nothing", "numbered"), (f"{tmp_dir}/nothing", "partitioned"), (f"{tmp_dir}/plain", "partitioned")):
+        with pytest.raises(FileNotFoundError):
+            archive_range_scan(spark, root, 1, 3, layout=layout)
 
 
 def test_offset_audit(spark):
