@@ -6,13 +6,15 @@
    no band with a chance of 5e-6.
 2. Documents with equal sets are one class; only its smallest id goes on.
 3. Band buckets with two or more classes give candidates.  Within a bucket
-   signatures are compared in blocks, and in rounds each member names its best
-   partner, then its best few, then all partners whose signatures agree nearly as
-   much as the threshold asks.  Only pairs across components found so far are
-   named, and members of a bucket's largest component name none: a group of
-   thousands of near copies costs a few pairs a member, and the last round leaves
-   no agreeing pair across components untested.  Buckets above a bound are split
-   by the bands their members share besides.
+   signatures are compared in blocks; in two rounds each member names its best
+   partner, then its best few, in other components.  Last, buckets that still hold
+   several components get their members' texts, and all their pairs across
+   components whose signatures agree nearly as much as the threshold asks are
+   confirmed on the spot, each in the first bucket it shares.  Members of a
+   bucket's largest component are only compared with the others, so a group of
+   thousands of near copies costs a few pairs a member and no agreeing pair across
+   components is left untested.  Buckets above a bound are split by the bands their
+   members share besides.
 4. Candidates are confirmed on full shingle sets, links grouped by connected
    components.
 
@@ -45,8 +47,8 @@ SLICE = 1 << 20
 #: Slots in which two signatures must agree to be tested (at the threshold 96 do, with a
 #: deviation of 5: four deviations less).
 LEAST_SLOTS = 76
-#: Partners each member names in the rounds: the best, a few, all that agree enough.
-ROUNDS = (1, 4, None)
+#: Partners each member names in the first rounds.
+ROUNDS = (1, 4)
 #: Larger buckets are split, at most so often.
 LARGE_BUCKET = 2048
 SPLITS = 3
@@ -191,9 +193,9 @@ def _first_band(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x == y).reshape(len(x), BANDS, -1).all(axis=2).argmax(axis=1)
 
 
-def bucket_pairs(ids: np.ndarray, c: np.ndarray, prints: np.ndarray, top: int | None, band: int = -1
+def bucket_pairs(c: np.ndarray, prints: np.ndarray, top: int | None, band: int = -1
                  ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one bucket across components whose signatures agree in ``LEAST_SLOTS`` or more.
+    """Places of pairs of one bucket across components whose signatures agree in ``LEAST_SLOTS`` or more.
 
     Members outside the largest component give their ``top`` best partners, or all;
     of all partners only those with whom ``band`` is the first band they share, as
@@ -202,14 +204,14 @@ def bucket_pairs(ids: np.ndarray, c: np.ndarray, prints: np.ndarray, top: int |
     names, sizes = np.unique(c, return_counts=True)
     if len(names) < 2:
         return
-    ask = np.flatnonzero(c != names[np.argmax(sizes)]) if top is None or sizes.max() > 1 else np.arange(len(ids))
-    order = np.concatenate((ask, np.setdiff1d(np.arange(len(ids)), ask)))
-    ids, c, prints = ids[order], c[order], prints[order]
+    ask = np.flatnonzero(c != names[np.argmax(sizes)]) if top is None or sizes.max() > 1 else np.arange(len(c))
+    order = np.concatenate((ask, np.setdiff1d(np.arange(len(c)), ask)))
+    c, prints = c[order], prints[order]
     for lo in range(0, len(ask), 256):
         hi = min(lo + 256, len(ask))
         slots = _agreeing(prints, lo, hi)
         slots[c[lo:hi, None] == c[None, :]] = 0
-        if top is not None and top < len(ids):
+        if top is not None and top < len(c):
             best = np.argpartition(-slots, top - 1, axis=1)[:, :top]
             i, j = np.repeat(np.arange(hi - lo), top), best.reshape(-1)
             on = slots[i, j] >= LEAST_SLOTS
@@ -220,46 +222,107 @@ def bucket_pairs(ids: np.ndarray, c: np.ndarray, prints: np.ndarray, top: int |
                 first = [_first_band(prints[i[at:at + 4096] + lo], prints[j[at:at + 4096]]) for at in range(0, len(i), 4096)]
                 here = np.concatenate(first) == band
                 i, j = i[here], j[here]
-        x, y = ids[i + lo], ids[j]
-        yield np.minimum(x, y), np.maximum(x, y)
+        yield order[i + lo], order[j]
 
 
-def _candidates(top: int | None):
-    """Streams rows ordered by bucket; a bucket is held until the next begins."""
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows ordered by bucket, some whole buckets at a time; a bucket is held until the next begins."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        bucket = batch.column(0).to_numpy()
+        at = len(bucket) - int((bucket[::-1] != bucket[-1]).argmax()) if (bucket != bucket[-1]).any() else 0
+        if at or (held and held[-1].column(0)[0].as_py() != bucket[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, at)])
+            held = []
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _cut_buckets(table: pa.Table) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(rows, ids, components, prints, band) of each bucket."""
+    bucket, band, ids, c = (table.column(k).to_numpy() for k in range(4))
+    prints = np.frombuffer(b"".join(table.column(4).to_pylist()), np.uint16).reshape(len(ids), SLOTS)
+    cut = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(ids)]))
+    for a, b in zip(cut.tolist(), cut[1:].tolist()):
+        if a < b:
+            yield slice(a, b), ids[a:b], c[a:b], prints[a:b], int(band[a])
+
+
+def _pair_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    x, y = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    both = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
+
+def _candidates(top: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            bucket, band, ids, c = (table.column(k).to_numpy() for k in range(4))
-            prints = np.frombuffer(b"".join(table.column(4).to_pylist()), np.uint16).reshape(len(ids), SLOTS)
-            cut = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(ids)]))
-            found = [x for a, b in zip(cut, cut[1:]) for x in bucket_pairs(ids[a:b], c[a:b], prints[a:b], top, int(band[a]))]
+        for table in _buckets(batches):
+            found = [(ids[i], ids[j]) for _, ids, c, prints, _ in _cut_buckets(table) for i, j in bucket_pairs(c, prints, top)]
             if found:
-                both = np.unique(np.stack((np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            bucket = batch.column(0).to_numpy()
-            at = int(np.searchsorted(bucket, bucket[-1]))
-            if at or (held and held[-1].column(0)[0].as_py() != bucket[0]):
-                yield from pairs(pa.Table.from_batches([*held, batch.slice(0, at)]))
-                held = []
-            held.append(batch.slice(at))
-        if held:
-            yield from pairs(pa.Table.from_batches(held))
+                yield _pair_batch(found)
     return run
 
 
-def candidates(members: DataFrame, labels: DataFrame | None, top: int | None) -> DataFrame:
-    """(a, b): pairs to test next, from members (bucket, band, id, prints) and the components so far."""
-    now = members.withColumn("c", F.col("id")) if labels is None else (
-        members.join(labels, members["id"] == labels["node"], "left").withColumn("c", F.coalesce("component", "id")))
-    dealt = now.select("bucket", "band", "id", "c", "prints").repartition("bucket").sortWithinPartitions("bucket")
+def _links_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Confirmed links across components of each bucket, whose members' texts are at hand."""
+    for table in _buckets(batches):
+        found = []
+        for rows, ids, c, prints, band in _cut_buckets(table):
+            pairs = list(bucket_pairs(c, prints, None, band))
+            if not any(len(i) for i, _ in pairs):
+                continue
+            i, j = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+            texts, sets = table.column(5).slice(rows.start, rows.stop - rows.start).combine_chunks(), {}
+            for k in np.unique(np.concatenate((i, j))).tolist():
+                data, offsets = words_np.buffer_of(texts.slice(k, 1))
+                sets[k] = np.unique(words_np.shingles(*words_np.words_of(data, offsets), SHINGLE)[1])
+            # one member at a time against all its partners
+            order = np.argsort(i, kind="stable")
+            i, j = i[order], j[order]
+            edge = [0, *(np.flatnonzero(i[1:] != i[:-1]) + 1).tolist(), len(i)]
+            for a, b in zip(edge, edge[1:]):
+                own = sets[int(i[a])]
+                for at in range(a, b, 256):
+                    part = j[at:min(at + 256, b)]
+                    others = [sets[int(k)] for k in part]
+                    sizes = np.array([len(o) for o in others])
+                    flat = np.concatenate(others)
+                    place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+                    both = np.add.reduceat((own[place] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+                    linked = 100 * both >= PERCENT * (len(own) + sizes - both)
+                    found.append((np.full(int(linked.sum()), ids[i[a]]), ids[part[linked]]))
+        if found:
+            yield _pair_batch(found)
+
+
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members (bucket, band, id, prints) with the component ``c`` found so far."""
+    if labels is None:
+        return members.select("bucket", "band", "id", F.col("id").alias("c"), "prints")
+    return (members.join(labels, members["id"] == labels["node"], "left")
+            .select("bucket", "band", "id", F.coalesce("component", "id").alias("c"), "prints"))
+
+
+def candidates(members: DataFrame, labels: DataFrame | None, top: int) -> DataFrame:
+    """(a, b): the best partners of each member, to be tested next."""
+    dealt = _labelled(members, labels).repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(_candidates(top), "a long, b long").distinct()
 
 
+def remaining_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): all confirmed links across components that the buckets still hold.
+
+    Only buckets with several components get their texts, and only links come out.
+    """
+    now = stored(_labelled(members, labels), "labelled")
+    split = now.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("bucket")
+    rows = now.join(split, "bucket").join(texts, "id").select("bucket", "band", "id", "c", "prints", "text")
+    return stored(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links_within, "a long, b long"), "remaining")
+
+
 def bounded(members: DataFrame) -> DataFrame:
     """(bucket, band, id, n, lead) without a bucket above ``LARGE_BUCKET``.
 
@@ -318,6 +381,9 @@ def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         tested = new if tested is None else tested.union(new)
         if labels is None or not new.filter("linked").isEmpty():
             labels = components(tested.filter("linked").select("a", "b").union(tied))
+    last = remaining_links(more, labels, texts)
+    if not last.isEmpty():
+        labels = components(tested.filter("linked").select("a", "b").union(tied).union(last))
     of_rep = labels.select(F.col("node").alias("rep"), "component")
     groups = (classed.join(of_rep, "rep", "left").groupBy("id")
               .agg(F.min(F.coalesce("component", "rep")).alias("component_id")))
