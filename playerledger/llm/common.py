@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,19 @@ SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Enough for local sessions and shared installations; other clusters have the
+    package installed or shipped with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playerledger.llm import winnow
-from playerledger.llm.common import stored
+from playerledger.llm.common import reachable, stored
 from playerledger.llm.words_np import BYTE, U, buffer_of, mix, slices
 
 SPAN = 400
@@ -172,6 +172,7 @@ def segments(texts: DataFrame, piece: int = PIECE) -> DataFrame:
     ``h`` is the anchor, ``seg`` the segment's content, ``first`` the first of the
     ``n`` string starts it owns in the text (ta, tb), ``occ`` how many rows have it there.
     """
+    reachable(texts.sparkSession)
     all = stored(texts.filter(F.octet_length("text") >= SPAN).select(*_unit(F.col("text")), "text").mapInArrow(
         _found(piece), "h long, seg long, ta long, tb int, first int, n int"), "anchors")
     shared = all.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
