@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playerledger.llm.common import SPACE, let, with_new, words
+from playerledger.llm.common import SPACE, free_name, let, with_new, words
 
 #: Symbols counted by the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -110,20 +110,23 @@ def judge(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> Da
             F.size(lines).alias("n"), (F.size(lines) - F.size(good)).alias("bad"),
             let(F.filter(lines, lambda x: F.trim(x, F.lit(SPACE)) != ""),
                 lambda x: F.size(x) - F.size(F.array_distinct(x))).alias("repeats"))))
-    out = with_new(docs, __words=measured, __lines=cleaned)
-    n_words, n_repeat = F.col("__words.n_words"), F.col("__words.n_repeat")
+    # a generator's columns: filters on the verdict do not pull the work down a second time
+    at = free_name(docs, "judged")
+    out = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(F.struct(
+        measured.alias("words"), cleaned.alias("lines")))).alias(at))
+    n_words, n_repeat = F.col(f"{at}.words.n_words"), F.col(f"{at}.words.n_repeat")
     failed = (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)
-    lost = F.when(F.col("__lines.chars") > 0, 1 - F.col("__lines.left") / F.col("__lines.chars")).otherwise(F.lit(0.0))
+    lost = F.when(F.col(f"{at}.lines.chars") > 0, 1 - F.col(f"{at}.lines.left") / F.col(f"{at}.lines.chars")).otherwise(F.lit(0.0))
     # chars removed against chars: whole numbers decide, so every engine agrees
-    too_much = (F.col("__lines.chars") - F.col("__lines.left")) * 1000 > F.col("__lines.chars") * int(round(max_lost * 1000))
+    too_much = (F.col(f"{at}.lines.chars") - F.col(f"{at}.lines.left")) * 1000 > F.col(f"{at}.lines.chars") * int(round(max_lost * 1000))
     out = with_new(
         out, n_words=n_words.cast("long"),
-        word_chars=F.col("__words.chars").cast("long"),
+        word_chars=F.col(f"{at}.words.chars").cast("long"),
         n_symbols=count_chars(t, SYMBOLS).cast("long"),
-        n_dup_lines=F.col("__lines.repeats").cast("long"), n_repeat_words=n_repeat.cast("long"),
-        base_failed=failed, n_lines=F.col("__lines.n").cast("long"), n_failed_lines=F.col("__lines.bad").cast("long"),
-        lost=lost, clean_text=F.col("__lines.text"), kept=~failed & ~too_much)
-    return out.drop("__words", "__lines")
+        n_dup_lines=F.col(f"{at}.lines.repeats").cast("long"), n_repeat_words=n_repeat.cast("long"),
+        base_failed=failed, n_lines=F.col(f"{at}.lines.n").cast("long"), n_failed_lines=F.col(f"{at}.lines.bad").cast("long"),
+        lost=lost, clean_text=F.col(f"{at}.lines.text"), kept=~failed & ~too_much)
+    return out.drop(at)
 
 
 def keep_clean(docs: DataFrame, text: str = "text", chars: str | None = "n_chars") -> DataFrame:

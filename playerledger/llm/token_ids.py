@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 #: Words a worker remembers at most, which bounds its memory.  When they are full and
 #: still miss more than ``MISSES`` of a slice's distinct words, the memory starts again.
-MOST_WORDS = 600_000
+MOST_WORDS = 400_000
 MISSES = 0.9
 #: Longer words are encoded each time.
 LONG_WORD = 64
