@@ -6,15 +6,14 @@
    no band with a chance of 5e-6.
 2. Documents with equal sets are one class; only its smallest id goes on.
 3. Band buckets with two or more classes give candidates.  Within a bucket
-   signatures are compared in blocks; in two rounds each member names its best
-   partner, then its best few, in other components.  Last, buckets that still hold
-   several components get their members' texts, and all their pairs across
-   components whose signatures agree nearly as much as the threshold asks are
-   confirmed on the spot, each in the first bucket it shares.  Members of a
-   bucket's largest component are only compared with the others, so a group of
-   thousands of near copies costs a few pairs a member and no agreeing pair across
-   components is left untested.  Buckets above a bound are split by the bands their
-   members share besides.
+   signatures are compared in blocks; at first each member names its best partner.
+   Then buckets that still hold several components get their members' texts, and
+   their pairs across components whose signatures agree nearly as much as the
+   threshold asks are confirmed on the spot, each in the first bucket it shares.
+   Members of a bucket's largest component are only compared with the others, so a
+   group of thousands of near copies costs a pair a member, and no agreeing pair
+   across components is left untested.  Buckets above a bound are split by the
+   bands their members share besides.
 4. Candidates are confirmed on full shingle sets, links grouped by connected
    components.
 
@@ -47,8 +46,6 @@ SLICE = 1 << 20
 #: Slots in which two signatures must agree to be tested (at the threshold 96 do, with a
 #: deviation of 5: four deviations less).
 LEAST_SLOTS = 76
-#: Partners each member names in the first rounds.
-ROUNDS = (1, 4)
 #: Larger buckets are split, at most so often.
 LARGE_BUCKET = 2048
 SPLITS = 3
@@ -280,37 +277,35 @@ def _links_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for k in np.unique(np.concatenate((i, j))).tolist():
                 data, offsets = words_np.buffer_of(texts.slice(k, 1))
                 sets[k] = np.unique(words_np.shingles(*words_np.words_of(data, offsets), SHINGLE)[1])
-            # one member at a time against all its partners
+            # one member at a time against its partners in components not yet joined to its own
             order = np.argsort(i, kind="stable")
             i, j = i[order], j[order]
             edge = [0, *(np.flatnonzero(i[1:] != i[:-1]) + 1).tolist(), len(i)]
             for a, b in zip(edge, edge[1:]):
                 own = sets[int(i[a])]
-                for at in range(a, b, 256):
-                    part = j[at:min(at + 256, b)]
+                for at in range(a, b, 64):
+                    part = j[at:min(at + 64, b)]
+                    part = part[c[part] != c[i[a]]]
+                    if not len(part):
+                        continue
                     others = [sets[int(k)] for k in part]
                     sizes = np.array([len(o) for o in others])
                     flat = np.concatenate(others)
                     place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
                     both = np.add.reduceat((own[place] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
-                    linked = 100 * both >= PERCENT * (len(own) + sizes - both)
-                    found.append((np.full(int(linked.sum()), ids[i[a]]), ids[part[linked]]))
+                    linked = part[100 * both >= PERCENT * (len(own) + sizes - both)]
+                    if len(linked):
+                        found.append((np.full(len(linked), ids[i[a]]), ids[linked]))
+                        c = np.where(np.isin(c, c[linked]), c[i[a]], c)
         if found:
             yield _pair_batch(found)
 
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members (bucket, band, id, prints) with the component ``c`` found so far."""
-    if labels is None:
-        return members.select("bucket", "band", "id", F.col("id").alias("c"), "prints")
-    return (members.join(labels, members["id"] == labels["node"], "left")
-            .select("bucket", "band", "id", F.coalesce("component", "id").alias("c"), "prints"))
-
-
-def candidates(members: DataFrame, labels: DataFrame | None, top: int) -> DataFrame:
-    """(a, b): the best partners of each member, to be tested next."""
-    dealt = _labelled(members, labels).repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(_candidates(top), "a long, b long").distinct()
+def candidates(members: DataFrame) -> DataFrame:
+    """(a, b): each member's best partner in each of its buckets."""
+    dealt = members.select("bucket", "band", "id", F.col("id").alias("c"), "prints")
+    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(_candidates(1), "a long, b long").distinct()
 
 
 def remaining_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
@@ -318,7 +313,8 @@ def remaining_links(members: DataFrame, labels: DataFrame, texts: DataFrame) ->
 
     Only buckets with several components get their texts, and only links come out.
     """
-    now = stored(_labelled(members, labels), "labelled")
+    now = stored(members.join(labels, members["id"] == labels["node"], "left")
+                 .select("bucket", "band", "id", F.coalesce("component", "id").alias("c"), "prints"), "labelled")
     split = now.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("bucket")
     rows = now.join(split, "bucket").join(texts, "id").select("bucket", "band", "id", "c", "prints", "text")
     return stored(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links_within, "a long, b long"), "remaining")
@@ -374,17 +370,11 @@ def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     more = members.filter("n > 2").select("bucket", "band", "id").join(
         classes.groupBy("rep").agg(F.first("prints").alias("prints")), F.col("id") == F.col("rep"))
     more = stored(more.select("bucket", "band", "id", "prints"), "more")
-    tested, labels = None, None
-    for top in ROUNDS:
-        pairs = candidates(more, labels, top)
-        pairs = two.union(pairs).distinct() if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        new = confirm(pairs, texts)
-        tested = new if tested is None else tested.union(new)
-        if labels is None or not new.filter("linked").isEmpty():
-            labels = components(tested.filter("linked").select("a", "b").union(tied))
+    tested = confirm(two.union(candidates(more)).distinct(), texts).filter("linked").select("a", "b").union(tied)
+    labels = components(tested)
     last = remaining_links(more, labels, texts)
     if not last.isEmpty():
-        labels = components(tested.filter("linked").select("a", "b").union(tied).union(last))
+        labels = components(tested.union(last))
     of_rep = labels.select(F.col("node").alias("rep"), "component")
     groups = (classed.join(of_rep, "rep", "left").groupBy("id")
               .agg(F.min(F.coalesce("component", "rep")).alias("component_id")))

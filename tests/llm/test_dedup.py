@@ -16,7 +16,9 @@ def find(parent, x):
     return x
 
 
-def test_components(spark):
+@pytest.mark.parametrize("size", [500_000, 20])
+def test_components(spark, monkeypatch, size):
+    monkeypatch.setattr(components, "LINKS_A_TASK", size)
     r = random.Random(2)
     edges = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(180)] + [(i, i + 1) for i in range(500, 540)] + [(7, 7), (None, 3)]
     parent = list(range(600))
@@ -240,3 +242,17 @@ def test_repeats_equal_brute_force(spark, monkeypatch, shard, piece):
         assert (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) == truth
         assert hashlib.sha256(x.kept).hexdigest() == truth[3] and sum(s.hi - s.lo for s in x.spans) == truth[1]
     assert suffix_dedup.without_repeats(df.limit(0)).count() == 0
+
+
+def test_union_find():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 60, 400):
+        u, v = rng.integers(0, 300, n), rng.integers(0, 300, n)
+        parent = list(range(300))
+        for a, b in zip(u.tolist(), v.tolist()):
+            x, y = find(parent, a), find(parent, b)
+            parent[max(x, y)] = min(x, y)
+        truth = {x: find(parent, x) for x in {*u.tolist(), *v.tolist()} if find(parent, x) != x}
+        assert dict(zip(*(x.tolist() for x in components.union_find(u, v)))) == truth
+    line = np.arange(5000)
+    assert set(components.union_find(line[1:], line[:-1])[1].tolist()) == {0}
