@@ -259,7 +259,7 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[Mode
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     # the smallest count whose words, with all more frequent ones, fit in the head
     least, held = 1, 0
-    for r in counts.groupBy("c").count().filter("count <= %d" % HEAD).orderBy(F.desc("c")).limit(HEAD).collect():
+    for r in counts.groupBy("c").count().orderBy(F.desc("c")).limit(HEAD).collect():
         if held + r["count"] > HEAD:
             least = r["c"] + 1
             break

@@ -24,6 +24,8 @@ from playerledger.llm.common import SPACE, free_name, let, with_new, words
 SYMBOLS = "#*$%&|<>"
 #: Separators of menus and link rows.
 SEPARATORS = "|»›•"
+#: A sentence that ends inside a line.
+SENTENCE = r"[.!?…。！？][\x20\x09-\x0D]"
 #: A line of prose ends with one of these, spaces after it ignored.
 ENDS_WELL = ".!?:;,\"')]»”’…。！？"
 #: Page furniture, not prose, when it stands on a line of its own.
@@ -32,7 +34,7 @@ BOILERPLATE = (r"(?i)(all rights reserved|terms of (use|service)|privacy policy|
 BOILERPLATE_CHARS = 200
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A longer line without end punctuation fails; shorter ones are taken as headings.
+#: A longer line without a sentence's end in it or behind it fails; shorter ones are taken as headings.
 HEADING_WORDS = 8
 #: Separators that make a line a menu, and the words between two of them at most.
 MENU_SEPARATORS = 2
@@ -88,7 +90,7 @@ def line_ok(line: Column) -> Column:
     body = F.rtrim(line, F.lit(SPACE))
     menu = (seps >= MENU_SEPARATORS) & (n <= MENU_WORDS * (seps + 1))
     # punctuation: prose ends its lines, and does not hold more symbols than words
-    unended = ~F.substring(body, -1, 1).isin(*ENDS_WELL) & (n > HEADING_WORDS)
+    unended = ~F.substring(body, -1, 1).isin(*ENDS_WELL) & (n > HEADING_WORDS) & ~line.rlike(SENTENCE)
     symbols = count_chars(line, SYMBOLS)
     noisy = (symbols > 0) & (symbols > n)
     furniture = (F.length(line) <= BOILERPLATE_CHARS) & line.rlike(BOILERPLATE)

@@ -15,7 +15,7 @@ judged AS (
               AND len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))
                   <= 4 * (length(l) - length(regexp_replace(l, '[|»›•]', '', 'g')) + 1))
              OR (len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) > 8
-                 AND NOT regexp_matches(l, '[.!?:;,"'')\]»”’…。！？][\x20\x09-\x0D]*\z'))
+                 AND NOT regexp_matches(l, '[.!?:;,"'')\]»”’…。！？][\x20\x09-\x0D]*\z|[.!?…。！？][\x20\x09-\x0D]'))
              OR length(l) - length(regexp_replace(l, '[#*$%&|<>]', '', 'g'))
                 > len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))
              OR (length(l) <= 200 AND regexp_matches(l, '(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie (policy|settings)|accept (all )?cookies|enable javascript|lorem ipsum|click here|skip to content|back to top)'))

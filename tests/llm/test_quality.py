@@ -29,7 +29,8 @@ def line_fails(x):
     seps = sum(c in "|»›•" for c in x)
     symbols = sum(c in "#*$%&|<>" for c in x)
     end = x.rstrip(" \t\n\x0b\x0c\r")[-1:]
-    return n > 0 and ((seps >= 2 and n <= 4 * (seps + 1)) or (n > 8 and end not in ".!?:;,\"')]»”’…。！？") or symbols > n
+    return n > 0 and ((seps >= 2 and n <= 4 * (seps + 1)) or (n > 8 and end not in ".!?:;,\"')]»”’…。！？"
+                      and not re.search(r"[.!?…。！？][\x20\x09-\x0D]", x)) or symbols > n
                       or (len(x) <= 200 and bool(re.search(quality_rules.BOILERPLATE, x))))
 
 
