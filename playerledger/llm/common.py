@@ -12,7 +12,6 @@ from playerledger.session import work_folder
 
 #: White space of the word definition: space and tab..carriage return.
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
-WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
 def reachable(spark: SparkSession) -> None:

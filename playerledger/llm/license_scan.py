@@ -19,7 +19,6 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

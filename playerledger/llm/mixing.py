@@ -35,7 +35,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from playerledger.llm.common import reachable, stored, with_new, words
