@@ -295,7 +295,12 @@ HIDDEN = "__ts, __p, __o"
 BASE_SELECT = list(schema.BASE_SELECT)
 
 
+# Output columns of the SELECTs built so far: what the merged documents must hold.
+_SELECTED: list[str] = []
+
+
 def _sel(rank: int, cols: list[str], src: str, where: str) -> str:
+    _SELECTED.extend(c.rsplit(" AS ", 1)[-1] for c in cols)
     return f"SELECT CAST({rank} AS INTEGER) AS write_rank, {', '.join(cols)}, {HIDDEN} FROM {src} WHERE {where}"
 
 
@@ -430,15 +435,10 @@ def merge_body(fields: list[str], src: str = "ch") -> str:
 
 
 def _change_fields(p: str) -> list[str]:
-    """Document fields of a pipeline's changes, from the Spark plan's column specs."""
-    from .plans import PLANS
-    seen: dict[str, None] = {}
-    for k in PLANS[p].kinds():
-        for spec in k.columns:
-            name = spec if isinstance(spec, str) else spec[0]
-            if name not in ("id", "date_part"):
-                seen.setdefault(name, None)
-    return list(seen)
+    """Document fields of a pipeline's changes: the columns its SELECTs state."""
+    _SELECTED.clear()
+    changes_sql(p)
+    return [c for c in dict.fromkeys(_SELECTED) if c not in ("id", "date_part")]
 
 
 def merged_query(p: str, where: str = "TRUE") -> str:
