@@ -57,6 +57,9 @@ NOTICES = {
     "redistribution and use in source and binary forms": "bsd",
 }
 TAG = "spdx license identifier"
+#: Bytes scanned at once, and the words of the longest phrase.
+PIECE = 1 << 18
+MOST_WORDS = max(len(p.split()) for p in [*BASE, *NOTICES, TAG])
 #: The tag in raw text, and the line after it.
 TAG_LINE = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
 TOKEN = re.compile(r"[()]|[A-Za-z0-9.+-]+")
@@ -136,27 +139,48 @@ def automaton():
     return found
 
 
+def _pieces(text: bytes) -> Iterator[tuple[int, int, str]]:
+    """(number of the first word, words known from the piece before, words joined by spaces).
+
+    Long texts come in pieces, each led by the last words of the one before, so that
+    a phrase across the cut is whole in one of them.
+    """
+    plain, at, number, known = text.translate(_WORD), 0, 0, []
+    while at < len(plain):
+        end = len(plain)
+        if at + PIECE < end:
+            end = plain.find(b" ", at + PIECE)
+            end = len(plain) if end < 0 else end
+        words = known + plain[at:end].split()
+        if len(words) > len(known):
+            yield number - len(known), len(known), (b" " + b" ".join(words) + b" ").decode()
+        number += len(words) - len(known)
+        known, at = words[-(MOST_WORDS - 1):], end
+    yield number, 0, ""
+
+
 def scan(text: bytes) -> tuple[int, int, int | None, int | None, str, str, float]:
     """(n_words, n_base, first_word, last_word, base_labels, labels, score) of one text's UTF-8 bytes."""
-    words = text.translate(_WORD).split()
-    joined = (b" " + b" ".join(words) + b" ").decode() if words else ""
-    places, phrases, tags = [], set(), 0
-    for end, phrase in automaton().iter(joined):
-        if phrase in BASE:
-            places.append(end - len(phrase) - 1)
-        tags += phrase == TAG
-        phrases.add(phrase)
+    n_words, n_base, first, last, phrases, tags = 0, 0, None, None, set(), 0
+    for number, known, joined in _pieces(text):
+        n_words = number + joined.count(" ") - 1 if joined else number
+        for end, phrase in automaton().iter(joined):
+            # a word's number is the number of spaces before it, less the one in front
+            if known and joined.count(" ", 0, end) <= known:
+                continue  # whole in the piece before
+            phrases.add(phrase)
+            tags += phrase == TAG
+            if phrase in BASE:
+                place = number + joined.count(" ", 0, end - len(phrase) - 1)
+                n_base += 1
+                first, last = place if first is None else min(first, place), place if last is None else max(last, place)
     base = {BASE[p] for p in phrases if p in BASE}
     labels = base | {NOTICES[p] for p in phrases if p in NOTICES}
     for line in TAG_LINE.findall(text.decode()) if tags else ():
         labels |= {name for choice in alternatives(line) for name in choice}
-    first = last = None
-    if places:
-        # a word's number is the number of spaces before it, less the one in front
-        first, last = joined.count(" ", 0, min(places)), joined.count(" ", 0, max(places))
     # tags are sure, phrases nearly so, the wording of notices less
     sure = 1.0 if labels and tags else 0.9 if base else 0.5 if labels else 0.0
-    return len(words), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(labels)), sure
+    return n_words, n_base, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), sure
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

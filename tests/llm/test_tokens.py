@@ -200,6 +200,19 @@ def brute_scan(t):
     return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
 
 
+def test_license_pieces_agree_with_the_whole(monkeypatch):
+    r = random.Random(7)
+    bits = ["gnu", "general", "public", "license", "apache", "cc", "by", "mit", "x", "é", "permission is hereby granted"]
+    for _ in range(60):
+        t = " ".join(r.choice(bits) for _ in range(r.randint(0, 80)))
+        monkeypatch.setattr(license_scan, "PIECE", 1 << 18)
+        whole = license_scan.scan(t.encode())
+        assert whole[:5] == brute_scan(t)
+        for size in (1, 7, 40):
+            monkeypatch.setattr(license_scan, "PIECE", size)
+            assert license_scan.scan(t.encode()) == whole
+
+
 def test_license_scan_equals_brute_force(spark):
     r = random.Random(3)
     bits = ["gnu", "General", "public", "LICENSE", "apache", "cc", "by", "mit", "x", "é", "\n", "--", "cc-by", "MIT License"]
