@@ -8,7 +8,7 @@ Only 16-byte line keys are shuffled, aggregated before the shuffle.  What a host
 drops is small whatever its size: it has at most
 ``mean lines per page / max_ratio`` such lines, so the per-host lists joined to
 the pages are bounded, and a hot host is split by the skew join or not shuffled
-at all (Spark broadcasts the lists when they are measured small).
+at all (Spark broadcasts the lists when their stored size is small).
 
 Column expressions and joins only, no Python.
 
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playerledger.llm.common import SPACE, free_name, with_new
+from playerledger.llm.common import SPACE, free_name, stored, with_new
 
 MAX_RATIO = 0.1
 MIN_PAGES = 3
@@ -54,7 +54,8 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
                      max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` with ``n_lines``, ``n_dropped`` and ``clean_text``."""
     at, keys = free_name(pages, "site_host"), free_name(pages, "site_keys")
-    drops = boilerplate(pages, host, text, max_ratio, min_pages).toDF(at, keys)
+    # a table of its own: its size is known before the join, and the join's sides can be dealt anew
+    drops = stored(boilerplate(pages, host, text, max_ratio, min_pages).toDF(at, keys), "boilerplate")
     joined = pages.join(drops, pages[f"`{host}`"] == drops[at], "left")
     lines = F.split(F.col(f"`{text}`"), "\n", -1)
     left = F.filter(lines, lambda x: ~has_word(x) | ~F.array_contains(F.col(keys), line_key(x)))
