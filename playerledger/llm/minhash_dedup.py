@@ -354,8 +354,9 @@ def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``; ``id`` as long."""
     signed = stored(signatures(docs, id, text), "signed")
     sets = signed.filter("n_shingles > 0 and id is not null")
-    classes = sets.groupBy("print_a", "print_b").agg(
-        F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("prints").alias("prints"))
+    # a table of its own: its join with the rows can be dealt anew where a class is hot
+    classes = stored(sets.groupBy("print_a", "print_b").agg(
+        F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("prints").alias("prints")), "classes")
     members = bounded(classes.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "bucket"))
                       .groupBy("bucket", "id").agg(F.min("band").alias("band")))
     texts = stored(docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))

@@ -175,7 +175,8 @@ def segments(texts: DataFrame, piece: int = PIECE) -> DataFrame:
     reachable(texts.sparkSession)
     all = stored(texts.filter(F.octet_length("text") >= SPAN).select(*_unit(F.col("text")), "text").mapInArrow(
         _found(piece), "h long, seg long, ta long, tb int, first int, n int"), "anchors")
-    shared = all.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
+    # tables of their own: a join of two plain scans can be dealt anew where one anchor is hot
+    shared = stored(all.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "shared")
     # dealt by place, not by anchor: one anchor may have a third of all rows
     places = ["h", "seg", "ta", "tb", "first", "n"]
     return stored(all.join(shared, "h").repartition(*places).groupBy(*places).agg(F.count(F.lit(1)).alias("occ")), "segments")
@@ -341,7 +342,7 @@ def repeated_starts(texts: DataFrame, shard_segments: int = SHARD_SEGMENTS, piec
     held = segments(texts, piece)
     segs = stored(held.groupBy("h", "seg").agg(
         F.sum("occ").alias("occ"), *[F.first(c).alias(c) for c in ("ta", "tb", "first", "n")]), "distinct")
-    several = segs.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    several = stored(segs.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "several")
     todo = stored(segs.join(several, "h"), "todo")
     total, large = todo.agg(F.count(F.lit(1)), F.sum(F.when(F.col("c") > shard_segments, 1))).first()
     shards = -(-2 * total // shard_segments) or 1
