@@ -42,7 +42,7 @@ NEARLY = 4
 RUN = 1_000_000
 GROUP = 200_000
 #: Text bytes tokenised at once.
-SLICE = 1 << 21
+SLICE = 1 << 22
 #: A round that joins less than this share of its bins is the last.
 LEAST_JOINED = 0.02
 
