@@ -14,17 +14,31 @@ from playerledger.session import work_folder
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
-def reachable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
-
-    Enough for local sessions and shared installations; other clusters have the
-    package installed or shipped with ``--py-files``.
+#: Bytes of rows handed to a Python worker at once: bounds both sides' memory whatever the rows' length.
+BATCH_BYTES = 16 << 20
+#: Let a worker give large arrays back to the system when they are freed.
+WORKER_ENV = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_MMAP_THRESHOLD_": "4194304",
+    "MALLOC_TRIM_THRESHOLD_": "8388608",
+}
+
+
+def workers_ready(spark: SparkSession) -> None:
+    """Settings of the Python workers: small batches, and this package importable.
+
+    The package is found where the driver has it, which is enough for local
+    sessions and shared installations; other clusters have it installed or shipped
+    with ``--py-files``.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    for k, v in WORKER_ENV.items():
+        env.setdefault(k, v)
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:

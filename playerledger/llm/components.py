@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playerledger.llm.common import reachable, stored
+from playerledger.llm.common import stored, workers_ready
 
 LINKS_A_TASK = 500_000
 
@@ -78,7 +78,7 @@ def components(links: DataFrame) -> DataFrame:
     ``links``: two columns of longs, any order and direction; self links and
     nulls are ignored.  An empty table gives an empty table.
     """
-    reachable(links.sparkSession)
+    workers_ready(links.sparkSession)
     a, b = (F.col(f"`{c}`") for c in links.columns[:2])
     now = links.filter(a.isNotNull() & b.isNotNull() & (a != b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     now = _shortened(now, max(1, -(-now.count() // LINKS_A_TASK)))

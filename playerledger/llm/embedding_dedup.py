@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playerledger.llm.common import reachable, stored, with_new
+from playerledger.llm.common import stored, with_new, workers_ready
 from playerledger.llm.components import components
 
 THRESHOLD = 0.93
@@ -155,7 +155,7 @@ def _compare(threshold: float):
 def links(classes: DataFrame, threshold: float = THRESHOLD, passes: int | None = None, seed: int = SEED,
           segment: int = SEGMENT) -> DataFrame:
     """(a, b), a < b: pairs of classes (id, label, dim, vector) with a cosine of ``threshold`` or more."""
-    reachable(classes.sparkSession)
+    workers_ready(classes.sparkSession)
     if passes is None:
         largest = classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
         passes = passes_for(largest, threshold)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playerledger.llm.common import reachable
+from playerledger.llm.common import workers_ready
 from playerledger.llm.words_np import buffer_of
 
 #: Phrases whose places are counted, and their labels.
@@ -195,7 +195,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def licenses(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The licence findings of every row of ``docs``."""
-    reachable(docs.sparkSession)
+    workers_ready(docs.sparkSession)
     cols = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     return cols.mapInArrow(_scan, f"id {cols.schema['id'].dataType.simpleString()}, n_words long, n_base long, "
                                   "first_word long, last_word long, base_labels string, labels string, score double"

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playerledger.llm import words_np
-from playerledger.llm.common import reachable, stored
+from playerledger.llm.common import stored, workers_ready
 from playerledger.llm.words_np import U, buffer_of, mix, slices
 
 #: Words whose counts every task holds: 12 bytes each.
@@ -250,7 +250,7 @@ def averaged(parts: DataFrame) -> np.ndarray | None:
 
 def train(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[Model, DataFrame]:
     """The trained model and the count table (word, ending, c) of the training documents."""
-    reachable(docs.sparkSession)
+    workers_ready(docs.sparkSession)
     spark = docs.sparkSession
     key, words = F.col(f"`{id}`"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     learn = docs.filter(~held_out(key))

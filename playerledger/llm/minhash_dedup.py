@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playerledger.llm import words_np
-from playerledger.llm.common import free_name, reachable, stored
+from playerledger.llm.common import free_name, stored, workers_ready
 from playerledger.llm.components import components
 
 U = np.uint64
@@ -140,7 +140,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signatures(docs: DataFrame, id: str, text: str) -> DataFrame:
-    reachable(docs.sparkSession)
+    workers_ready(docs.sparkSession)
     cols = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     return cols.mapInArrow(_sign, "id long, n_shingles long, print_a long, print_b long, bands array<long>, prints binary")
 

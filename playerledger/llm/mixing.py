@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from playerledger.llm.common import reachable, stored, with_new, words
+from playerledger.llm.common import stored, with_new, words, workers_ready
 
 #: The weights sources take in turn.
 WEIGHTS = (1, 2, 3)
@@ -137,7 +137,7 @@ def draw(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
     """``docs`` with ``size``, ``source_size``, ``target`` and ``draws``: the
     (epoch, shard) pairs for which the mix takes the row.
     """
-    reachable(docs.sparkSession)
+    workers_ready(docs.sparkSession)
     spark = docs.sparkSession
     key, name, words_in = (F.col(f"`{c}`") for c in (id, source, text))
     size = F.size(words(words_in)).cast("long")

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playerledger.llm.common import reachable, stored
+from playerledger.llm.common import stored, workers_ready
 from playerledger.llm.token_ids import word_ids
 from playerledger.llm.words_np import buffer_of, slices
 
@@ -105,7 +105,7 @@ def _cut(path: str, capacity: int):
 
 def pieces(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Token pieces of every document: doc_id, piece, start, length, ids_crc32."""
-    reachable(docs.sparkSession)
+    workers_ready(docs.sparkSession)
     cols = docs.select(F.col(f"`{id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = cols.schema["doc_id"].dataType.simpleString()
     return cols.mapInArrow(_cut(path, capacity),
@@ -147,7 +147,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, nearly: int = NEARLY) -> Da
 
     ``parts`` has to be a stored table: its partitions are the tree's leaves.
     """
-    reachable(parts.sparkSession)
+    workers_ready(parts.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
     local = stored(parts.mapInArrow(_pack_partition(capacity), schema + ", bin long, offset long, load long"), "local")
     # a bin is told by its first piece

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playerledger.llm import winnow
-from playerledger.llm.common import reachable, stored
+from playerledger.llm.common import stored, workers_ready
 from playerledger.llm.words_np import BYTE, U, buffer_of, mix, slices
 
 SPAN = 400
@@ -172,7 +172,7 @@ def segments(texts: DataFrame, piece: int = PIECE) -> DataFrame:
     ``h`` is the anchor, ``seg`` the segment's content, ``first`` the first of the
     ``n`` string starts it owns in the text (ta, tb), ``occ`` how many rows have it there.
     """
-    reachable(texts.sparkSession)
+    workers_ready(texts.sparkSession)
     all = stored(texts.filter(F.octet_length("text") >= SPAN).select(*_unit(F.col("text")), "text").mapInArrow(
         _found(piece), "h long, seg long, ta long, tb int, first int, n int"), "anchors")
     # tables of their own: a join of two plain scans can be dealt anew where one anchor is hot
@@ -375,35 +375,47 @@ def spans_of(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[new], end[np.concatenate((new[1:], [True]))]
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = buffer_of(batch.column(1))
-        lists = batch.column(2)
-        rows = []
-        for i in range(len(batch)):
-            text = data[offsets[i]:offsets[i + 1]]
-            spans, kept = [], text.tobytes()
-            if lists[i].is_valid and len(lists[i].values):
-                runs = lists[i].values
-                a, b = spans_of(runs.field("lo").to_numpy().astype(np.int64), runs.field("hi").to_numpy().astype(np.int64))
-                spans = [{"lo": int(x), "hi": int(y)} for x, y in zip(a, b)]
-                edges = [0, *np.stack((a, b), 1).reshape(-1).tolist(), len(text)]
-                kept = b"".join(text[x:y].tobytes() for x, y in zip(edges[0::2], edges[1::2]))
-            rows.append((len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), spans, kept))
-        cols = list(zip(*rows)) if rows else [[]] * 6
-        pair = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
-        kinds = [pa.int64()] * 3 + [pa.string(), pair, pa.binary()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
-                                         ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
+SPANS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+
+
+def _cut(with_bytes: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffer_of(batch.column(1))
+            lists = batch.column(2)
+            flat, border = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            lows, highs = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "hi"))
+            for first, last in slices(offsets, 1 << 22):
+                rows = []
+                for i in range(first, last):
+                    text, own = data[offsets[i]:offsets[i + 1]], slice(border[i], border[i + 1])
+                    spans, parts = [], [text]
+                    if len(lows[own]):
+                        a, b = spans_of(lows[own], highs[own])
+                        spans = [{"lo": x, "hi": y} for x, y in zip(a.tolist(), b.tolist())]
+                        edges = [0, *np.stack((a, b), 1).reshape(-1).tolist(), len(text)]
+                        parts = [text[x:y] for x, y in zip(edges[0::2], edges[1::2])]
+                    digest = hashlib.sha256()
+                    for part in parts:
+                        digest.update(part)
+                    kept = sum(map(len, parts))
+                    rows.append((len(text), len(text) - kept, len(spans), digest.hexdigest(), spans,
+                                 b"".join(p.tobytes() for p in parts) if with_bytes else None))
+                cols = list(zip(*rows))
+                kinds = [pa.int64()] * 3 + [pa.string(), SPANS, pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, last - first), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
+                    ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
+    return run
 
 
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", shard_segments: int = SHARD_SEGMENTS,
-                    piece: int = PIECE) -> DataFrame:
+                    piece: int = PIECE, with_bytes: bool = True) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept) for every row of ``docs``;
-    ``kept`` holds the remaining bytes, ``spans`` what was removed."""
+    ``spans`` is what was removed, ``kept`` the remaining bytes (null when not asked for)."""
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     runs = repeated_starts(rows.select("text"), shard_segments, piece)
     joined = rows.select("id", "text", *_unit(F.col("text"))).join(runs, ["ta", "tb"], "left").select("id", "text", "runs")
-    return joined.mapInArrow(_cut, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, "
+    return joined.mapInArrow(_cut(with_bytes), f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, "
                                    "kept_sha256 string, spans array<struct<lo:int,hi:int>>, kept binary"
                              ).withColumnRenamed("id", id)

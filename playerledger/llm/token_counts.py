@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playerledger.llm.common import reachable
+from playerledger.llm.common import workers_ready
 from playerledger.llm.token_ids import Memory, dictionary, tokenizer
 from playerledger.llm.words_np import buffer_of, slices
 
@@ -234,7 +234,7 @@ def _count(path: str):
 
 def token_counts(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) for every row of ``docs``."""
-    reachable(docs.sparkSession)
+    workers_ready(docs.sparkSession)
     cols = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     out = cols.mapInArrow(_count(path), f"id {cols.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long")
     return out.select(F.col("id").alias(id), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
