@@ -43,7 +43,8 @@ from playerledger.llm.common import stored, with_new, words, workers_ready
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 BLOCK_ROWS = 256
-SHARDS = 16
+#: Words an output shard holds, about: the number of shards follows the corpus.
+SHARD_WORDS = 4_000_000
 SEED = 20240601
 #: Blocks whose prefix sums one task takes at once.
 BLOCK_RUN = 4096
@@ -133,7 +134,7 @@ def _starts(rows: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def draw(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text",
-         shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+         shards: int | None = None, seed: int = SEED) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``draws``: the
     (epoch, shard) pairs for which the mix takes the row.
     """
@@ -144,6 +145,7 @@ def draw(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
     rows = stored(docs.select(name.alias("name"), size.alias("n"), _place(key, name, words_in, seed).alias("place")), "sizes")
     totals = rows.groupBy("name").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
     totals.sort(key=lambda r: (r["name"] is None, str(r["name"] or "").encode()))
+    shards = shards or max(1, -(-sum(r["size"] for r in totals) // SHARD_WORDS))
     goal = targets([r["size"] for r in totals], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(totals))])
     facts = [(i, r["name"], r["size"], max(1, math.ceil(r["rows"] / BLOCK_ROWS)), t,
               int(t // r["size"]) if r["size"] else 0) for i, (r, t) in enumerate(zip(totals, goal))]
@@ -157,7 +159,7 @@ def draw(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
              .agg(F.coalesce(F.max(F.when(F.col("start") < F.col("rest"), F.col("block") + 1)), F.lit(0)).alias("part"))
              .select("s", "blocks", (F.col("epochs") * F.col("blocks") + F.col("part")).alias("quota")).collect())
     plan = sorted((r.s, r.blocks, r.quota) for r in quota if r.quota > 0)
-    dealt = spark.range(0, shards, 1, min(shards, 64)).mapInPandas(
+    dealt = spark.range(0, shards, 1, -(-shards // 64)).mapInPandas(
         _deal(plan, shards, seed), "s int, block long, epoch int, shard int")
     draws = dealt.groupBy("s", "block").agg(F.array_sort(F.collect_list(F.struct("epoch", "shard"))).alias("all"))
     # the block in which the partial pass ends: rows in its own order, each that still fits
@@ -192,7 +194,7 @@ def draw(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
 
 
 def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text",
-        shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+        shards: int | None = None, seed: int = SEED) -> DataFrame:
     """The mixed corpus in the columns of ``docs``: a row for each time it is drawn,
     shards kept together, shuffled inside."""
     names = docs.columns
@@ -200,5 +202,5 @@ def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str =
     id, source, text = (f"c{names.index(c)}" for c in (id, source, text))
     taken = draw(plain, id, source, text, shards, seed).withColumn("draw", F.explode("draws"))
     taken = (taken.withColumn("order", F.xxhash64(F.lit(seed + 1), "draw", id)).withColumn("shard", F.col("draw.shard"))
-             .repartition(shards, "shard").sortWithinPartitions("shard", "order"))
+             .repartition("shard").sortWithinPartitions("shard", "order"))
     return taken.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
