@@ -1,21 +1,18 @@
-"""Near-duplicate embeddings by sorted projection passes.
+"""Near-duplicate embeddings by random projections, cells compared whole.
 
 1. Rows with equal label and equal vector are one class; only its smallest id
    goes on, with the number of rows it stands for.
-2. In each pass a class gets a key: the signs of its projections on random
-   hyperplanes of that pass, concatenated.  All passes are sorted at once by
-   (pass, label, key) and cut into segments of ``SEGMENT`` rows by global rank.
-3. A segment is compared with itself and the next one, by label: each row with at
-   least the ``WINDOW`` rows after it, in blocks; while the last block still holds
-   a link to the rows compared, the window grows, so a long run of near copies is
-   compared whole.  Cosines are computed in double precision.
-4. Links found in any pass are united; components come from the distributed
-   large-star / small-star rounds.
-
-A pair at the threshold keeps the order of b leading signs with a chance of
-0.88^b, and meets in a window once about log2(rows / window) signs agree.  The
-number of passes follows from the largest label so that such a pair is missed
-with a chance below ``MISS``.
+2. In each pass a class falls into the cell of its label, its length and the signs
+   of its projections on that pass's random hyperplanes.
+3. Every cell is compared whole, whatever its size: a large one is cut into parts,
+   and each pair of parts is a block of rows of its own.  A pair is listed in the
+   first pass whose cell it shares.  Cosines are computed in double precision.
+4. Components come from the distributed large-star / small-star rounds.
+
+A pair at the threshold has the same s signs with a chance of 0.88^s, wherever the
+other vectors are; the passes follow from s so that it is missed with a chance
+below ``MISS``.  Without signs one pass compares a label whole and misses nothing.
+The signs follow from the rows of the largest label.
 
 Defined results: a null label, a null id, a null, empty or zero vector, and one
 with null or non-finite components link with nothing (component: the row's own
@@ -39,22 +36,38 @@ from playerledger.llm.common import stored, with_new, workers_ready
 from playerledger.llm.components import components
 
 THRESHOLD = 0.93
-#: Signs in a key.
-SIGNS = 48
+#: Rows of a cell that take no further pass, in ``passes_for``.
 WINDOW = 256
-SEGMENT = 2048
+#: A cell of more rows is cut into parts, at most so many until a part has ``PART_BYTES`` of doubles.
+SEGMENT = 512
+PARTS = 4
+PART_BYTES = 16 << 20
+#: Rows compared with a block at once.
+ROWS_AT_ONCE = 1024
 MISS = 1e-4
 LEAST_PASSES = 8
+MOST_SIGNS = 24
 SEED = 7
 
 
 def passes_for(rows: int, threshold: float = THRESHOLD) -> int:
-    """Passes so that a pair at the threshold is missed with a chance below ``MISS``."""
+    """Passes so that a pair at the threshold is missed with a chance below ``MISS``, when
+    ``rows`` rows fall into cells of ``WINDOW``."""
     agree = 1 - math.acos(threshold) / math.pi
     meet = agree ** max(0.0, math.log2(max(rows, 1) / WINDOW))
     return LEAST_PASSES if meet > 0.99 else max(LEAST_PASSES, math.ceil(math.log(MISS) / math.log1p(-meet)))
 
 
+def passes_at(signs: int, threshold: float = THRESHOLD) -> int:
+    """Passes over cells of ``signs`` signs."""
+    return passes_for(WINDOW << signs, threshold) if signs else 1
+
+
+def signs_within(passes: int, threshold: float = THRESHOLD) -> int:
+    """The most signs for which ``passes`` passes are enough."""
+    return max(s for s in range(MOST_SIGNS + 1) if passes_at(s, threshold) <= max(passes, 1))
+
+
 def usable(vector: Column) -> Column:
     """Whether a vector can link: not null, finite throughout and not zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -68,85 +81,77 @@ def vectors(column: pa.Array) -> np.ndarray:
     return out / np.abs(out).max(axis=1, keepdims=True)
 
 
-def _keys(passes: int, seed: int):
-    weights = (1 << np.arange(SIGNS - 1, -1, -1)).astype(np.int64)
-
+def _keys(threshold: float, seed: int):
+    """Appends each row's key in every pass; rows: id, label, dim, vector, signs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column(2).to_numpy()
-            for dim in np.unique(dims):
-                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                x = vectors(part.column(3))
-                for p in range(passes):
-                    planes = np.random.default_rng([seed, p, int(dim)]).standard_normal((int(dim), SIGNS))
-                    key = ((x @ planes) > 0) @ weights
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), p, np.int32)), part.column(1), part.column(2), pa.array(key),
-                         part.column(0), part.column(3)], ["pass", "label", "dim", "key", "id", "vector"])
+            kinds = np.stack((batch.column(2).to_numpy(), batch.column(4).to_numpy()))
+            for dim, signs in np.unique(kinds, axis=1).T.tolist():
+                part = batch.take(pa.array(np.flatnonzero((kinds == [[dim], [signs]]).all(axis=0))))
+                passes = passes_at(signs, threshold)
+                keys = np.zeros((len(part), passes), np.int32)
+                x = vectors(part.column(3)) if signs else None
+                for p in range(passes if signs else 0):
+                    planes = np.random.default_rng([seed, p, dim]).standard_normal((MOST_SIGNS, dim))[:signs]
+                    keys[:, p] = ((x @ planes.T) > 0) @ (1 << np.arange(signs))
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * passes), pa.array(keys.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], flat], ["id", "label", "dim", "vector", "keys"])
     return run
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Appends each row's place in its partition."""
-    at = 0
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(at, at + len(batch)))],
-                                         [*batch.schema.names, "place"])
-        at += len(batch)
-
-
-def links_in(ids: np.ndarray, group: np.ndarray, x: np.ndarray, own: int, threshold: float, window: int = WINDOW
-             ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Linked pairs of sorted rows; the first ``own`` rows are compared with those after them."""
+def links_in(ids: np.ndarray, group: np.ndarray, x: np.ndarray, own: int, threshold: float, window: int = ROWS_AT_ONCE,
+             within: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of a group's rows; the first ``own`` rows are compared with all after
+    them, or only with those that are not their own."""
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
     for lo in range(0, own, window):
         hi = min(lo + window, own)
-        at = lo
-        while at < len(ids):
+        for at in range(lo if within else own, len(ids), window):
             to = min(at + window, len(ids))
-            near = (x[lo:hi] @ x[at:to].T >= threshold) & (group[lo:hi, None] == group[None, at:to])
-            near &= (np.arange(lo, hi)[:, None] < np.arange(at, to)[None, :])
-            i, j = np.nonzero(near)
-            if len(i):
-                a, b = ids[lo + i], ids[at + j]
+            i, j = np.nonzero(x[lo:hi] @ x[at:to].T >= threshold)
+            i, j = i + lo, j + at
+            on = (i < j) & (group[i] == group[j])
+            if on.any():
+                a, b = ids[i[on]], ids[j[on]]
                 yield np.minimum(a, b), np.maximum(a, b)
-            # each row has met its whole window after two blocks
-            elif at >= hi:
-                break
-            at = to
 
 
 def _compare(threshold: float):
+    """Links of each block; rows: block, dim, p, q, part, pass, id, label, vector, keys."""
+    def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        part, ids = table.column("part").to_numpy(), table.column("id").to_numpy()
+        first = table.column("p")[0].as_py()
+        within = first == table.column("q")[0].as_py()
+        own = len(ids) if within else int((part == first).sum())
+        if len(ids) < 2 or not own or (not within and own == len(ids)):
+            return
+        group = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        x = vectors(table.column("vector").combine_chunks())
+        number, keys = table.column("pass")[0].as_py(), table.column("keys").combine_chunks()
+        keys = keys.flatten().to_numpy().reshape(len(ids), -1) if number else None
+        for i, j in links_in(np.arange(len(ids)), group, x, own, threshold, within=within):
+            new = np.ones(len(i), bool)
+            for p in range(number):
+                new &= keys[i, p] != keys[j, p]
+            if new.any():
+                a, b = ids[i[new]], ids[j[new]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            own = int(table.column("halo").to_numpy().argmax()) if table.column("halo").to_numpy().any() else len(table)
-            codes = [table.column(c).combine_chunks() for c in ("pass", "label", "dim")]
-            codes[1] = codes[1].dictionary_encode().indices
-            group = np.zeros(len(table), np.int64)
-            for c in codes:
-                v = c.to_numpy(zero_copy_only=False)
-                group = group * (int(v.max()) + 1) + v
-            ids = table.column("id").to_numpy()
-            vector = table.column("vector").combine_chunks()
-            edge = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
-            pairs = []
-            for a, b in zip(edge, edge[1:]):
-                if a < own:
-                    pairs += links_in(ids[a:b], group[a:b], vectors(vector.slice(a, b - a)), min(own, b) - a, threshold)
-            if pairs:
-                both = np.unique(np.stack((np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]))), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
-
+        last = None
         for batch in batches:
-            segment = batch.column(0).to_numpy()
-            cut = [0, *(np.flatnonzero(segment[1:] != segment[:-1]) + 1).tolist(), len(segment)] if len(segment) else []
+            if not len(batch):
+                continue
+            # the whole name of a block's place: blocks whose hashes meet stay apart but for label and key
+            at = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("block", "dim", "p", "q", "pass")])
+            cut = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1).tolist(), at.shape[1]]
             for a, b in zip(cut, cut[1:]):
-                if held and held[-1].column(0)[0].as_py() != int(segment[a]):
+                if held and (at[:, a] != last).any():
                     yield from found(pa.Table.from_batches(held))
                     held = []
                 held.append(batch.slice(a, b - a))
+                last = at[:, a]
         if held:
             yield from found(pa.Table.from_batches(held))
     return run
@@ -154,37 +159,33 @@ def _compare(threshold: float):
 
 def links(classes: DataFrame, threshold: float = THRESHOLD, passes: int | None = None, seed: int = SEED,
           segment: int = SEGMENT) -> DataFrame:
-    """(a, b), a < b: pairs of classes (id, label, dim, vector) with a cosine of ``threshold`` or more."""
-    workers_ready(classes.sparkSession)
+    """(a, b), a < b: pairs of classes (id, label, dim, vector) with a cosine of ``threshold`` or more.
+
+    ``passes``: so many for every label, with as many signs as they allow.
+    """
+    spark = classes.sparkSession
+    workers_ready(spark)
+    classes = classes.select("id", "label", "dim", "vector")
+    kind = classes.schema["vector"].dataType.simpleString()
     if passes is None:
         largest = classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
         passes = passes_for(largest, threshold)
-    spark = classes.sparkSession
-    kind = classes.schema["vector"].dataType.simpleString()
-    keyed = classes.select("id", "label", "dim", "vector").mapInArrow(
-        _keys(passes, seed), f"pass int, label string, dim int, key long, id long, vector {kind}")
-    order = ["pass", "label", "dim", "key", "id"]
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = stored(keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-                    .withColumn("part", F.spark_partition_id()).mapInArrow(
-        _numbered, f"pass int, label string, dim int, key long, id long, vector {kind}, part int, place long"), "ranged")
-    # one number a partition: how many rows stand before it
-    counts = ranged.groupBy("part").count().collect()
-    before, total = {}, 0
-    for r in sorted(counts):
-        before[r["part"]] = total
-        total += r["count"]
-    if not total:
-        return spark.createDataFrame([], "a long, b long")
-    offsets = spark.createDataFrame(list(before.items()), "part int, before long")
-    ranked = ranged.join(F.broadcast(offsets), "part").withColumn("rank", F.col("before") + F.col("place"))
-    # each row in its own segment, and as company of the segment before
-    own = F.floor(F.col("rank") / segment)
-    seats = F.array(F.struct(own.alias("segment"), F.lit(False).alias("halo")),
-                    F.struct((own - 1).alias("segment"), F.lit(True).alias("halo")))
-    seated = (ranked.withColumn("seat", F.explode(seats)).filter("seat.segment >= 0")
-              .select("seat.segment", "seat.halo", "rank", "pass", "label", "dim", "id", "vector"))
-    dealt = seated.repartition("segment").sortWithinPartitions("segment", "rank")
+    signed = classes.withColumn("signs", F.lit(signs_within(passes, threshold)))
+    keyed = stored(signed.mapInArrow(_keys(threshold, seed), f"id long, label string, dim int, vector {kind}, keys array<int>"), "keyed")
+    cell = ["label", "dim", "pass", "key"]
+    sizes = keyed.select("label", "dim", F.posexplode("keys").alias("pass", "key")).groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
+    most = F.greatest(F.lit(1), F.floor(F.lit(PART_BYTES) / (8 * F.col("dim"))))
+    rows = F.greatest(F.lit(segment), F.least(F.ceil(F.col("n") / PARTS), most))
+    large = stored(sizes.filter(F.col("n") > segment).select(*cell, F.ceil(F.col("n") / rows).cast("int").alias("parts")), "large")
+    # each part of a cell meets itself and every other part of it
+    seats = keyed.select("*", F.posexplode("keys").alias("pass", "key")).join(large, cell, "left")
+    parts = F.coalesce("parts", F.lit(1))
+    seats = (seats.withColumn("part", F.pmod(F.xxhash64("id", "vector"), parts).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+             .withColumn("p", F.least("part", "other")).withColumn("q", F.greatest("part", "other"))
+             .select(F.xxhash64(*cell, "p", "q").alias("block"), "dim", "p", "q", "part", "pass", "id", "label", "vector", "keys"))
+    dealt = (seats.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "block")
+             .sortWithinPartitions("block", "dim", "p", "q", "pass", "part"))
     return dealt.mapInArrow(_compare(threshold), "a long, b long").distinct()
 
 

@@ -181,6 +181,13 @@ def test_segments_are_compared_with_the_next(spark):
     assert whole and sorted(whole) == sorted(embedding_dedup.links(df, passes=30, segment=64).collect())
 
 
+def test_near_copies_over_many_segments_are_compared_whole(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal(16) + rng.standard_normal((300, 16)) * 0.01
+    df = spark.createDataFrame([(i, "a", 16, [float(c) for c in v]) for i, v in enumerate(x)], "id long, label string, dim int, vector array<double>")
+    assert embedding_dedup.links(df, passes=12, segment=32).count() == 300 * 299 // 2
+
+
 def test_embedding_edges(spark):
     df = spark.createDataFrame([(1, [1.0], 1, "x")], "vec_id long, embedding array<double>, label int, N_LINKS string")
     out = embedding_dedup.label_components(df)
