@@ -12,7 +12,9 @@
 A pair at the threshold has the same s signs with a chance of 0.88^s, wherever the
 other vectors are; the passes follow from s so that it is missed with a chance
 below ``MISS``.  Without signs one pass compares a label whole and misses nothing.
-The signs follow from the rows of the largest label.
+The signs are chosen by label for the least work, by the sizes that its cells really
+have (``plan``): a label whose vectors lie close together gets more signs and passes,
+or is compared whole; the choice changes the work alone, not the chance.
 
 Defined results: a null label, a null id, a null, empty or zero vector, and one
 with null or non-finite components link with nothing (component: the row's own
@@ -47,6 +49,11 @@ ROWS_AT_ONCE = 1024
 MISS = 1e-4
 LEAST_PASSES = 8
 MOST_SIGNS = 24
+#: Labels above so many rows are probed for their density, with these numbers of signs.
+PROBED = 20_000
+TRIED = (0, 2, 4, 6, 8, 10, 12, 14, 16, 18, 20, 22, 24)
+#: Comparisons that take as long as moving a row in a pass.
+MOVED = 2000
 SEED = 7
 
 
@@ -157,6 +164,38 @@ def _compare(threshold: float):
     return run
 
 
+def _probe(seed: int):
+    """(label, dim, key) of all signs of the first pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column(1).to_numpy()
+            for dim in np.unique(dims).tolist():
+                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
+                planes = np.random.default_rng([seed, 0, dim]).standard_normal((MOST_SIGNS, dim))
+                key = ((vectors(part.column(2)) @ planes.T) > 0) @ (1 << np.arange(MOST_SIGNS))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(key.astype(np.int32))], ["label", "dim", "key"])
+    return run
+
+
+def plan(classes: DataFrame, threshold: float = THRESHOLD, seed: int = SEED) -> DataFrame:
+    """(label, dim, signs) of the labels above ``PROBED`` rows; the others are compared whole.
+
+    Of the signs in ``TRIED`` those with the least work, counted in the cells of one pass.
+    """
+    large = stored(classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > PROBED)
+                   .select("label", "dim"), "large_labels")
+    keys = classes.join(F.broadcast(large), ["label", "dim"], "left_semi").select("label", "dim", "vector").mapInArrow(
+        _probe(seed), "label string, dim int, key int")
+    tried = F.explode(F.array(*[F.struct(F.lit(s).alias("signs"), F.lit((1 << s) - 1).alias("mask"),
+                                         F.lit(passes_at(s, threshold)).alias("passes")) for s in TRIED]))
+    sizes = (keys.withColumn("t", tried).groupBy("label", "dim", "t.signs", "t.passes", F.col("key").bitwiseAND(F.col("t.mask")).alias("cell"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    n = F.col("n").cast("double")
+    work = F.first("passes") * F.sum(n * MOVED + n * n / 2)
+    return stored(sizes.groupBy("label", "dim", "signs").agg(work.alias("work"))
+                  .groupBy("label", "dim").agg(F.min_by("signs", F.struct("work", "signs")).alias("signs")), "plan")
+
+
 def links(classes: DataFrame, threshold: float = THRESHOLD, passes: int | None = None, seed: int = SEED,
           segment: int = SEGMENT) -> DataFrame:
     """(a, b), a < b: pairs of classes (id, label, dim, vector) with a cosine of ``threshold`` or more.
@@ -168,9 +207,10 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, passes: int | None =
     classes = classes.select("id", "label", "dim", "vector")
     kind = classes.schema["vector"].dataType.simpleString()
     if passes is None:
-        largest = classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-        passes = passes_for(largest, threshold)
-    signed = classes.withColumn("signs", F.lit(signs_within(passes, threshold)))
+        signed = classes.join(F.broadcast(plan(classes, threshold, seed)), ["label", "dim"], "left").select(
+            *classes.columns, F.coalesce("signs", F.lit(0)).alias("signs"))
+    else:
+        signed = classes.withColumn("signs", F.lit(signs_within(passes, threshold)))
     keyed = stored(signed.mapInArrow(_keys(threshold, seed), f"id long, label string, dim int, vector {kind}, keys array<int>"), "keyed")
     cell = ["label", "dim", "pass", "key"]
     sizes = keyed.select("label", "dim", F.posexplode("keys").alias("pass", "key")).groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
