@@ -12,8 +12,9 @@
    threshold asks are confirmed on the spot, each in the first bucket it shares.
    Members of a bucket's largest component are only compared with the others, so a
    group of thousands of near copies costs a pair a member, and no agreeing pair
-   across components is left untested.  Buckets above a bound are split by the
-   bands their members share besides.
+   across components is left untested.  Buckets above a bound are first compared in
+   parts; when components are known from those, each pair of parts in which a member
+   outside the bucket's largest component stands is a block of its own.
 4. Candidates are confirmed on full shingle sets, links grouped by connected
    components.
 
@@ -46,9 +47,8 @@ SLICE = 1 << 20
 #: Slots in which two signatures must agree to be tested (at the threshold 96 do, with a
 #: deviation of 5: four deviations less).
 LEAST_SLOTS = 76
-#: Larger buckets are split, at most so often.
+#: Larger buckets are compared in blocks of two parts.
 LARGE_BUCKET = 2048
-SPLITS = 3
 #: Parsed shingle sets kept at hand while pairs are confirmed.
 SETS_AT_HAND = 64
 
@@ -191,13 +191,14 @@ def _first_band(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x == y).reshape(len(x), BANDS, -1).all(axis=2).argmax(axis=1)
 
 
-def bucket_pairs(c: np.ndarray, prints: np.ndarray, top: int | None, band: int = -1
+def bucket_pairs(c: np.ndarray, prints: np.ndarray, top: int | None, band: int = -1, side: np.ndarray | None = None
                  ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of pairs of one bucket across components whose signatures agree in ``LEAST_SLOTS`` or more.
 
     Members outside the largest component give their ``top`` best partners, or all;
     of all partners only those with whom ``band`` is the first band they share, as
-    each other band they share has a bucket of its own.
+    each other band they share has a bucket of its own.  Members of one ``side`` are
+    not compared.
     """
     names, sizes = np.unique(c, return_counts=True)
     if len(names) < 2:
@@ -209,6 +210,8 @@ def bucket_pairs(c: np.ndarray, prints: np.ndarray, top: int | None, band: int =
         hi = min(lo + 256, len(ask))
         slots = _agreeing(prints, lo, hi)
         slots[c[lo:hi, None] == c[None, :]] = 0
+        if side is not None:
+            slots[side[order[lo:hi], None] == side[order][None, :]] = 0
         if top is not None and top < len(c):
             best = np.argpartition(-slots, top - 1, axis=1)[:, :top]
             i, j = np.repeat(np.arange(hi - lo), top), best.reshape(-1)
@@ -264,16 +267,33 @@ def _candidates(top: int):
     return run
 
 
+def _sides(table: pa.Table, rows: slice) -> np.ndarray | None:
+    """The part of each of a block's members, if the block is one of two parts."""
+    side = table.column("side").to_numpy()[rows]
+    return side if side[0] >= 0 else None
+
+
+def _agreeing_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each bucket that have a pair to be confirmed."""
+    for table in _buckets(batches):
+        for rows, _, c, prints, band in _cut_buckets(table):
+            asked = np.zeros(len(c), bool)
+            for i, j in bucket_pairs(c, prints, None, band, _sides(table, rows)):
+                asked[i] = asked[j] = True
+            if asked.any():
+                yield from table.take(pa.array(rows.start + np.flatnonzero(asked))).combine_chunks().to_batches()
+
+
 def _links_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Confirmed links across components of each bucket, whose members' texts are at hand."""
     for table in _buckets(batches):
         found = []
         for rows, ids, c, prints, band in _cut_buckets(table):
-            pairs = list(bucket_pairs(c, prints, None, band))
+            pairs = list(bucket_pairs(c, prints, None, band, _sides(table, rows)))
             if not any(len(i) for i, _ in pairs):
                 continue
             i, j = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-            texts, sets = table.column(5).slice(rows.start, rows.stop - rows.start).combine_chunks(), {}
+            texts, sets = table.column("text").slice(rows.start, rows.stop - rows.start).combine_chunks(), {}
             for k in np.unique(np.concatenate((i, j))).tolist():
                 data, offsets = words_np.buffer_of(texts.slice(k, 1))
                 sets[k] = np.unique(words_np.shingles(*words_np.words_of(data, offsets), SHINGLE)[1])
@@ -316,38 +336,54 @@ def remaining_links(members: DataFrame, labels: DataFrame, texts: DataFrame) ->
     now = stored(members.join(labels, members["id"] == labels["node"], "left")
                  .select("bucket", "band", "id", F.coalesce("component", "id").alias("c"), "prints"), "labelled")
     split = now.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("bucket")
-    rows = now.join(split, "bucket").join(texts, "id").select("bucket", "band", "id", "c", "prints", "text")
+    rows = now.join(split, "bucket").join(texts, "id").select("bucket", "band", "id", "c", "prints", "text", F.lit(-1).alias("side"))
     return stored(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links_within, "a long, b long"), "remaining")
 
 
+def crossing_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): all confirmed links across components of buckets too large for one task.
+
+    Members outside a bucket's largest component are cut into parts that meet each
+    other and every part of the largest.  Only rows with an agreeing partner get texts.
+    """
+    parts = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    now = stored(members.join(labels, members["id"] == labels["node"], "left")
+                 .select("bucket", "id", F.coalesce("component", "id").alias("c"), "prints"), "labelled")
+    held = now.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(
+        F.max_by("c", F.struct("k", "c")).alias("most"), F.max("k").alias("inside"), (F.sum("k") - F.max("k")).alias("outside"))
+    part_rows = max(1, LARGE_BUCKET // 2)
+    held = held.filter("outside > 0").select("bucket", "most", F.ceil(F.col("outside") / part_rows).cast("int").alias("asking"),
+                                             F.ceil(F.col("inside") / part_rows).cast("int").alias("asked"))
+    asks, place = F.col("c") != F.col("most"), F.xxhash64("id", "bucket")
+    part = F.when(asks, F.pmod(place, "asking")).otherwise(F.col("asking") + F.pmod(place, "asked")).cast("int")
+    others = F.sequence(F.lit(0), F.when(asks, F.col("asking") + F.col("asked")).otherwise(F.col("asking")) - 1)
+    blocks = (now.join(held, "bucket").withColumn("part", part).withColumn("other", F.explode(others))
+              .select(F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other")).alias("bucket"), F.lit(-1).alias("band"), "id", "c", "prints",
+                      F.when(F.col("part") == F.col("other"), -1).otherwise(F.col("part")).alias("side")))
+    rows = stored(blocks.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        _agreeing_members, "bucket long, band int, id long, c long, prints binary, side int"), "agreeing")
+    rows = rows.join(texts, "id").select("bucket", "band", "id", "c", "prints", "text", "side")
+    return stored(rows.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_links_within, "a long, b long"), "crossing")
+
+
+def sized(members: DataFrame) -> DataFrame:
+    """(bucket, band, id, n, lead) of buckets with two members or more."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lead")).filter("n > 1")
+    return stored(members.join(sizes, "bucket").select("bucket", "band", "id", "n", "lead"), "members")
+
+
 def bounded(members: DataFrame) -> DataFrame:
-    """(bucket, band, id, n, lead) without a bucket above ``LARGE_BUCKET``.
+    """``sized`` members with those above ``LARGE_BUCKET`` in parts, the whole bucket's smallest id in each.
 
-    Members of a larger one must share another bucket to meet again: each pair of
-    its buckets becomes a bucket, and so on.  Members that agree in so many bands
-    are near copies of each other; what is still large after ``SPLITS`` rounds is
-    cut by id, each part with the whole bucket's smallest id in it.
+    Parts find most components; what they leave is for ``crossing_links``.
     """
-    plain, done = members.select("bucket", "id"), None
-    for k in range(SPLITS + 1):
-        sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lead")).filter("n > 1")
-        sized = stored(members.join(sizes, "bucket").select("bucket", "band", "id", "n", "lead"), "members")
-        small = sized.filter(F.col("n") <= LARGE_BUCKET)
-        done = small if done is None else done.union(small)
-        large = sized.filter(F.col("n") > LARGE_BUCKET)
-        if large.isEmpty():
-            return done
-        members = (large.select("id", "bucket").join(plain.withColumnRenamed("bucket", "other"), "id")
-                   .filter("bucket <> other")
-                   .select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other"), F.lit(k)).alias("bucket"), F.lit(-1).alias("band"), "id")
-                   .distinct())
     part = F.pmod(F.xxhash64("id", "bucket"), F.ceil(F.col("n") / LARGE_BUCKET * 2)).alias("part")
-    large = large.select("bucket", "id", "lead", part)
+    large = members.filter(F.col("n") > LARGE_BUCKET).select("bucket", "id", "lead", part)
     parts = large.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"), F.min("lead").alias("lead"))
     cut = large.select("bucket", "part", "id").union(parts.select("bucket", "part", F.col("lead").alias("id"))).distinct()
     cut = cut.join(parts, ["bucket", "part"]).select(
         F.xxhash64("bucket", "part").alias("bucket"), F.lit(-1).alias("band"), "id", F.col("n") + 1, "lead")
-    return done.union(cut)
+    return members.filter(F.col("n") <= LARGE_BUCKET).union(cut)
 
 
 def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -357,8 +393,10 @@ def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     # a table of its own: its join with the rows can be dealt anew where a class is hot
     classes = stored(sets.groupBy("print_a", "print_b").agg(
         F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("prints").alias("prints")), "classes")
-    members = bounded(classes.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "bucket"))
-                      .groupBy("bucket", "id").agg(F.min("band").alias("band")))
+    whole = sized(classes.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "bucket"))
+                  .groupBy("bucket", "id").agg(F.min("band").alias("band")))
+    large = whole.filter(F.col("n") > LARGE_BUCKET)
+    members = whole if large.isEmpty() else bounded(whole)
     texts = stored(docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
                    .join(members.select("id").distinct(), "id", "left_semi"), "texts")
     # copies belong to their class; an id with several texts ties their classes together
@@ -368,14 +406,19 @@ def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     tied = classed.join(several, "id").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
     # a bucket of two is settled by its one pair
     two = members.filter("n = 2 and id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    more = members.filter("n > 2").select("bucket", "band", "id").join(
-        classes.groupBy("rep").agg(F.first("prints").alias("prints")), F.col("id") == F.col("rep"))
+    prints = classes.groupBy("rep").agg(F.first("prints").alias("prints"))
+    more = members.filter("n > 2").select("bucket", "band", "id").join(prints, F.col("id") == F.col("rep"))
     more = stored(more.select("bucket", "band", "id", "prints"), "more")
     tested = confirm(two.union(candidates(more)).distinct(), texts).filter("linked").select("a", "b").union(tied)
     labels = components(tested)
     last = remaining_links(more, labels, texts)
     if not last.isEmpty():
-        labels = components(tested.union(last))
+        tested = tested.union(last)
+        labels = components(tested)
+    if not large.isEmpty():
+        far = crossing_links(large.join(prints, F.col("id") == F.col("rep")), labels, texts)
+        if not far.isEmpty():
+            labels = components(tested.union(far))
     of_rep = labels.select(F.col("node").alias("rep"), "component")
     groups = (classed.join(of_rep, "rep", "left").groupBy("id")
               .agg(F.min(F.coalesce("component", "rep")).alias("component_id")))

@@ -115,6 +115,21 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, large):
         assert x.id is None or x.n_shingles == sizes[x.id]
 
 
+def test_links_inside_large_buckets_are_all_found(spark, monkeypatch):
+    # form letters at about 0.70 to each other; 60 pairs of them at about 0.76
+    monkeypatch.setattr(minhash_dedup, "LARGE_BUCKET", 8)
+    r = random.Random(12)
+    words = lambda n: [f"{r.randrange(1 << 40):x}" for _ in range(n)]
+    letter, rows = words(200), []
+    for k in range(60):
+        shared = words(10)
+        rows += [(10 * k + i, " ".join(letter + shared + words(32))) for i in range(2)]
+    truth = brute_near(rows)
+    assert sum(i != c for i, c in truth.items()) == 60
+    got = {x.id: x.component_id for x in minhash_dedup.label(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == truth
+
+
 def test_one_of_each_keeps_columns_and_null_ids(spark):
     text = "a b c d e f g"
     df = spark.createDataFrame([(1, text, 5), (2, text, 6), (None, text, 7), (3, None, 8)], "doc_id long, text string, kept_id int")
