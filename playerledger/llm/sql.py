@@ -105,3 +105,25 @@ WITH RECURSIVE v AS (
 degree AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM groups LEFT JOIN degree USING (vec_id)"""
+
+# Exact scores of the anchors against all rows (ids are unique in the table).
+ORACLE_SQL["op13_hard_negatives"] = """
+WITH q AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM (SELECT * FROM q WHERE vec_id % 100 = 0) a JOIN q b ON a.vec_id <> b.vec_id OR a.label <> b.label
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+FROM positives JOIN (SELECT * FROM pairs WHERE NOT same) USING (anchor_id)
+WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 10"""
