@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playerledger.llm import embedding_dedup, hard_negatives, license_scan, line_dedup, lm_score, minhash_dedup, mixing, packing, quality_rules, suffix_dedup, token_counts
+from playerledger.llm import embedding_dedup, hard_negatives, license_scan, line_dedup, lm_score, minhash_dedup, mixing, packing, quality_classifier, quality_rules, suffix_dedup, token_alignment, token_counts
 from playerledger.llm.common import documents, tokenizer_file
 
 
@@ -59,6 +59,16 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_alignment.alignment(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_classifier.classify(docs, quality_classifier.train(docs, documents(spark, sf_dir, "labels")))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
@@ -66,4 +76,4 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_quality_rules, op3_best_fit_packing, op4_mixing, op5_token_counts, op6_line_dedup, op7_lm_score, op8_license_scan,
-    op9_suffix_dedup, op10_minhash_dedup, op13_hard_negatives)}
+    op9_suffix_dedup, op10_minhash_dedup, op11_token_alignment, op12_quality_classifier, op13_hard_negatives)}
