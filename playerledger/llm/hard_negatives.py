@@ -289,7 +289,8 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column, id: str = "vec_id
     total, width = rows.agg(F.count(F.lit(1)), F.max(F.size("q"))).first()
     once = rows.filter("asks").drop("asks").dropDuplicates()
     anchors = stored(once.withColumn("no", F.monotonically_increasing_id()), "anchors")
-    cells = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // cell))
+    # every cell gives a heap of its own, so there are no more of them than keep all cores busy
+    cells = max(2 * spark.sparkContext.defaultParallelism, -(-total // cell))
     blocks = max(1, -(-anchors.count() // block))
     sizes = (positives, negatives, least, most)
     rows, width = rows.drop("asks"), width or 0
