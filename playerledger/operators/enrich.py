@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import DIM_FACT_KEY
@@ -42,11 +42,12 @@ def add_event_columns(df: DataFrame) -> DataFrame:
 
     ``__src`` = (event_ts, partition, offset) orders partial documents in the
     keyed merge; it belongs to the row, so replays and re-splits give the same
-    order.
+    order.  ``__pos`` stands for the offset where a source has none.
     """
+    offset = next((c for c in ("__pos", "offset") if c in df.columns), None)
     src = F.struct(F.col("event_ts").alias("ts"),
                    F.col("partition").alias("partition") if "partition" in df.columns else F.lit(None).cast("int").alias("partition"),
-                   F.col("offset").alias("offset") if "offset" in df.columns else F.lit(None).cast("long").alias("offset"))
+                   (F.col(offset) if offset else F.lit(None).cast("long")).alias("offset"))
     return df.withColumn("event_datetime", epoch_ms_to_datetime("event_ts")).withColumn("__src", src)
 
 
@@ -54,3 +55,10 @@ def join_rates(df: DataFrame, rates: DataFrame, currency_col: str = "deposit_cur
     """Attach ``us_val`` by currency code (rates: one row per currency, small)."""
     r = rates.select(F.col("curr"), F.col("us_val"))
     return df.join(r, df[currency_col] == r["curr"], "left").drop("curr")
+
+
+def join_daily_rates(df: DataFrame, rates: DataFrame, day: Column, currency_col: str = "deposit_currency") -> DataFrame:
+    """Attach ``curr_day`` and that day's ``us_val`` (rates: one row per day and currency)."""
+    r = rates.select(F.col("curr_day").alias("__day"), "curr", "us_val")
+    rows = df.withColumn("curr_day", day)
+    return rows.join(r, (rows["curr_day"] == r["__day"]) & (rows[currency_col] == r["curr"]), "left").drop("__day", "curr")

@@ -26,8 +26,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: str = "event_ts",
     ``ties=True`` keeps every row at the maximum (rows with equal order are all
     latest).  ``ties=False`` keeps one row per key, chosen by ``tiebreak``
     (descending) after ``order``.  Rows with a null key or null order are not
-    candidates.
+    candidates.  Of several batches taken at once (``__batch``) each has its own.
     """
+    keys = [*keys, *(["__batch"] if "__batch" in df.columns else [])]
     cand = df.where(F.col(order).isNotNull())
     for k in keys:
         cand = cand.where(F.col(k).isNotNull())

@@ -528,6 +528,45 @@ def dead_letters_query() -> str:
                            "WHERE __o % 7 > 2 AND id IS NOT NULL")
 
 
+def backfill_resume_query() -> str:
+    """Progress documents merged, and change rows appended, each once."""
+    ctes, body = changes_sql("progress")
+    ctes += [f"ch AS (\n{body})", f"m AS ({merge_body(_change_fields('progress'))})"]
+    sets = ", ".join(f"count({k}_datetime) AS n_{k}" for k in ("open", "start", "finish"))
+    return with_ctes(ctes, "\nUNION ALL\n".join(
+        f"SELECT '{mode}' AS mode, date_part, id, count(*) AS n, {sets} FROM {src} GROUP BY date_part, id"
+        for mode, src in (("update", "m"), ("append", "ch"))))
+
+
+def document_counts_query() -> str:
+    """Rows by document kind and without a document; dimension lines read and without key or name."""
+    ctes = base_ctes() + [parsed_cte(["sessions", "deposits", "set_level", "progress"])]
+    ctes.append("lvl AS (SELECT * FROM parsed WHERE event_name = 'SET_LEVEL' AND level_type_id IN (1, 2) AND player_id IS NOT NULL "
+                "AND cluster_id IS NOT NULL AND event_ts IS NOT NULL "
+                "QUALIFY rank() OVER (PARTITION BY player_id, cluster_id, level_type_id ORDER BY event_ts DESC) = 1)")
+    status = "event_name = 'TRANSACTION_RESULT' AND COALESCE(transaction_status_id, -1)"
+    kinds = [("sessions", "connect", "event_name = 'CONNECT'"), ("sessions", "login", "event_name = 'LOGIN'"),
+             ("sessions", "disconnect", "event_name = 'DISCONNECT'"), ("sessions", "no_document", "FALSE"),
+             ("deposits", "send", "event_name = 'SEND_TRANSACTION'"), ("deposits", "approved", f"{status} IN (1, -1)"),
+             *[("deposits", k, f"{status} = {n}") for n, k in ((2, "refused"), (3, "canceled"), (4, "pending"), (5, "error"))],
+             ("deposits", "no_document", f"{status} NOT IN (-1, 1, 2, 3, 4, 5)"),
+             ("progress", "open", "event_name = 'PROGRESS_START' AND progress_type = '2'"),
+             ("progress", "start", "event_name = 'PROGRESS_START' AND progress_type = '3'"),
+             ("progress", "finish", "event_name = 'PROGRESS_FINISH'"),
+             ("progress", "no_document", "event_name = 'PROGRESS_START' AND progress_type NOT IN ('2', '3')")]
+    parts = [f"SELECT 'pipeline' AS what, '{p}' AS name, '{k}' AS kind, count(*) FILTER (WHERE {w}) AS n FROM parsed" for p, k, w in kinds]
+    parts += [f"SELECT 'pipeline', 'set_level', '{k}', count(*) FILTER (WHERE {w}) FROM lvl"
+              for k, w in (("main_level", "level_type_id = 1"), ("Secondary_level", "level_type_id = 2"), ("no_document", "FALSE"))]
+    lines = {"network": ("concat_ws('|', n_nationkey, n_name, n_regionkey) AS v FROM nation UNION ALL "
+                         "SELECT concat_ws('|', s_nationkey, s_name) FROM supplier"),
+             "device": "concat_ws('|', p_brand, p_partkey, p_type, p_size, p_retailprice, p_name) AS v FROM part",
+             "quest": "concat_ws('|', p_size, p_partkey, p_brand, p_type) AS v FROM part"}
+    for d, src in lines.items():
+        parts.append(f"SELECT 'dimension', '{d}', 'lines', count(*) FROM (SELECT {src})")
+        parts.append(f"SELECT 'dimension', '{d}', 'discarded', count(*) FILTER (WHERE length(v) % 5 IN (0, 1)) FROM (SELECT {src})")
+    return with_ctes(ctes, "\nUNION ALL\n".join(parts))
+
+
 def _rename(sql: str, old: str, new: str) -> str:
     import re
     return re.sub(rf"(?<![A-Za-z0-9_.']){re.escape(old)}(?![A-Za-z0-9_'])", new, sql)
@@ -589,6 +628,17 @@ def _oracle_queries() -> dict[str, str]:
         RATES_CTES[:2],
         f"SELECT curr, us_val, as_of, ({S6_AT_MS} - as_of) > {catalog.RATE_TTL_MS} AS stale FROM rates_all "
         f"WHERE as_of = (SELECT max(as_of) FROM rates_all WHERE as_of <= {S6_AT_MS})")
+    q["s5_daily_usd"] = with_ctes(
+        pipeline_ctes(["deposits"]) + RATES_CTES[:2],
+        f"SELECT partition, offset, deposit_currency, CAST({DAY('event_ts')} AS INTEGER) AS curr_day, r.us_val AS us_val, "
+        f"deposit_amount / NULLIF(r.us_val, 0) AS usd_deposit FROM enr LEFT JOIN rates_all r "
+        f"ON enr.deposit_currency = r.curr AND {DAY('event_ts')} = {DAY('as_of')}")
+    q["s9_stream_progress"] = with_ctes(
+        base_ctes() + [parsed_cte(["sessions", "regs"])],
+        "SELECT topic, partition, min(offset) AS from_offset, max(offset) + 1 AS until_offset, count(*) AS messages, "
+        "CAST(sum(count(*)) OVER () AS BIGINT) AS declared_rows, CAST(0 AS BIGINT) AS declared_ranges "
+        "FROM parsed GROUP BY topic, partition")
+    q["s9_document_counts"] = document_counts_query()
     times = ", ".join(f"({t})" for t in S6_TIMES)
     q["s6_rates_refresh"] = with_ctes(
         RATES_CTES[:2] + [f"times(at_ms) AS (VALUES {times})",
@@ -659,6 +709,8 @@ def _oracle_queries() -> dict[str, str]:
     q["k4_player360"] = player360_query()
     q["t1_stream_equals_batch"] = shared_batch_query()
     q["t4_backfill"] = merged_query("progress")
+    q["t5_backfill_back"] = merged_query("progress")
+    q["t4_backfill_resume"] = backfill_resume_query()
     q["t3_shared_batch"] = shared_batch_query()
     q["t5_late_replay"] = merged_query("deposits")
     q["t5_two_jobs"] = player360_query(("profile", "regs", "set_level"))

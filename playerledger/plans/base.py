@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schema
@@ -28,12 +28,14 @@ Spec = "str | tuple[str, Column]"
 
 @dataclass
 class PlanContext:
-    """Per-batch inputs besides the events (currency rates for deposits).
+    """Per-batch inputs besides the events: currency rates for deposits, of one snapshot
+    (``rates``) or by day (``daily_rates``, which then goes first).
 
     ``with_present`` adds ``present``: the columns the row's document kind
     writes, for document tables merged with ``null_policy="present_wins"``.
     """
     rates: DataFrame | None = None
+    daily_rates: DataFrame | None = None
     with_present: bool = False
 
 
@@ -143,11 +145,18 @@ class EventPlan:
         self._projection_cache = (gw, (any_kind, out, present.alias("present")))
         return any_kind, out, present.alias("present")
 
-    def changes(self, df: DataFrame, ctx: PlanContext | None = None) -> DataFrame:
+    def changes(self, df: DataFrame, ctx: PlanContext | None = None, seen: Observation | None = None) -> DataFrame:
+        """The rows' partial documents; ``seen`` counts them by document kind, and the rows
+        that make none (``no_document``), as they are written."""
         ctx = ctx or PlanContext()
         pre = self.prepare(df, ctx)
         any_kind, out, present = self.projection()
-        return pre.where(any_kind).select(*out, *([present] if ctx.with_present else []))
+        if seen is not None:
+            some = F.coalesce(any_kind, F.lit(False))
+            pre = pre.observe(seen, F.count_if(~some).alias("no_document"),
+                              *[F.count_if(k.when).alias(k.name) for k in self.kinds()])
+        batch = [F.col("__batch")] if "__batch" in pre.columns else []
+        return pre.where(any_kind).select(*out, *([present] if ctx.with_present else []), *batch)
 
     def documents(self, changes: DataFrame) -> DataFrame:
         """The changes in the columns of the document table."""

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions.columns import fill_status, usd_amount
 from ..functions.keys import key_for
-from ..operators.enrich import join_rates
-from ..sources.rates import RATES_SCHEMA
+from ..operators.enrich import join_daily_rates, join_rates
+from ..sources.rates import RATES_SCHEMA, day_of
 from .base import BASE_SELECT, DocKind, EventPlan, cols, month_of
 
 # Fields the approved-status document leaves out (so it cannot blank them).
@@ -35,8 +35,10 @@ class Deposits(EventPlan):
 
     def prepare(self, df, ctx):
         rows = super().prepare(df, ctx)
-        rates = ctx.rates if ctx.rates is not None else rows.sparkSession.createDataFrame([], RATES_SCHEMA)
-        rows = join_rates(rows, rates)
+        if ctx.daily_rates is not None:
+            rows = join_daily_rates(rows, ctx.daily_rates, day_of()).drop("curr_day")
+        else:
+            rows = join_rates(rows, ctx.rates if ctx.rates is not None else rows.sparkSession.createDataFrame([], RATES_SCHEMA))
         rows = (rows.withColumn("usd_deposit", usd_amount("deposit_amount", "us_val")).drop("us_val"))
         return fill_status(rows)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import catalog, schema
@@ -17,17 +17,19 @@ from . import driver_tables as dt
 from .functions import day_key, doc_id, epoch_ms_to_datetime, event_time, month_part, week_part
 from .functions.columns import fill_status, usd_amount
 from .functions.keys import KEY_SHAPES
-from .operators.enrich import join_rates
+from .operators.broadcast import checked_broadcast
+from .operators.enrich import join_daily_rates, join_rates
 from .operators.latest import latest_per_key, max_per_key
 from .operators.merge import merge_documents, seq_column
 from .plans import PLANS, PlanContext
 from .session import ensure_utc, work_folder
 from .sinks.doc_table import DocumentStore
 from .sources.archive import archive_range_scan
-from .sources.audit import offset_audit
+from .sources.audit import RANGES, offset_audit, source_ranges
 from .sources.dims import dimension_from_lines
 from .sources.events import parse_events, prefilter_event_names, prefilter_product_action
-from .sources.rates import currency_rates, daily_currency_rates, latest_rates, rates_with_refresh
+from .sources.rates import (
+    currency_rates, daily_currency_rates, day_of, latest_rates, rates_of_days, rates_with_refresh, store_daily_rates)
 from .streaming.backfill import run_backfill
 from .streaming.batch import (
     Job, dead_letters, load_dimensions, pipeline_changes, pipeline_rows, process_batch, route_batch)
@@ -165,6 +167,21 @@ def s5_daily_rates(spark, sf):
     return daily_currency_rates(dt.daily_rate_lines(spark, sf))
 
 
+def s5_daily_usd(spark, sf):
+    """Deposit amounts in dollars by the rate of their own day and currency.
+
+    The rates are stored by month; those of the feed's days are read, and broadcast
+    when they are small.
+    """
+    path = work_folder(spark, "daily-rates")
+    store_daily_rates(daily_currency_rates(dt.daily_rate_lines(spark, sf)), path)
+    rows = parsed(spark, sf, ["deposits"], {"deposit_currency", "deposit_amount", "event_ts"})
+    rates = rates_of_days(spark, path, rows.select(day_of().alias("curr_day")))
+    j = join_daily_rates(rows, checked_broadcast(rates.persist()), day_of())
+    return j.select("partition", "offset", "deposit_currency", "curr_day", "us_val",
+                    usd_amount("deposit_amount", "us_val").alias("usd_deposit"))
+
+
 # A fixed probe time (1998-08-02 13:00 UTC): 13 h after that day's snapshot.
 S6_AT_MS = 902062800000
 
@@ -374,7 +391,7 @@ def _all_contents(job: Job) -> DataFrame:
 
 def t1_stream_equals_batch(spark, sf):
     """All eleven pipelines from a file stream in several micro-batches, compacted on the way."""
-    job = _job(spark, sf, ALL, "stream", rates=rates_with_refresh(dt.rate_snapshots(spark, sf).persist()), compact_every=1)
+    job = _job(spark, sf, ALL, "stream", rates=rates_with_refresh(dt.rate_snapshots(spark, sf).persist()), compact_every=2)
     src = work_folder(spark, "stream-src")
     # files keep a player together, so latest-per-player rows do not depend on the cut
     player = F.get_json_object("value", "$.player_id")
@@ -389,15 +406,52 @@ def t1_stream_equals_batch(spark, sf):
 def t4_backfill(spark, sf):
     """Progress documents backfilled from the numbered archive (one folder a day), a week a batch."""
     job = _job(spark, sf, ["progress"], "progress", compact_every=2)
+    root = _progress_archive(spark, sf)
+    run_backfill(spark, job, f"{root}/archive_no=", 1, 40, layout="numbered", slice_size=7)
+    return job.table("progress").documents()
+
+
+def _progress_archive(spark, sf) -> str:
+    """The progress feed as a numbered archive, one folder a day of the month."""
     root = work_folder(spark, "progress-archive")
     lines = dt.game_event_lines(spark, sf, ["progress"])
     ts = F.timestamp_millis(F.get_json_object("value", "$.event_ts").cast("long"))
     (lines.select("value", F.dayofmonth(ts).alias("archive_no"))
      .hint("rebalance", "archive_no").write.mode("overwrite").partitionBy("archive_no").text(root))
-    run_backfill(spark, job, f"{root}/archive_no=", 1, 40, layout="numbered", slice_size=7)
+    return root
+
+
+def t5_backfill_back(spark, sf):
+    """A later archive range first, compacted, then the earlier one, out of order and once more in part."""
+    job = _job(spark, sf, ["progress"], "back")
+    root = _progress_archive(spark, sf)
+    run_backfill(spark, job, root, 10, 40, slice_size=11)
+    job.compact()
+    run_backfill(spark, job, root, 5, 9, slice_size=5)
+    run_backfill(spark, job, root, 1, 4, slice_size=2)
+    job.compact()
+    run_backfill(spark, job, root, 8, 12, slice_size=3)
     return job.table("progress").documents()
 
 
+def t4_backfill_resume(spark, sf):
+    """The archive in slices of 7 and then of 1, merged and appended; what each table holds by document."""
+    root = _progress_archive(spark, sf)
+    out = None
+    for mode in ("update", "append"):
+        job = _job(spark, sf, ["progress"], f"resume-{mode}", mode=mode)
+        run_backfill(spark, job, root, 1, 20, slice_size=7)
+        run_backfill(spark, job, root, 1, 40, slice_size=7, resume=True)
+        run_backfill(spark, job, root, 18, 22, slice_size=1)
+        table = job.table("progress")
+        docs = table.documents() if mode == "update" else table.appended()
+        stats = docs.groupBy("date_part", "id").agg(F.count(F.lit(1)).alias("n"), *[
+            F.count(f"{k}_datetime").alias(f"n_{k}") for k in ("open", "start", "finish")])
+        stats = stats.select(F.lit(mode).alias("mode"), "*")
+        out = stats if out is None else out.unionByName(stats)
+    return out
+
+
 def t3_shared_batch(spark, sf):
     """All eleven pipelines in one batch on one routed feed; what every table holds, field by field."""
     rates = newest_rates(spark, sf)
@@ -482,6 +536,46 @@ def s9_batch_metrics(spark, sf):
                                        "until_offset long, messages long, routed long")
 
 
+def s9_stream_progress(spark, sf):
+    """What a file stream's own progress and its batches' audits say about the feed.
+
+    Files have no offsets: the source declares input rows only; the ranges of the rows
+    come from the audits of all micro-batches.
+    """
+    job = _job(spark, sf, ["regs"], "progress-log")
+    src = work_folder(spark, "progress-src")
+    dt.game_event_lines(spark, sf, ["sessions", "regs"]).repartition(6, "offset").write.parquet(src)
+    q = run_stream(spark, job, {"format": "parquet", "path": src}, name="progress", available_now=True,
+                   checkpoint=f"{job.store.root}/_checkpoint", max_per_trigger=2)
+    q.awaitTermination()
+    declared = spark.createDataFrame(source_ranges(q.recentProgress), RANGES)
+    seen = [(r["topic"], r["partition"], r["from_offset"], r["until_offset"], r["messages"]) for m in job.metrics for r in m["ranges"]]
+    seen = spark.createDataFrame(seen, "topic string, partition int, from_offset long, until_offset long, messages long")
+    ranges = seen.groupBy("topic", "partition").agg(F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"),
+                                                    F.sum("messages").alias("messages"))
+    total = declared.agg(F.sum("messages").alias("declared_rows"), F.count("from_offset").alias("declared_ranges"))
+    return ranges.crossJoin(total)  # one row of totals
+
+
+def s9_document_counts(spark, sf):
+    """Documents by kind, rows that make none, and dimension lines read and discarded, as
+    observed while a batch is written and the dimensions are loaded."""
+    pipelines = ["sessions", "deposits", "set_level", "progress"]
+    job = _job(spark, sf, pipelines, "counts")
+    process_batch(job, dt.game_event_lines(spark, sf, pipelines), 0)
+    rows = [("pipeline", p, kind, n) for p, kinds in job.metrics[-1]["documents"].items() for kind, n in kinds.items()]
+    for d in ("network", "device", "quest"):
+        k, n = catalog.DIM_POSITIONS[d]
+        lines = dt.dimension_lines(spark, sf, d)
+        # a derived share of the lines is damaged: cut short, or without a name
+        odd = F.when(F.length("value") % 5 == 0, F.substring_index("value", "|", 1)).when(
+            F.length("value") % 5 == 1, F.regexp_replace("value", r"[^|]+", "")).otherwise(F.col("value"))
+        seen = Observation(f"dim-{d}")
+        dimension_from_lines(lines.select(odd.alias("value")), d, k, n, seen).write.format("noop").mode("overwrite").save()
+        rows += [("dimension", d, kind, seen.get[kind]) for kind in ("lines", "discarded")]
+    return spark.createDataFrame(rows, "what string, name string, kind string, n long")
+
+
 def a2_batch_count(spark, sf):
     """A2: the routed batch's row count, observed while the batch is scanned."""
     from .operators.metrics import observed_count
@@ -512,12 +606,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s3_dim_load": s3_dim_load,
     "s4_rates_explode": s4_rates_explode,
     "s5_daily_rates": s5_daily_rates,
+    "s5_daily_usd": s5_daily_usd,
     "s6_latest_rates": s6_latest_rates,
     "s6_rates_refresh": s6_rates_refresh,
     "s7_parse": s7_parse,
     "s7_dead_letters": s7_dead_letters,
     "s9_offset_audit": s9_offset_audit,
     "s9_batch_metrics": s9_batch_metrics,
+    "s9_stream_progress": s9_stream_progress,
+    "s9_document_counts": s9_document_counts,
     "e1_sessions": _pipeline_query("sessions"),
     "e2_deposits": _pipeline_query("deposits"),
     "e3_trigger": _pipeline_query("trigger"),
@@ -535,6 +632,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "k4_player360": k4_player360,
     "t1_stream_equals_batch": t1_stream_equals_batch,
     "t4_backfill": t4_backfill,
+    "t4_backfill_resume": t4_backfill_resume,
+    "t5_backfill_back": t5_backfill_back,
     "t3_shared_batch": t3_shared_batch,
     "t5_late_replay": t5_late_replay,
     "t5_two_jobs": t5_two_jobs,

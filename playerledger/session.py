@@ -36,12 +36,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(jsc.hadoopConfiguration()).exists(p)
 
 
-def list_names(spark: SparkSession, pattern: str) -> list[str]:
-    """Names of the folders and files that match a glob, in whatever store it names."""
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders and files that match a glob, in whatever store it names."""
     jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
     p = jvm.org.apache.hadoop.fs.Path(pattern)
     found = p.getFileSystem(jsc.hadoopConfiguration()).globStatus(p)
-    return [x.getPath().getName() for x in found or []]
+    return [x.getPath().toString() for x in found or []]
+
+
+def list_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the folders and files that match a glob."""
+    return [p.rsplit("/", 1)[-1] for p in list_paths(spark, pattern)]
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

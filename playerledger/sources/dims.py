@@ -8,7 +8,7 @@ at most one row per fact row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,9 +21,16 @@ def _usable():
     return F.col("k").isNotNull() & F.col("n").isNotNull() & (F.col("k") != "") & (F.col("n") != "")
 
 
-def dimension_from_lines(lines: DataFrame, name: str, key_idx: int, name_idx: int) -> DataFrame:
-    """Frame ``(ref_<name>_id string, <name>_name string)``, one row per key."""
-    picked = _picked(lines, key_idx, name_idx).where(_usable())
+def dimension_from_lines(lines: DataFrame, name: str, key_idx: int, name_idx: int,
+                         seen: Observation | None = None) -> DataFrame:
+    """Frame ``(ref_<name>_id string, <name>_name string)``, one row per key.
+
+    ``seen`` counts the lines read and those discarded, as the dimension is loaded.
+    """
+    picked = _picked(lines, key_idx, name_idx)
+    if seen is not None:
+        picked = picked.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(~_usable()).alias("discarded"))
+    picked = picked.where(_usable())
     return picked.groupBy(F.col("k").alias(f"ref_{name}_id")).agg(F.min("n").alias(f"{name}_name"))
 
 

@@ -93,7 +93,7 @@ def parse_events(df: DataFrame, fields: Iterable[tuple[str, str]], keep_corrupt:
     if keep_corrupt:
         st = st.add(T.StructField(CORRUPT_COLUMN, T.StringType(), True))
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    envelope = [c for c in ("topic", "partition", "offset") if c in df.columns]
+    envelope = [c for c in ("topic", "partition", "offset", "__pos", "__batch") if c in df.columns]
     # ``inline`` makes the parsed fields generator output: a later filter on a
     # parsed field cannot be pushed below it, so each line is parsed once
     # (a plain projection would be inlined into the filter and parse twice).

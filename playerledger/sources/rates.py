@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import RATE_TTL_MS
+from ..functions.time import day_key, event_time
 
 RATES_SCHEMA = "curr string, us_val double"
 
@@ -37,6 +38,30 @@ def daily_currency_rates(lines: DataFrame) -> DataFrame:
                      & F.col("curr").isNotNull() & (F.col("curr") != ""))
 
 
+def store_daily_rates(rates: DataFrame, path: str) -> None:
+    """Daily rates as a table with a folder a month; months written again are replaced."""
+    month = F.floor(F.col("curr_day") / 100).cast("int")
+    (rates.withColumn("curr_month", month).hint("rebalance", "curr_month").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("curr_month").parquet(path))
+
+
+def day_of(ms: str = "event_ts") -> Column:
+    """P4 as the number that daily rates are kept by."""
+    return day_key(event_time(ms)).try_cast("int")
+
+
+def rates_of_days(spark: SparkSession, path: str, days: DataFrame) -> DataFrame:
+    """``(curr_day, curr, us_val)`` of the months that ``days`` (column ``curr_day``) fall in.
+
+    The months are found as the join runs, and only their folders are read.  A day
+    and currency that is listed several times keeps its largest rate.
+    """
+    stored = spark.read.schema("curr_day int, curr string, us_val double, curr_month int").parquet(path)
+    # one row a month: bounded by the calendar
+    months = F.broadcast(days.select(F.floor(F.col("curr_day") / 100).cast("int").alias("curr_month")).distinct())
+    return stored.join(months, "curr_month", "left_semi").groupBy("curr_day", "curr").agg(F.max("us_val").alias("us_val"))
+
+
 def newest_snapshot(snapshots: DataFrame, at_ms=None) -> DataFrame:
     """The one snapshot row taken last, at or before ``at_ms`` when that is given."""
     eligible = snapshots if at_ms is None else snapshots.where(F.col("as_of") <= F.lit(at_ms))

@@ -16,17 +16,23 @@ from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import catalog
 from ..operators.broadcast import checked_broadcast
 from ..operators.enrich import add_event_columns, enrich_with_dims
 from ..plans import PLANS, PlanContext
-from ..session import ensure_utc
+from ..session import ensure_utc, path_exists, remove_path
 from ..sinks.doc_table import DocumentStore, DocumentTable
-from ..sources.audit import offset_audit, total_messages
+from ..sources.audit import offset_audit
 from ..sources.events import CORRUPT_COLUMN, parse_events, to_envelope
+from ..sources.rates import day_of, rates_of_days
+
+
+#: Change rows a writing task takes, about.
+ROWS_A_FILE = 50_000
 
 
 def load_dimensions(loader: Callable[[str], DataFrame], names: Sequence[str],
@@ -45,6 +51,24 @@ def load_dimensions(loader: Callable[[str], DataFrame], names: Sequence[str],
     return out
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def change_schema(spark: SparkSession, pipelines: Sequence[str]) -> T.StructType:
+    """The declared columns of the changes of pipelines that share a table: what their plans
+    make of no rows, with the optional ``present`` list."""
+    out: dict[str, T.DataType] = {}
+    for p in pipelines:
+        if p not in _SCHEMAS:
+            dims = {d: spark.createDataFrame([], f"ref_{d}_id string, {d}_name string") for d in PLANS[p].dims}
+            raw = spark.createDataFrame([], "value string")
+            changes = pipeline_changes(raw, p, dims, PlanContext(with_present=True))
+            rows = PLANS[p].documents(changes).drop("__src")
+            _SCHEMAS[p] = rows.schema if "date_part" in rows.columns else rows.withColumn("date_part", F.lit("")).schema
+        out |= {f.name: f.dataType for f in _SCHEMAS[p]}
+    return T.StructType([T.StructField(n, t) for n, t in out.items()])
+
+
 @dataclass
 class Job:
     """A set of pipelines writing to one document store.
@@ -59,6 +83,7 @@ class Job:
     store: DocumentStore
     name: str = "job"
     rates: Callable[[int | None], DataFrame] | None = None  # batch time (ms) -> (curr, us_val)
+    daily_rates: str | None = None  # folder of daily rates; goes before ``rates``
     mode: str | Mapping[str, str] = "update"
     game: str | None = None
     max_records_per_file: int | None = None
@@ -79,19 +104,20 @@ class Job:
             self.store.table(name, self.game).compact()
 
 
-def route_batch(raw: DataFrame, pipelines: Sequence[str]) -> DataFrame:
+def route_batch(raw: DataFrame, pipelines: Sequence[str], batch: Column | None = None) -> DataFrame:
     """F1 once for the whole batch: raw envelope + ``__event``, the routing key.
 
     ``__event`` is null for lines that can't be routed (not JSON, no event name)
     and empty for events no pipeline wants; the latter keep their position for
-    the audit but not their text.
+    the audit but not their text.  ``__pos`` orders lines of equal time: the offset,
+    or the line's hash where the source (files, archives) has none.  ``batch`` tells
+    the batches apart when several are taken at once.
     """
-    raw = to_envelope(raw)
-    # a source without positions (files, archives) orders ties by the line's hash
-    raw = raw.withColumn("offset", F.coalesce(F.col("offset"), F.xxhash64("value")))
+    own = [] if batch is None else [batch.cast("long").alias("__batch")]
+    raw = to_envelope(raw.select("*", *own), keep=("__batch",) if own else ())
     name = F.get_json_object(F.col("value"), "$.event_name")
     event = F.when(name.isNull() | name.isin(catalog.events_for(pipelines)), name).otherwise("")
-    routed = raw.select("value", "topic", "partition", "offset", event.alias("__event"))
+    routed = raw.select("*", event.alias("__event"), F.coalesce("offset", F.xxhash64("value")).alias("__pos"))
     return routed.withColumn("value", F.when(F.coalesce("__event", F.lit("-")) != "", F.col("value")))
 
 
@@ -112,7 +138,7 @@ def pipeline_rows(routed: DataFrame, pipeline: str, dims: Mapping[str, DataFrame
     if seen is not None:
         parsed = parsed.observe(seen, F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("bad"))
     parsed = parsed.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-    return add_event_columns(enrich_with_dims(parsed, {d: dims[d] for d in PLANS[pipeline].dims}))
+    return add_event_columns(enrich_with_dims(parsed, {d: dims[d] for d in PLANS[pipeline].dims})).drop("__pos")
 
 
 def pipeline_changes(raw: DataFrame, pipeline: str, dims: Mapping[str, DataFrame],
@@ -122,18 +148,21 @@ def pipeline_changes(raw: DataFrame, pipeline: str, dims: Mapping[str, DataFrame
 
 
 def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int | None = None,
-                  run: str | None = None) -> None:
+                  run: str | None = None, numbers: Sequence[int] | None = None) -> None:
     """Write the documents of one batch (idempotent per ``run`` and ``batch_id``).
 
     ``run`` tells runs with batch ids of their own apart (a stream's checkpoint, a
-    backfill); default: the job's name.  The routed batch is persisted and shared
-    by the pipelines, whose tables are written side by side.  Without
-    ``batch_time_ms`` the batch's time is that of its newest event, so a replay
-    gets the same rates.
+    backfill); default: the job's name.  With ``numbers`` the rows hold several batches,
+    told apart by their ``archive_no``: each is written as if it had come alone.  The
+    routed batch is persisted and shared by the pipelines, whose tables are written side
+    by side; an empty batch writes nothing.  Without ``batch_time_ms`` the batch's time
+    is that of its newest event, so a replay gets the same rates.
     """
     spark = ensure_utc(raw.sparkSession)
     run = run or job.name
-    routed = route_batch(raw, job.pipelines).persist(StorageLevel.MEMORY_AND_DISK)
+    batch = F.lit(batch_id) if numbers is None else F.col("archive_no")
+    numbers = [batch_id] if numbers is None else list(numbers)
+    routed = route_batch(raw, job.pipelines, batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # fills the cache in one pass: offset ranges, total, routed and unroutable lines, newest event
         wanted = F.col("__event") != ""
@@ -141,50 +170,72 @@ def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int |
         events = {f"n_{e}": F.count_if(F.col("__event") == e) for e in catalog.events_for(job.pipelines)}
         ranges = offset_audit(routed, routed=F.count_if(wanted), unroutable=F.count_if(F.col("__event").isNull()),
                               newest=newest, **events).collect()  # one row a topic and partition
-        rows = sum(r["routed"] for r in ranges)
         if batch_time_ms is None:
             batch_time_ms = max((r["newest"] for r in ranges if r["newest"] is not None), default=None)
-        metric = {"run": run, "batch_id": batch_id, "rows": rows, "messages": total_messages(ranges),
-                  "ranges": [r.asDict() for r in ranges], "dead_letters": sum(r["unroutable"] for r in ranges)}
+        metric = {"run": run, "batch_id": batch_id, "rows": sum(r["routed"] for r in ranges),
+                  "messages": sum(r["messages"] for r in ranges), "ranges": [r.asDict() for r in ranges],
+                  "dead_letters": sum(r["unroutable"] for r in ranges), "documents": {}}
         ctx = PlanContext(with_present=job.with_present)
-        if job.rates is not None and "deposits" in job.pipelines:
+        daily = None
+        if job.daily_rates and "deposits" in job.pipelines:
+            paid = parsed_rows(routed, "deposits", [x for x in PLANS["deposits"].fields if x[0] == "event_ts"])
+            daily = rates_of_days(spark, job.daily_rates, paid.select(day_of().alias("curr_day"))).persist(StorageLevel.MEMORY_AND_DISK)
+            ctx.daily_rates = checked_broadcast(daily)
+        elif job.rates is not None and "deposits" in job.pipelines:
             # the currencies of one snapshot
             ctx.rates = F.broadcast(job.rates(batch_time_ms))
+        rows_of = {p: sum(r[f"n_{e}"] for e in PLANS[p].events for r in ranges) for p in job.pipelines}
 
         def write(p: str) -> int:
-            seen = Observation(f"bad-{p}-{batch_id}")
-            changes = PLANS[p].documents(PLANS[p].changes(pipeline_rows(routed, p, job.dims, seen), ctx))
-            table = job.table(p)
-            put = table.write_changes if job.mode_of(p) == "update" else table.append_documents
-            put(changes, run, batch_id, p, job.max_records_per_file)
+            table, update = job.table(p), job.mode_of(p) == "update"
+            if not rows_of[p]:
+                # nothing to write; what the batches left there before is outdated
+                for n in {b[2] for b in table.written("changes" if update else "append", p, run)} & set(numbers):
+                    table.forget("changes" if update else "append", p, run, n)
+                return 0
+            typed, kinds = Observation(f"bad-{p}-{batch_id}"), Observation(f"kinds-{p}-{batch_id}")
+            changes = PLANS[p].documents(PLANS[p].changes(pipeline_rows(routed, p, job.dims, typed), ctx, kinds))
+            # no more files than the rows need
+            changes = changes.coalesce(-(-rows_of[p] // ROWS_A_FILE))
+            put = table.write_changes if update else table.append_documents
+            put(changes, run, numbers, p, job.max_records_per_file)
             try:
-                return seen.get["bad"]
+                metric["documents"][p] = dict(kinds.get)
+                return typed.get["bad"]
             except Py4JJavaError:  # no metric: the plan was cut short, none of its rows were written
                 return parsed_rows(routed, p).where(F.col(CORRUPT_COLUMN).isNotNull()).count()
 
-        with_rows = [p for p in job.pipelines if any(r[f"n_{e}"] for e in PLANS[p].events for r in ranges)]
-        with ThreadPoolExecutor(max(1, min(job.parallel_writes, len(with_rows)))) as pool:
-            bad = dict(zip(with_rows, pool.map(inheritable_thread_target(spark)(write), with_rows)))
+        with ThreadPoolExecutor(max(1, min(job.parallel_writes, len(job.pipelines)))) as pool:
+            bad = dict(zip(job.pipelines, pool.map(inheritable_thread_target(spark)(write), job.pipelines)))
         damaged = [p for p, n in bad.items() if n]
-        metric["dead_letters"] += sum(bad.values())
+        unroutable, metric["dead_letters"] = metric["dead_letters"], metric["dead_letters"] + sum(bad.values())
         if job.keep_dead_letters:
-            _write_dead_letters(job, routed, damaged, f"job={run}/batch_id={batch_id}")
+            _write_dead_letters(job, routed, damaged, bool(unroutable), run, numbers)
         job.metrics.append(metric)
+        if daily is not None:
+            daily.unpersist()
     finally:
         routed.unpersist()
 
 
-def _write_dead_letters(job: Job, routed: DataFrame, damaged: Sequence[str], folder: str) -> None:
+def _write_dead_letters(job: Job, routed: DataFrame, damaged: Sequence[str], unroutable: bool, run: str, numbers: Sequence[int]) -> None:
     """Lines that can't be routed, and those a pipeline found wrongly typed fields in."""
+    base = f"{job.store.root}/_dead_letters/job={run}"
     lost = routed.where(F.col("__event").isNull()).select("value", "topic", "partition", "offset",
-                                                          F.lit(None).cast("string").alias("pipeline"))
+                                                          F.lit(None).cast("string").alias("pipeline"), "__batch")
     for p in damaged:
         bad = parsed_rows(routed, p).where(F.col(CORRUPT_COLUMN).isNotNull())
-        lost = lost.union(bad.select(F.col(CORRUPT_COLUMN).alias("value"), "topic", "partition", "offset", F.lit(p)))
-    lost.write.mode("overwrite").parquet(f"{job.store.root}/_dead_letters/{folder}")
+        lost = lost.union(bad.select(F.col(CORRUPT_COLUMN).alias("value"), "topic", "partition", "offset", F.lit(p), "__batch"))
+    for n in numbers:
+        if path_exists(routed.sparkSession, f"{base}/batch_id={n}"):
+            remove_path(routed.sparkSession, f"{base}/batch_id={n}")
+    if damaged or unroutable:
+        lost.withColumnRenamed("__batch", "batch_id").write.mode("append").partitionBy("batch_id").parquet(base)
 
 
 def dead_letters(store: DocumentStore) -> DataFrame:
     """``(value, topic, partition, offset, pipeline)`` of all batches; pipeline is null for unroutable lines."""
-    base = f"{store.root}/_dead_letters"
-    return store.spark.read.parquet(base).select("value", "topic", "partition", "offset", "pipeline")
+    base, columns = f"{store.root}/_dead_letters", "value string, topic string, partition int, offset long, pipeline string"
+    if not path_exists(store.spark, base):
+        return store.spark.createDataFrame([], columns)
+    return store.spark.read.schema(columns).parquet(base).select("value", "topic", "partition", "offset", "pipeline")

@@ -2,8 +2,9 @@
 
 import json
 
+from playerledger.session import list_paths
 from playerledger.sinks import DocumentStore
-from playerledger.streaming import Job, dead_letters, process_batch, run_backfill, run_stream
+from playerledger.streaming import Job, dead_letters, numbers_done, process_batch, run_backfill, run_stream
 
 from .helpers import dims
 
@@ -148,3 +149,111 @@ def test_cluster_needs_a_shared_folder(monkeypatch):
     sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None)
     with pytest.raises(ValueError):
         checkpoint_root(SimpleNamespace(sparkContext=sc))
+
+
+def _archive(spark, root, players):
+    for n, player in players.items():
+        reg = {"event_name": "REGISTRATION", "cluster_id": "c", "player_id": player, "event_ts": 1000 + n}
+        _raw(spark, [reg]).coalesce(1).write.mode("overwrite").text(f"{root}/archive_no={n}")
+
+
+def test_backfill_of_an_earlier_range(spark, tmp_dir):
+    store = DocumentStore(spark, tmp_dir + "/store")
+    job = Job(["regs"], dims(spark, ["regs"]), store)
+    _archive(spark, tmp_dir + "/arch", {n: f"p{n}" for n in (1, 2, 3, 10, 11, 12)})
+    run_backfill(spark, job, tmp_dir + "/arch", 10, 12)
+    job.compact()
+    run_backfill(spark, job, tmp_dir + "/arch", 1, 3)
+    for _ in range(2):
+        assert sorted(r.player_id for r in job.table("regs").documents().collect()) == ["p1", "p10", "p11", "p12", "p2", "p3"]
+        job.compact()
+
+
+def test_backfill_in_other_slices_stores_nothing_twice(spark, tmp_dir):
+    _archive(spark, tmp_dir + "/arch", {n: f"p{n}" for n in range(1, 5)})
+    for mode in ("append", "update"):
+        job = Job(["regs"], dims(spark, ["regs"]), DocumentStore(spark, f"{tmp_dir}/{mode}"), mode=mode)
+        for size in (1, 4, 3):
+            run_backfill(spark, job, tmp_dir + "/arch", 1, 4, slice_size=size)
+            t = job.table("regs")
+            got = t.appended() if mode == "append" else t.documents()
+            assert sorted(r.player_id for r in got.collect()) == ["p1", "p2", "p3", "p4"]
+        assert {b[2] for b in t.written("append" if mode == "append" else "changes")} == {1, 2, 3, 4}
+        # a number whose content changed, in a slice with others
+        _archive(spark, tmp_dir + "/arch", {2: "q2"})
+        run_backfill(spark, job, tmp_dir + "/arch", 1, 4, slice_size=2)
+        got = t.appended() if mode == "append" else t.documents()
+        assert sorted(r.player_id for r in got.collect()) == ["p1", "p3", "p4", "q2"]
+        _archive(spark, tmp_dir + "/arch", {2: "p2"})
+
+
+def test_backfill_resumes_and_forgets_empty_numbers(spark, tmp_dir):
+    job = Job(["regs"], dims(spark, ["regs"]), DocumentStore(spark, tmp_dir + "/s"), mode="append")
+    _archive(spark, tmp_dir + "/arch", {1: "p1", 2: "p2"})
+    run_backfill(spark, job, tmp_dir + "/arch", 1, 4, slice_size=2)
+    assert numbers_done(job, "job-backfill") == {1, 2}
+    _archive(spark, tmp_dir + "/arch", {2: "changed", 3: "p3"})
+    run_backfill(spark, job, tmp_dir + "/arch", 1, 4, slice_size=4, resume=True)
+    assert sorted(r.player_id for r in job.table("regs").appended().collect()) == ["p1", "p2", "p3"]
+    assert [m["batch_id"] for m in job.metrics] == [1, 3]
+    # numbers without any event of the pipeline any more, alone and among others
+    other = {"event_name": "CONNECT", "cluster_id": "c", "player_id": "x", "session_id": "s", "event_ts": 5}
+    for n in (1, 3):
+        _raw(spark, [other]).coalesce(1).write.mode("overwrite").text(f"{tmp_dir}/arch/archive_no={n}")
+    run_backfill(spark, job, tmp_dir + "/arch", 1, 1)
+    run_backfill(spark, job, tmp_dir + "/arch", 2, 3, slice_size=2)
+    assert sorted(r.player_id for r in job.table("regs").appended().collect()) == ["changed"]
+
+
+def test_latest_per_player_in_each_archive_number(spark, tmp_dir):
+    """Slices of any size give the same documents, also where only the newest event of a batch counts."""
+    base = {"event_name": "USER_PROFILE", "cluster_id": "c", "player_id": "p"}
+    for n, more in ((1, {"email": "e1", "event_ts": 10}), (2, {"first_name": "f2", "event_ts": 20})):
+        _raw(spark, [{**base, **more}]).coalesce(1).write.text(f"{tmp_dir}/arch/archive_no={n}")
+    got = []
+    for size in (1, 2):
+        job = Job(["profile"], dims(spark, ["profile"]), DocumentStore(spark, f"{tmp_dir}/{size}"))
+        run_backfill(spark, job, tmp_dir + "/arch", 1, 2, slice_size=size)
+        got.append([(r.email, r.first_name) for r in job.table("profile").documents().collect()])
+    assert got == [[("e1", "f2")]] * 2
+
+
+def test_an_empty_batch_writes_nothing(spark, tmp_dir):
+    store = DocumentStore(spark, tmp_dir + "/s")
+    job = Job(["regs", "sessions"], dims(spark, ["regs", "sessions"]), store)
+    process_batch(job, spark.createDataFrame([], "value string"), 0)
+    assert list_paths(spark, tmp_dir + "/s/*") == [] and dead_letters(store).count() == 0
+    assert (job.metrics[0]["rows"], job.metrics[0]["messages"], job.metrics[0]["documents"]) == (0, 0, {})
+    assert job.table("regs").documents() is None
+
+
+def test_rows_that_make_no_document_are_counted(spark, tmp_dir):
+    job = Job(["deposits"], dims(spark, ["deposits"]), DocumentStore(spark, tmp_dir))
+    base = {"cluster_id": "c", "player_id": "p", "event_ts": 1_700_000_000_000, "session_id": "s"}
+    events = [{**base, "event_name": "SEND_TRANSACTION", "internal_transaction_id": "t1"}]
+    events += [{**base, "event_name": "TRANSACTION_RESULT", "internal_transaction_id": f"t{i}", "transaction_status_id": s}
+               for i, s in enumerate((1, None, 2, 9, 9, 77))]
+    process_batch(job, _raw(spark, events), 0)
+    assert job.metrics[0]["documents"] == {"deposits": {
+        "no_document": 3, "send": 1, "approved": 2, "refused": 1, "canceled": 0, "pending": 0, "error": 0}}
+
+
+def test_files_have_no_offsets(spark, tmp_dir):
+    job = Job(["regs"], dims(spark, ["regs"]), DocumentStore(spark, tmp_dir))
+    reg = {"event_name": "REGISTRATION", "cluster_id": "c", "player_id": "p", "event_ts": 5}
+    process_batch(job, _raw(spark, [reg, {**reg, "player_id": "q"}]), 0)
+    (r,) = job.metrics[0]["ranges"]
+    assert (r["topic"], r["partition"], r["from_offset"], r["until_offset"], r["messages"]) == (None, None, None, None, 2)
+
+
+def test_deposits_by_the_rate_of_their_day(spark, tmp_dir):
+    from playerledger.sources import daily_currency_rates, store_daily_rates
+    lines = spark.createDataFrame([("20231114|EUR|x|0.5",), ("20231115|EUR|x|0.25",)], "value string")
+    store_daily_rates(daily_currency_rates(lines), tmp_dir + "/rates")
+    job = Job(["deposits"], dims(spark, ["deposits"]), DocumentStore(spark, tmp_dir + "/s"), daily_rates=tmp_dir + "/rates")
+    base = {"event_name": "SEND_TRANSACTION", "cluster_id": "c", "player_id": "p", "deposit_amount": 1.0, "deposit_currency": "EUR"}
+    day = 86_400_000
+    events = [{**base, "event_ts": 1_700_000_000_000 + n * day, "internal_transaction_id": str(n)} for n in range(3)]
+    process_batch(job, _raw(spark, events), 0)
+    docs = job.table("deposits").documents().orderBy("internal_transaction_id").collect()
+    assert [d.usd_deposit for d in docs] == [2.0, 4.0, None]

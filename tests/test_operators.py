@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from playerledger.operators import (add_event_columns, enrich_with_dims, latest_per_key, max_per_key,
+from playerledger.operators import (add_event_columns, enrich_with_dims, hot_keys, latest_per_key, max_per_key,
                                     merge_documents)
+from playerledger.session import list_paths
 from playerledger.sinks import DocumentTable
 
 from .helpers import dims
@@ -115,7 +116,7 @@ def test_jobs_do_not_hide_each_others_changes(spark, tmp_dir):
     assert sorted((r.id, r.a) for r in t.documents().collect()) == want
     t.compact()
     assert sorted((r.id, r.a) for r in t.documents().collect()) == want
-    assert t.change_rows(t._manifest()[2]).count() == 0
+    assert t.pending() is None
 
 
 def test_compaction_rewrites_touched_parts_only(spark, tmp_dir):
@@ -128,13 +129,14 @@ def test_compaction_rewrites_touched_parts_only(spark, tmp_dir):
     t.write_changes(late, "j", 1, "s")
     month = t.documents().where("date_part = '2024-01'")
     assert [(r.id, r.a) for r in month.collect()] == [("d", "x")]
-    plan = t.change_rows().where("date_part = '2024-01'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "2024-01" in plan
+    before = set(list_paths(spark, f"{tmp_dir}/docs/documents/date_part=2024-01/part-*"))
     t.compact()
-    assert t._manifest()[1] == {"2024-01": 0, "2024-02": 1}
+    assert before == set(list_paths(spark, f"{tmp_dir}/docs/documents/date_part=2024-01/part-*"))
+    assert sorted((r.date_part, r.batch_id) for r in t.ledger().collect()) == [("2024-01", 0), ("2024-02", 0), ("2024-02", 1)]
     assert sorted((r.id, r.a) for r in t.documents().collect()) == [("d", "x"), ("e", "z")]
+    files = set(list_paths(spark, f"{tmp_dir}/docs/documents/*/part-*"))
     t.compact()  # nothing new
-    assert t._manifest()[0] == 1
+    assert files == set(list_paths(spark, f"{tmp_dir}/docs/documents/*/part-*"))
 
 
 def test_rows_without_date_part_are_rejects(spark, tmp_dir):
@@ -162,8 +164,14 @@ def test_hot_key_merge_and_latest(spark):
     assert len(merged) == 1 + 997
     hot_max = max(i for i in range(n) if i % 3 == 0 and i % 7 != 0)
     assert merged["hot"] == str(hot_max)
+    # a hot key is folded in pieces first; the others in one exchange, one sort, one pass
+    hot = hot_keys(df, rows=5000)
+    assert [r.id for r in hot.collect()] == ["hot"] and hot_keys(df) is None
+    pieces = merge_documents(df, hot=hot)
+    assert {r.id: r.a for r in pieces.collect()} == merged
+    assert "__salt" in pieces._jdf.queryExecution().executedPlan().toString()
     plan = merge_documents(df)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan  # reduced per map task before the exchange
+    assert plan.count("Exchange") == plan.count("Sort [") == plan.count("Window [") == 1
 
     rows = df.select(F.col("id").alias("player_id"), F.lit("c").alias("cluster_id"),
                      F.col("seq.t").alias("event_ts"))
@@ -171,3 +179,83 @@ def test_hot_key_merge_and_latest(spark):
     assert latest["hot"] == max(i for i in range(n) if i % 3 == 0)
     plan = latest_per_key(rows, ["player_id", "cluster_id"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_batches_in_any_order_are_folded(spark, tmp_dir):
+    """A batch that comes after later ones were compacted still counts."""
+    t = DocumentTable(spark, tmp_dir, "docs", ["s"])
+    for n in (10, 11, 1):
+        t.write_changes(_event_changes(spark, [(f"d{n}", "x", n, 1, n)]), "j", n, "s")
+        t.compact()
+    assert sorted(r.id for r in t.documents().collect()) == ["d1", "d10", "d11"]
+    assert t.pending() is None
+
+
+def test_a_corrected_batch_is_folded_again(spark, tmp_dir):
+    t = DocumentTable(spark, tmp_dir, "docs", ["s"])
+    t.write_changes(_event_changes(spark, [("d", "wrong", 5, 1, 0), ("e", "y", 6, 1, 1)]), "j", 0, "s")
+    t.compact()
+    t.write_changes(_event_changes(spark, [("d", "right", 5, 1, 0), ("e", "y", 6, 1, 1)]), "j", 0, "s")
+    for _ in range(2):
+        assert sorted((r.id, r.a) for r in t.documents().collect()) == [("d", "right"), ("e", "y")]
+        t.compact()
+
+
+def test_a_part_that_was_put_back_gets_its_changes_again(spark, tmp_dir):
+    """What another compaction may do to a date part: the old part returns after the new one was written."""
+    import shutil
+    t = DocumentTable(spark, tmp_dir + "/t", "docs", ["s"])
+    part = F.when(F.col("id") == "d", "2024-01").otherwise("2024-02")
+    t.write_changes(_event_changes(spark, [("d", "x", 1, 1, 0), ("e", "y", 2, 1, 1)]).withColumn("date_part", part), "j", 0, "s")
+    t.compact()
+    shutil.copytree(f"{tmp_dir}/t/docs/documents/date_part=2024-02", f"{tmp_dir}/old")
+    t.write_changes(_event_changes(spark, [("d", "x2", 3, 1, 2), ("e", "y2", 4, 1, 3)]).withColumn("date_part", part), "j", 1, "s")
+    t.compact()
+    shutil.rmtree(f"{tmp_dir}/t/docs/documents/date_part=2024-02")
+    shutil.copytree(f"{tmp_dir}/old", f"{tmp_dir}/t/docs/documents/date_part=2024-02")
+    for _ in range(2):
+        assert sorted((r.id, r.a) for r in t.documents().collect()) == [("d", "x2"), ("e", "y2")]
+        assert {r.date_part for r in t.pending().collect()} == {"2024-02"} if _ == 0 else t.pending() is None
+        t.compact()
+
+
+def test_fields_of_newer_batches(spark, tmp_dir):
+    """A column that only a later batch has is a field of the documents, before and after a compaction."""
+    for buckets in (None, 2):
+        t = DocumentTable(spark, f"{tmp_dir}/{buckets}", "docs", ["s"], buckets=buckets)
+        t.write_changes(_event_changes(spark, [("d", "x", 1, 1, 0)]), "j", 0, "s")
+        t.compact()
+        more = _event_changes(spark, [("d", None, 2, 1, 1), ("e", "y", 3, 1, 2)]).withColumn("b", F.col("id"))
+        t.write_changes(more, "j", 1, "s")
+        for _ in range(2):
+            assert sorted((r.id, r.a, r.b) for r in t.documents().collect()) == [("d", "x", "d"), ("e", "y", "e")]
+            t.compact()
+        t.write_changes(_event_changes(spark, [("f", "z", 4, 1, 3)]), "j", 2, "s")
+        t.compact()
+        assert sorted((r.id, r.a, r.b) for r in t.documents().collect()) == [("d", "x", "d"), ("e", "y", "e"), ("f", "z", None)]
+
+
+def test_bucketed_documents_are_not_shuffled(spark, tmp_dir):
+    t = DocumentTable(spark, tmp_dir, "docs", ["s"], buckets=3)
+    t.write_changes(_event_changes(spark, [(f"d{i}", "x", i, 1, i) for i in range(50)]), "j", 0, "s")
+    t.compact()
+    t.write_changes(_event_changes(spark, [(f"d{i}", "y", 100 + i, 1, 100 + i) for i in range(0, 70, 7)]), "j", 1, "s")
+    docs = t.documents()
+    assert {r.id: r.a for r in docs.collect()} == {**{f"d{i}": "x" for i in range(50)}, **{f"d{i}": "y" for i in range(0, 70, 7)}}
+    merged = t._merged(t._compacted(), t.pending(), keep_orders=True)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    # one exchange, on the side of the changes; the documents are read bucket by bucket
+    assert plan.count("Exchange hashpartitioning(__id") == 1 and "Bucketed: true" in plan
+    assert "Exchange hashpartitioning(date_part" not in plan and plan.count("Sort [date_part") == 1
+    # another session declares the folder anew
+    again = DocumentTable(spark, tmp_dir, "docs", ["s"], buckets=3)
+    again.compact()
+    assert again.documents().count() == 52 and again.pending() is None
+
+
+def test_declared_schema_reads_what_batches_lack(spark, tmp_dir):
+    from pyspark.sql import types as T
+    declared = T.StructType().add("id", "string").add("a", "string").add("b", "string").add("date_part", "string")
+    t = DocumentTable(spark, tmp_dir, "docs", ["s"], schema=lambda sources: declared)
+    t.write_changes(_event_changes(spark, [("d", "x", 1, 1, 0)]), "j", 0, "s")
+    assert [(r.id, r.a, r.b) for r in t.documents().collect()] == [("d", "x", None)]

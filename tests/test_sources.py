@@ -7,7 +7,8 @@ import pytest
 from playerledger import schema
 from playerledger.sources import (archive_range_scan, currency_rates, daily_currency_rates, dead_letters,
                                   dimension_from_lines, dimension_rejects, latest_rates, offset_audit, rates_with_refresh,
-                                  parse_events, prefilter_event_names, prefilter_product_action)
+                                  parse_events, prefilter_event_names, prefilter_product_action, rates_of_days, source_ranges,
+                                  store_daily_rates, total_messages)
 
 
 def _lines(spark, values):
@@ -109,3 +110,30 @@ def test_offset_audit(spark):
     df = spark.createDataFrame([("t", 0, 5), ("t", 0, 6), ("t", 1, 9)], "topic string, partition int, offset long")
     got = {(r.topic, r.partition): (r.from_offset, r.until_offset, r.messages) for r in offset_audit(df).collect()}
     assert got == {("t", 0): (5, 7, 2), ("t", 1): (9, 10, 1)}
+
+
+def test_ranges_as_the_source_declares_them():
+    """A broker's offsets count with their gaps; files have none."""
+    kafka = {"description": "KafkaV2", "startOffset": '{"ev":{"0":10,"1":5}}', "endOffset": '{"ev":{"0":25,"1":5,"2":7}}', "numInputRows": 12}
+    files = {"description": "FileStreamSource[x]", "startOffset": '{"logOffset":0}', "endOffset": '{"logOffset":1}', "numInputRows": 9}
+    rows = source_ranges([{"batchId": 3, "sources": [kafka, files, {**files, "startOffset": None, "endOffset": "none"}]}])
+    assert rows == [(3, "ev", 0, 10, 25, 15), (3, "ev", 1, 5, 5, 0), (3, "ev", 2, None, 7, None),
+                    (3, "FileStreamSource[x]", None, None, None, 9), (3, "FileStreamSource[x]", None, None, None, 9)]
+    named = [dict(zip(("batch_id", "topic", "partition", "from_offset", "until_offset", "messages"), r)) for r in rows]
+    assert total_messages([named[0], named[1], named[3]]) == 24
+
+
+def test_daily_rates_by_day_and_currency(spark, tmp_dir):
+    lines = _lines(spark, ["20240131|EUR|x|0.5", "20240201|EUR|x|0.25", "20240201|EUR|x|0.2", "20240201|JPY|x|bad", "20250301|EUR|x|1"])
+    store_daily_rates(daily_currency_rates(lines), tmp_dir + "/r")
+    facts = spark.createDataFrame([(20240131,), (20240201,), (None,)], "curr_day int")
+    rates = rates_of_days(spark, tmp_dir + "/r", facts.where("curr_day > 0"))
+    assert sorted(map(tuple, rates.collect())) == [(20240131, "EUR", 0.5), (20240201, "EUR", 0.25)]
+    facts.write.parquet(tmp_dir + "/f")
+    stored = spark.read.parquet(tmp_dir + "/f").where("curr_day > 0")
+    plan = rates_of_days(spark, tmp_dir + "/r", stored)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    # months written again replace theirs only
+    store_daily_rates(daily_currency_rates(_lines(spark, ["20240131|EUR|x|0.75"])), tmp_dir + "/r")
+    again = rates_of_days(spark, tmp_dir + "/r", facts.where("curr_day > 0")).collect()
+    assert sorted(map(tuple, again)) == [(20240131, "EUR", 0.75), (20240201, "EUR", 0.25)]
