@@ -4,7 +4,8 @@
    64-bit hashes), a 128-bit print of the whole set, and a SuperMinHash signature
    of 128 slots cut into 32 bands of 4.  At the threshold of 0.75 a pair shares
    no band with a chance of 5e-6.
-2. Documents with equal sets are one class; only its smallest id goes on.
+2. Documents with equal sets are one class; the classes are numbered, and of each only
+   the text of its smallest id goes on.
 3. Band buckets with two or more classes give candidates.  Within a bucket
    signatures are compared in blocks; at first each member names its best partner.
    Then buckets that still hold several components get their members' texts, and
@@ -15,13 +16,16 @@
    across components is left untested.  Buckets above a bound are first compared in
    parts; when components are known from those, each pair of parts in which a member
    outside the bucket's largest component stands is a block of its own.
-4. Candidates are confirmed on full shingle sets, links grouped by connected
-   components.
+4. Candidates are confirmed on full shingle sets, classes grouped by connected
+   components; a component gets the name of its smallest id last.
 
 Defined results: null or empty text (or no words) has no shingles and links with
 nothing; fewer words than five are one shingle; rows with a null id link with
-nothing; rows that repeat an id are one document for linking and all get its
-verdict; an empty table gives an empty table.
+nothing; rows that repeat an id are one document for linking, with whatever each of
+their texts links to, and all get its verdict; texts are read whole, whatever their
+length; an empty table gives an empty table; other columns are ignored, whatever their
+names.  ``one_of_each`` keeps a single row of a document that is repeated, that with the
+smallest hash of its text.
 """
 
 from __future__ import annotations
@@ -133,16 +137,22 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             short = words_np.mix(signature.view(np.uint64)).astype(np.uint16)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), _signed(bands.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, n), pa.array(sizes.astype(np.int64)),
+                [batch.column(0).slice(lo, n), batch.column(2).slice(lo, n), pa.array(sizes.astype(np.int64)),
                  _signed(prints[0]), _signed(prints[1]), flat,
                  pa.array([x.tobytes() for x in short], pa.binary())],
-                ["id", "n_shingles", "print_a", "print_b", "bands", "prints"])
+                ["id", "t", "n_shingles", "print_a", "print_b", "bands", "prints"])
+
+
+def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, text, t): ``t`` tells the texts of one id apart."""
+    return docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"),
+                       F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("t"))
 
 
 def signatures(docs: DataFrame, id: str, text: str) -> DataFrame:
     workers_ready(docs.sparkSession)
-    cols = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    return cols.mapInArrow(_sign, "id long, n_shingles long, print_a long, print_b long, bands array<long>, prints binary")
+    return _rows(docs, id, text).mapInArrow(
+        _sign, "id long, t long, n_shingles long, print_a long, print_b long, bands array<long>, prints binary")
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,27 +397,29 @@ def bounded(members: DataFrame) -> DataFrame:
 
 
 def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) for every row of ``docs``; ``id`` as long."""
+    """(id, t, n_shingles, component_id) for every row of ``docs``; ``id`` as long, ``t`` a hash of its text."""
     signed = stored(signatures(docs, id, text), "signed")
     sets = signed.filter("n_shingles > 0 and id is not null")
-    # a table of its own: its join with the rows can be dealt anew where a class is hot
+    # a table of its own: its join with the rows can be dealt anew where a class is hot;
+    # classes are numbered, as an id with several texts is in several of them
     classes = stored(sets.groupBy("print_a", "print_b").agg(
-        F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("prints").alias("prints")), "classes")
-    whole = sized(classes.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "bucket"))
+        F.min(F.struct("id", "t")).alias("of"), F.first("bands").alias("bands"), F.first("prints").alias("prints"))
+        .withColumn("class", F.monotonically_increasing_id()), "classes")
+    whole = sized(classes.select(F.col("class").alias("id"), F.posexplode("bands").alias("band", "bucket"))
                   .groupBy("bucket", "id").agg(F.min("band").alias("band")))
     large = whole.filter(F.col("n") > LARGE_BUCKET)
     members = whole if large.isEmpty() else bounded(whole)
-    texts = stored(docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-                   .join(members.select("id").distinct(), "id", "left_semi"), "texts")
+    asked = classes.join(members.select(F.col("id").alias("class")).distinct(), "class", "left_semi").select("class", "of.id", "of.t")
+    texts = stored(_rows(docs, id, text).join(asked, ["id", "t"]).select(F.col("class").alias("id"), "text").dropDuplicates(["id"]), "texts")
     # copies belong to their class; an id with several texts ties their classes together
-    classed = stored(sets.join(classes.select("print_a", "print_b", "rep"), ["print_a", "print_b"])
-                     .select("id", "rep").distinct(), "classed")
-    several = classed.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
-    tied = classed.join(several, "id").select(F.col("rep").alias("a"), F.col("lo").alias("b"))
+    classed = stored(sets.join(classes.select("print_a", "print_b", "class"), ["print_a", "print_b"])
+                     .select("id", "class").distinct(), "classed")
+    several = classed.groupBy("id").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi")
+    tied = classed.join(several, "id").select(F.col("class").alias("a"), F.col("lo").alias("b"))
     # a bucket of two is settled by its one pair
     two = members.filter("n = 2 and id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    prints = classes.groupBy("rep").agg(F.first("prints").alias("prints"))
-    more = members.filter("n > 2").select("bucket", "band", "id").join(prints, F.col("id") == F.col("rep"))
+    prints = classes.select("class", "prints")
+    more = members.filter("n > 2").select("bucket", "band", "id").join(prints, F.col("id") == F.col("class"))
     more = stored(more.select("bucket", "band", "id", "prints"), "more")
     tested = confirm(two.union(candidates(more)).distinct(), texts).filter("linked").select("a", "b").union(tied)
     labels = components(tested)
@@ -416,14 +428,17 @@ def label(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         tested = tested.union(last)
         labels = components(tested)
     if not large.isEmpty():
-        far = crossing_links(large.join(prints, F.col("id") == F.col("rep")), labels, texts)
+        far = crossing_links(large.join(prints, F.col("id") == F.col("class")), labels, texts)
         if not far.isEmpty():
             labels = components(tested.union(far))
-    of_rep = labels.select(F.col("node").alias("rep"), "component")
-    groups = (classed.join(of_rep, "rep", "left").groupBy("id")
-              .agg(F.min(F.coalesce("component", "rep")).alias("component_id")))
-    return (signed.select("id", "n_shingles").join(groups, "id", "left")
-            .select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id")))
+    # components of classes become components of ids, named by the smallest
+    of_class = labels.select(F.col("node").alias("class"), "component")
+    grouped = stored(classed.join(of_class, "class", "left").select("id", F.coalesce("component", "class").alias("component"))
+                     .distinct(), "grouped")
+    least = stored(grouped.groupBy("component").agg(F.min("id").alias("component_id")), "least")
+    groups = grouped.join(least, "component").select("id", "component_id")
+    return (signed.select("id", "t", "n_shingles").join(groups, "id", "left")
+            .select("id", "t", "n_shingles", F.coalesce("component_id", "id").alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -431,7 +446,11 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
 
     Rows without an id stay: nothing links them.
     """
-    name = free_name(docs, "kept_id")
-    kept = label(docs, id, text).filter("id = component_id").select(F.col("id").alias(name)).distinct()
-    key = F.col(f"`{id}`")
-    return docs.join(kept, key == F.col(name), "left").filter(key.isNull() | F.col(name).isNotNull()).drop(name)
+    name, hashed, rows = (free_name(docs, x) for x in ("kept_id", "kept_text", "kept_rows"))
+    kept = label(docs, id, text).filter("id = component_id").groupBy(F.col("id").alias(name)).agg(
+        F.min("t").alias(hashed), F.count(F.lit(1)).alias(rows))
+    key, own = F.col(f"`{id}`"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    found = docs.join(kept, key == F.col(name), "left").filter(key.isNull() | (F.col(name).isNotNull() & (own == F.col(hashed))))
+    alone = F.coalesce(F.col(rows), F.lit(1)) == 1
+    again = found.filter(~alone).dropDuplicates([id])
+    return found.filter(alone).unionByName(again).drop(name, hashed, rows)

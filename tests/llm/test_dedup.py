@@ -299,3 +299,28 @@ def test_union_find():
         assert dict(zip(*(x.tolist() for x in components.union_find(u, v)))) == truth
     line = np.arange(5000)
     assert set(components.union_find(line[1:], line[:-1])[1].tolist()) == {0}
+
+
+WORDS_A = "one two three four five six seven eight nine ten eleven twelve thirteen"
+WORDS_B = "red orange yellow green blue indigo violet black white grey brown pink gold"
+
+
+@pytest.mark.parametrize("turn", [False, True])
+def test_an_id_with_several_texts_ties_what_they_link_to(spark, turn):
+    """Rows (1, A), (1, B), (2, A'), (3, B') are one group, whatever comes first."""
+    rows = [(1, WORDS_A), (1, WORDS_B), (2, WORDS_A + " end"), (3, WORDS_B + " end"), (4, "something else that stands alone here")]
+    rows = rows[::-1] if turn else rows
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = {(r.id, r.component_id) for r in minhash_dedup.label(df).collect()}
+        assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_one_row_of_a_repeated_document_stays(spark):
+    rows = [(1, WORDS_A, "x", 7), (1, WORDS_A, "x", 7), (1, WORDS_B, "x", 7), (2, WORDS_A + " end", "y", 8), (3, None, "z", 9),
+            (3, None, "z", 9), (None, WORDS_A, "n", 1), (None, WORDS_A, "n", 1), (5, "", "e", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept_id string, component_id int")
+    got = minhash_dedup.one_of_each(df)
+    assert got.columns == df.columns
+    got = sorted(((r.doc_id or 0, r.kept_id) for r in got.collect()))
+    assert got == [(0, "n"), (0, "n"), (1, "x"), (3, "z"), (5, "e")]
