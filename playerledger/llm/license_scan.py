@@ -6,11 +6,14 @@ are joined by single spaces; one automaton finds every notice phrase as
 consecutive words and every identifier tag.  What follows a tag in the raw text
 is parsed as a licence expression (``AND``, ``OR``, ``WITH``, brackets): operators
 go through a stack by precedence, and the postfix form is evaluated to the
-alternatives it allows, sets of licences joined by OR.
+alternatives it allows, sets of licences joined by OR.  ``choices`` states them for
+each tag; the labels are all licences named.
 
 Defined results: null or empty text has no words and no labels; a damaged
-expression gives the licences read up to the damage; repeated rows are scanned
-one by one; texts are scanned whole; an empty table gives an empty table.
+expression gives the licences read up to the damage, words that are no identifier
+none; repeated rows are scanned one by one; a null id is carried along; texts are
+scanned whole, whatever their length; an empty table gives an empty table; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -62,6 +65,9 @@ PIECE = 1 << 18
 MOST_WORDS = max(len(p.split()) for p in [*BASE, *NOTICES, TAG])
 #: The tag in raw text, and the line after it.
 TAG_LINE = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
+#: Identifiers without a digit or a hyphen.
+PLAIN_NAMES = frozenset("mit isc zlib unlicense apache gpl lgpl agpl mpl bsd epl bsl cc0 wtfpl ncsa postgresql openssl python ruby curl x11 vim "
+                        "libpng beerware json ntp sleepycat afl artistic cddl eupl ofl psf".split())
 TOKEN = re.compile(r"[()]|[A-Za-z0-9.+-]+")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 #: Alternatives an expression is expanded to at most; a longer one is kept as one set of all its licences.
@@ -71,16 +77,22 @@ _WORD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <=
               for c in range(256))
 
 
-def postfix(expression: str) -> list[str]:
+def named(word: str) -> bool:
+    """Whether a word can be a licence's identifier: one of the plain names, or one with a digit or a hyphen inside."""
+    return word in PLAIN_NAMES or re.fullmatch(r"(?=[^0-9-]*[0-9-])[a-z0-9][a-z0-9.+-]*", word) is not None
+
+
+def postfix(expression: str, strict: bool = False) -> list[str]:
     """The tokens of a licence expression in postfix order (shunting yard).
 
-    Stops at the first token that can't stand where it does.
+    Stops at the first token that can't stand where it does; what stands before it then
+    counts only as far as it names licences (``strict``).
     """
     out: list[str] = []
     stack: list[str] = []
-    operand = False
+    operand, broken = False, True
     for token in TOKEN.findall(expression):
-        word = token.lower()
+        word = token.lower().rstrip(".")
         if word in PRECEDENCE:
             if not operand:
                 break
@@ -99,10 +111,14 @@ def postfix(expression: str) -> list[str]:
                 out.append(stack.pop())
             stack.pop()
         else:
-            if operand:
+            if operand or (strict and not named(word)):
                 break
             out.append(word)
             operand = True
+    else:
+        broken = False
+    if broken and not strict:
+        return postfix(expression, True)
     if not operand and stack and stack[-1] != "(":
         stack.pop()  # an operator without its right side
     out += [t for t in reversed(stack) if t != "("]
@@ -159,8 +175,12 @@ def _pieces(text: bytes) -> Iterator[tuple[int, int, str]]:
     yield number, 0, ""
 
 
-def scan(text: bytes) -> tuple[int, int, int | None, int | None, str, str, float]:
-    """(n_words, n_base, first_word, last_word, base_labels, labels, score) of one text's UTF-8 bytes."""
+def scan(text: bytes) -> tuple[int, int, int | None, int | None, str, str, float, str]:
+    """(n_words, n_base, first_word, last_word, base_labels, labels, score, choices) of one text's UTF-8 bytes.
+
+    ``choices``: for each different tag the sets of licences it lets one choose from, as
+    ``mit;apache-2.0+bsd-3-clause``, tags parted by ``|``.
+    """
     n_words, n_base, first, last, phrases, tags = 0, 0, None, None, set(), 0
     for number, known, joined in _pieces(text):
         n_words = number + joined.count(" ") - 1 if joined else number
@@ -176,21 +196,23 @@ def scan(text: bytes) -> tuple[int, int, int | None, int | None, str, str, float
                 first, last = place if first is None else min(first, place), place if last is None else max(last, place)
     base = {BASE[p] for p in phrases if p in BASE}
     labels = base | {NOTICES[p] for p in phrases if p in NOTICES}
-    for line in TAG_LINE.findall(text.decode()) if tags else ():
-        labels |= {name for choice in alternatives(line) for name in choice}
+    choices = {frozenset(alternatives(line)) for line in TAG_LINE.findall(text.decode())} - {frozenset()} if tags else set()
+    labels |= {name for sets in choices for choice in sets for name in choice}
+    told = sorted(";".join(sorted("+".join(sorted(c)) for c in sets)) for sets in choices)
+    tags = len(choices)
     # tags are sure, phrases nearly so, the wording of notices less
     sure = 1.0 if labels and tags else 0.9 if base else 0.5 if labels else 0.0
-    return n_words, n_base, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), sure
+    return n_words, n_base, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), sure, "|".join(told)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = buffer_of(batch.column(1))
         rows = [scan(data[a:b].tobytes()) for a, b in zip(offsets, offsets[1:])]
-        cols = list(zip(*rows)) if rows else [[]] * 7
-        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
+        cols = list(zip(*rows)) if rows else [[]] * 8
+        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.string()]
         yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
-                                         ["id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
+                                         ["id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "choices"])
 
 
 def licenses(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -198,5 +220,5 @@ def licenses(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     workers_ready(docs.sparkSession)
     cols = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     return cols.mapInArrow(_scan, f"id {cols.schema['id'].dataType.simpleString()}, n_words long, n_base long, "
-                                  "first_word long, last_word long, base_labels string, labels string, score double"
+                                  "first_word long, last_word long, base_labels string, labels string, score double, choices string"
                            ).withColumnRenamed("id", id)

@@ -6,8 +6,9 @@
 2. Each source is cut into blocks of about ``BLOCK_ROWS`` rows by a seeded hash of
    the row, so block order is a fixed random order of the source.  Every whole
    pass over a source takes all its blocks; the last, partial pass takes blocks
-   in order until the target, and of the block in which it ends the rows that
-   fit.  The number of blocks a source gives is its exact quota.
+   in order until the target.  What is missing to the target where it ends is
+   filled from that block and the ``MORE_BLOCKS`` after it, the largest rows that
+   fit first.  The number of blocks a source gives is its exact quota.
 3. A binary tree over the output shards splits the quotas: a node draws, by one
    multivariate-hypergeometric sample seeded by the node, how many blocks of each
    source go to its left half.  Leaves hold each shard's exact quotas, and the
@@ -43,6 +44,8 @@ from playerledger.llm.common import stored, with_new, words, workers_ready
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 BLOCK_ROWS = 256
+#: Blocks, after the one in which a partial pass ends, that give rows to fill it.
+MORE_BLOCKS = 3
 #: Words an output shard holds, about: the number of shards follows the corpus.
 SHARD_WORDS = 4_000_000
 SEED = 20240601
@@ -151,31 +154,36 @@ def draw(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
               int(t // r["size"]) if r["size"] else 0) for i, (r, t) in enumerate(zip(totals, goal))]
     facts = spark.createDataFrame(facts, f"s int, name {rows.schema['name'].dataType.simpleString()}, "
                                          "source_size long, blocks long, target double, epochs int")
-    # the partial pass ends in the last block that starts before its words are used up
+    # the partial pass ends in the last block that starts before its words are used up,
+    # and is filled from there on
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
     numbered = rows.join(F.broadcast(facts.select("s", "name")), rows["name"].eqNullSafe(facts["name"])).select("s", "n", "place")
     starts = stored(_starts(numbered, facts), "starts").join(F.broadcast(facts.drop("name")), "s").withColumn("rest", rest)
     quota = (starts.groupBy("s", "blocks", "epochs")
-             .agg(F.coalesce(F.max(F.when(F.col("start") < F.col("rest"), F.col("block") + 1)), F.lit(0)).alias("part"))
+             .agg(F.max(F.when(F.col("start") < F.col("rest"), F.col("block") + 1)).alias("end"))
+             .withColumn("part", F.when(F.col("end").isNull(), 0).otherwise(F.least("blocks", F.col("end") + MORE_BLOCKS)))
              .select("s", "blocks", (F.col("epochs") * F.col("blocks") + F.col("part")).alias("quota")).collect())
     plan = sorted((r.s, r.blocks, r.quota) for r in quota if r.quota > 0)
     dealt = spark.range(0, shards, 1, -(-shards // 64)).mapInPandas(
         _deal(plan, shards, seed), "s int, block long, epoch int, shard int")
     draws = dealt.groupBy("s", "block").agg(F.array_sort(F.collect_list(F.struct("epoch", "shard"))).alias("all"))
-    # the block in which the partial pass ends: rows in its own order, each that still fits
+    # the block in which the partial pass ends, and the next ones: each row that still fits
     last = (starts.filter((F.col("start") < F.col("rest")))
             .groupBy("s").agg(F.max(F.struct("block", "start", "rest", "blocks")).alias("l")).select("s", "l.*"))
-    inside = (numbered.join(F.broadcast(last), "s").filter(_block(F.col("place"), F.col("blocks")) == F.col("block"))
+    filling = _block(F.col("place"), F.col("blocks")).between(F.col("block"), F.col("block") + MORE_BLOCKS)
+    inside = (numbered.join(F.broadcast(last), "s").filter(filling)
               .groupBy("s", "block", "start", "rest", "place").agg(F.sum("n").alias("n"))
-              .groupBy("s", "block", "start", "rest").agg(F.array_sort(F.collect_list(F.struct("place", "n"))).alias("order")))
+              .groupBy("s", "block", "start", "rest").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "place", "n")))
+                                                          .alias("order")))
     chosen = F.aggregate(
         "order", F.struct((F.col("rest") - F.col("start")).cast("double").alias("left"), F.array().cast("array<long>").alias("p")),
         lambda acc, x: F.when(x["n"] <= acc["left"], F.struct((acc["left"] - x["n"]).alias("left"),
                                                                F.array_append(acc["p"], x["place"]).alias("p"))).otherwise(acc),
         lambda acc: acc["p"])
-    inside = inside.select(F.col("s"), F.col("block"), chosen.alias("chosen"))
-    starts = starts.join(draws, ["s", "block"], "left").join(inside, ["s", "block"], "left").select(
-        F.col("s").alias("of_s"), F.col("block").alias("of_block"), F.col("chosen").alias("of_chosen"),
+    inside = inside.select(F.col("s"), F.col("block").alias("from_block"), chosen.alias("chosen"))  # one row a source
+    starts = starts.join(draws, ["s", "block"], "left").join(inside, "s", "left").select(
+        F.col("s").alias("of_s"), F.col("block").alias("of_block"),
+        F.when(F.col("block") >= F.col("from_block"), F.col("chosen")).alias("of_chosen"),
         F.col("epochs").alias("of_epochs"), F.col("all").alias("of_all"))
 
     # rows join what was dealt to their block

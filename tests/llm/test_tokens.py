@@ -242,3 +242,35 @@ def test_license_expressions(expression, choices):
 def test_license_tags():
     found = license_scan.scan(b"// SPDX-License-Identifier: (MIT OR ISC) AND Zlib\ncode under the MIT License")
     assert found[4] == "mit" and set(found[5].split(",")) == {"mit", "isc", "zlib"} and found[6] == 1.0
+
+
+def test_license_choices_follow_the_operators():
+    """OR lets one choose, AND does not; a line that names no licence gives nothing."""
+    told = lambda line: license_scan.scan(f"// SPDX-License-Identifier: {line}\n".encode())
+    assert told("MIT OR GPL-2.0")[5:] == ("gpl-2.0,mit", 1.0, "gpl-2.0;mit")
+    assert told("MIT AND GPL-2.0")[5:] == ("gpl-2.0,mit", 1.0, "gpl-2.0+mit")
+    assert told("(MIT OR ISC) AND Apache-2.0 */")[7] == "apache-2.0+isc;apache-2.0+mit"
+    assert told("MIT.")[5:] == ("mit", 1.0, "mit")
+    assert told("see the file LICENSE")[5:] == ("", 0.0, "")
+    assert told("MIT\n# SPDX-License-Identifier: MIT\n# SPDX-License-Identifier: BSD-2-Clause OR Zlib")[7] == "bsd-2-clause;zlib|mit"
+
+
+def test_license_columns_of_the_input_may_clash(spark):
+    df = spark.createDataFrame([(None, "mit license", "x", 3)], "doc_id long, text string, labels string, n_words int")
+    row = license_scan.licenses(df).first()
+    assert (row.doc_id, row.n_words, row.labels, row.choices) == (None, 2, "mit", "")
+
+
+@pytest.mark.parametrize("lengths", [[9, 3, 3, 3], [400] + [5] * 900, [7] * 10, [1000, 1]])
+def test_mixing_comes_near_the_target(spark, lengths):
+    """Small sources, one block a source, a document longer than what is missing: what the
+    mix leaves free is less than the smallest row it could still take."""
+    rows = [(i, f"s{s}", " ".join(["w"] * n)) for s in range(3) for i, n in enumerate(lengths, s * 10_000)]
+    got = mixing.draw(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    for s in range(3):
+        mine = [r for r in got if r.source == f"s{s}"]
+        target, taken = mine[0].target, sum(r.size * len(r.draws) for r in mine)
+        epochs = target // mine[0].source_size
+        left = [r.size for r in mine if len(r.draws) <= epochs]
+        assert taken <= target + 1e-6 and (target - taken < min(left, default=1) or len(mine) > mixing.BLOCK_ROWS)
+        assert target - taken <= max(r.size for r in mine)
