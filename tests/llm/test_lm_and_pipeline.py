@@ -121,7 +121,7 @@ def test_registered_queries_and_oracles(spark):
     from tools.oracle_check import check
     import __spark_entry__ as entry
     assert [k for k in registry.QUERIES if k.startswith("op")] == list(registry.QUERIES)
-    assert {int(re.match(r"op(\d+)_", k)[1]) for k in registry.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", k)[1]) for k in registry.QUERIES} == set(range(1, 14))
     assert "pipeline" in entry.queries() and set(registry.ORACLE_SQL) <= set(entry.oracle_sql())
     res = check(spark, SF, names=list(registry.ORACLE_SQL), verbose=False)
     assert not {k: v for k, v in res.items() if not v["ok"]}
