@@ -56,7 +56,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.without_repeats(documents(spark, sf_dir), with_bytes=False)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words")
 
 
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@
    by binary search of the smaller in the larger lists.
 5. Repeated starts go back to all texts that hold the segment, overlapping strings
    are joined to spans, and the remaining bytes hashed.
+6. Passages of over 50 words may have fewer bytes: ``passages`` counts a document's words
+   in runs that another document has too.  They are counted, not removed.
 
 Texts are units by their content: rows that repeat a text of 400 bytes or more
 hold nothing but repeated strings.  Everything that moves is proportional to the
@@ -38,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playerledger.llm import winnow
+from playerledger.llm import passages, winnow
 from playerledger.llm.common import stored, workers_ready
 from playerledger.llm.words_np import BYTE, U, buffer_of, mix, slices
 
@@ -404,18 +406,23 @@ def _cut(with_bytes: bool):
                 cols = list(zip(*rows))
                 kinds = [pa.int64()] * 3 + [pa.string(), SPANS, pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
-                    ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
+                    [batch.column(0).slice(first, last - first), *[pa.array(c, k) for c, k in zip(cols, kinds)],
+                     batch.column(3).slice(first, last - first)],
+                    ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept", "n_passage_words"])
     return run
 
 
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", shard_segments: int = SHARD_SEGMENTS,
-                    piece: int = PIECE, with_bytes: bool = True) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept) for every row of ``docs``;
-    ``spans`` is what was removed, ``kept`` the remaining bytes (null when not asked for)."""
+                    piece: int = PIECE, with_bytes: bool = True, window: int = passages.WINDOW) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept, n_passage_words) for every row of
+    ``docs``; ``spans`` is what was removed, ``kept`` the remaining bytes (null when not asked for),
+    ``n_passage_words`` the words in runs of ``window`` words that another row has too."""
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     runs = repeated_starts(rows.select("text"), shard_segments, piece)
-    joined = rows.select("id", "text", *_unit(F.col("text"))).join(runs, ["ta", "tb"], "left").select("id", "text", "runs")
+    units = rows.select("id", "text", *_unit(F.col("text")))
+    passage = passages.shared_words(units.select("ta", "tb", "text"), window)
+    joined = units.join(runs, ["ta", "tb"], "left").join(passage, ["ta", "tb"], "left").select(
+        "id", "text", "runs", F.coalesce("n_passage_words", F.lit(0)).cast("long").alias("n_passage_words"))
     return joined.mapInArrow(_cut(with_bytes), f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, "
-                                   "kept_sha256 string, spans array<struct<lo:int,hi:int>>, kept binary"
+                                   "kept_sha256 string, spans array<struct<lo:int,hi:int>>, kept binary, n_passage_words long"
                              ).withColumnRenamed("id", id)
