@@ -1,20 +1,24 @@
-"""Near-duplicate embeddings by random projections, cells compared whole.
+"""Near-duplicate embeddings by sorted projection passes.
 
 1. Rows with equal label and equal vector are one class; only its smallest id
    goes on, with the number of rows it stands for.
-2. In each pass a class falls into the cell of its label, its length and the signs
-   of its projections on that pass's random hyperplanes.
-3. Every cell is compared whole, whatever its size: a large one is cut into parts,
-   and each pair of parts is a block of rows of its own.  A pair is listed in the
-   first pass whose cell it shares.  Cosines are computed in double precision.
-4. Components come from the distributed large-star / small-star rounds.
-
-A pair at the threshold has the same s signs with a chance of 0.88^s, wherever the
-other vectors are; the passes follow from s so that it is missed with a chance
-below ``MISS``.  Without signs one pass compares a label whole and misses nothing.
-The signs are chosen by label for the least work, by the sizes that its cells really
-have (``plan``): a label whose vectors lie close together gets more signs and passes,
-or is compared whole; the choice changes the work alone, not the chance.
+2. In each pass the classes of a label are sorted by the concatenated signs of their
+   projections on that pass's ``SIGNS`` random hyperplanes (a distributed range sort of
+   all labels and passes) and cut into blocks of ``SEGMENT`` rows.
+3. Each block is compared with itself and the next one: a window of 512 to 1024
+   neighbours.  A window whose last block pair holds a link is handed on to twice as many
+   further blocks, until its edge links nothing, so runs of near copies of any length
+   are compared whole.  Cosines are computed in double precision.
+4. The verified pairs of all passes are united; components come from the distributed
+   large-star / small-star rounds.
+
+A pair at the threshold has s equal signs in front with a chance of 0.88^s, wherever the
+other vectors are, and meets in a window when no more than a block shares them.  The
+passes of a label follow from its measured cells (``plan``), so that such a pair is
+missed with a chance below ``MISS``; a label of one block needs one pass and misses
+nothing.  Where ``MOST_PASSES`` would not do (a large label whose vectors all lie close
+together), and for every label with ``exact=True``, the window is the whole label, in
+pairs of blocks.
 
 Defined results: a null label, a null id, a null, empty or zero vector, and one
 with null or non-finite components link with nothing (component: the row's own
@@ -31,48 +35,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playerledger.llm.common import stored, with_new, workers_ready
 from playerledger.llm.components import components
 
 THRESHOLD = 0.93
-#: Rows of a cell that take no further pass, in ``passes_for``.
-WINDOW = 256
-#: A cell of more rows is cut into parts, at most so many until a part has ``PART_BYTES`` of doubles.
+#: Rows of a block; fewer when their doubles would take more than ``BLOCK_BYTES``.
 SEGMENT = 512
-PARTS = 4
-PART_BYTES = 16 << 20
+BLOCK_BYTES = 16 << 20
 #: Rows compared with a block at once.
 ROWS_AT_ONCE = 1024
+#: Signs of a key.
+SIGNS = 48
 MISS = 1e-4
 LEAST_PASSES = 8
-MOST_SIGNS = 24
-#: Labels above so many rows are probed for their density, with these numbers of signs.
-PROBED = 20_000
-TRIED = (0, 2, 4, 6, 8, 10, 12, 14, 16, 18, 20, 22, 24)
-#: Comparisons that take as long as moving a row in a pass.
-MOVED = 2000
+MOST_PASSES = 64
+#: Numbers of passes to choose from, and of signs that a label's cells are measured at.
+PASSES = (8, 12, 16, 24, 32, 48, MOST_PASSES)
+TRIED = tuple(range(0, 26, 2))
 SEED = 7
 
 
-def passes_for(rows: int, threshold: float = THRESHOLD) -> int:
-    """Passes so that a pair at the threshold is missed with a chance below ``MISS``, when
-    ``rows`` rows fall into cells of ``WINDOW``."""
-    agree = 1 - math.acos(threshold) / math.pi
-    meet = agree ** max(0.0, math.log2(max(rows, 1) / WINDOW))
-    return LEAST_PASSES if meet > 0.99 else max(LEAST_PASSES, math.ceil(math.log(MISS) / math.log1p(-meet)))
-
-
-def passes_at(signs: int, threshold: float = THRESHOLD) -> int:
-    """Passes over cells of ``signs`` signs."""
-    return passes_for(WINDOW << signs, threshold) if signs else 1
+def agree(signs: int, threshold: float = THRESHOLD) -> float:
+    """The chance that a pair at the threshold has so many equal signs."""
+    return (1 - math.acos(threshold) / math.pi) ** signs
 
 
-def signs_within(passes: int, threshold: float = THRESHOLD) -> int:
-    """The most signs for which ``passes`` passes are enough."""
-    return max(s for s in range(MOST_SIGNS + 1) if passes_at(s, threshold) <= max(passes, 1))
+def passes_for(rows: int, threshold: float = THRESHOLD, segment: int = SEGMENT) -> int:
+    """Passes so that a pair at the threshold is missed with a chance below ``MISS`` among
+    ``rows`` rows that lie evenly."""
+    meet = agree(math.ceil(max(0.0, math.log2(max(rows, 1) / segment))), threshold)
+    return LEAST_PASSES if meet > 0.99 else max(LEAST_PASSES, math.ceil(math.log(MISS) / math.log1p(-meet)))
 
 
 def usable(vector: Column) -> Column:
@@ -88,21 +83,26 @@ def vectors(column: pa.Array) -> np.ndarray:
     return out / np.abs(out).max(axis=1, keepdims=True)
 
 
-def _keys(threshold: float, seed: int):
-    """Appends each row's key in every pass; rows: id, label, dim, vector, signs."""
+def signs(x: np.ndarray, number: int, seed: int) -> np.ndarray:
+    """The key of each row in a pass: its signs, the first one most significant."""
+    planes = np.random.default_rng([seed, number, x.shape[1]]).standard_normal((SIGNS, x.shape[1]))
+    return ((x @ planes.T) > 0) @ (1 << np.arange(SIGNS)[::-1])
+
+
+def _keys(seed: int):
+    """Appends each row's key in every pass; rows: id, label, dim, vector, whole, passes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = np.stack((batch.column(2).to_numpy(), batch.column(4).to_numpy()))
-            for dim, signs in np.unique(kinds, axis=1).T.tolist():
-                part = batch.take(pa.array(np.flatnonzero((kinds == [[dim], [signs]]).all(axis=0))))
-                passes = passes_at(signs, threshold)
-                keys = np.zeros((len(part), passes), np.int32)
-                x = vectors(part.column(3)) if signs else None
-                for p in range(passes if signs else 0):
-                    planes = np.random.default_rng([seed, p, dim]).standard_normal((MOST_SIGNS, dim))[:signs]
-                    keys[:, p] = ((x @ planes.T) > 0) @ (1 << np.arange(signs))
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * passes), pa.array(keys.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], flat], ["id", "label", "dim", "vector", "keys"])
+            dims, passes = batch.column(2).to_numpy(), batch.column(5).to_numpy()
+            for dim in np.unique(dims).tolist():
+                rows = np.flatnonzero(dims == dim)
+                x, most = vectors(batch.column(3).take(pa.array(rows))), passes[rows]
+                for p in range(int(most.max())):
+                    on = most > p
+                    part = batch.take(pa.array(rows[on]))
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns[:5], pa.array(np.full(len(part), p, np.int32)), pa.array(signs(x[on], p, seed))],
+                        ["id", "label", "dim", "vector", "whole", "pass", "key"])
     return run
 
 
@@ -124,25 +124,24 @@ def links_in(ids: np.ndarray, group: np.ndarray, x: np.ndarray, own: int, thresh
 
 
 def _compare(threshold: float):
-    """Links of each block; rows: block, dim, p, q, part, pass, id, label, vector, keys."""
+    """(i, j, a, b, crossing) of each pair of blocks; rows: i, j, block, id, label, dim, pass, vector.
+    Neighbouring blocks also compare the first one's own rows."""
     def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        part, ids = table.column("part").to_numpy(), table.column("id").to_numpy()
-        first = table.column("p")[0].as_py()
-        within = first == table.column("q")[0].as_py()
-        own = len(ids) if within else int((part == first).sum())
-        if len(ids) < 2 or not own or (not within and own == len(ids)):
-            return
-        group = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
-        x = vectors(table.column("vector").combine_chunks())
-        number, keys = table.column("pass")[0].as_py(), table.column("keys").combine_chunks()
-        keys = keys.flatten().to_numpy().reshape(len(ids), -1) if number else None
-        for i, j in links_in(np.arange(len(ids)), group, x, own, threshold, within=within):
-            new = np.ones(len(i), bool)
-            for p in range(number):
-                new &= keys[i, p] != keys[j, p]
-            if new.any():
-                a, b = ids[i[new]], ids[j[new]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        block, ids, dims = (table.column(c).to_numpy() for c in ("block", "id", "dim"))
+        labels = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        group = labels.astype(np.int64) << 32 | table.column("pass").to_numpy()
+        for dim in np.unique(dims):
+            rows = np.flatnonzero(dims == dim)
+            own = int((block[rows] == i).sum())
+            if not own or len(rows) < 2:
+                continue
+            x = vectors(table.column("vector").take(pa.array(rows)).combine_chunks())
+            for s, t in links_in(np.arange(len(rows)), group[rows], x, own, threshold, within=j == i + 1):
+                a, b = ids[rows[s]], ids[rows[t]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(a), i)), pa.array(np.full(len(a), j)), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
+                     pa.array(t >= own)], ["i", "j", "a", "b", "crossing"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -150,8 +149,7 @@ def _compare(threshold: float):
         for batch in batches:
             if not len(batch):
                 continue
-            # the whole name of a block's place: blocks whose hashes meet stay apart but for label and key
-            at = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("block", "dim", "p", "q", "pass")])
+            at = np.stack([batch.column(c).to_numpy() for c in ("i", "j")])
             cut = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1).tolist(), at.shape[1]]
             for a, b in zip(cut, cut[1:]):
                 if held and (at[:, a] != last).any():
@@ -165,78 +163,105 @@ def _compare(threshold: float):
 
 
 def _probe(seed: int):
-    """(label, dim, key) of all signs of the first pass."""
+    """(label, dim, key) of the first pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column(1).to_numpy()
             for dim in np.unique(dims).tolist():
                 part = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                planes = np.random.default_rng([seed, 0, dim]).standard_normal((MOST_SIGNS, dim))
-                key = ((vectors(part.column(2)) @ planes.T) > 0) @ (1 << np.arange(MOST_SIGNS))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(key.astype(np.int32))], ["label", "dim", "key"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(signs(vectors(part.column(2)), 0, seed))],
+                                                 ["label", "dim", "key"])
     return run
 
 
-def plan(classes: DataFrame, threshold: float = THRESHOLD, seed: int = SEED) -> DataFrame:
-    """(label, dim, signs) of the labels above ``PROBED`` rows; the others are compared whole.
+def plan(classes: DataFrame, threshold: float = THRESHOLD, seed: int = SEED, segment: int = SEGMENT) -> DataFrame:
+    """(label, dim, passes) of the labels above a block; no passes: the window is the whole label.
 
-    Of the signs in ``TRIED`` those with the least work, counted in the cells of one pass.
+    A row's signs are as many as it takes until its cell in the first pass has no more
+    rows than a block; the fewest ``PASSES`` are taken at which the pairs of a mean row
+    are missed with a chance below ``MISS``.
     """
-    large = stored(classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > PROBED)
-                   .select("label", "dim"), "large_labels")
-    keys = classes.join(F.broadcast(large), ["label", "dim"], "left_semi").select("label", "dim", "vector").mapInArrow(
-        _probe(seed), "label string, dim int, key int")
-    tried = F.explode(F.array(*[F.struct(F.lit(s).alias("signs"), F.lit((1 << s) - 1).alias("mask"),
-                                         F.lit(passes_at(s, threshold)).alias("passes")) for s in TRIED]))
-    sizes = (keys.withColumn("t", tried).groupBy("label", "dim", "t.signs", "t.passes", F.col("key").bitwiseAND(F.col("t.mask")).alias("cell"))
+    large = stored(classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > segment),
+                   "large_labels")
+    keys = classes.join(large, ["label", "dim"], "left_semi").select("label", "dim", "vector").mapInArrow(
+        _probe(seed), "label string, dim int, key long")
+    tried = F.explode(F.array(*[F.struct(F.lit(n).alias("signs"), F.lit(SIGNS - n).alias("shift")) for n in TRIED]))
+    cells = (keys.withColumn("t", tried).groupBy("label", "dim", "t.signs", F.expr("shiftright(key, t.shift)").alias("cell"))
              .agg(F.count(F.lit(1)).alias("n")))
-    n = F.col("n").cast("double")
-    work = F.first("passes") * F.sum(n * MOVED + n * n / 2)
-    return stored(sizes.groupBy("label", "dim", "signs").agg(work.alias("work"))
-                  .groupBy("label", "dim").agg(F.min_by("signs", F.struct("work", "signs")).alias("signs")), "plan")
+    small = cells.groupBy("label", "dim", "signs").agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("n") <= segment, F.col("n")).otherwise(0)).alias("n"))
+
+    def missed(passes: int) -> Column:
+        f = [(1 - agree(n, threshold)) ** passes for n in TRIED] + [(1 - agree(TRIED[-1], threshold)) ** passes]
+        gain = F.lit(0.0)
+        for n, now, after in zip(TRIED, f, f[1:]):
+            gain = gain + F.sum(F.when(F.col("signs") == n, F.col("n") * (now - after)).otherwise(0.0))
+        return gain / F.max("rows") + f[-1]
+
+    return stored(small.groupBy("label", "dim").agg(F.coalesce(*[F.when(missed(p) <= MISS, F.lit(p)) for p in PASSES], F.lit(0)).alias("passes")),
+                  "plan")
 
 
 def links(classes: DataFrame, threshold: float = THRESHOLD, passes: int | None = None, seed: int = SEED,
-          segment: int = SEGMENT) -> DataFrame:
+          segment: int = SEGMENT, exact: bool = False) -> DataFrame:
     """(a, b), a < b: pairs of classes (id, label, dim, vector) with a cosine of ``threshold`` or more.
 
-    ``passes``: so many for every label, with as many signs as they allow.
+    ``passes``: so many for every label; ``exact``: every label's window is the whole label.
     """
     spark = classes.sparkSession
     workers_ready(spark)
     classes = classes.select("id", "label", "dim", "vector")
     kind = classes.schema["vector"].dataType.simpleString()
-    if passes is None:
-        signed = classes.join(F.broadcast(plan(classes, threshold, seed)), ["label", "dim"], "left").select(
-            *classes.columns, F.coalesce("signs", F.lit(0)).alias("signs"))
+    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    segment = max(16, min(segment, BLOCK_BYTES // (8 * (classes.agg(F.max("dim")).first()[0] or 1))))
+    if exact or passes is not None:
+        planned = classes.withColumn("passes", F.lit(0 if exact else passes))
     else:
-        signed = classes.withColumn("signs", F.lit(signs_within(passes, threshold)))
-    keyed = stored(signed.mapInArrow(_keys(threshold, seed), f"id long, label string, dim int, vector {kind}, keys array<int>"), "keyed")
-    cell = ["label", "dim", "pass", "key"]
-    sizes = keyed.select("label", "dim", F.posexplode("keys").alias("pass", "key")).groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
-    most = F.greatest(F.lit(1), F.floor(F.lit(PART_BYTES) / (8 * F.col("dim"))))
-    rows = F.greatest(F.lit(segment), F.least(F.ceil(F.col("n") / PARTS), most))
-    large = stored(sizes.filter(F.col("n") > segment).select(*cell, F.ceil(F.col("n") / rows).cast("int").alias("parts")), "large")
-    # each part of a cell meets itself and every other part of it
-    seats = keyed.select("*", F.posexplode("keys").alias("pass", "key")).join(large, cell, "left")
-    parts = F.coalesce("parts", F.lit(1))
-    seats = (seats.withColumn("part", F.pmod(F.xxhash64("id", "vector"), parts).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-             .withColumn("p", F.least("part", "other")).withColumn("q", F.greatest("part", "other"))
-             .select(F.xxhash64(*cell, "p", "q").alias("block"), "dim", "p", "q", "part", "pass", "id", "label", "vector", "keys"))
-    dealt = (seats.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "block")
-             .sortWithinPartitions("block", "dim", "p", "q", "pass", "part"))
-    return dealt.mapInArrow(_compare(threshold), "a long, b long").distinct()
+        planned = classes.join(plan(classes, threshold, seed, segment), ["label", "dim"], "left").select(
+            *classes.columns, F.coalesce("passes", F.lit(1)).alias("passes"))
+    keyed = planned.select(*classes.columns, (F.col("passes") == 0).alias("whole"), F.greatest("passes", F.lit(1)).alias("passes")).mapInArrow(
+        _keys(seed), f"id long, label string, dim int, vector {kind}, whole boolean, pass int, key long")
+    order = ["dim", "label", "pass", "key", "id"]
+    # places in the order of all labels and passes: a task's rows follow those of the tasks before
+    placed = stored(stored(keyed, "keyed").repartitionByRange(tasks, *order).sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("at")), "sorted")
+    # one row a task
+    before = placed.groupBy("task").agg(F.count(F.lit(1)).alias("n")).select(
+        "task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
+    rows = placed.join(F.broadcast(stored(before, "tasks")), "task").withColumn(
+        "block", F.expr(f"(before + at) div {segment}"))
+    group = ["dim", "label", "pass"]
+    spans = stored(rows.groupBy(*group).agg(F.min("block").alias("lo"), F.max("block").alias("hi"), F.first("whole").alias("whole")), "spans")
+    # the last block of the groups that a block has rows of
+    ends = stored(spans.repartition(tasks).select(F.explode(F.sequence("lo", "hi")).alias("i"), "hi").groupBy("i").agg(F.max("hi").alias("hi")), "ends")
+    far = (spans.filter("whole and hi > lo + 1").select(F.explode(F.sequence("lo", F.col("hi") - 2)).alias("i"), "hi").repartition(tasks)
+           .select("i", F.explode(F.sequence(F.col("i") + 2, "hi")).alias("j")))
+    asked = stored(ends.select("i", (F.col("i") + 1).alias("j")).union(far).distinct(), "asked")
+    all: DataFrame | None = None
+    while True:
+        seats = asked.select("i", "j", F.explode(F.array("i", "j")).alias("block")).join(
+            rows.select("block", "id", "label", "dim", "pass", "vector"), "block")
+        dealt = (seats.select("i", "j", "block", "id", "label", "dim", "pass", "vector").repartition(tasks, "i", "j")
+                 .sortWithinPartitions("i", "j", "block"))
+        found = stored(dealt.mapInArrow(_compare(threshold), "i long, j long, a long, b long, crossing boolean"), "found")
+        all = found if all is None else all.union(found)
+        # windows whose last pair of blocks links go on, twice as far as they went
+        last = asked.groupBy("i").agg(F.max("j").alias("j"))
+        linked = found.filter("crossing").select("i", "j").distinct()
+        on = last.join(linked, ["i", "j"]).join(ends, "i").filter("j < hi").select(
+            "i", F.explode(F.sequence(F.col("j") + 1, F.least(F.col("j") + 2 * (F.col("j") - F.col("i")), F.col("hi")))).alias("j"))
+        asked = stored(on, "asked")
+        if asked.isEmpty():
+            return all.select("a", "b").distinct()
 
 
 def label_components(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label",
-                     threshold: float = THRESHOLD, passes: int | None = None) -> DataFrame:
+                     threshold: float = THRESHOLD, passes: int | None = None, exact: bool = False) -> DataFrame:
     """``rows`` without the vector, with ``n_links``, ``component_id`` and ``kept``."""
     key, vec, lab = F.col(f"`{id}`").cast("long"), F.col(f"`{vector}`"), F.col(f"`{label}`").cast("string")
     fine = usable(vec) & lab.isNotNull() & key.isNotNull()
     taken = rows.filter(fine).select(key.alias("id"), lab.alias("label"), F.size(vec).alias("dim"), vec.alias("vector"))
     classes = stored(taken.groupBy("label", "dim", "vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")), "classes")
-    found = stored(links(classes, threshold, passes), "links")
+    found = stored(links(classes, threshold, passes, exact=exact), "links")
     size = classes.groupBy("id").agg(F.sum("n").alias("size")).withColumnRenamed("id", "b")
     both = found.union(found.select("b", "a"))
     degree = both.join(size, "b").groupBy("a").agg(F.sum("size").alias("others"))

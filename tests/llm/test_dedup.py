@@ -203,25 +203,23 @@ def test_near_copies_over_many_segments_are_compared_whole(spark):
     assert embedding_dedup.links(df, passes=12, segment=32).count() == 300 * 299 // 2
 
 
-@pytest.mark.parametrize("probed", [20_000, 500])
-def test_pairs_of_a_dense_label_are_found(spark, monkeypatch, probed):
-    # 2500 vectors at cosines of about 0.87, 200 of them with a partner at 0.935 or so; and a label spread evenly
-    monkeypatch.setattr(embedding_dedup, "PROBED", probed)
-    monkeypatch.setattr(embedding_dedup, "MOVED", 20)
+def test_pairs_of_a_dense_and_an_even_label_are_found(spark):
+    # 1500 vectors at cosines of about 0.87, 200 of them with a partner at 0.935 or so; and a label spread evenly
     rng = np.random.default_rng(4)
     unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
-    mean, noise = unit(rng.standard_normal((1, 64))), unit(rng.standard_normal((2500, 64)))
+    mean, noise = unit(rng.standard_normal((1, 64))), unit(rng.standard_normal((1500, 64)))
     noise[:200] = unit(noise[200:400] + 0.75 * noise[:200])
-    x = {"dense": unit(mean + 0.39 * noise), "even": unit(rng.standard_normal((2500, 64)))}
+    x = {"dense": unit(mean + 0.39 * noise), "even": unit(rng.standard_normal((1500, 64)))}
     x["even"][:200] = unit(x["even"][200:400] + 0.35 * x["even"][:200])
     df = spark.createDataFrame([(i + 10_000 * (k == "even"), k, 64, v.tolist()) for k in x for i, v in enumerate(x[k])],
                                "id long, label string, dim int, vector array<double>")
     truth = {(int(a) + o, int(b) + o) for k, o in (("dense", 0), ("even", 10_000))
              for a, b in zip(*np.nonzero(np.triu(x[k] @ x[k].T >= 0.93, 1)))}
-    signs = {r.label: r.signs for r in embedding_dedup.plan(df).collect()}
-    assert not signs if probed > 2500 else signs["even"] > 0
-    got = {(r.a, r.b) for r in embedding_dedup.links(df).collect()}
-    assert len(truth) > 300 and got <= truth and len(got) >= 0.998 * len(truth) and (probed < 2500 or got == truth)
+    passes = {r.label: r.passes for r in embedding_dedup.plan(df, segment=64).collect()}
+    assert passes["even"] > 1 and (passes["dense"] == 0 or passes["dense"] > passes["even"])
+    got = {(r.a, r.b) for r in embedding_dedup.links(df, segment=64).collect()}
+    assert len(truth) > 300 and got <= truth and len(got) >= 0.995 * len(truth)
+    assert {(r.a, r.b) for r in embedding_dedup.links(df, segment=64, exact=True).collect()} == truth
 
 
 def test_embedding_edges(spark):
