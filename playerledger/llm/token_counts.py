@@ -12,6 +12,12 @@ vocabulary always cuts there too, so a text's counts are the chunks' counts
 added up, and each distinct chunk's table is built once and remembered.  Texts
 with a special string in them are counted by the library itself.
 
+``prefixes`` cuts a text into pre-tokens once and reads each one's table at every
+character.  A cut changes pre-tokens at its end only: white space in front of it becomes
+one pre-token, and a contraction is cut like other text.  ``within`` walks the chunks up
+to the one where a budget ends and asks that one's table: a prefix of more tokens may
+have a longer one of fewer behind it, but never beyond the next border.
+
 Defined results: null text is empty and has no tokens; texts are counted whole
 whatever their length; repeated rows are counted one by one; an empty table gives
 an empty table; input columns named like a result column give way.
@@ -23,7 +29,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +50,10 @@ MOST_PIECES = 500_000
 MOST_PAIRS = 500_000
 #: A border of every byte-level vocabulary: before a space that something else follows.
 CUT = re.compile(r" (?=\S)")
+#: The vocabularies' white space (the Unicode property).
+BLANK = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
+#: Chunks that a budget's walk counts at once.
+CHUNKS_AT_ONCE = 128
 #: Texts in which cutting at each space would not do: a space beside white space or at an
 #: end, or characters that not every library takes for white space.
 IN_A_ROW = r"[ ][\s\p{Z}\x{85}]|^[ ]|[ ]$|[\x1c-\x1f]"
@@ -197,19 +207,72 @@ class PrefixCounts:
             return len(tokenizer(self.path).encode(text, add_special_tokens=False).ids)
         return sum(self.chunks.look_up(chunks(text), self.of_chunks))
 
-    def prefixes(self, text: str) -> list[int]:
-        """count[i]: tokens of ``text[:i]``, for every character i; no special strings inside."""
-        out, done = [0], 0
-        for chunk in chunks(text):
-            ahead = [[chunk[a:b] for a, b in self.spans(chunk[:i])] for i in range(1, len(chunk) + 1)]
-            n = self.of_pieces({p for pieces in ahead for p in pieces})
-            out += [done + sum(n[p] for p in pieces) for pieces in ahead]
-            done = out[-1]
+    def _plain_prefixes(self, text: str) -> list[int]:
+        """count[i]: tokens of ``text[:i]``, without regard to special strings."""
+        cut = [text[a:b] for a, b in self.spans(text)]
+        # white space in a row is one pre-token wherever a cut follows it
+        rows = [text[m.start():m.end()] for m in BLANK.finditer(text)]
+        asked = {p.encode() for p in cut} | {r.encode() for r in rows}
+        of = {piece: list(count) for piece, count in self.tables(asked)}
+
+        def at_characters(piece: str) -> list[int]:
+            data = piece.encode()
+            count = of[data]
+            return count[1:] if len(data) == len(piece) else [count[n] for n in accumulate(len(c.encode()) for c in piece)]
+
+        out, done, row, before = [0], 0, iter(rows), 0
+        left: list[int] = []
+        for piece in cut:
+            # the white space that the pre-token is or begins with
+            blank = ""
+            if BLANK.match(piece):
+                blank = piece if BLANK.fullmatch(piece) else piece[:1]
+                if not left:
+                    # counts of all white space from here on, one a character
+                    left, before = at_characters(next(row)), done
+            out += [before + n for n in left[:len(blank)]]
+            left = left[len(blank):]
+            rest = piece[len(blank):]
+            if rest and piece[0] == "'" and piece[1:].isalpha():
+                parts = [self.spans(piece[:i]) for i in range(1, len(piece) + 1)]
+                n = self.of_pieces({piece[a:b] for p in parts for a, b in p})
+                out += [done + sum(n[piece[a:b]] for a, b in p) for p in parts]
+            elif rest:
+                out += [done + n for n in at_characters(piece)[len(blank):]]
+            done += of[piece.encode()][-1]
         return out
 
+    def prefixes(self, text: str) -> list[int]:
+        """count[i]: tokens of ``text[:i]``, for every character i."""
+        if not any(s in text for s in self.special):
+            return self._plain_prefixes(text)
+        out, done, at = [0], 0, 0
+        for m in re.finditer("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))), text):
+            # a special string is one token once it is complete, and plain text before
+            part = self._plain_prefixes(text[at:m.end() - 1])
+            out += [done + n for n in part[1:]]
+            done += part[m.start() - at] + 1
+            out.append(done)
+            at = m.end()
+        return out + [done + n for n in self._plain_prefixes(text[at:])[1:]]
+
     def within(self, text: str, budget: int) -> int:
         """Characters of the longest prefix of ``text`` that has at most ``budget`` tokens."""
-        return max(i for i, n in enumerate(self.prefixes(text)) if n <= budget)
+        if any(s in text for s in self.special):
+            return max(i for i, n in enumerate(self.prefixes(text)) if n <= budget)
+        # borders with the tokens before them, of chunks that no white space stands in front of
+        done, start, begin, base = 0, 0, 0, 0
+        borders = chain((m.start() for m in CUT.finditer(text) if m.start()), [len(text)])
+        while ends := list(islice(borders, CHUNKS_AT_ONCE)):
+            found = [text[a:b] for a, b in zip([start, *ends], ends)]
+            for chunk, n in zip(found, self.chunks.look_up(found, self.of_chunks)):
+                if not BLANK.match(text[start - 1:start]):
+                    begin, base = start, done
+                if done + n > budget:
+                    part = text[begin:start + len(chunk) + 1]
+                    return begin + max(i for i, k in enumerate(self._plain_prefixes(part)) if base + k <= budget)
+                done, start = done + n, start + len(chunk)
+        return len(text)
 
 
 @lru_cache(maxsize=2)
@@ -218,7 +281,7 @@ def prefix_counts(path: str) -> PrefixCounts:
     return PrefixCounts(path)
 
 
-def _count(path: str):
+def _count(path: str, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = prefix_counts(path)
         for batch in batches:
@@ -226,15 +289,21 @@ def _count(path: str):
             _, offsets = buffer_of(column)
             for lo, hi in slices(offsets, SLICE):
                 n = counter.counts(column.slice(lo, hi - lo))
+                n_bytes = np.diff(offsets[lo:hi + 1])
+                cut = n_bytes.copy()
+                for i in np.flatnonzero(n > limit):
+                    text = column[lo + int(i)].as_py()
+                    cut[i] = len(text[:counter.within(text, limit)].encode())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets[lo:hi + 1])), pa.array(n, pa.int64())],
-                    ["id", "n_bytes", "n_tokens"])
+                    [batch.column(0).slice(lo, hi - lo), pa.array(n_bytes), pa.array(n, pa.int64()), pa.array(cut)],
+                    ["id", "n_bytes", "n_tokens", "cut_bytes"])
     return run
 
 
 def token_counts(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
-    """(id, n_bytes, n_tokens, over_limit) for every row of ``docs``."""
+    """(id, n_bytes, n_tokens, over_limit, cut_bytes) for every row of ``docs``; ``cut_bytes`` is the
+    length of the text's longest prefix, in whole characters, of at most ``limit`` tokens."""
     workers_ready(docs.sparkSession)
     cols = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    out = cols.mapInArrow(_count(path), f"id {cols.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long")
-    return out.select(F.col("id").alias(id), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    out = cols.mapInArrow(_count(path, limit), f"id {cols.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long, cut_bytes long")
+    return out.select(F.col("id").alias(id), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "cut_bytes")

@@ -41,20 +41,42 @@ def test_counts_equal_the_library():
     assert counter.counts(pa.array([], pa.string())).tolist() == []
 
 
+def library_count(text):
+    return len(token_ids.tokenizer(BYTE).encode(text, add_special_tokens=False).ids)
+
+
 def test_every_prefix_and_budget():
     counter = token_counts.PrefixCounts(BYTE)
-    for t in [x for x in texts(8) if "<|" not in x and len(x) < 900]:
-        truth = [len(token_ids.tokenizer(BYTE).encode(t[:i], add_special_tokens=False).ids) for i in range(len(t) + 1)]
-        assert counter.prefixes(t) == truth
-        assert counter.within(t, 7) == max(i for i, n in enumerate(truth) if n <= 7)
+    r = random.Random(9)
+    blanks = ["".join(r.choice(" \n\t\xa0\u2003ab'sré1!") for _ in range(120)) for _ in range(25)]
+    spaced = ["".join(r.choice(["     ", " ", "\n", "we'll", "'ve", "ab", "!?", "中文", "<|endoftext|>", "<|end"]) for _ in range(50)) for _ in range(15)]
+    for t in [x for x in texts(8) if len(x) < 900] + blanks + spaced:
+        truth = [library_count(t[:i]) for i in range(len(t) + 1)]
+        assert counter.prefixes(t) == truth, t
+        for budget in (0, 1, 7, 40):
+            assert counter.within(t, budget) == max(i for i, n in enumerate(truth) if n <= budget), (t, budget)
+
+
+def test_prefixes_of_a_text_without_borders_are_linear():
+    counter = token_counts.PrefixCounts(BYTE)
+    r = random.Random(2)
+    t = "".join(r.choice("abcdefgh") for _ in range(40_000))
+    found = counter.prefixes(t)
+    assert len(found) == len(t) + 1 and all(found[i] == library_count(t[:i]) for i in (1, 100, 7_777, 40_000))
+    assert counter.within(t, 5_000) == max(i for i, n in enumerate(found) if n <= 5_000)
 
 
 def test_token_counts_of_a_table(spark):
-    df = spark.createDataFrame([(1, "a b", 5), (None, None, 6), (3, "x " * 600, 7), (3, "x " * 600, 7)], "doc_id long, text string, n_tokens int")
+    long = "é x" * 700 + " <|endoftext|>"
+    df = spark.createDataFrame([(1, "a b", 5), (None, None, 6), (3, "x " * 600, 7), (3, "x " * 600, 7), (4, long, 8)],
+                               "doc_id long, text string, n_tokens int")
     out = token_counts.token_counts(df, BYTE)
     rows = sorted([tuple(x) for x in out.collect()], key=str)
-    assert len(rows) == 4 and (None, 0, 0, False) in rows and (1, 3, 2, False) in rows
+    assert len(rows) == 5 and (None, 0, 0, False, 0) in rows and (1, 3, 2, False, 3) in rows
     assert [x for x in rows if x[0] == 3][0][1] == 1200 and [x for x in rows if x[0] == 3][0][3]
+    for k, t in ((3, "x " * 600), (4, long)):
+        best = max(i for i in range(len(t) + 1) if library_count(t[:i]) <= token_counts.LIMIT)
+        assert [x for x in rows if x[0] == k][0][4] == len(t[:best].encode())
     assert token_counts.token_counts(df.limit(0), BYTE).count() == 0
 
 
