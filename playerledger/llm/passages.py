@@ -12,7 +12,8 @@ be shorter than that.  Here the unit is a window of ``window`` words:
    are counted.
 
 Words are those of ``[^\\x20\\x09-\\x0D]+``, compared byte by byte; white space between
-them does not count.  A passage that only repeats inside one document is not shared;
+them does not count.  A text that repeats itself in short steps has one row for its
+equal segments in a row.  A passage that only repeats inside one document is not shared;
 rows that repeat a text share all of it.  Everything that is shuffled is an anchor
 (about one for 20 words), a window of an anchor with different segments, or a mark.
 
@@ -75,7 +76,7 @@ def anchors(values: np.ndarray, ends: np.ndarray, window: int, gram: int = GRAM)
 def _found(window: int, gram: int, piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffer_of(batch.column(2))
+            data, offsets = buffer_of(batch.column(3))
             for lo, hi in slices(offsets, SLICE):
                 values, counts = words_of(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], byte=BYTE)
                 ends = np.cumsum(counts)
@@ -88,12 +89,15 @@ def _found(window: int, gram: int, piece: int):
                         continue
                     whole = winnow.range_hash(sums, first, last + window)
                     seg = mix(whole + (place - first).astype(np.uint64) * U(0x9FB21C651E98DF25))
-                    which = pa.array(row + lo)
+                    n = last - first + 1
+                    one, times = winnow.collapsed(row, first, n, h, seg)
+                    which = pa.array(row[one] + lo)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)),
-                         batch.column(0).take(which), batch.column(1).take(which),
-                         pa.array((first + at - begins[row]).astype(np.int32)), pa.array((last - first + 1).astype(np.int32))],
-                        ["h", "seg", "ta", "tb", "first", "n"])
+                        [pa.array(h[one].view(np.int64)), pa.array(seg[one].view(np.int64)),
+                         *[batch.column(k).take(which) for k in range(3)],
+                         pa.array((first[one] + at - begins[row[one]]).astype(np.int32)), pa.array(n[one].astype(np.int32)),
+                         pa.array(times.astype(np.int32))],
+                        ["h", "seg", "ta", "tb", "rows", "first", "n", "times"])
     return run
 
 
@@ -134,38 +138,42 @@ def covered(runs: Column, window: int) -> Column:
     return F.aggregate(runs, F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")), add, lambda acc: acc["n"])
 
 
+def least_bytes(window: int) -> int:
+    """A text of fewer bytes has no window."""
+    return 2 * window - 1
+
+
+def _several(*more: Column) -> Column:
+    """Whether the rows of a group come from different texts."""
+    return F.greatest(F.min("ta") != F.max("ta"), F.min("tb") != F.max("tb"), *more)
+
+
 def shared_words(units: DataFrame, window: int = WINDOW, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
     """(ta, tb, n_passage_words) of the texts that share a window with another row.
 
-    ``units``: (ta, tb, text), a row a document, where (ta, tb) names the text.
+    ``units``: (ta, tb, rows, text), each distinct text once with the number of its rows.
     """
     workers_ready(units.sparkSession)
-    long = units.filter(F.octet_length("text") >= 2 * window - 1)
-    all = stored(long.select("ta", "tb", "text").mapInArrow(
-        _found(window, gram, piece), "h long, seg long, ta long, tb int, first int, n int"), "word_anchors")
-    shared = stored(all.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "word_shared")
-    # dealt by place, not by anchor: one anchor may have a third of all rows
-    places = ["h", "seg", "ta", "tb", "first", "n"]
-    held = all.join(shared, "h").repartition(*places).groupBy(*places).agg(F.count(F.lit(1)).alias("rows"))
-    held = stored(held, "word_segments")
-    unit = F.struct("ta", "tb")
-    segs = held.groupBy("h", "seg").agg(F.min(unit).alias("low"), F.max(unit).alias("high"), F.max("rows").alias("rows"),
-                                        F.min_by(F.struct("first", "n"), F.struct("ta", "tb", "first")).alias("at"))
-    # a text's own rows repeat a place only when the whole text is repeated
-    segs = stored(segs.select("h", "seg", ((F.col("rows") > 1) | (F.col("low") != F.col("high"))).alias("several"),
-                              "low.ta", "low.tb", "at.first", "at.n"), "word_distinct")
+    copied = F.max("rows") > 1
+    all = stored(units.filter(F.octet_length("text") >= least_bytes(window)).select("ta", "tb", "rows", "text").mapInArrow(
+        _found(window, gram, piece), "h long, seg long, ta long, tb int, rows long, first int, n int, times int"), "word_anchors")
+    shared = stored(all.groupBy("h").agg(_several(copied).alias("several")).filter("several").select("h"), "word_shared")
+    held = stored(all.join(shared, "h"), "word_segments")
+    segs = stored(held.groupBy("h", "seg").agg(
+        _several(copied).alias("several"), *[F.first(c).alias(c) for c in ("ta", "tb", "first", "n")]), "word_distinct")
     split = segs.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("several").alias("done")).filter("c > 1 and not done")
     asked = segs.join(split.select("h"), "h").groupBy("ta", "tb").agg(
         F.collect_list(F.struct("h", "seg", "first", "n", "several")).alias("asks"))
-    texts = long.join(asked.select("ta", "tb"), ["ta", "tb"], "left_semi").dropDuplicates(["ta", "tb"]).join(asked, ["ta", "tb"])
-    windows = stored(texts.select("ta", "tb", "text", "asks").mapInArrow(
+    windows = stored(units.select("ta", "tb", "text").join(asked, ["ta", "tb"]).select("ta", "tb", "text", "asks").mapInArrow(
         _windows(window), "h long, seg long, at int, u long, v long, ta long, tb int, several boolean"), "word_windows")
-    common = (windows.groupBy("u", "v").agg(F.min(unit).alias("low"), F.max(unit).alias("high"), F.max("several").alias("any"))
-              .filter(F.col("any") | (F.col("low") != F.col("high"))).select("u", "v"))
+    common = windows.groupBy("u", "v").agg(_several(F.max("several")).alias("common")).filter("common").select("u", "v")
     marks = (windows.filter(~F.col("several")).join(common, ["u", "v"]).select("h", "seg", F.col("at").alias("lo"), F.col("at").alias("hi"))
              .union(segs.filter("several").select("h", "seg", F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi"))))
     marks = marks.groupBy("h", "seg").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
-    shifted = F.transform("runs", lambda r: F.struct((r["lo"] + F.col("first")).alias("lo"), (r["hi"] + F.col("first")).alias("hi")))
-    runs = (held.select("h", "seg", "ta", "tb", "first").join(marks, ["h", "seg"]).select("ta", "tb", shifted.alias("runs"))
+    # windows reach beyond the next of equal segments: marks from the first to the last cover all between
+    step = (F.col("times") - 1) * F.col("n")
+    shifted = F.transform("runs", lambda r: F.struct((r["lo"] + F.col("first")).alias("lo"),
+                                                     (r["hi"] + F.col("first") + F.col("step")).alias("hi")))
+    runs = (held.select("h", "seg", "ta", "tb", "first", step.alias("step")).join(marks, ["h", "seg"]).select("ta", "tb", shifted.alias("runs"))
             .groupBy("ta", "tb").agg(F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs")))
     return runs.select("ta", "tb", covered(F.col("runs"), window).alias("n_passage_words"))

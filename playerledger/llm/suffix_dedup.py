@@ -20,14 +20,17 @@
 6. Passages of over 50 words may have fewer bytes: ``passages`` counts a document's words
    in runs that another document has too.  They are counted, not removed.
 
-Texts are units by their content: rows that repeat a text of 400 bytes or more
-hold nothing but repeated strings.  Everything that moves is proportional to the
-anchors (about one for 170 bytes) or to distinct repeated segments; groups are
-bounded by ``SHARD_SEGMENTS``.
+Texts are units by their content: one row a distinct text with the number of its
+rows is made first, all work is done on units, and rows are joined to what was found
+without their text.  Rows that repeat a text of 400 bytes or more hold nothing but
+repeated strings.  Everything that moves is a unit, proportional to the anchors (about
+one for 170 bytes) or to distinct repeated segments; groups are bounded by
+``SHARD_SEGMENTS``.  A text that repeats itself in short steps has one anchor row for
+all of its equal segments in a row.
 
 Defined results: null text is empty; texts below 400 bytes keep everything; a
-null id is carried along; rows that repeat are repeats of each other; an empty
-table gives an empty table; other columns are ignored.
+null id is carried along; rows that repeat are repeats of each other; very long texts
+are read in pieces; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -142,7 +145,7 @@ PIECE = 1 << 22
 def _found(piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffer_of(batch.column(2))
+            data, offsets = buffer_of(batch.column(3))
             for lo, hi in slices(offsets, SLICE):
                 for at in range(int(offsets[lo]), max(int(offsets[lo]) + 1, int(offsets[hi]) - SPAN + 1), piece):
                     end = int(offsets[hi]) if hi - lo > 1 else min(at + piece + SPAN - 1, int(offsets[hi]))
@@ -151,37 +154,42 @@ def _found(piece: int):
                     if len(row):
                         whole = winnow.range_hash(sums, first, last + SPAN)
                         seg = mix(whole + (place - first).astype(np.uint64) * U(0x9FB21C651E98DF25))
-                        which = pa.array(row + lo)
-                        start = at - offsets[lo + row]
+                        n = last - first + 1
+                        one, times = winnow.collapsed(row, first, n, gram, seg)
+                        which = pa.array(row[one] + lo)
+                        start = at - offsets[lo + row[one]]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(gram.view(np.int64)), pa.array(seg.view(np.int64)),
-                             batch.column(0).take(which), batch.column(1).take(which),
-                             pa.array((first + start).astype(np.int32)), pa.array((last - first + 1).astype(np.int32))],
-                            ["h", "seg", "ta", "tb", "first", "n"])
+                            [pa.array(gram[one].view(np.int64)), pa.array(seg[one].view(np.int64)),
+                             *[batch.column(k).take(which) for k in range(3)],
+                             pa.array((first[one] + start).astype(np.int32)), pa.array(n[one].astype(np.int32)),
+                             pa.array(times.astype(np.int32))],
+                            ["h", "seg", "ta", "tb", "rows", "first", "n", "times"])
                     if hi - lo > 1:
                         break
     return run
 
 
-def _unit(text: Column) -> list[Column]:
-    """96 bits that stand for a text."""
-    return [F.xxhash64(text).alias("ta"), F.hash(text).alias("tb")]
+def units_of(texts: DataFrame, least: int = SPAN) -> DataFrame:
+    """(ta, tb, rows, text): each distinct text of ``least`` bytes or more, named by 96 bits, with
+    the number of its rows."""
+    named = texts.filter(F.octet_length("text") >= least).select(
+        F.xxhash64("text").alias("ta"), F.hash("text").alias("tb"), "text")
+    return stored(named.groupBy("ta", "tb").agg(F.count(F.lit(1)).alias("rows"), F.first("text").alias("text")), "units")
 
 
-def segments(texts: DataFrame, piece: int = PIECE) -> DataFrame:
-    """(h, seg, ta, tb, first, n, occ) of every segment whose anchor occurs more than once.
+def segments(units: DataFrame, piece: int = PIECE) -> DataFrame:
+    """(h, seg, ta, tb, rows, first, n, times) of every segment whose anchor occurs more than once.
 
-    ``h`` is the anchor, ``seg`` the segment's content, ``first`` the first of the
-    ``n`` string starts it owns in the text (ta, tb), ``occ`` how many rows have it there.
+    ``h`` is the anchor, ``seg`` the segment's content, ``first`` the first of the ``n`` string
+    starts it owns in the text (ta, tb), which has ``rows`` rows; the segment stands there
+    ``times`` times in a row.
     """
-    workers_ready(texts.sparkSession)
-    all = stored(texts.filter(F.octet_length("text") >= SPAN).select(*_unit(F.col("text")), "text").mapInArrow(
-        _found(piece), "h long, seg long, ta long, tb int, first int, n int"), "anchors")
+    workers_ready(units.sparkSession)
+    all = stored(units.filter(F.octet_length("text") >= SPAN).select("ta", "tb", "rows", "text").mapInArrow(
+        _found(piece), "h long, seg long, ta long, tb int, rows long, first int, n int, times int"), "anchors")
     # tables of their own: a join of two plain scans can be dealt anew where one anchor is hot
-    shared = stored(all.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "shared")
-    # dealt by place, not by anchor: one anchor may have a third of all rows
-    places = ["h", "seg", "ta", "tb", "first", "n"]
-    return stored(all.join(shared, "h").repartition(*places).groupBy(*places).agg(F.count(F.lit(1)).alias("occ")), "segments")
+    shared = stored(all.groupBy("h").agg(F.sum(F.col("rows") * F.col("times")).alias("c")).filter("c > 1").select("h"), "shared")
+    return stored(all.join(shared, "h"), "segments")
 
 
 def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,11 +347,11 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # the whole -------------------------------------------------------------------
 
-def repeated_starts(texts: DataFrame, shard_segments: int = SHARD_SEGMENTS, piece: int = PIECE) -> DataFrame:
+def repeated_starts(units: DataFrame, shard_segments: int = SHARD_SEGMENTS, piece: int = PIECE) -> DataFrame:
     """(ta, tb, runs): for each text the stretches of places where a repeated string starts."""
-    held = segments(texts, piece)
+    held = segments(units, piece)
     segs = stored(held.groupBy("h", "seg").agg(
-        F.sum("occ").alias("occ"), *[F.first(c).alias(c) for c in ("ta", "tb", "first", "n")]), "distinct")
+        F.sum(F.col("rows") * F.col("times")).alias("occ"), *[F.first(c).alias(c) for c in ("ta", "tb", "first", "n")]), "distinct")
     several = stored(segs.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "several")
     todo = stored(segs.join(several, "h"), "todo")
     total, large = todo.agg(F.count(F.lit(1)), F.sum(F.when(F.col("c") > shard_segments, 1))).first()
@@ -355,8 +363,7 @@ def repeated_starts(texts: DataFrame, shard_segments: int = SHARD_SEGMENTS, piec
         F.when(split, F.xxhash64("h", spread)).otherwise(F.pmod(F.xxhash64("h"), F.lit(shards))).alias("shard"),
         split.alias("split"), "h", "seg", "n", (F.col("occ") == 1).alias("once"), "first").alias("ask"))
     asked = asked.groupBy("ta", "tb").agg(F.collect_list("ask").alias("asks"))
-    units = texts.filter(F.octet_length("text") >= SPAN).select(*_unit(F.col("text")), "text")
-    one = units.join(asked, ["ta", "tb"]).dropDuplicates(["ta", "tb"]).select("text", "asks")
+    one = units.join(asked, ["ta", "tb"]).select("text", "asks")
     data = one.mapInArrow(_bytes, "shard long, split boolean, h long, seg long, n int, once boolean, data binary")
     found = stored(data.repartition("shard").sortWithinPartitions("shard").mapInArrow(_shards(parts), FOUND), "found")
     prints = found.filter("kind = 1").select("part", "prints", "refs").repartition("part").sortWithinPartitions("part")
@@ -364,8 +371,11 @@ def repeated_starts(texts: DataFrame, shard_segments: int = SHARD_SEGMENTS, piec
     marks = (found.filter("kind = 0").union(more).select("h", "seg", "runs")
              .union(segs.filter("occ > 1").select("h", "seg", F.array(F.struct(
                  F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi"))))))
-    marked = held.select("h", "seg", "ta", "tb", "first").join(marks, ["h", "seg"])
-    shifted = F.transform("runs", lambda r: F.struct((r["lo"] + F.col("first")).alias("lo"), (r["hi"] + F.col("first")).alias("hi")))
+    # strings reach beyond the next of equal segments: marks from the first to the last cover all between
+    step = (F.col("times") - 1) * F.col("n")
+    marked = held.select("h", "seg", "ta", "tb", "first", step.alias("step")).join(marks, ["h", "seg"])
+    shifted = F.transform("runs", lambda r: F.struct((r["lo"] + F.col("first")).alias("lo"),
+                                                     (r["hi"] + F.col("first") + F.col("step")).alias("hi")))
     return (marked.select("ta", "tb", shifted.alias("runs")).groupBy("ta", "tb")
             .agg(F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs")))
 
@@ -383,32 +393,27 @@ SPANS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 def _cut(with_bytes: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffer_of(batch.column(1))
-            lists = batch.column(2)
+            data, offsets = buffer_of(batch.column(2))
+            lists = batch.column(3)
             flat, border = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
             lows, highs = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "hi"))
             for first, last in slices(offsets, 1 << 22):
                 rows = []
                 for i in range(first, last):
                     text, own = data[offsets[i]:offsets[i + 1]], slice(border[i], border[i + 1])
-                    spans, parts = [], [text]
-                    if len(lows[own]):
-                        a, b = spans_of(lows[own], highs[own])
-                        spans = [{"lo": x, "hi": y} for x, y in zip(a.tolist(), b.tolist())]
-                        edges = [0, *np.stack((a, b), 1).reshape(-1).tolist(), len(text)]
-                        parts = [text[x:y] for x, y in zip(edges[0::2], edges[1::2])]
+                    a, b = spans_of(lows[own], highs[own])
+                    spans = [{"lo": x, "hi": y} for x, y in zip(a.tolist(), b.tolist())]
+                    edges = [0, *np.stack((a, b), 1).reshape(-1).tolist(), len(text)]
+                    parts = [text[x:y] for x, y in zip(edges[0::2], edges[1::2])]
                     digest = hashlib.sha256()
                     for part in parts:
                         digest.update(part)
-                    kept = sum(map(len, parts))
-                    rows.append((len(text), len(text) - kept, len(spans), digest.hexdigest(), spans,
+                    rows.append((len(text) - sum(map(len, parts)), len(spans), digest.hexdigest(), spans,
                                  b"".join(p.tobytes() for p in parts) if with_bytes else None))
-                cols = list(zip(*rows))
-                kinds = [pa.int64()] * 3 + [pa.string(), SPANS, pa.binary()]
+                kinds = [pa.int64()] * 2 + [pa.string(), SPANS, pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), *[pa.array(c, k) for c, k in zip(cols, kinds)],
-                     batch.column(3).slice(first, last - first)],
-                    ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept", "n_passage_words"])
+                    [*[batch.column(k).slice(first, last - first) for k in range(2)], *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]],
+                    ["ta", "tb", "n_removed", "n_spans", "sha", "spans", "kept"])
     return run
 
 
@@ -418,11 +423,16 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", sha
     ``docs``; ``spans`` is what was removed, ``kept`` the remaining bytes (null when not asked for),
     ``n_passage_words`` the words in runs of ``window`` words that another row has too."""
     rows = docs.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    runs = repeated_starts(rows.select("text"), shard_segments, piece)
-    units = rows.select("id", "text", *_unit(F.col("text")))
-    passage = passages.shared_words(units.select("ta", "tb", "text"), window)
-    joined = units.join(runs, ["ta", "tb"], "left").join(passage, ["ta", "tb"], "left").select(
-        "id", "text", "runs", F.coalesce("n_passage_words", F.lit(0)).cast("long").alias("n_passage_words"))
-    return joined.mapInArrow(_cut(with_bytes), f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, "
-                                   "kept_sha256 string, spans array<struct<lo:int,hi:int>>, kept binary, n_passage_words long"
-                             ).withColumnRenamed("id", id)
+    units = units_of(rows.select("text"), min(SPAN, passages.least_bytes(window)))
+    runs = repeated_starts(units, shard_segments, piece)
+    found = units.select("ta", "tb", "text").join(runs, ["ta", "tb"]).select("ta", "tb", "text", "runs").mapInArrow(
+        _cut(with_bytes), "ta long, tb int, n_removed long, n_spans long, sha string, spans array<struct<lo:int,hi:int>>, kept binary")
+    # rows meet what was found without their text, whole texts need no worker
+    whole = F.col("text").cast("binary")
+    own = rows.select("id", F.xxhash64("text").alias("ta"), F.hash("text").alias("tb"), F.octet_length("text").cast("long").alias("n_bytes"),
+                      F.sha2(whole, 256).alias("whole_sha"), (whole if with_bytes else F.lit(None).cast("binary")).alias("whole"))
+    return (own.join(found, ["ta", "tb"], "left").join(passages.shared_words(units, window), ["ta", "tb"], "left").select(
+        F.col("id").alias(id), "n_bytes", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_removed", "n_spans")],
+        F.coalesce("sha", "whole_sha").alias("kept_sha256"),
+        F.coalesce("spans", F.array().cast("array<struct<lo:int,hi:int>>")).alias("spans"), F.coalesce("kept", "whole").alias("kept"),
+        F.coalesce("n_passage_words", F.lit(0)).cast("long").alias("n_passage_words")))

@@ -58,3 +58,10 @@ def anchors(data: np.ndarray, offsets: np.ndarray, span: int, gram: int = GRAM):
     first = np.flatnonzero(head)
     last = np.flatnonzero(inside & np.concatenate((head[1:] | ~inside[1:], [True])))
     return row[first], best[first], first, last, grams[best[first]], sums
+
+
+def collapsed(row: np.ndarray, first: np.ndarray, n: np.ndarray, h: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where, times): adjoining equal segments, as a text that repeats itself has them, taken as one."""
+    same = (row[1:] == row[:-1]) & (h[1:] == h[:-1]) & (seg[1:] == seg[:-1]) & (first[1:] == first[:-1] + n[:-1])
+    where = np.flatnonzero(np.concatenate(([True], ~same)))
+    return where, np.diff(np.concatenate((where, [len(row)])))

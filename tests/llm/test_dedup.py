@@ -285,6 +285,19 @@ def test_repeats_equal_brute_force(spark, monkeypatch, shard, piece):
     assert suffix_dedup.without_repeats(df.limit(0)).count() == 0
 
 
+def test_repeats_in_texts_that_repeat_themselves(spark):
+    r = random.Random(8)
+    text = lambda n: " ".join("".join(r.choice("abcde") for _ in range(5)) for _ in range(n))
+    long, dull = text(90), "=" * 3000 + "\n"
+    texts = [" " * 20_000, text(50) + dull + text(40), dull * 2 + long, "-+" * 700 + "x", long[:399] + " " * 500, text(80), ("ab " * 133)[:399], None]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, N_BYTES string, ta int")
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix_dedup.without_repeats(df).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_repeats(texts)
+    # one row for equal segments in a row, not one a byte
+    segments = suffix_dedup.segments(suffix_dedup.units_of(df.select("text")))
+    assert segments.count() < 400 and segments.agg({"times": "max"}).first()[0] > 10_000
+
+
 def test_union_find():
     rng = np.random.default_rng(3)
     for n in (0, 1, 5, 60, 400):

@@ -33,6 +33,10 @@ def table(spark, texts):
     return rows.select("id", F.coalesce("text", F.lit("")).alias("text")).select("id", "text", F.xxhash64("text").alias("ta"), F.hash("text").alias("tb"))
 
 
+def units(rows):
+    return suffix_dedup.units_of(rows.select("text"), 1)
+
+
 @pytest.mark.parametrize("window,gram,piece", [(51, 12, 1 << 21), (9, 3, 40)])
 def test_shared_words_equal_brute_force(spark, window, gram, piece):
     r = random.Random(window + piece)
@@ -43,13 +47,13 @@ def test_shared_words_equal_brute_force(spark, window, gram, piece):
     texts += [text(r.randint(0, 60)) + r.choice(" \t\n") + r.choice(shared).replace(" ", r.choice([" ", "\n", "  "])) + " " + text(r.randint(0, 60))
               for _ in range(40)]
     alone = text(window + 5)  # repeats inside one document only
-    texts += [None, "", " \n", alone + " x " + alone, "a " * 400, "a " * 300 + "b", text(2 * window) + " " + shared[4] + " " + shared[3]]
+    texts += [None, "", " \n", alone + " x " + alone, "a " * 400, "a " * 300 + "b", "a b c " * 150, "x " + "c a b " * 60, text(2 * window) + " " + shared[4] + " " + shared[3]]
     texts += [text(window + 20)] * 3 + [text(window - 1)] * 2
-    units = table(spark, texts)
-    found = passages.shared_words(units.select("ta", "tb", "text"), window, gram, piece)
-    got = {x.id: x.n_passage_words or 0 for x in units.join(found, ["ta", "tb"], "left").collect()}
+    rows = table(spark, texts)
+    found = passages.shared_words(units(rows), window, gram, piece)
+    got = {x.id: x.n_passage_words or 0 for x in rows.join(found, ["ta", "tb"], "left").collect()}
     assert [got[i] for i in range(len(texts))] == brute(texts, window)
-    assert passages.shared_words(units.limit(0).select("ta", "tb", "text")).count() == 0
+    assert passages.shared_words(units(rows.limit(0))).count() == 0
 
 
 def test_short_passages_are_reported_not_removed(spark):
