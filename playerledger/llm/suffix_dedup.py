@@ -59,6 +59,17 @@ BYTE_2 = mix(BYTE + U(0x5851F42D4C957F2D))
 
 # suffix arrays ---------------------------------------------------------------
 
+def sevens(text: np.ndarray) -> np.ndarray:
+    """For each place the seven symbols from there on as one number; 0 stands beyond the end."""
+    n = len(text)
+    wide = np.zeros(n + 14, np.int64)
+    wide[:n] = text + 1
+    key = np.zeros(n + 7, np.int64)
+    for j in range(7):
+        key = key * 258 + wide[j:n + 7 + j]
+    return key
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """The order of all suffixes of ``text`` (whole numbers from 0 to 256).
 
@@ -69,11 +80,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     n = len(text)
     if n < 2:
         return np.arange(n)
-    wide = np.zeros(n + 7, np.int64)
-    wide[:n] = text + 1
-    key = np.zeros(n, np.int64)
-    for j in range(7):
-        key = key * 258 + wide[j:n + j]
+    key = sevens(text)[:n]
     sa = np.argsort(key, kind="stable")
     sorted_key = key[sa]
     head = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1]))
@@ -102,7 +109,7 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
 
     Kasai's rule along the text: a suffix whose symbol in front equals the one in
     front of its predecessor in the array has one symbol less in common than the
-    suffix one place earlier.  Only the other places are compared, eight symbols
+    suffix one place earlier.  Only the other places are compared, seven symbols
     at a time.
     """
     n = len(text)
@@ -113,21 +120,16 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     follows = np.zeros(n, bool)
     follows[1:] = (before[1:] > 0) & (text[:-1] == text[np.maximum(before[1:] - 1, 0)])
     start = np.flatnonzero(~follows & (before >= 0))
-    wide = np.concatenate((text, np.full(8, -1, text.dtype)))
-    active, length = start, np.zeros(len(start), np.int64)
-    where = np.arange(len(start))
+    key, wide = sevens(text), np.concatenate((text, np.full(7, -1, text.dtype)))
+    length, on = np.zeros(len(start), np.int64), np.arange(len(start))
     # not cut at ``most`` here: places after it count down from the true length
-    while len(active):
-        a, b = active + length[where], before[active] + length[where]
-        run = np.zeros(len(active), np.int64)
-        going = np.ones(len(active), bool)
-        for k in range(8):
-            inside = (a + k < n) & (b + k < n)
-            going &= inside & (wide[np.minimum(a + k, n)] == wide[np.minimum(b + k, n)])
-            run += going
-        length[where] += run
-        on = run == 8
-        active, where = active[on], where[on]
+    while len(on):
+        on = on[key[start[on] + length[on]] == key[before[start[on]] + length[on]]]
+        length[on] += 7
+    a, b, going = start + length, before[start] + length, np.ones(len(start), bool)
+    for k in range(6):
+        going &= wide[np.minimum(a + k, n)] == wide[np.minimum(b + k, n)]
+        length += going
     plcp[start] = length
     # the others count down from the last place that was compared
     base = np.maximum.accumulate(np.where(follows, -1, i))
