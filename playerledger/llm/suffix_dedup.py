@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from playerledger.llm import passages, winnow
 from playerledger.llm.common import stored, workers_ready
 from playerledger.llm.words_np import BYTE, U, buffer_of, mix, slices
+from playerledger.session import work_folder
 
 SPAN = 400
 SLICE = 1 << 18
@@ -176,7 +177,14 @@ def units_of(texts: DataFrame, least: int = SPAN) -> DataFrame:
     the number of its rows."""
     named = texts.filter(F.octet_length("text") >= least).select(
         F.xxhash64("text").alias("ta"), F.hash("text").alias("tb"), "text")
-    return stored(named.groupBy("ta", "tb").agg(F.count(F.lit(1)).alias("rows"), F.first("text").alias("text")), "units")
+    units = named.groupBy("ta", "tb").agg(F.count(F.lit(1)).alias("rows"), F.first("text").alias("text"))
+    # in as many buckets as a shuffle has parts: joins by (ta, tb) move no text again
+    spark = texts.sparkSession
+    path = work_folder(spark, "units")
+    name = f"playerledger_units_{path[-12:]}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    units.write.format("parquet").option("path", path).bucketBy(parts, "ta", "tb").saveAsTable(name)
+    return spark.table(name)
 
 
 def segments(units: DataFrame, piece: int = PIECE) -> DataFrame:
