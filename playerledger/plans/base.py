@@ -99,7 +99,8 @@ class EventPlan:
         raise NotImplementedError
 
     def projection(self) -> tuple[Column, list[Column], Column]:
-        """(row filter, output columns, written-column list) of the single-pass projection.
+        """(place of the row's kind, output columns by it as ``__kind``, written-column list) of
+        the single-pass projection.
 
         Unresolved column expressions do not depend on the input frame, so they
         are built once per plan and reused for every batch.
@@ -110,12 +111,11 @@ class EventPlan:
         if cached is not None and cached[0] == gw:
             return cached[1]
         kinds = self.kinds()
-        any_kind = kinds[0].when
-        for k in kinds[1:]:
-            any_kind = any_kind | k.when
-        rank = F.when(kinds[0].when, F.lit(kinds[0].rank))
-        for k in kinds[1:]:
-            rank = rank.when(k.when, F.lit(k.rank))
+        place = F.when(kinds[0].when, F.lit(0))
+        for i, k in enumerate(kinds[1:], 1):
+            place = place.when(k.when, F.lit(i))
+        at = F.col("__kind")
+        rank = F.get(F.array(*[F.lit(k.rank) for k in kinds]), at)
 
         order: dict[str, None] = {}
         per_kind: list[dict[str, Column]] = []
@@ -129,34 +129,39 @@ class EventPlan:
 
         out = [rank.cast("int").alias("write_rank")]
         for name in order:
-            having = [(k, e[name]) for k, e in zip(kinds, per_kind) if name in e]
-            if len(kinds) == 1:
-                out.append(having[0][1].alias(name))
+            # one branch for all kinds that write the same: the projection's code stays small
+            # enough to be compiled
+            having: dict[str, tuple[Column, list[int]]] = {}
+            for i, e in enumerate(per_kind):
+                if name in e:
+                    having.setdefault(str(e[name]), (e[name], []))[1].append(i)
+            (first, its), *others = having.values()
+            if len(its) == len(kinds):
+                out.append(first.alias(name))
                 continue
-            expr = None
-            for k, e in having:
-                expr = F.when(k.when, e) if expr is None else expr.when(k.when, e)
+            expr = F.when(at.isin(its), first)
+            for e, its in others:
+                expr = expr.when(at.isin(its), e)
             out.append(expr.alias(name))
         present = None
-        for k, e in zip(kinds, per_kind):
+        for i, e in enumerate(per_kind):
             names = F.array(*[F.lit(n) for n in e])
-            present = F.when(k.when, names) if present is None else present.when(k.when, names)
+            present = F.when(at == i, names) if present is None else present.when(at == i, names)
         out.append(F.col("__src"))
-        self._projection_cache = (gw, (any_kind, out, present.alias("present")))
-        return any_kind, out, present.alias("present")
+        self._projection_cache = (gw, (place, out, present.alias("present")))
+        return place, out, present.alias("present")
 
     def changes(self, df: DataFrame, ctx: PlanContext | None = None, seen: Observation | None = None) -> DataFrame:
         """The rows' partial documents; ``seen`` counts them by document kind, and the rows
         that make none (``no_document``), as they are written."""
         ctx = ctx or PlanContext()
         pre = self.prepare(df, ctx)
-        any_kind, out, present = self.projection()
+        place, out, present = self.projection()
         if seen is not None:
-            some = F.coalesce(any_kind, F.lit(False))
-            pre = pre.observe(seen, F.count_if(~some).alias("no_document"),
+            pre = pre.observe(seen, F.count_if(place.isNull()).alias("no_document"),
                               *[F.count_if(k.when).alias(k.name) for k in self.kinds()])
         batch = [F.col("__batch")] if "__batch" in pre.columns else []
-        return pre.where(any_kind).select(*out, *([present] if ctx.with_present else []), *batch)
+        return pre.withColumn("__kind", place).where("__kind IS NOT NULL").select(*out, *([present] if ctx.with_present else []), *batch)
 
     def documents(self, changes: DataFrame) -> DataFrame:
         """The changes in the columns of the document table."""
