@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +31,22 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def plain_cache(spark: SparkSession) -> Iterator[None]:
+    """Frames first read inside are cached without column encodings.
+
+    The encodings are tried on every value; lines that all differ gain nothing by them,
+    and stored blocks are compressed as a whole anyway.
+    """
+    key = "spark.sql.inMemoryColumnarStorage.compressed"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file is there, in whatever store ``path`` names."""
     jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc

@@ -24,7 +24,7 @@ from .. import catalog
 from ..operators.broadcast import checked_broadcast
 from ..operators.enrich import add_event_columns, enrich_with_dims
 from ..plans import PLANS, PlanContext
-from ..session import ensure_utc, path_exists, remove_path
+from ..session import ensure_utc, path_exists, plain_cache, remove_path
 from ..sinks.doc_table import DocumentStore, DocumentTable
 from ..sources.audit import offset_audit
 from ..sources.events import CORRUPT_COLUMN, event_name_of, parse_events, to_envelope
@@ -134,11 +134,12 @@ def pipeline_rows(routed: DataFrame, pipeline: str, dims: Mapping[str, DataFrame
                   seen: Observation | None = None) -> DataFrame:
     """One pipeline's enriched rows: narrow parse, own lookups.
 
-    Lines with a wrongly typed field make no document; ``seen`` counts them.
+    Lines with a wrongly typed field make no document; ``seen`` counts them, and keeps the
+    newest time of the lines read.
     """
     parsed = parsed_rows(routed, pipeline)
     if seen is not None:
-        parsed = parsed.observe(seen, F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("bad"))
+        parsed = parsed.observe(seen, F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("bad"), F.max("event_ts").alias("newest"))
     parsed = parsed.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
     return add_event_columns(enrich_with_dims(parsed, {d: dims[d] for d in PLANS[pipeline].dims})).drop("__pos")
 
@@ -166,17 +167,20 @@ def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int |
     numbers = [batch_id] if numbers is None else list(numbers)
     routed = route_batch(raw, job.pipelines, batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # fills the cache in one pass: offset ranges, total, routed and unroutable lines, newest event
+        # fills the cache in one pass: offset ranges, total, routed and unroutable lines; the newest
+        # event too, which takes another read of each line, where the rates go by it
         wanted = F.col("__event") != ""
-        newest = F.max(F.when(wanted, F.get_json_object("value", "$.event_ts").try_cast("long")))
+        timed = batch_time_ms is None and job.rates is not None and not job.daily_rates and "deposits" in job.pipelines
+        newest = F.max(F.when(wanted, F.get_json_object("value", "$.event_ts").try_cast("long"))) if timed else F.lit(None).cast("long")
         events = {f"n_{e}": F.count_if(F.col("__event") == e) for e in catalog.events_for(job.pipelines)}
-        ranges = offset_audit(routed, routed=F.count_if(wanted), unroutable=F.count_if(F.col("__event").isNull()),
-                              newest=newest, **events).collect()  # one row a topic and partition
+        with plain_cache(spark):
+            ranges = offset_audit(routed, routed=F.count_if(wanted), unroutable=F.count_if(F.col("__event").isNull()),
+                                  newest=newest, **events).collect()  # one row a topic and partition
         if batch_time_ms is None:
             batch_time_ms = max((r["newest"] for r in ranges if r["newest"] is not None), default=None)
         metric = {"run": run, "batch_id": batch_id, "rows": sum(r["routed"] for r in ranges),
                   "messages": sum(r["messages"] for r in ranges), "ranges": [r.asDict() for r in ranges],
-                  "dead_letters": sum(r["unroutable"] for r in ranges), "documents": {}}
+                  "dead_letters": sum(r["unroutable"] for r in ranges), "documents": {}, "newest": batch_time_ms if timed else None}
         ctx = PlanContext(with_present=job.with_present)
         daily = None
         if job.daily_rates and "deposits" in job.pipelines:
@@ -186,6 +190,7 @@ def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int |
         elif job.rates is not None and "deposits" in job.pipelines:
             # the currencies of one snapshot
             ctx.rates = F.broadcast(job.rates(batch_time_ms))
+        times: dict[str, int | None] = {}  # newest event of each pipeline, as its lines are parsed
         rows_of = {p: sum(r[f"n_{e}"] for e in PLANS[p].events for r in ranges) for p in job.pipelines}
 
         def write(p: str) -> int:
@@ -203,12 +208,16 @@ def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int |
             put(changes, run, numbers, p, job.max_records_per_file)
             try:
                 metric["documents"][p] = dict(kinds.get)
+                if not timed:
+                    times[p] = typed.get["newest"]
                 return typed.get["bad"]
             except Py4JJavaError:  # no metric: the plan was cut short, none of its rows were written
                 return parsed_rows(routed, p).where(F.col(CORRUPT_COLUMN).isNotNull()).count()
 
         with ThreadPoolExecutor(max(1, min(job.parallel_writes, len(job.pipelines)))) as pool:
             bad = dict(zip(job.pipelines, pool.map(inheritable_thread_target(spark)(write), job.pipelines)))
+        if any(t is not None for t in times.values()):
+            metric["newest"] = max(t for t in times.values() if t is not None)
         damaged = [p for p, n in bad.items() if n]
         unroutable, metric["dead_letters"] = metric["dead_letters"], metric["dead_letters"] + sum(bad.values())
         if job.keep_dead_letters:
