@@ -119,10 +119,14 @@ def route_batch(raw: DataFrame, pipelines: Sequence[str], batch: Column | None =
     raw = raw.select("*", F.explode(F.array(event_name_of())).alias("__name"))
     name = F.col("__name")
     event = F.when(name.isNull() | name.isin(catalog.events_for(pipelines)), name).otherwise("")
-    routed = raw.select("*", event.alias("__event"), F.coalesce("offset", F.xxhash64("value")).alias("__pos")).drop("__name")
+    routed = raw.select("*", event.alias("__event"), _position()).drop("__name")
     return routed.withColumn("value", F.when(F.coalesce("__event", F.lit("-")) != "", F.col("value")))
 
 
+def _position() -> Column:
+    return F.coalesce("offset", F.xxhash64("value")).alias("__pos")
+
+
 def parsed_rows(routed: DataFrame, pipeline: str, fields=None) -> DataFrame:
     """One pipeline's own lines, parsed with its own fields and the corrupt column."""
     plan = PLANS[pipeline]
@@ -163,9 +167,12 @@ def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int |
     """
     spark = ensure_utc(raw.sparkSession)
     run = run or job.name
-    batch = F.lit(batch_id) if numbers is None else F.col("archive_no")
-    numbers = [batch_id] if numbers is None else list(numbers)
-    routed = route_batch(raw, job.pipelines, batch).persist(StorageLevel.MEMORY_AND_DISK)
+    one = numbers is None
+    numbers = [batch_id] if one else list(numbers)
+    # what is kept of a line is kept of unwanted ones too: the position, and the number of a
+    # batch that comes alone, are added as the cache is read
+    stored = route_batch(raw, job.pipelines, None if one else F.col("archive_no")).drop("__pos").persist(StorageLevel.MEMORY_AND_DISK)
+    routed = stored.select("*", _position(), *([F.lit(batch_id).cast("long").alias("__batch")] if one else []))
     try:
         # fills the cache in one pass: offset ranges, total, routed and unroutable lines; the newest
         # event too, which takes another read of each line, where the rates go by it
@@ -226,7 +233,7 @@ def process_batch(job: Job, raw: DataFrame, batch_id: int, batch_time_ms: int |
         if daily is not None:
             daily.unpersist()
     finally:
-        routed.unpersist()
+        stored.unpersist()
 
 
 def _write_dead_letters(job: Job, routed: DataFrame, damaged: Sequence[str], unroutable: bool, run: str, numbers: Sequence[int]) -> None:
